@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duplexa.llm import bpe_automaton, embedding_dedup, packing, topk_search
 
-from duplexa.llm import embedding_dedup, topk_search
+
+def word_bpe() -> str:
+    """The tokenizer file's content, read on the driver and sent from there."""
+    return Path(public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), word_bpe())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.encode_decode(
+        _table(spark, sf_dir, "documents"), word_bpe(), outputs=("n_tokens", "ids_sha256", "decoded_sha256")
+    )
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -20,7 +40,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(rows, rows.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op8_embedding_near_dedup, op10_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op4_pack_sequences, op6_bpe_encode_decode, op8_embedding_near_dedup, op10_exact_top_k)}
 
 ORACLE_SQL = {
     "op10_exact_top_k": """
