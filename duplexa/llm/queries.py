@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duplexa.llm import bpe_automaton, embedding_dedup, packing, topk_search
+from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, packing, topk_search
 
 
 def word_bpe() -> str:
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), word_bpe())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -40,7 +44,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(rows, rows.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op4_pack_sequences, op6_bpe_encode_decode, op8_embedding_near_dedup, op10_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_extract_main_text, op4_pack_sequences, op6_bpe_encode_decode, op8_embedding_near_dedup, op10_exact_top_k)}
 
 ORACLE_SQL = {
     "op10_exact_top_k": """
