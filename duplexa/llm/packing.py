@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from duplexa.llm.bpe_automaton import SEPARATORS, chunks
 from duplexa.llm.scratch import Scratch
 
-DIMS, BITS, BUCKETS = 3, 16, 4096
-REMEMBERED = 400_000
+DIMS, BITS, BUCKETS = 3, 16, 1024
+#: Words a worker remembers, some 200 bytes each.
+REMEMBERED = 800_000
 #: A task's sequences are numbered from its partition number times this.
 NUMBERS = 1 << 40
 
@@ -60,10 +61,11 @@ def projection() -> np.ndarray:
 def curve_points(ids_of: list[np.ndarray]) -> np.ndarray:
     """Coordinates of documents: hashed token counts at unit length, projected and squashed."""
     out = np.zeros((len(ids_of), DIMS))
+    directions = projection()
     for row, ids in enumerate(ids_of):
         counts = np.bincount((ids.astype(np.int64) * 40_503 >> 4) % BUCKETS, minlength=BUCKETS)
         norm = np.sqrt(float(counts @ counts))
-        out[row] = counts @ projection() / norm if norm else 0
+        out[row] = counts @ directions / norm if norm else 0
     return np.minimum(((np.tanh(out) + 1) / 2 * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
@@ -82,16 +84,18 @@ def encode_all(spec: str, texts: list[str], end_id: int) -> list[bytes]:
     """Ids of each text and ``end_id``, as little-endian 32-bit numbers; words met before are looked up."""
     made, known = _library(spec)
     cut = [chunks(t) for t in texts]
-    fresh = list(set().union(*cut).difference(known)) if cut else []
-    for word, found in zip(fresh, made.encode_batch(fresh, add_special_tokens=False)):
-        known[word] = np.array(found.ids, "<u4").tobytes()
+    found = [list(map(known.get, words)) for words in cut]
+    fresh = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
+    if fresh:
+        fresh = list(fresh)
+        now = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, made.encode_batch_fast(fresh, add_special_tokens=False))}
+        if len(known) < REMEMBERED:
+            known |= now
+        for words, ids in zip(cut, found):
+            if None in ids:
+                ids[:] = [now[w] if i is None else i for w, i in zip(words, ids)]
     end = np.array([end_id], "<u4").tobytes()
-    look = known.__getitem__
-    out = [b"".join(map(look, words)) + end for words in cut]
-    if len(known) > REMEMBERED:
-        for word in fresh:
-            del known[word]
-    return out
+    return [b"".join(ids) + end for ids in found]
 
 
 def _tokenize(shared, end_id: int):
