@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, packing, topk_search
+from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier, topk_search
 
 
 def word_bpe() -> str:
@@ -24,17 +24,34 @@ def op1_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op3_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), word_bpe())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = quality_classifier.grade_labels(_table(spark, sf_dir, "labels"))
+    model = quality_classifier.train(docs, labels, quality_classifier.LEVELS)
+    scored = quality_classifier.score(docs, model, quality_classifier.LEVELS - 1)
+    return scored.select("doc_id", F.round("expected_grade", 6).alias("expected_grade"), F.round("tail_probability", 6).alias("tail_probability"), "accepted")
+
+
 def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_decode(
         _table(spark, sf_dir, "documents"), word_bpe(), outputs=("n_tokens", "ids_sha256", "decoded_sha256")
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -44,13 +61,75 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(rows, rows.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_extract_main_text, op4_pack_sequences, op6_bpe_encode_decode, op8_embedding_near_dedup, op10_exact_top_k)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_extract_main_text,
+        op3_dedup_lines,
+        op4_pack_sequences,
+        op5_quality_grades,
+        op6_bpe_encode_decode,
+        op7_license_scan,
+        op8_embedding_near_dedup,
+        op10_exact_top_k,
+    )
+}
+
+
+def _license_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    line = "lower(x)"
+    for one, other in license_scan.SPELLINGS:
+        line = f"replace({line}, {quoted(one)}, {quoted(other)})"
+    line = f"trim(regexp_replace({line}, {quoted(license_scan.NOT_WORDS)}, ' ', 'g'))"
+
+    def lines(text):
+        made = f"list_transform(string_split(coalesce({text}, ''), chr(10)), lambda x: {line})"
+        return f"list_filter({made}, lambda x: x <> '' AND NOT regexp_matches(x, {quoted(license_scan.OWNER_LINES)}))"
+
+    known = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in license_scan.LICENSES.items())
+    return f"""
+        WITH k AS (
+            SELECT sha256(array_to_string({lines("t")}, ' ')) AS d, min(l) AS license_id FROM (VALUES {known}) AS v(l, t) GROUP BY 1
+        ), r AS (SELECT doc_id, {lines("text")} AS ls FROM documents),
+        w AS (SELECT doc_id, sha256(array_to_string(ls, ' ')) AS text_digest FROM r),
+        n AS (
+            SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+            FROM (SELECT doc_id, sha256(unnest(ls)) AS d FROM r) JOIN k USING (d) GROUP BY doc_id
+        )
+        SELECT w.doc_id, w.text_digest, k.license_id, coalesce(n.notices, '') AS notices
+        FROM w LEFT JOIN k ON k.d = w.text_digest LEFT JOIN n ON n.doc_id = w.doc_id
+    """
+
 
 ORACLE_SQL = {
+    "op3_dedup_lines": f"""
+        WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+        l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM s),
+        b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM l WHERE trim(line) <> ''),
+        p AS (
+            SELECT a.doc_id, a.pos, c.pos AS pos2, a.line AS x, c.line AS y
+            FROM b a JOIN b c ON a.doc_id = c.doc_id AND c.k = a.k + 1
+        ),
+        g1 AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS n FROM b WHERE length(line) >= {line_dedup.MIN_CHARS}),
+        g2 AS (SELECT doc_id, pos, pos2, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, pos) AS n FROM p),
+        gone AS (
+            SELECT doc_id, pos FROM g1 WHERE n > 1 UNION SELECT doc_id, pos FROM g2 WHERE n > 1 UNION SELECT doc_id, pos2 FROM g2 WHERE n > 1
+        ),
+        e AS (
+            SELECT l.doc_id, count(gone.pos) AS n_removed, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (gone.pos IS NULL) AS kept,
+                count(*) FILTER (gone.pos IS NOT NULL AND before.pos IS NULL) AS n_runs
+            FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.pos = l.pos
+            LEFT JOIN gone before ON before.doc_id = l.doc_id AND before.pos = l.pos - 1 GROUP BY l.doc_id
+        )
+        SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN e ON e.doc_id = d.doc_id
+    """,
+    "op7_license_scan": _license_sql(),
     "op10_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
-            FROM embeddings WHERE embedding IS NOT NULL
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE embedding IS NOT NULL
         ), s AS (
             SELECT q.vec_id AS query_id, r.vec_id AS vec_id, CAST(list_inner_product(q.e, r.e) AS BIGINT) AS score
             FROM v q JOIN v r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id
