@@ -15,10 +15,15 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 BUCKETS = 1 << 18
 #: The upper buckets are for shapes, of which there are few.
 SHAPES = 1 << 12
+#: Words and stems are below, immediate repeats at it, shapes above.
+LAST = BUCKETS - SHAPES - 1
+#: Letters that longer words of one stem share.
+STEM = 4
 #: Labelled rows that a fit reads at most, those of smallest id hash.
 SAMPLE_ROWS = 8000
-#: Features on fewer labelled rows get no weight.
-LEAST_ROWS = 4
+#: Features on fewer than LEAST_ROWS labelled rows, or one in ROWS_EACH of them, get no weight;
+#: nor do words whose share of rows differs by less than this log ratio across every threshold.
+LEAST_ROWS, ROWS_EACH, LEAST_RATIO = 4, 800, 1.5
 REMEMBERED = 400_000
 SHAPE_RULES = [(re.compile(p), r) for p, r in ((r"[^\W\d_]*[a-zà-öø-ÿ][^\W\d_]*", "a"), (r"[^\W\d_]+", "A"), (r"\d+", "0"))]
 LETTERS = re.compile(r"[\W_]+")
@@ -29,14 +34,16 @@ def _bucket(text: str, size: int) -> int:
 
 
 class _Chunks(dict):
-    """chunk -> word bucket and shape bucket in one number; -1 stands for no word."""
+    """chunk -> buckets of its word, its stem and its shape in one number; BUCKETS stands for none."""
 
     def __missing__(self, chunk):
         shape = chunk
         for rule, to in SHAPE_RULES:
             shape = rule.sub(to, shape)
         word = LETTERS.sub("", chunk).lower()
-        found = (_bucket(word, BUCKETS - SHAPES) if word else BUCKETS) << 20 | (BUCKETS - SHAPES + _bucket(shape[:8], SHAPES))
+        stem = _bucket("stem " + word[:STEM], LAST) if len(word) > STEM else BUCKETS
+        word = _bucket(word, LAST) if word else BUCKETS
+        found = word << 40 | stem << 20 | (BUCKETS - SHAPES + _bucket(shape[:8], SHAPES))
         if len(self) < REMEMBERED:
             self[chunk] = found
         return found
@@ -46,13 +53,15 @@ _known = _Chunks()
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values: 1 for each distinct word, 8 times its share for each shape."""
+    """Buckets and values: 1 for each distinct word and stem, 8 times its share for each shape and for immediate repeats."""
     words = (text or "").split()
     both = np.fromiter(map(_known.__getitem__, words), np.int64, len(words))
-    word = np.unique(both >> 20)
+    word = np.unique(np.concatenate([both >> 40, both >> 20 & 0xFFFFF]))
     shape, n = np.unique(both & 0xFFFFF, return_counts=True)
     word = word[word < BUCKETS]
-    return np.concatenate([word, shape]), np.concatenate([np.ones(len(word)), 8 * n / max(1, len(words))])
+    again = np.count_nonzero(both[1:] == both[:-1])
+    total = max(1, len(words))
+    return np.concatenate([word, shape, [LAST]]), np.concatenate([np.ones(len(word)), 8 * n / total, [8 * again / total]])
 
 
 @dataclass
@@ -69,8 +78,13 @@ class OrdinalModel:
         return np.diff(np.concatenate([np.zeros((len(score), 1)), upto, np.ones((len(score), 1))], axis=1), axis=1)
 
 
-def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, levels: int, rounds: int = 160, decay: float = 2e-4) -> OrdinalModel:
-    """Full-batch Adam on the mean negative log likelihood, shared weights and ordered thresholds."""
+def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, levels: int, rounds: int = 200, decay: float = 1e-3) -> OrdinalModel:
+    """Full-batch Adam on the mean negative log likelihood, shared weights and ordered thresholds.
+
+    A feature's values are first scaled by how far its share of rows differs across a
+    threshold (a log ratio, shrunk for rare features), so that telling words count more
+    than the noise of the many others.
+    """
     n = len(grades)
     share = np.cumsum(np.bincount(grades, minlength=levels) + 1)[:-1] / (n + levels) if n else np.arange(1, levels) / levels
     theta = np.log(share / (1 - share))
@@ -79,9 +93,17 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
         return OrdinalModel(weights, theta, 0)
     flat, value = np.concatenate(indices), np.concatenate(values)
     row = np.repeat(np.arange(n), [len(i) for i in indices])
-    keep = np.bincount(flat, minlength=BUCKETS)[flat] >= LEAST_ROWS
+    keep = np.bincount(flat, minlength=BUCKETS)[flat] >= max(LEAST_ROWS, n / ROWS_EACH)
     used, col = np.unique(flat[keep], return_inverse=True)
     row, value = row[keep], value[keep]
+    scale = np.zeros(len(used))
+    for k in range(levels - 1):
+        below = grades[row] <= k
+        one, other = (np.bincount(col[m], weights=np.minimum(value[m], 1), minlength=len(used)) for m in (below, ~below))
+        ratio = np.log((one + 1) / ((grades <= k).sum() + 2)) - np.log((other + 1) / ((grades > k).sum() + 2))
+        scale = np.maximum(scale, np.abs(ratio) * np.sqrt((one + other) / (one + other + 10)))
+    scale = np.where((scale >= LEAST_RATIO) | (used >= LAST), scale, 0)
+    value = value * scale[col]
     w = np.zeros(len(used))
     gaps = np.log(np.maximum(np.diff(theta), 1e-3))
     state = [np.zeros(len(w) + levels - 1), np.zeros(len(w) + levels - 1)]
@@ -103,12 +125,12 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
         slope = np.concatenate([d_w, [tail[0]], tail[1:] * np.exp(gaps)])
         state[0] = 0.9 * state[0] + 0.1 * slope
         state[1] = 0.99 * state[1] + 0.01 * slope * slope
-        step = 0.15 * (state[0] / (1 - 0.9**t)) / (np.sqrt(state[1] / (1 - 0.99**t)) + 1e-9)
+        step = 0.15 * (1 - t / (rounds + 1)) * (state[0] / (1 - 0.9**t)) / (np.sqrt(state[1] / (1 - 0.99**t)) + 1e-9)
         w -= step[: len(w)]
         theta[0] -= step[len(w)]
         gaps -= step[len(w) + 1 :]
     theta = theta[0] + np.concatenate([[0], np.cumsum(np.exp(gaps))])
-    weights[used] = w
+    weights[used] = w * scale
     return OrdinalModel(weights, theta, n)
 
 
