@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier, topk_search
+from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, license_scan, line_dedup, minhash_dedup, packing, quality_classifier, topk_search
 
 
 def word_bpe() -> str:
@@ -24,6 +24,10 @@ def op1_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op3_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -65,6 +69,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_extract_main_text,
+        op2_minhash_near_dedup,
         op3_dedup_lines,
         op4_pack_sequences,
         op5_quality_grades,
