@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -71,24 +72,61 @@ def curve_points(ids_of: list[np.ndarray]) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def _library(spec: str):
+    """The tokenizer, the ids of words met so far, and for each id whether it ends a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_str(spec)
     made.no_truncation()
     made.no_padding()
-    return made, {}
+    suffix = json.loads(spec)["model"].get("end_of_word_suffix")
+    ends = np.zeros(made.get_vocab_size(), bool)
+    for token, i in made.get_vocab().items():
+        ends[i] = bool(suffix) and token.endswith(suffix)
+    return made, {}, ends
+
+
+def _encode_words(spec: str, words: list[str]) -> dict[str, bytes]:
+    """Ids of runs without white space.
+
+    A plain Latin word, and one before a full stop or comma, is one word of the
+    tokenizer (or two); such are encoded in long lines, which part where an id ends a
+    word. All others are encoded one by one.
+    """
+    made, _, ends = _library(spec)
+    plain, rest = {}, []
+    for w in words:
+        base = w[:-1] if w[-1] in ".," else w
+        low = base.lower()
+        if low.isalpha() and max(low) < "\u0250":
+            plain[w] = low
+        else:
+            rest.append(w)
+    if not ends.any():
+        plain, rest = {}, words
+    out = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(rest, made.encode_batch_fast(rest, add_special_tokens=False))} if rest else {}
+    if plain:
+        bases = list(set(plain.values()))
+        ids = np.array(made.encode_batch_fast([" ".join(bases)], add_special_tokens=False)[0].ids, "<u4")
+        stop = (np.nonzero(ends[ids])[0] + 1) * 4
+        if len(stop) != len(bases):
+            raise ValueError("a plain word is not one word of the tokenizer")
+        flat, stop = ids.tobytes(), stop.tolist()
+        coded = {w: flat[i:j] for w, i, j in zip(bases, [0, *stop], stop)}
+        marks = {m: np.array(made.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
+        for w, low in plain.items():
+            out[w] = coded[low] + (marks[w[-1]] if w[-1] in marks else b"")
+    return out
 
 
 def encode_all(spec: str, texts: list[str], end_id: int) -> list[bytes]:
     """Ids of each text and ``end_id``, as little-endian 32-bit numbers; words met before are looked up."""
-    made, known = _library(spec)
+    known = _library(spec)[1]
     cut = [chunks(t) for t in texts]
     found = [list(map(known.get, words)) for words in cut]
     fresh = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
     if fresh:
-        fresh = list(fresh)
-        now = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, made.encode_batch_fast(fresh, add_special_tokens=False))}
+        now = _encode_words(spec, list(fresh))
         if len(known) < REMEMBERED:
             known |= now
         for words, ids in zip(cut, found):
