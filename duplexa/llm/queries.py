@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, license_scan, line_dedup, minhash_dedup, packing, quality_classifier, topk_search
+from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, license_scan, line_dedup, minhash_dedup, packing, quality_classifier, suffix_dedup, topk_search
 
 
 def word_bpe() -> str:
@@ -60,6 +60,10 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return topk_search.top_k(rows, rows.where("vec_id % 100 = 0"))
@@ -76,6 +80,7 @@ QUERIES = {
         op6_bpe_encode_decode,
         op7_license_scan,
         op8_embedding_near_dedup,
+        op9_suffix_array_dedup,
         op10_exact_top_k,
     )
 }
