@@ -1,4 +1,517 @@
-"""Registered queries over the driver's tables, each with its SQL twin."""
+"""Registered queries over the driver's tables, each with its SQL twin.
+
+Order lines stand for binding sites and orders for features of the genome, after the
+views below; their starts grow with the keys, so that overlaps grow with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duplexa.functions import sequences
+from duplexa.functions.parameters import Config, sweep, thermal_energy
+from duplexa.operators import accessibility, overlap, scoring
+from duplexa.operators import search as searching
+from duplexa.sources import annotation, fasta, predictions
 
 QUERIES = {}
 ORACLE_SQL = {}
+RT = thermal_energy()
+
+
+def query(sql: str | None = None):
+    def add(function):
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sites(spark: SparkSession, sf_dir: str, scored: bool = False) -> DataFrame:
+    rows = _read(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey % 50 AS sirna_id",
+        "l_suppkey % 8 AS chrom",
+        "l_orderkey * 10 + l_linenumber AS start",
+        "l_orderkey * 10 + l_linenumber + 21 AS end",
+        "l_returnflag AS strand",
+        "-(10 + l_quantity * 0.5D) AS energy",
+        *(["l_extendedprice / 1000 AS exp_value", "l_partkey % 300 AS gene_id", "l_partkey AS transcript_id"] if scored else []),
+    )
+    return rows
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_custkey % 8 AS chrom",
+        "o_orderkey * 10 AS start",
+        "o_orderkey * 10 + 100 + o_custkey % 200 AS end",
+        "CASE o_orderkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS strand",
+        "o_custkey % 300 AS gene_id",
+        "o_custkey AS transcript_id",
+        "o_totalprice / 1000 AS exp_value",
+    )
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id % 4 AS chrom", "CASE (vec_id DIV 4) % 2 WHEN 0 THEN '+' ELSE '-' END AS strand", "vec_id DIV 8 + 1 AS position", "embedding AS u"
+    )
+
+
+def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS site_id",
+        "l_linenumber AS site_part",
+        "l_suppkey % 5 AS chrom",
+        "l_partkey % 90 AS start",
+        "l_partkey % 90 + l_linenumber * 10 AS end",
+        "CASE l_returnflag WHEN 'A' THEN '+' ELSE '-' END AS strand",
+    )
+
+
+VIEWS = """
+    site AS (
+        SELECT l_partkey % 50 AS sirna_id, l_suppkey % 8 AS chrom, l_orderkey * 10 + l_linenumber AS "start", l_orderkey * 10 + l_linenumber + 21 AS "end",
+            l_returnflag AS strand, -(10 + l_quantity * CAST(0.5 AS DOUBLE)) AS energy, l_extendedprice / 1000 AS exp_value,
+            l_partkey % 300 AS gene_id, l_partkey AS transcript_id
+        FROM lineitem
+    ),
+    feature AS (
+        SELECT o_custkey % 8 AS chrom, o_orderkey * 10 AS "start", o_orderkey * 10 + 100 + o_custkey % 200 AS "end",
+            CASE o_orderkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS strand, o_custkey % 300 AS gene_id, o_custkey AS transcript_id,
+            o_totalprice / 1000 AS exp_value
+        FROM orders
+    ),
+    pair AS (
+        SELECT s.sirna_id, s.chrom, s."start", s."end", s.strand, s.energy, f.transcript_id, f."start" AS trans_start, f."end" AS trans_end, f.gene_id, f.exp_value
+        FROM site s JOIN feature f ON s.chrom = f.chrom AND s.strand = f.strand AND s."start" < f."end" AND s."end" > f."start"
+    ),
+    single AS (
+        SELECT * EXCLUDE (n) FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY sirna_id, chrom, "start", "end", strand, energy, transcript_id ORDER BY trans_start, trans_end, gene_id, exp_value
+            ) AS n FROM pair
+        ) WHERE n = 1
+    )
+"""
+PAIR_COLUMNS = 'sirna_id, chrom, "start", "end", strand, energy, transcript_id, trans_start, trans_end, gene_id, exp_value'
+PAIRS = [c.strip().strip('"') for c in PAIR_COLUMNS.split(",")]
+
+
+def factor(energy: str, opening: str = "0") -> str:
+    return f"exp(-(({energy}) + ({opening})) / CAST({RT!r} AS DOUBLE))"
+
+
+# Joins ---------------------------------------------------------------------------
+
+
+@query(f"WITH {VIEWS} SELECT {PAIR_COLUMNS} FROM pair")
+def overlap_join(spark, sf_dir):
+    return overlap.overlap_join(sites(spark, sf_dir), features(spark, sf_dir)).select(*PAIRS)
+
+
+@query(f"WITH {VIEWS} SELECT {PAIR_COLUMNS} FROM pair")
+def overlap_binned(spark, sf_dir):
+    return overlap.overlap_join(sites(spark, sf_dir), features(spark, sf_dir), bin_width=64).select(*PAIRS)
+
+
+@query(f"WITH {VIEWS} SELECT {PAIR_COLUMNS} FROM single")
+def overlap_dedup(spark, sf_dir):
+    return _single(spark, sf_dir).select(*PAIRS)
+
+
+def _single(spark, sf_dir):
+    return overlap.intersect(sites(spark, sf_dir), features(spark, sf_dir))
+
+
+@query(f"""
+    WITH {VIEWS}
+    SELECT l_partkey % 50 AS sirna_id, l_orderkey AS transcript_id, l_linenumber AS site_part, f."start" AS start_trans, f."end" AS end_trans, f.gene_id, f.exp_value
+    FROM lineitem JOIN (SELECT * REPLACE ("start" // 10 AS transcript_id) FROM feature) f ON f.transcript_id = l_orderkey
+""")
+def tw_join(spark, sf_dir):
+    left = _read(spark, sf_dir, "lineitem").selectExpr("l_partkey % 50 AS sirna_id", "l_orderkey AS chrom", "l_linenumber AS site_part")
+    right = features(spark, sf_dir).withColumn("transcript_id", F.expr("start DIV 10"))
+    return overlap.intersect(left, right, "tw").select("sirna_id", "transcript_id", "site_part", "start_trans", "end_trans", "gene_id", "exp_value")
+
+
+@query(f"""
+    WITH {VIEWS}, o AS (
+        SELECT *, CASE WHEN "start" <= max("end") OVER (
+            PARTITION BY chrom, strand ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 5 THEN 0 ELSE 1 END AS new FROM site
+    ), g AS (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS n FROM o)
+    SELECT chrom, strand, min("start") AS "start", max("end") AS "end" FROM g GROUP BY chrom, strand, n
+""")
+def merge_intervals(spark, sf_dir):
+    return overlap.merge_intervals(sites(spark, sf_dir), padding=5)
+
+
+# Scoring -------------------------------------------------------------------------
+
+
+@query(f"""
+    WITH {VIEWS}
+    SELECT sirna_id, CAST(count(*) AS BIGINT) AS n_sites, round(ln(sum(exp_value * {factor("energy")})), 6) AS ln_z FROM single GROUP BY sirna_id
+""")
+def partition_function(spark, sf_dir):
+    rows = scoring.prepare(_single(spark, sf_dir)).withColumn("is_on_target", F.lit(False))
+    sums = scoring.partition_sums(rows, [Config()], RT).select("sirna_id", F.round(F.log("Z_sirna"), 6).alias("ln_z"))
+    return rows.groupBy("sirna_id").agg(F.count("*").alias("n_sites")).join(sums, "sirna_id")
+
+
+PROBABILITY = f"""
+    WITH {VIEWS}, w AS (SELECT *, exp_value * {factor("energy")} AS w FROM single)
+    SELECT sirna_id, chrom, "start", "end", strand, transcript_id, round(w / sum(w) OVER (PARTITION BY sirna_id), 6) AS p FROM w
+"""
+
+
+@query(PROBABILITY)
+def off_target_probability(spark, sf_dir):
+    scored = scoring.score_by_sirna(_single(spark, sf_dir)).sites
+    return scored.select("sirna_id", "chrom", "start", "end", "strand", "transcript_id", F.round("P_off_target", 6).alias("p"))
+
+
+def _swept(spark, sf_dir, configs):
+    return scoring.score_by_sirna(sites(spark, sf_dir, scored=True), configs)
+
+
+def _sweep_sql(named: dict[str, str]) -> str:
+    terms = ", ".join(f"round(ln(sum(exp_value * {factor(e)})), 6) AS ln_z_{n}" for n, e in named.items())
+    return f"""
+        WITH {VIEWS}, m AS (SELECT *, min(energy) OVER (PARTITION BY sirna_id) AS e_min FROM site)
+        SELECT sirna_id, {terms} FROM m GROUP BY sirna_id
+    """
+
+
+def _clamp(a, g):
+    return f"CASE WHEN energy < CAST({a} AS DOUBLE) * e_min THEN CAST({g} AS DOUBLE) * e_min ELSE energy END"
+
+
+PAIRS_SWEPT = sweep("0.8;0.9", "0.9;1.0")
+
+
+@query(_sweep_sql({f"{n}": _clamp(c.alpha, c.gamma) if c.suffix else "energy" for n, c in enumerate(PAIRS_SWEPT)}))
+def alpha_gamma_sweep(spark, sf_dir):
+    sums = _swept(spark, sf_dir, PAIRS_SWEPT).sums
+    return sums.select("sirna_id", *(F.round(F.log(F.col(f"`Z_sirna{c.suffix}`")), 6).alias(f"ln_z_{n}") for n, c in enumerate(PAIRS_SWEPT)))
+
+
+THETAS = sweep(theta="0.85;1.0")
+
+
+@query(_sweep_sql({f"{n}": f"CAST({c.theta} AS DOUBLE) * (energy + 10) - 10" if c.suffix else "energy" for n, c in enumerate(THETAS)}))
+def theta_sweep(spark, sf_dir):
+    sums = _swept(spark, sf_dir, THETAS).sums
+    return sums.select("sirna_id", *(F.round(F.log(F.col(f"`Z_sirna{c.suffix}`")), 6).alias(f"ln_z_{n}") for n, c in enumerate(THETAS)))
+
+
+@query(f"WITH {VIEWS} SELECT sirna_id, transcript_id, \"start\", energy, min(energy) OVER (PARTITION BY sirna_id) AS e_min FROM site")
+def e_min_anchor(spark, sf_dir):
+    return scoring.with_least_energy(sites(spark, sf_dir, scored=True)).select("sirna_id", "transcript_id", "start", "energy", F.col("E_min").alias("e_min"))
+
+
+def _targets(spark, sf_dir):
+    return _read(spark, sf_dir, "part").selectExpr("p_partkey % 50 AS sirna_id", "p_partkey AS target_id")
+
+
+TARGETS = "target AS (SELECT p_partkey % 50 AS sirna_id, max(p_partkey) AS target_id FROM part GROUP BY 1)"
+TAGGED = f"""
+    {VIEWS}, {TARGETS}, tagged AS (
+        SELECT site.*, coalesce(transcript_id = target_id OR gene_id = target_id, false) AS is_on_target FROM site LEFT JOIN target USING (sirna_id)
+    )
+"""
+
+
+@query(f"WITH {TAGGED} SELECT sirna_id, transcript_id, \"start\", is_on_target FROM tagged")
+def on_target_tag(spark, sf_dir):
+    rows = scoring.tag_on_targets(sites(spark, sf_dir, scored=True), _targets(spark, sf_dir))
+    return rows.select("sirna_id", "transcript_id", "start", "is_on_target")
+
+
+@query(f"""
+    WITH {TAGGED}, w AS (SELECT *, exp_value * {factor("energy")} AS w FROM tagged)
+    SELECT sirna_id, round(coalesce(sum(w) FILTER (is_on_target), 0) / sum(w), 6) AS p_on, round(ln(sum(w) - coalesce(sum(w) FILTER (is_on_target), 0)), 6) AS ln_z_off
+    FROM w GROUP BY sirna_id
+""")
+def on_target_weight(spark, sf_dir):
+    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), on_targets=_targets(spark, sf_dir)).sums
+    return sums.select("sirna_id", F.round(F.col("W_on") / F.col("Z_sirna"), 6).alias("p_on"), F.round(F.log(F.col("Z_sirna") - F.col("W_on")), 6).alias("ln_z_off"))
+
+
+@query(f"""
+    WITH {TAGGED}, on_site AS (SELECT sirna_id, min(-20 - CAST(target_id AS DOUBLE) / 1000) AS energy FROM target GROUP BY 1),
+    z AS (SELECT sirna_id, sum(exp_value * {factor("energy")}) AS z FROM tagged WHERE NOT is_on_target GROUP BY 1)
+    SELECT z.sirna_id, round(ln(z + 1000 * {factor("on_site.energy", "1")}), 6) AS ln_z,
+        round(1000 * {factor("on_site.energy", "1")} / (z + 1000 * {factor("on_site.energy", "1")}), 6) AS p_on
+    FROM z JOIN on_site USING (sirna_id)
+""")
+def on_target_exclusion(spark, sf_dir):
+    targets = _targets(spark, sf_dir)
+    external = targets.groupBy("sirna_id").agg(F.max("target_id").alias("t")).selectExpr(
+        "sirna_id", "-20 - cast(t AS double) / 1000 AS energy", "1.0D AS opening_energy", "1000.0D AS expression"
+    )
+    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), on_targets=targets, external=external).sums
+    return sums.select("sirna_id", F.round(F.log("Z_sirna"), 6).alias("ln_z"), F.round(F.col("W_on") / F.col("Z_sirna"), 6).alias("p_on"))
+
+
+@query(f"""
+    WITH {TAGGED}, w AS (SELECT *, exp_value * {factor("energy")} AS w0, exp_value * {factor("CAST(0.85 AS DOUBLE) * (energy + 10) - 10")} AS w1 FROM tagged),
+    s AS (
+        SELECT sirna_id, 0 AS config_number, 'alpha=1.0 and gamma=1.0' AS config, sum(w0) AS z, coalesce(sum(w0) FILTER (is_on_target), 0) AS w FROM w GROUP BY 1
+        UNION ALL SELECT sirna_id, 1, 'theta=0.85', sum(w1), coalesce(sum(w1) FILTER (is_on_target), 0) FROM w GROUP BY 1
+    )
+    SELECT sirna_id, config_number, config, round(w / z, 6) AS p, round(ln(z), 6) AS ln_z, round(ln(z - w), 6) AS ln_z_off FROM s
+""")
+def summary_stats(spark, sf_dir):
+    configs = sweep(theta="0.85")
+    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), configs, _targets(spark, sf_dir)).sums
+    rows = scoring.summary(sums, configs)
+    return rows.select(
+        "sirna_id", "config_number", "config", F.round("P", 6).alias("p"), F.round(F.log("Z"), 6).alias("ln_z"), F.round(F.log("Zoff"), 6).alias("ln_z_off")
+    )
+
+
+@query(f"""
+    WITH {VIEWS}, m AS (SELECT *, least((SELECT min(energy) FROM site), CAST(-30 AS DOUBLE)) AS e_min FROM site),
+    w AS (SELECT chrom, transcript_id, sum(exp_value * {factor("energy")}) AS w0, sum(exp_value * {factor(_clamp(0.8, 0.8))}) AS w1 FROM m GROUP BY 1, 2),
+    o AS (SELECT DISTINCT 1000 * {factor("-30", "2")} AS on0, 1000 * {factor("CASE WHEN -30 < CAST(0.8 AS DOUBLE) * e_min THEN CAST(0.8 AS DOUBLE) * e_min ELSE -30 END", "2")} AS on1 FROM m)
+    SELECT chrom, transcript_id, round(w0 / (sum(w0) OVER () + on0), 9) AS p_base, round(w1 / (sum(w1) OVER () + on1), 9) AS p_clamped FROM w, o
+""")
+def transcript_probability(spark, sf_dir):
+    configs = [Config(), Config(0.8, 0.8)]
+    rows, _ = scoring.transcript_probabilities(sites(spark, sf_dir, scored=True), configs, on_energy=-30.0, on_opening=2.0)
+    return rows.select("chrom", "transcript_id", F.round("P", 9).alias("p_base"), F.round(F.col(f"`P{configs[1].suffix}`"), 9).alias("p_clamped"))
+
+
+TOGETHER = f"""
+    WITH {VIEWS}, w AS (SELECT *, coalesce(CASE WHEN transcript_id % 7 = 0 THEN NULL ELSE exp_value END, 0) * {factor("energy")} AS w FROM site),
+    z AS (SELECT sum(w) + ON_TARGET AS z FROM w)
+"""
+
+
+def _gaps(spark, sf_dir):
+    return sites(spark, sf_dir, scored=True).withColumn("exp_value", F.when(F.col("transcript_id") % 7 != 0, F.col("exp_value")))
+
+
+@query(TOGETHER.replace("ON_TARGET", "0") + 'SELECT transcript_id, "start", round(w / z, 9) AS p FROM w, z')
+def null_fill(spark, sf_dir):
+    rows, _ = scoring.score_together(_gaps(spark, sf_dir))
+    return rows.select("transcript_id", "start", F.round("P_off_target", 9).alias("p"))
+
+
+@query(
+    TOGETHER.replace("ON_TARGET", f"1000 * {factor('-33', '1.5')}")
+    + f"""SELECT sirna_id, CAST(transcript_id AS VARCHAR) AS transcript_id, "start", round(w / z, 9) AS p FROM w, z
+    UNION ALL SELECT NULL, 'onTarget', 77, round(1000 * {factor('-33', '1.5')} / z, 9) FROM z"""
+)
+def on_target_append(spark, sf_dir):
+    rows = _gaps(spark, sf_dir).withColumn("transcript_id", F.col("transcript_id").cast("string"))
+    on = {"energy": -33.0, "opening_energy": 1.5, "expression": 1000.0, "chrom": None, "start": 77, "end": 98, "strand": "+"}
+    scored, _ = scoring.score_together(rows, on_target=on)
+    return scored.select("sirna_id", "transcript_id", "start", F.round("P_off_target", 9).alias("p"))
+
+
+@query(PROBABILITY.replace("round(w / sum(w) OVER (PARTITION BY sirna_id), 6) AS p FROM w", 'round(w / sum(w) OVER (PARTITION BY sirna_id), 6) AS p, w / sum(w) OVER (PARTITION BY sirna_id) AS q FROM w').replace("WITH", "WITH", 1).replace("SELECT sirna_id, chrom", "SELECT * EXCLUDE (q) FROM (SELECT sirna_id, chrom", 1) + ') ORDER BY q DESC, sirna_id, chrom, "start", "end", strand, transcript_id LIMIT 10')
+def top10(spark, sf_dir):
+    scored = scoring.score_by_sirna(_single(spark, sf_dir)).sites
+    return scoring.top_sites(scored).select("sirna_id", "chrom", "start", "end", "strand", "transcript_id", F.round("P_off_target", 6).alias("p"))
+
+
+@query(f"""
+    WITH {VIEWS} SELECT sirna_id, energy, chrom, "start", "end", strand FROM (
+        SELECT *, row_number() OVER (PARTITION BY sirna_id ORDER BY energy, chrom, "start", "end", strand) AS n FROM site) WHERE n = 1
+""")
+def best_hit(spark, sf_dir):
+    return scoring.best_hits(sites(spark, sf_dir))
+
+
+@query(f"WITH {VIEWS} SELECT sirna_id, chrom, \"start\", \"end\", energy FROM site WHERE strand = 'A'")
+def sense_only(spark, sf_dir):
+    return sites(spark, sf_dir).where("strand = 'A'").select("sirna_id", "chrom", "start", "end", "energy")
+
+
+# Accessibility -------------------------------------------------------------------
+
+PROFILE = """
+    profile AS (
+        SELECT vec_id % 4 AS chrom, CASE (vec_id // 4) % 2 WHEN 0 THEN '+' ELSE '-' END AS strand, vec_id // 8 + 1 AS position, embedding AS u FROM embeddings
+    ),
+    placed AS (
+        SELECT l_orderkey AS site_id, l_linenumber AS site_part, l_suppkey % 5 AS chrom, l_partkey % 90 AS "start", l_partkey % 90 + l_linenumber * 10 AS "end",
+            CASE l_returnflag WHEN 'A' THEN '+' ELSE '-' END AS strand FROM lineitem
+    )
+"""
+
+
+@query(f"""
+    WITH {PROFILE}, b AS (SELECT chrom, strand, max(position) AS size, max(len(u)) AS width FROM profile GROUP BY 1, 2),
+    q AS (
+        SELECT placed.*, b.size, CASE WHEN placed.strand = '+' THEN "end" ELSE "start" END AS place, least("end" - "start" + 1, b.width) AS k
+        FROM placed LEFT JOIN b ON b.chrom = placed.chrom AND b.strand = placed.strand
+    )
+    SELECT site_id, site_part, CASE WHEN size IS NULL OR place < 1 OR place > size THEN 10
+        ELSE round_even(CAST(CAST(coalesce(u[k], 25.5) AS FLOAT) * CAST(10 AS FLOAT) AS DOUBLE), 0) / 10 + 0 END AS opening_energy
+    FROM q LEFT JOIN profile p ON p.chrom = q.chrom AND p.strand = q.strand AND p.position = q.place
+""")
+def opening_energy_lookup(spark, sf_dir):
+    rows = accessibility.opening_energy(placed(spark, sf_dir), profiles(spark, sf_dir))
+    return rows.select("site_id", "site_part", (F.col("opening_energy") + 0.0).alias("opening_energy"))
+
+
+@query(f"""
+    WITH {PROFILE}, given AS (
+        SELECT chrom, "start", "end", strand, min(CAST("start" AS DOUBLE) / 10) AS opening_energy FROM placed WHERE chrom <> 2 GROUP BY 1, 2, 3, 4
+    )
+    SELECT site_id, site_part, coalesce(opening_energy, 10) AS opening_energy
+    FROM placed LEFT JOIN given USING (chrom, "start", "end", strand)
+""")
+def precomputed_accessibility(spark, sf_dir):
+    rows = placed(spark, sf_dir)
+    given = rows.where("chrom <> 2").withColumn("opening_energy", F.col("start").cast("double") / 10)
+    return accessibility.precomputed_energy(rows, given).select("site_id", "site_part", "opening_energy")
+
+
+@query(f"WITH {PROFILE} SELECT position, u[1] AS u1, u[30] AS u30 FROM profile WHERE chrom = 1 AND strand = '+' AND position BETWEEN 3 AND 40")
+def profile_range(spark, sf_dir):
+    rows = accessibility.profile_range(profiles(spark, sf_dir), 1, "+", 3, 40)
+    return rows.select("position", F.get("u", F.lit(0)).alias("u1"), F.get("u", F.lit(29)).alias("u30"))
+
+
+# Sources and summaries -----------------------------------------------------------
+
+
+@query(f"""
+    WITH {VIEWS} SELECT CAST(count(*) AS BIGINT) AS n_predictions, min(energy) AS min_energy, max(energy) AS max_energy, CAST(count(DISTINCT sirna_id) AS BIGINT) AS n_sirnas,
+        CAST(count(DISTINCT chrom) AS INTEGER) AS n_chroms, string_agg(DISTINCT strand, ',' ORDER BY strand) AS strands FROM site
+""")
+def site_summary(spark, sf_dir):
+    rows = predictions.prediction_summary(sites(spark, sf_dir))
+    return rows.withColumns({"n_chroms": F.size("chroms"), "strands": F.array_join("strands", ",")}).drop("chroms")
+
+
+@query(f"""
+    WITH {VIEWS} SELECT CAST(count(*) AS BIGINT) AS n_features, CAST(count(DISTINCT gene_id) AS BIGINT) AS n_genes, CAST(count(DISTINCT transcript_id) AS BIGINT) AS n_transcripts,
+        CAST(count(DISTINCT chrom) AS INTEGER) AS n_chroms, round(avg(exp_value), 6) AS mean_expression FROM feature
+""")
+def annotation_summary(spark, sf_dir):
+    rows = annotation.annotation_summary(features(spark, sf_dir))
+    return rows.withColumns({"n_chroms": F.size("chroms"), "mean_expression": F.round("mean_expression", 6)}).drop("chroms")
+
+
+@query(f"WITH {VIEWS} SELECT chrom, strand, CAST(count(*) AS BIGINT) AS n FROM site GROUP BY 1, 2")
+def keys_of_sites(spark, sf_dir):
+    return sites(spark, sf_dir).groupBy("chrom", "strand").agg(F.count("*").alias("n"))
+
+
+def _gtf_rows(spark, sf_dir):
+    text = """concat('gene_id "g', o_custkey % 300, '"; transcript_id "', o_custkey, '";', CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat(' RPKM "', o_orderkey % 1000, '.5";') END)"""
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "cast(o_custkey % 8 AS string) AS chrom", "CASE WHEN o_orderkey % 2 = 0 THEN 'exon' ELSE 'CDS' END AS feature", "o_orderkey AS start", "o_orderkey + 9 AS end", "'+' AS strand", f"{text} AS attributes"
+    )
+
+
+@query("""
+    SELECT CAST(o_custkey % 8 AS VARCHAR) AS chrom, o_orderkey AS "start", 'g' || (o_custkey % 300) AS gene_id, CAST(o_custkey AS VARCHAR) AS transcript_id,
+        CAST(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 1000 + 0.5 END AS DOUBLE) AS exp_value FROM orders WHERE o_orderkey % 2 = 0
+""")
+def gtf_attributes(spark, sf_dir):
+    rows = annotation.from_rows(_gtf_rows(spark, sf_dir), kind="gtf")
+    return rows.select("chrom", "start", "gene_id", "transcript_id", F.col("exp_value").cast("double").alias("exp_value"))
+
+
+@query("""
+    SELECT o_orderkey AS "start", CASE o_orderkey % 3 WHEN 0 THEN 'g,' || o_custkey WHEN 1 THEN 'T' || o_custkey ELSE 'own%2C' || o_orderkey END AS gene_id,
+        CASE o_orderkey % 3 WHEN 0 THEN 'own' || o_orderkey WHEN 1 THEN 'T' || o_custkey ELSE 'own%2C' || o_orderkey END AS transcript_id,
+        CAST(o_orderkey % 100 AS DOUBLE) AS exp_value FROM orders
+""")
+def gff3_attributes(spark, sf_dir):
+    text = """concat(
+        CASE o_orderkey % 3 WHEN 0 THEN concat('ID=exon:own', o_orderkey, ';gene_id=g%2C', o_custkey)
+            WHEN 1 THEN concat('ID=exon:own', o_orderkey, '; Parent=transcript:T', o_custkey) ELSE concat('ID=own%252C', o_orderkey) END,
+        ';RPKM=', o_orderkey % 100)"""
+    rows = _read(spark, sf_dir, "orders").selectExpr("'1' AS chrom", "'exon' AS feature", "o_orderkey AS start", "o_orderkey AS end", "'+' AS strand", f"{text} AS attributes")
+    return annotation.from_rows(rows, kind="gff3").select("start", "gene_id", "transcript_id", F.col("exp_value").cast("double").alias("exp_value"))
+
+
+@query("""
+    SELECT event_id, replace(replace(replace(replace(coalesce(props, ''), '"', '%'), 'k', '2C'), '%2C', ','), '%25', '%') AS decoded FROM events
+""")
+def percent_decode(spark, sf_dir):
+    text = F.replace(F.replace(F.coalesce("props", F.lit("")), F.lit('"'), F.lit("%")), F.lit("k"), F.lit("2C"))
+    return _read(spark, sf_dir, "events").select("event_id", sequences.percent_decode(text).alias("decoded"))
+
+
+@query("""
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_transcript_id, CAST(count(*) AS BIGINT) AS n_gene_id,
+        CAST(count(*) FILTER (o_orderkey % 5 <> 0) AS BIGINT) AS n_score_text FROM orders
+""")
+def extraction_guard_counts(spark, sf_dir):
+    text = F.col("attributes")
+    rows = _gtf_rows(spark, sf_dir).select(
+        *(sequences.gtf_attribute(text, k).alias(n) for k, n in (("gene_id", "gene_id"), ("transcript_id", "transcript_id"), ("RPKM", "score_text")))
+    )
+    return annotation.extraction_counts(rows)
+
+
+@query("SELECT CAST(l_partkey % 997 AS VARCHAR) AS id, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, sf_dir):
+    return fasta.duplicate_ids(_read(spark, sf_dir, "lineitem").selectExpr("cast(l_partkey % 997 AS string) AS id"))
+
+
+@query("SELECT event_id, coalesce(TRY_CAST(CASE WHEN event_id % 3 = 0 THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END AS DOUBLE), 0) AS score FROM events")
+def score_cast(spark, sf_dir):
+    text = F.expr("CASE WHEN event_id % 3 = 0 THEN 'n/a' ELSE cast(event_id AS string) END")
+    rows = _read(spark, sf_dir, "events").select("event_id", text.alias("t"))
+    return rows.select("event_id", F.coalesce(F.expr("try_cast(t AS double)"), F.lit(0.0)).alias("score"))
+
+
+@query("SELECT doc_id, reverse(translate(translate(lower(text), 'eatnos', 'ACGTAC'), 'ATCGatcg', 'TAGCtagc')) AS turned FROM documents")
+def reverse_complement(spark, sf_dir):
+    text = F.translate(F.lower("text"), "eatnos", "ACGTAC")
+    return _read(spark, sf_dir, "documents").select("doc_id", sequences.reverse_complement(text).alias("turned"))
+
+
+def _oligos(spark, sf_dir):
+    """A sequence of 24 bases for each part, and one of 60 for each supplier."""
+    digits = lambda key, n: f"translate(substring(concat(sha2(cast({key} AS string), 256), sha2(concat({key}, 'x'), 256)), 1, {n}), '0123456789abcdef', 'ACGUACGUACGUACGU')"
+    queries = _read(spark, sf_dir, "part").selectExpr("cast(p_partkey AS string) AS id", f"{digits('p_partkey', 24)} AS sequence")
+    targets = _read(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey AS string) AS id", f"{digits('s_suppkey', 60)} AS sequence")
+    return queries, targets
+
+
+def _oligo_sql(key, n):
+    return f"translate(left(sha256(CAST({key} AS VARCHAR)) || sha256({key} || 'x'), {n}), '0123456789abcdef', 'ACGUACGUACGUACGU')"
+
+
+@query(f"""
+    WITH q AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {_oligo_sql("p_partkey", 24)} AS s FROM part),
+    t AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, {_oligo_sql("s_suppkey", 60)} AS s FROM supplier),
+    qk AS (SELECT id, n AS q_start, reverse(translate(substring(s, n, 6), 'ACGU', 'UGCA')) AS kmer FROM q, range(1, 20) r(n)),
+    tk AS (SELECT id, n AS t_start, substring(s, n, 6) AS kmer FROM t, range(1, 56) r(n))
+    SELECT qk.id AS sirna_id, tk.id AS target, CAST(q_start AS INTEGER) AS q_start, CAST(t_start AS INTEGER) AS t_start FROM qk JOIN tk USING (kmer)
+""")
+def kmer_seed_join(spark, sf_dir):
+    queries, targets = _oligos(spark, sf_dir)
+    return searching.seeds(queries, targets, length=6, wobble=False).select("sirna_id", "target", "q_start", "t_start")
+
+
+@query()
+def duplex_search(spark, sf_dir):
+    queries, targets = _oligos(spark, sf_dir)
+    return searching.search(queries, targets, seed_length=6, energy_threshold=-10.0)
+
+
+@query()
+def folded_profiles(spark, sf_dir):
+    from duplexa.operators import folding
+
+    _, targets = _oligos(spark, sf_dir)
+    rows = folding.fold(targets, window=40, span=30, unpaired=8)
+    return rows.select("chrom", "strand", "position", F.transform("u", lambda x: F.round(x.cast("double"), 3)).alias("u"))
