@@ -129,38 +129,63 @@ def _open_parts(data: bytes):
     return out
 
 
-def _mark(batches):
-    """For each document the anchors that are settled (``done``) and those whose windows must be compared (``open``)."""
-    opened, done = [[np.empty(0, np.int64)] for _ in PLANES], [[np.empty(0, np.int64)] for _ in range(2)]
+def _mark(buckets: int):
+    """Marks of anchors, in blocks by document: settled ones and those whose windows must be compared."""
+
+    def run(batches):
+        opened, done = [[np.empty(0, np.int64)] for _ in PLANES], [[np.empty(0, np.int64)] for _ in range(2)]
+        for batch in batches:
+            for x, y in zip(batch.column("open"), batch.column("done")):
+                for into, part in zip(opened, _open_parts(x.as_py())):
+                    into.append(part)
+                y = y.as_py()
+                n = len(y) // 12
+                done[0].append(_numbers(y[: 8 * n], 8))
+                done[1].append(_numbers(y[8 * n :], 4))
+        key, extent, doc, nth = map(np.concatenate, opened)
+        order = np.lexsort((doc, extent, key))
+        key, extent, doc, nth = key[order], extent[order], doc[order], nth[order]
+        n = len(key)
+        covered = mixed = np.zeros(n, bool)
+        if n:
+            group = np.ones(n, bool)
+            group[1:] = key[1:] != key[:-1]
+            same = group.copy()
+            same[1:] |= extent[1:] != extent[:-1]
+            own = np.maximum.accumulate(np.where(same, np.arange(n), 0))
+            covered = doc > doc[own]
+            # An anchor's other extents matter where one of them is in another document.
+            number = np.cumsum(group) - 1
+            low, high, kinds = (f.reduceat(x, np.nonzero(group)[0]) for f, x in ((np.minimum, doc), (np.maximum, doc), (np.add, same.astype(np.int64))))
+            mixed = ((low != high) & (kinds > 1))[number] & ~covered
+        doc_of = np.concatenate([*done[0], doc[covered], doc[mixed]])
+        nth_of = np.concatenate([*done[1], nth[covered], nth[mixed]])
+        kind = np.zeros(len(doc_of), np.int64)
+        kind[len(kind) - np.count_nonzero(mixed) :] = 1
+        bucket = (_mix(doc_of.view(U64)) % U64(buckets)).astype(np.int64)
+        order = np.lexsort((doc_of, bucket))
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        cols = {"bucket": [], "marks": []}
+        for b in range(buckets):
+            i = order[ends[b] : ends[b + 1]]
+            if len(i):
+                cols["bucket"].append(b)
+                cols["marks"].append(b"".join(_planes(x[i], w) for x, w in ((doc_of, 8), (nth_of, 4), (kind, 1))))
+        yield pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("marks", pa.binary())]))
+
+    return run
+
+
+def _gather(batches):
+    """One row for each document with marks: ``done`` and ``open`` hold the anchors' numbers."""
+    parts = [[np.empty(0, np.int64)] for _ in range(3)]
     for batch in batches:
-        for x, y in zip(batch.column("open"), batch.column("done")):
-            for into, part in zip(opened, _open_parts(x.as_py())):
+        for x in batch.column("marks"):
+            data = x.as_py()
+            n = len(data) // 13
+            for into, part in zip(parts, (_numbers(data[: 8 * n], 8), _numbers(data[8 * n : 12 * n], 4), _numbers(data[12 * n :], 1))):
                 into.append(part)
-            y = y.as_py()
-            n = len(y) // 12
-            done[0].append(_numbers(y[: 8 * n], 8))
-            done[1].append(_numbers(y[8 * n :], 4))
-    key, extent, doc, nth = map(np.concatenate, opened)
-    order = np.lexsort((doc, extent, key))
-    key, extent, doc, nth = key[order], extent[order], doc[order], nth[order]
-    n = len(key)
-    if n:
-        group = np.ones(n, bool)
-        group[1:] = key[1:] != key[:-1]
-        same = group.copy()
-        same[1:] |= extent[1:] != extent[:-1]
-        own = np.maximum.accumulate(np.where(same, np.arange(n), 0))
-        covered = doc > doc[own]
-        # An anchor's other extents matter where one of them is in another document.
-        number = np.cumsum(group) - 1
-        low, high, kinds = (f.reduceat(x, np.nonzero(group)[0]) for f, x in ((np.minimum, doc), (np.maximum, doc), (np.add, same.astype(np.int64))))
-        mixed = ((low != high) & (kinds > 1))[number] & ~covered
-    else:
-        covered = mixed = np.zeros(0, bool)
-    doc_of = np.concatenate([*done[0], doc[covered], doc[mixed]])
-    nth_of = np.concatenate([*done[1], nth[covered], nth[mixed]])
-    kind = np.zeros(len(doc_of), np.int8)
-    kind[len(kind) - np.count_nonzero(mixed) :] = 1
+    doc_of, nth_of, kind = map(np.concatenate, parts)
     order = np.lexsort((kind, doc_of))
     doc_of, nth_of, kind = doc_of[order], nth_of[order].astype("<u4"), kind[order]
     starts = np.concatenate([np.nonzero(np.diff(doc_of, prepend=doc_of[:1] - 1))[0], [len(doc_of)]])
@@ -183,7 +208,7 @@ def _contexts(length: int):
             rows = []
             for doc, text, parts in zip(batch.column("doc"), batch.column("text"), batch.column("open")):
                 data = text.as_buffer().to_pybytes()
-                nth = np.unique(np.frombuffer(b"".join(parts.as_py()), "<u4"))
+                nth = np.unique(np.frombuffer(parts.as_py(), "<u4"))
                 key, _, at, first, last = anchors(data, length)
                 for i in nth.tolist():
                     a, p, q = int(at[i]), int(first[i]), int(last[i])
@@ -247,7 +272,7 @@ def _cut(length: int, with_text: bool):
                     data = text.as_buffer().to_pybytes()
                     _, _, at, first, last = anchors(data, length)
                     change = np.zeros(len(data) + 1, np.int64)
-                    whole = np.unique(np.frombuffer(b"".join(done.as_py() or []), "<u4")).astype(np.int64)
+                    whole = np.unique(np.frombuffer(done.as_py() or b"", "<u4")).astype(np.int64)
                     np.add.at(change, first[whole], 1)
                     np.add.at(change, last[whole] + length, -1)
                     for i, mask in zip(nths.as_py() or [], masks.as_py() or []):
@@ -319,10 +344,10 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     total = heads.agg(F.sum("n_bytes")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (18 * TASK_ANCHORS)))
     blocks = docs.mapInArrow(_anchor_blocks(4 * tasks, length), "bucket int, open binary, done binary")
-    marks = scratch.save(blocks.repartition(tasks, "bucket").mapInArrow(_mark, "doc long, done binary, open binary"), "marks")
+    marks = blocks.repartition(tasks, "bucket").mapInArrow(_mark(4 * tasks), "bucket int, marks binary")
+    marks = scratch.save(marks.repartition(tasks, "bucket").mapInArrow(_gather, "doc long, done binary, open binary"), "marks")
 
-    asked = marks.where("length(open) > 0").groupBy("doc").agg(F.collect_list("open").alias("open"))
-    asked = scratch.save(asked, "asked")
+    asked = marks.where("length(open) > 0").select("doc", "open")
     around = _passing(spark, docs, asked).join(asked, "doc").mapInArrow(
         _contexts(length), "key long, doc long, nth int, least int, most int, left binary, right binary"
     )
@@ -340,13 +365,13 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     masks = masks.groupBy("doc").agg(F.collect_list(F.struct("nth", "mask")).alias("m"))
     masks = scratch.save(masks.select("doc", F.col("m.nth").alias("nths"), F.col("m.mask").alias("masks")), "masks")
 
-    done = marks.where("length(done) > 0").groupBy("doc").agg(F.collect_list("done").alias("done"))
+    done = marks.where("length(done) > 0").select("doc", "done")
     edits = scratch.save(done.join(masks, "doc", "full"), "edits")
     cut = _passing(spark, docs, edits).join(edits, "doc").mapInArrow(
         _cut(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     )
     cut = scratch.save(cut.dropDuplicates(["doc"]), "cut")
-    scratch.drop("marks", "asked", "contexts", "masks", "edits")
+    scratch.drop("marks", "contexts", "masks", "edits")
     out = heads.join(cut, "doc", "left").select(
         F.col("doc").alias(id_col),
         "n_bytes",
