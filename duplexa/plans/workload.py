@@ -308,14 +308,15 @@ def null_fill(spark, sf_dir):
 
 @query(
     TOGETHER.replace("ON_TARGET", f"1000 * {factor('-33', '1.5')}")
-    + f"""SELECT sirna_id, CAST(transcript_id AS VARCHAR) AS transcript_id, "start", round(w / z, 9) AS p FROM w, z
-    UNION ALL SELECT NULL, 'onTarget', 77, round(1000 * {factor('-33', '1.5')} / z, 9) FROM z"""
+    + f"""SELECT CAST(sirna_id AS VARCHAR) AS sirna_id, CAST(transcript_id AS VARCHAR) AS transcript_id, "start", round(w / z, 9) AS p FROM w, z
+    UNION ALL SELECT '', 'onTarget', 77, round(1000 * {factor('-33', '1.5')} / z, 9) FROM z"""
 )
 def on_target_append(spark, sf_dir):
     rows = _gaps(spark, sf_dir).withColumn("transcript_id", F.col("transcript_id").cast("string"))
     on = {"energy": -33.0, "opening_energy": 1.5, "expression": 1000.0, "chrom": None, "start": 77, "end": 98, "strand": "+"}
     scored, _ = scoring.score_together(rows, on_target=on)
-    return scored.select("sirna_id", "transcript_id", "start", F.round("P_off_target", 9).alias("p"))
+    name = F.coalesce(F.col("sirna_id").cast("string"), F.lit("")).alias("sirna_id")
+    return scored.select(name, "transcript_id", "start", F.round("P_off_target", 9).alias("p"))
 
 
 @query(PROBABILITY.replace("round(w / sum(w) OVER (PARTITION BY sirna_id), 6) AS p FROM w", 'round(w / sum(w) OVER (PARTITION BY sirna_id), 6) AS p, w / sum(w) OVER (PARTITION BY sirna_id) AS q FROM w').replace("WITH", "WITH", 1).replace("SELECT sirna_id, chrom", "SELECT * EXCLUDE (q) FROM (SELECT sirna_id, chrom", 1) + ') ORDER BY q DESC, sirna_id, chrom, "start", "end", strand, transcript_id LIMIT 10')
