@@ -1,0 +1,121 @@
+import itertools
+import math
+
+import numpy as np
+import pytest
+
+from duplexa.functions.energies import BULGE, HAIRPIN, INTERIOR, can_pair, codes, stacks
+from duplexa.functions.parameters import thermal_energy
+from duplexa.operators import folding, search
+
+RT = thermal_energy()
+
+
+def records(spark, rows):
+    return spark.createDataFrame(rows, "id string, sequence string")
+
+
+def test_stacks_are_symmetric():
+    table = stacks()
+    for x, a, y, b in itertools.product(range(4), repeat=4):
+        assert table[x, a, y, b] == table[b, y, a, x]
+    assert table[2, 1, 2, 1] == -3.26 and (stacks("s95-rna-dna") < 0).sum() == 16
+
+
+def test_a_perfect_site_is_found_on_its_strand(spark):
+    sirna = "GGCAUCGAUCGGAUUACGCAU"
+    site = sirna[::-1].translate(str.maketrans("ACGU", "UGCA")).replace("U", "T")
+    genome = "T" * 40 + site + "T" * 40
+    turned = genome[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = search.search(records(spark, [("s", sirna)]), records(spark, [("plus", genome), ("minus", turned)]), energy_threshold=-25.0).collect()
+    table, q = stacks(), codes(sirna)
+    want = 4.09 + sum(table[q[i], 3 - q[i], q[i + 1], 3 - q[i + 1]] for i in range(20)) + 0.45
+    found = {(r["chrom"], r["strand"], r["start"], r["end"], r["q_start"], r["q_end"]): r["energy"] for r in rows}
+    assert found["plus", "+", 41, 61, 1, 21] == pytest.approx(want, abs=1e-3)
+    assert found["minus", "-", 41, 61, 1, 21] == pytest.approx(want, abs=1e-3)
+    least = search.self_energies(records(spark, [("s", sirna), ("none", "A")])).collect()
+    assert {r["sirna_id"]: r["e_min"] for r in least} == {"s": pytest.approx(want, abs=1e-3), "none": 0.0}
+
+
+def test_wobble_seeds_and_windows(spark):
+    query, target = records(spark, [("s", "GGGGUU")]), records(spark, [("t", "AACCCUAA"), ("u", "GGUCUCCC")])
+    assert [r["target"] for r in search.seeds(query, target, 6, wobble=False).collect()] == []
+    assert search.seeds(query, records(spark, [("v", "GAUCCU")]), 6).count() == 1
+    # GGG from the first or second base, with UCC and with CCU.
+    assert search.seeds(query, records(spark, [("v", "GAUCCU")]), 3, start=1, end=4).count() == 4
+    assert search.seeds(query, records(spark, []), 6).count() == 0
+
+
+def test_tiles_lose_no_seed(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    genome = "".join(rng.choice(list("ACGT"), 700))
+    query = records(spark, [("s", "".join(rng.choice(list("ACGU"), 21)))])
+    whole = sorted(map(tuple, search.seeds(query, records(spark, [("t", genome)]), 4, strands=("+", "-")).select("strand", "q_start", "t_start").collect()))
+    monkeypatch.setattr(search.tile, "__defaults__", (64,))
+    parts = sorted(map(tuple, search.seeds(query, records(spark, [("t", genome)]), 4, strands=("+", "-")).select("strand", "q_start", "t_start").collect()))
+    assert parts == whole and len(whole) > 50
+
+
+def structures(n, ok):
+    """All sets of nested pairs without branching, over n bases."""
+
+    def helix(i, j):
+        # Structures closed by (i, j): nothing inside, or one inner pair.
+        yield [(i, j)]
+        for p in range(i + 1, j):
+            for q in range(p + 4, j):
+                if ok(p, q) and (p - i - 1) + (j - q - 1) <= folding.LOOP:
+                    for rest in helix(p, q):
+                        yield [(i, j), *rest]
+
+    def outer(i):
+        if i >= n:
+            yield []
+            return
+        yield from outer(i + 1)
+        for j in range(i + 4, n):
+            if ok(i, j):
+                for h in helix(i, j):
+                    for rest in outer(j + 1):
+                        yield h + rest
+
+    return outer(0)
+
+
+def test_unpaired_chances_equal_the_sum_over_all_structures():
+    sequence = "GGACUUCGGUCCAGC"
+    base, table, pairs = codes(sequence), stacks(), can_pair()
+    n, span = len(base), 13
+    ok = lambda i, j: pairs[base[i], base[j]] > 0 and j - i < span
+    weights = []
+    for s in structures(n, ok):
+        energy = 0.0
+        for i, j in s:
+            inner = [(p, q) for p, q in s if i < p and q < j]
+            if not inner:
+                m = j - i - 1
+                energy += HAIRPIN.get(m, 6.4 + 1.75 * RT * math.log(max(m, 9) / 9))
+            else:
+                p, q = min(inner)
+                a, b = p - i - 1, j - q - 1
+                stack = table[base[i], base[j], base[p], base[q]]
+                energy += stack if a == b == 0 else BULGE[a + b] + (stack if a + b == 1 else 0) if 0 in (a, b) else INTERIOR.get(a + b, 1.6)
+        weights.append((math.exp(-energy / RT), {x for pair in s for x in pair}))
+    whole = sum(w for w, _ in weights)
+    got = folding.unpaired_chances(base[None], span, 5, RT)[0]
+    for last in range(n):
+        for m in range(1, min(5, last + 1) + 1):
+            stretch = set(range(last - m + 1, last + 1))
+            want = sum(w for w, used in weights if not used & stretch) / whole
+            assert got[last, m - 1] == pytest.approx(want, rel=1e-9), (last, m)
+
+
+def test_profiles_of_both_strands(spark):
+    rows = folding.fold(records(spark, [("c1", "ACGTACGTACGT"), ("c2", "GGGGAAAA")]), window=8, span=8, unpaired=3).collect()
+    assert len(rows) == 2 * (12 + 8) and {len(r["u"]) for r in rows} == {3}
+    assert all(r["u"][2] == 25.5 for r in rows if r["position"] < 3)
+    long = "".join(np.random.default_rng(1).choice(list("ACGU"), 300))
+    tiled, whole = (
+        {(r["strand"], r["position"]): r["u"] for r in folding.fold(records(spark, [("c", long)]), 20, 15, 4, tile_size=size).collect()} for size in (64, 4096)
+    )
+    assert tiled.keys() == whole.keys() and all(tiled[k] == pytest.approx(whole[k], abs=1e-4) for k in whole)
