@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from duplexa.llm.worker_cache import claim
+
 #: Words and pieces a worker remembers; rarer ones are encoded anew.
 REMEMBERED = 300_000
 NEVER = 1 << 40
@@ -226,6 +228,7 @@ def encode_decode(documents: DataFrame, spec: str, id_col: str = "doc_id", text_
 
     def run(batches):
         known = _remembered(shared.value)
+        claim(known, known.tok.pieces, known.tok.auto.table)
         look = known.__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from duplexa.llm.components import connected_components
 from duplexa.llm.scratch import Scratch
+from duplexa.llm.worker_cache import claim
 
 COORDINATES = 32
 #: Documents of a family that one task compares with as many others.
@@ -80,6 +81,7 @@ def least_matches(percent: int) -> int:
 
 def _sign(words: int):
     def run(batches):
+        claim(_words)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -129,6 +131,7 @@ def _filter_bits(size: int):
 def _sets(shared, size: int, words: int):
     def run(batches):
         bits = np.frombuffer(shared.value, np.uint8)
+        claim(_words)
         for batch in batches:
             x = _mix(batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
             hit = np.ones(len(x), bool)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from duplexa.llm.bpe_automaton import SEPARATORS, chunks
 from duplexa.llm.scratch import Scratch
+from duplexa.llm.worker_cache import claim
 
 DIMS, BITS, BUCKETS = 3, 16, 1024
 #: Words a worker remembers, some 200 bytes each.
@@ -138,6 +139,7 @@ def encode_all(spec: str, texts: list[str], end_id: int) -> list[bytes]:
 
 def _tokenize(shared, end_id: int):
     def run(batches):
+        claim(_library(shared.value)[1])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from duplexa.llm.worker_cache import claim
+
 BUCKETS = 1 << 18
 #: The upper buckets are for shapes, of which there are few.
 SHAPES = 1 << 12
@@ -135,6 +137,7 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
 
 
 def _featurize(batches):
+    claim(_known)
     for batch in batches:
         made = [features(x.as_py()) for x in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
@@ -164,6 +167,7 @@ def train(documents: DataFrame, grades: DataFrame, levels: int, id_col: str = "d
 def _score(shared, text_col: str, least: int, cutoff: float):
     def run(batches):
         model = shared.value
+        claim(_known)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
