@@ -39,8 +39,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document in sequences of 2048 tokens."""
-    pieces = packing.pack(docs, word_bpe())
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(docs, word_bpe(), with_ids=False).drop("ids")
 
 
 def _counted(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -120,10 +121,22 @@ def _encode_words(spec: str, words: list[str]) -> dict[str, bytes]:
     return out
 
 
+def _folded(text: str) -> str:
+    """A Latin-1 text in lower case, as the tokenizer reads it anyway: fewer words to look up. Others as they are."""
+    if "<|" in text:
+        return text
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
+
+
 def encode_all(spec: str, texts: list[str], end_id: int) -> list[bytes]:
     """Ids of each text and ``end_id``, as little-endian 32-bit numbers; words met before are looked up."""
     known = _library(spec)[1]
-    cut = [chunks(t) for t in texts]
+    cut = [chunks(_folded(t)) for t in texts]
     found = [list(map(known.get, words)) for words in cut]
     fresh = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
     if fresh:
@@ -157,14 +170,14 @@ def _tokenize(shared, end_id: int):
     return run
 
 
-def _fill(length: int):
+def _fill(length: int, with_ids: bool):
     def run(batches):
         sequence, offset = TaskContext.get().partitionId() * NUMBERS, 0
-        names = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+        names = ["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
         rows, held = [], 0
 
         def batch():
-            kinds = [None, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [None, *[pa.int64()] * 6, pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, doc_type if k is None else k) for v, k in zip(zip(*rows), kinds)], names)
 
         for part in batches:
@@ -174,7 +187,8 @@ def _fill(length: int):
                 total, start = len(ids) // 4, 0
                 while start < total:
                     n = min(length - offset, total - start)
-                    rows.append((doc.as_py(), start, n, ids[4 * start : 4 * (start + n)], total, sequence, offset))
+                    piece = ids[4 * start : 4 * (start + n)]
+                    rows.append((doc.as_py(), start, n, zlib.crc32(piece), total, sequence, offset, piece if with_ids else None))
                     start, offset, held = start + n, offset + n, held + 4 * n
                     if offset == length:
                         sequence, offset = sequence + 1, 0
@@ -187,14 +201,14 @@ def _fill(length: int):
     return run
 
 
-def pack(documents: DataFrame, spec: str, length: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of documents laid end to end into sequences: id, start, length, ids, doc_tokens, sequence_id, offset.
+def pack(documents: DataFrame, spec: str, length: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """Pieces of documents laid end to end into sequences: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
     Each document is tokenized once by the tokenizers library, ``end_id`` closing it, and
     written with its Hilbert key. The table is dealt out by ranges of (key, id), so copies
     that share a key still spread, sorted, and cut every ``length`` ids. A document runs
     over into the next sequence; only a task's last sequence has room left, so padding is
-    below one sequence a task. ``ids`` are little-endian unsigned 32-bit numbers.
+    below one sequence a task. ``ids`` (null unless ``with_ids``) are little-endian unsigned 32-bit numbers.
     sequence_id is unique and grows along the curve, with gaps between tasks.
 
     Null and empty texts are the end id alone. Repeated rows are packed each. Other
@@ -208,5 +222,7 @@ def pack(documents: DataFrame, spec: str, length: int = 2048, end_id: int = 1, i
     )
     coded = Scratch(spark, "packing").save(coded, "coded")
     ordered = coded.repartitionByRange("curve_key", "doc").sortWithinPartitions("curve_key", "doc").select("doc", "small", "large")
-    filled = ordered.mapInArrow(_fill(length), f"doc {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    filled = ordered.mapInArrow(
+        _fill(length, with_ids), f"doc {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+    )
     return filled.withColumnRenamed("doc", id_col)

@@ -34,8 +34,7 @@ def op3_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), word_bpe())
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packing.pack(_table(spark, sf_dir, "documents"), word_bpe(), with_ids=False).drop("ids")
 
 
 def op5_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
