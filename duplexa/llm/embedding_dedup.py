@@ -153,20 +153,21 @@ def near_duplicates(
     be missed; links found are exact.
 
     Null vectors, zero vectors and those with null or non-finite components link with
-    nothing. Shorter vectors count as ending in zeros. Rows that repeat an id are vectors
+    nothing, nor do rows without an id. Shorter vectors count as ending in zeros. Rows that repeat an id are vectors
     of their own. Other columns are ignored; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "cells")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    keyed = rows.where(usable("vector")).select(
+    linked = usable("vector") & F.col("id").isNotNull()
+    keyed = rows.where(linked).select(
         "id", "vector", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(7), "vector").alias("k2")
     )
     classes = scratch.save(
         keyed.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")), "classes"
     )
     width, n = classes.select(F.coalesce(F.max(F.size("vector")), F.lit(0)), F.count("*")).first()
-    alone = rows.where(~usable("vector")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    alone = rows.where(~linked).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     if n:
         k = max(1, min(MAX_CELLS, -(-n // cell_rows)))
         sample = classes.orderBy(F.xxhash64("k1")).select("vector").limit(k * SAMPLE_PER_CELL).toArrow().column(0)
@@ -198,4 +199,4 @@ def near_duplicates(
             )
         )
         alone = alone.union(keyed.select("id", "k1", "k2").join(grouped, ["k1", "k2"]).select("id", "n_links", "component_id"))
-    return alone.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return alone.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -74,12 +74,12 @@ def dedup_lines(
     place = F.struct(F.col("id"), F.col("at")[0].alias("line"))
     intervals = starts.groupBy("run", "a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     later = starts.join(intervals, ["run", "a", "b"]).where(place > F.col("first"))
-    gone = later.select("id", F.explode("at").alias("line")).groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("gone"))
-    cut = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
+    gone = later.select("id", F.explode("at").alias("line")).groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("__gone"))
+    cut = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
     kept = F.transform(F.filter(split, lambda x: ~F.array_contains(cut, x["at"])), lambda x: x["line"])
     begins = F.filter(cut, lambda x: ~F.array_contains(cut, x - 1))
     joined = docs.alias("d").join(gone.withColumnRenamed("id", "__gone_id"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("__gone_id")), "left")
-    edited = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    edited = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[(edited.alias(c) if c == text_col else F.col(f"d.`{c}`")) for c in docs.columns],
         F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long").alias("n_lines"),

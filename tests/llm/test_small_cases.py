@@ -1,0 +1,113 @@
+"""Nulls, empty and long texts, repeated rows, empty tables and clashing columns, for every operator and stage."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from duplexa.llm import (
+    bpe_automaton,
+    embedding_dedup,
+    html_extract,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    quality_classifier,
+    suffix_dedup,
+    topk_search,
+)
+from duplexa.llm.queries import word_bpe
+
+WORDS = ["alpha", "beta", "gamma", "delta", "Über", "x1", "end."]
+LONG = " ".join(random.Random(1).choice(WORDS) for _ in range(60_000))
+CLASH = ", id string, n string, rep string, component_id string, family string, kept string, key string, accepted string, gone string, n_lines string, vector string, host string"
+ROWS = [(1, "a b c d e f g"), (2, None), (3, ""), (4, " \n \n"), (5, LONG), (6, LONG), (1, "a b c d e f g"), (7, "one"), (8, "a b c d e f g"), (None, "a b c d e f g")]
+
+OPERATORS = {
+    "lines": line_dedup.dedup_lines,
+    "minhash": minhash_dedup.near_duplicates,
+    "suffix": suffix_dedup.dedup_substrings,
+    "pack": lambda d: packing.pack(d, word_bpe()),
+    "bpe": lambda d: bpe_automaton.encode_decode(d, word_bpe(), outputs=tuple(bpe_automaton.TYPES)),
+    "license": license_scan.scan,
+    "quality": lambda d: quality_classifier.score(d, quality_classifier.fit([], [], __import__("numpy").zeros(0, int), 3), 2),
+}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    extra = ("x",) * (CLASH.count(",") or 0)
+    return spark.createDataFrame([(*r, *extra) for r in ROWS], "doc_id long, text string" + CLASH)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_odd_rows(odd, name):
+    rows = OPERATORS[name](odd).collect()
+    if name == "pack":
+        assert sum(r["length"] for r in rows if r["doc_id"] == 2) == 1
+    else:
+        assert len(rows) == len(ROWS)
+    if name == "minhash":
+        by = {r["doc_id"]: r for r in rows}
+        assert by[8]["component_id"] == 1 and by[6]["component_id"] == 5 and by[2]["n_shingles"] == 0 and by[2]["kept"] and by[7]["n_shingles"] == 1
+    if name == "suffix":
+        by = {r["doc_id"]: r for r in rows}
+        assert by[6]["n_removed"] == by[6]["n_bytes"] and by[5]["n_removed"] == 0 and by[8]["n_removed"] == 0 and by[2]["n_bytes"] == 0
+    if name == "lines":
+        by = {r["doc_id"]: r for r in rows}
+        assert by[6]["text"] == "" and by[6]["n_removed"] == 1 and by[4]["n_lines"] == 3 and by[2]["text"] is None and by[5]["text"] == LONG
+        assert by[5]["gone"] == "x"
+    if name == "bpe":
+        by = {r["doc_id"]: r for r in rows}
+        assert by[2]["n_tokens"] == by[3]["n_tokens"] == 0 and by[2]["decoded"] == "" and by[7]["decoded"] == "one</w>"
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(odd, name):
+    assert OPERATORS[name](odd.limit(0)).count() == 0
+
+
+VECTORS = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [float("inf"), 1.0]), (7, []), (0, [1.0, 0.0]), (8, [0.0, 1.0]), (9, [1.0]), (None, [1.0, 0.0])]
+
+
+def test_odd_vectors(spark):
+    rows = spark.createDataFrame([(*v, "x", "y") for v in VECTORS], "vec_id long, embedding array<float>, rep string, vector string")
+    found = embedding_dedup.near_duplicates(rows).collect()
+    assert len(found) == len(VECTORS)
+    by = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found}
+    assert by[0] == (3, 0) and by[1] == (3, 0) and by[9] == (3, 0) and by[8] == (0, 8) and all(by[i] == (0, i) for i in (2, 3, 4, 5, 6, 7))
+    assert embedding_dedup.near_duplicates(rows.limit(0)).count() == 0
+    top = topk_search.top_k(rows, rows.where("vec_id in (0, 3)")).collect()
+    got = {q: [(r["vec_id"], r["score"]) for r in sorted(top, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 3)}
+    assert got[0] == [(1, 2 * 1024 * 1024), (9, 1024 * 1024), (3, 0), (7, 0), (8, 0)] and [v for v, _ in got[3]] == [0, 0, 1, 7, 8, 9]
+    assert topk_search.top_k(rows.limit(0), rows).count() == 0 == topk_search.top_k(rows, rows.limit(0)).count()
+
+
+def test_odd_pages(spark):
+    pages = [(1, None, "<p>a</p>"), (2, "http://h/x", None), (3, "http://h/y", ""), (None, "no url at all", "text < 5 & &eacute;"), (1, None, "<p>a</p>"), (4, "//h/z", "<article>" + "<p>long</p>" * 20_000)]
+    rows = spark.createDataFrame([(*p, "h", "t") for p in pages], "page_id long, url string, html string, host string, template string")
+    found = html_extract.extract_text(rows).collect()
+    assert sorted((str(r["page_id"]), r["text"][:20], r["n_chars"]) for r in found) == sorted(
+        [("1", "a", 1), ("2", "", 0), ("3", "", 0), ("None", "text < 5 & é", 12), ("1", "a", 1), ("4", "long\nlong\nlong\nlong\n"[:20], 99_999)]
+    )
+    assert html_extract.extract_text(rows.limit(0)).count() == 0
+
+
+def _tables(spark, folder, rows):
+    spark.createDataFrame([(*r, "en", "s", None) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    labels = [(1, 1, 0), (5, 1, 0), (7, None, 1), (None, 1, 0)] if rows else []
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+@pytest.mark.parametrize("rows", [ROWS, []], ids=["odd", "empty"])
+def test_stages(spark, tmp_path, rows):
+    _tables(spark, str(tmp_path), rows)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{n}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{n}")
+        if n < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == before.columns
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
