@@ -24,6 +24,7 @@ BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+BOXES = set("body center div section table td".split())
 CHROME = set("head nav footer aside form button dialog menu input label fieldset search".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 #: Words of class and id names that mark what surrounds an article.
@@ -183,13 +184,16 @@ def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
         framed = template and sum(seen) > MIN_TOKENS
         slot = [0] * n
         for i in range(1, n):
-            box = seen[i] and page.tags[i] not in ("h1", "p") if framed else page.tags[i] in ("div", "section", "td", "body")
+            box = page.tags[i] in BOXES and (seen[i] or not framed)
             slot[i] = i if box else slot[page.parents[i]]
         chars: dict[int, int] = {}
         for b in kept:
             node, text = page.blocks[b]
             if not fixed[b]:
                 chars[slot[node]] = chars.get(slot[node], 0) + len(text) - page.links[b]
+        # An article has its heading with it.
+        for i in {slot[page.blocks[b][0]] for b in kept if page.tags[page.blocks[b][0]] in ("h1", "h2", "h3")}:
+            chars[i] = 2 * chars.get(i, 0)
         best = max(chars, key=lambda i: (chars[i], -i)) if chars else 0
         kept = [b for b in kept if slot[page.blocks[b][0]] == best or page.tags[page.blocks[b][0]] == "h1"]
     free = [b for b in kept if not fixed[b]]

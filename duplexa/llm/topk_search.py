@@ -32,13 +32,15 @@ def segment_features(rows: np.ndarray, segments: int) -> np.ndarray:
 
 def _products(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Exact inner products of whole-numbered doubles, held within 64 bits."""
-    if len(rows) == 0:
-        return np.empty(0, np.int64)
-    if np.abs(q).max(initial=0) * np.abs(rows).max(initial=0) * len(q) < 2**53:
-        return (rows @ q).astype(np.int64)
-    own = [int(x) for x in q]
-    sums = [sum(a * int(b) for a, b in zip(own, row)) for row in rows]
-    return np.array([max(-(2**63), min(2**63 - 1, s)) for s in sums], np.int64)
+    out = np.zeros(len(rows), np.int64)
+    with np.errstate(over="ignore", invalid="ignore"):
+        small = np.abs(q).max(initial=0) * np.abs(rows).max(axis=1, initial=0) * max(1, len(q)) < 2**53
+    out[small] = (rows[small] @ q).astype(np.int64)
+    if not small.all():
+        own = [int(x) for x in q]
+        for i in np.nonzero(~small)[0]:
+            out[i] = max(-(2**63), min(2**63 - 1, sum(a * int(b) for a, b in zip(own, rows[i]))))
+    return out
 
 
 def best_of_block(queries, query_ids, rows, ids, k: int, levels=LEVELS):
@@ -51,19 +53,21 @@ def best_of_block(queries, query_ids, rows, ids, k: int, levels=LEVELS):
     for at in range(0, len(queries), 64):
         coarse = made[0][0][at : at + 64] @ made[0][1].T
         for i, bound in enumerate(coarse, at):
-            bound[ids == query_ids[i]] = -np.inf
+            other = ids != query_ids[i]
+            # A bound beyond doubles rules nothing out.
+            bound = np.where(other, np.where(np.isfinite(bound), bound, np.inf), -np.inf)
             slack = 1e-9 * (1 + np.abs(bound[np.isfinite(bound)]).max(initial=0))
             first = np.argpartition(-bound, k - 1)[:k] if len(bound) > k else np.arange(len(bound))
-            first = first[np.isfinite(bound[first])]
+            first = first[other[first]]
             seed = _products(queries[i], rows[first])
             least = seed.min() if len(seed) >= k else -np.inf
-            left = np.nonzero((bound >= least - slack) & np.isfinite(bound))[0]
+            left = np.nonzero((bound >= least - slack) & other)[0]
             for q_feats, r_feats in made[1:]:
                 if len(left) <= 4 * k:
                     break
-                left = left[r_feats[left] @ q_feats[i] >= least - slack]
+                left = left[~(r_feats[left] @ q_feats[i] < least - slack)]
             score = _products(queries[i], rows[left])
-            pick = np.argsort(-score, kind="stable")[:k]
+            pick = np.argsort(-score.astype(object) if score.min(initial=0) == -(2**63) else -score, kind="stable")[:k]
             out += [(i, left[p], score[p]) for p in pick]
     return out, ids
 
@@ -74,9 +78,11 @@ def _search(k: int, levels):
         if len(left) and len(right):
             width = max(int(t.column("vector").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).max(initial=0)) for t in (left, right))
             width = max(width, 1)
-            queries, rows = (np.floor(1024 * matrix(t.column("vector"), width)) for t in (left, right))
             own = left.column("vec_id").to_numpy()
-            found, ids = best_of_block(queries, own, rows, right.column("vec_id").to_numpy(), k, levels)
+            with np.errstate(over="ignore", invalid="ignore"):
+                top = np.finfo(np.float64).max
+                queries, rows = (np.clip(np.floor(1024 * matrix(t.column("vector"), width)), -top, top) for t in (left, right))
+                found, ids = best_of_block(queries, own, rows, right.column("vec_id").to_numpy(), k, levels)
             cols["query_id"] = [own[i] for i, _, _ in found]
             cols["vec_id"] = [ids[j] for _, j, _ in found]
             cols["score"] = [s for _, _, s in found]
