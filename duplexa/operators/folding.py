@@ -11,6 +11,7 @@ from duplexa.functions.energies import BULGE, HAIRPIN, INTERIOR, can_pair, codes
 from duplexa.functions.parameters import DEFAULT_TEMPERATURE, thermal_energy
 from duplexa.functions.sequences import reverse_complement, to_dna, to_rna
 from duplexa.operators.search import tile
+from duplexa.shipping import ship
 
 #: Energy of a stretch that is never open.
 CLOSED = 25.5
@@ -140,6 +141,7 @@ def fold(
     folded by as many tasks as it has tiles. '-' is the profile of the reverse complement,
     counted from its own start. Stretches never open, or cut off by the start, get 25.5.
     """
+    ship(records.sparkSession)
     turned = records.select("id", reverse_complement(to_dna(F.col("sequence"))).alias("sequence"), F.lit("-").alias("strand"))
     both = records.select("id", "sequence", F.lit("+").alias("strand")).union(turned.select("id", "sequence", "strand"))
     both = both.withColumn("id", F.struct("id", "strand"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duplexa.functions.parameters import Config
+from duplexa.shipping import ship
 
 FLOATS = ("energy", "exp_value", "opening_energy", "dG_total")
 
@@ -61,6 +62,7 @@ def write_summaries(sums: DataFrame, configs: list[Config], path: str) -> None:
     """All summaries as text under ``path``, written by the executors, one row a siRNA."""
     import pandas as pd
 
+    ship(sums.sparkSession)
     fields = sums.columns
 
     def render(batches):
