@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from duplexa.llm.worker_cache import claim
+from duplexa.shipping import ship
 
 #: Words and pieces a worker remembers; rarer ones are encoded anew.
 REMEMBERED = 300_000
@@ -222,6 +223,7 @@ def encode_decode(documents: DataFrame, spec: str, id_col: str = "doc_id", text_
     shuffle. Null or empty text: no ids and an empty string. Repeated rows stay; other
     columns are ignored; an empty table gives an empty result.
     """
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(spec)
     schema = ", ".join([f"`{id_col}` {documents.schema[id_col].dataType.simpleString()}"] + [f"{c} {TYPES[c]}" for c in outputs])
     kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}

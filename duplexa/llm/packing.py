@@ -215,12 +215,13 @@ def pack(documents: DataFrame, spec: str, length: int = 2048, end_id: int = 1, i
     columns are ignored; an empty table gives an empty result.
     """
     spark = documents.sparkSession
+    scratch = Scratch(spark, "packing")
     shared = spark.sparkContext.broadcast(spec)
     kind = documents.schema[id_col].dataType.simpleString()
     coded = documents.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         _tokenize(shared, end_id), f"doc {kind}, curve_key long, small binary, large binary"
     )
-    coded = Scratch(spark, "packing").save(coded, "coded")
+    coded = scratch.save(coded, "coded")
     ordered = coded.repartitionByRange("curve_key", "doc").sortWithinPartitions("curve_key", "doc").select("doc", "small", "large")
     filled = ordered.mapInArrow(
         _fill(length, with_ids), f"doc {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"

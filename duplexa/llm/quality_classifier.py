@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from duplexa.llm.worker_cache import claim
+from duplexa.shipping import ship
 
 BUCKETS = 1 << 18
 #: The upper buckets are for shapes, of which there are few.
@@ -153,6 +154,7 @@ def train(documents: DataFrame, grades: DataFrame, levels: int, id_col: str = "d
     and ``score`` accepts every document.
     """
     spark = documents.sparkSession
+    ship(spark)
     rows = grades.select(F.col(id_col).alias("id"), F.col("grade").cast("int")).where("id is not null and grade is not null")
     rows = rows.where((F.col("grade") >= 0) & (F.col("grade") < levels)).orderBy(F.xxhash64("id"), "id", "grade").limit(sample_rows).toArrow()
     chosen = spark.createDataFrame(rows)  # sample_rows at most, so it may be broadcast
@@ -194,6 +196,7 @@ def score(documents: DataFrame, model: OrdinalModel, least_grade: int, cutoff: f
     thresholds alone grade it. Repeated rows are scored each; an empty table gives an
     empty result.
     """
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.drop(*OUTPUT)
     schema = StructType([*rows.schema.fields, *(StructField(n, DoubleType()) for n in OUTPUT[:2]), StructField(OUTPUT[2], BooleanType())])

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from duplexa.shipping import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; a folder of this machine only where that is unset."""
@@ -25,6 +27,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

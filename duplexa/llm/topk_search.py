@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duplexa.llm.embedding_dedup import matrix
+from duplexa.shipping import ship
 
 CANDIDATE_ROWS = 8192
 QUERY_ROWS = 1024
@@ -118,6 +119,7 @@ def top_k(
         fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         return rows.where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False)))
 
+    ship(vectors.sparkSession)
     rows = clean(vectors)
     asked = clean(queries).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     n, q = rows.count(), asked.count()
