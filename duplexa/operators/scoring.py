@@ -43,11 +43,13 @@ def weight(config: Config, least: Column, rt: float, opened: bool = True) -> Col
     return F.col("exp_value").cast("double") * F.exp(-energy / F.lit(rt))
 
 
-def with_least_energy(sites: DataFrame) -> DataFrame:
+def least_energy(sites: DataFrame) -> Column:
     """E_min of the siRNA: of the unfiltered file where raw_e_min is known, of these sites otherwise."""
-    column = "raw_e_min" if "raw_e_min" in sites.columns else "energy"
-    least = sites.groupBy("sirna_id").agg(F.min(column).cast("double").alias("E_min"))
-    return sites.join(least, "sirna_id")
+    return F.min("raw_e_min" if "raw_e_min" in sites.columns else "energy").cast("double").alias("E_min")
+
+
+def with_least_energy(sites: DataFrame) -> DataFrame:
+    return sites.join(sites.groupBy("sirna_id").agg(least_energy(sites)), "sirna_id")
 
 
 def tag_on_targets(sites: DataFrame, on_targets: DataFrame | None) -> DataFrame:
@@ -60,9 +62,12 @@ def tag_on_targets(sites: DataFrame, on_targets: DataFrame | None) -> DataFrame:
 
 
 def partition_sums(sites: DataFrame, configs: list[Config], rt: float) -> DataFrame:
-    """Z, Z without opening, and on-target weights of every config, in one aggregation by siRNA."""
+    """E_min, Z, Z without opening, and on-target weights of every config, in one aggregation by siRNA.
+
+    Clamped configs need E_min in the sites; the others' sums find it on the way.
+    """
     least = F.col("E_min") if "E_min" in sites.columns else F.lit(None).cast("double")
-    sums = []
+    sums = [F.min("E_min").alias("E_min") if "E_min" in sites.columns else least_energy(sites)]
     for config in configs:
         for opened, mark in ((True, ""), (False, "_noacc")):
             w = weight(config, least, rt, opened)
@@ -85,9 +90,9 @@ def score_by_sirna(
     """Probability of each site within its siRNA, for each config, and the sums they come from.
 
     Sums are an aggregation with partial sums before the shuffle and a row a siRNA after
-    it, joined back to the sites: a siRNA with a third of all sites is no single task, as
-    a window over it would be, and adaptive execution broadcasts the sums while they are
-    small and splits skewed keys when they are not.
+    it, joined back to the sites: two passes over them, three with clamps. So a siRNA with
+    a third of all sites is no single task, as a window over it would be; adaptive
+    execution broadcasts the sums while they are small and splits skewed keys when not.
 
     ``external`` (sirna_id, energy, opening_energy, expression) holds on-target sites found
     elsewhere: tagged rows then leave the sums, and the external weight enters them.
@@ -97,7 +102,8 @@ def score_by_sirna(
     rows = tag_on_targets(prepare(sites), on_targets)
     if external is not None:
         rows = rows.where(~F.col("is_on_target"))
-    rows = with_least_energy(rows)
+    if external is not None or any(c.theta is None and c.suffix for c in configs):
+        rows = with_least_energy(rows)
     if external is not None:
         known = external.groupBy("sirna_id").agg(
             F.min_by(F.struct("energy", "opening_energy", "expression"), "energy").alias("__on")
@@ -106,7 +112,8 @@ def score_by_sirna(
     sums = partition_sums(rows, configs, rt)
     if external is not None:
         sums = _add_external(sums, rows, known, configs, rt)
-    scored = rows.join(sums.select("sirna_id", *(_z(c.suffix) for c in configs)), "sirna_id")
+    wanted = [_z(c.suffix) for c in configs] + ([] if "E_min" in rows.columns else [F.col("E_min")])
+    scored = rows.join(sums.select("sirna_id", *wanted), "sirna_id")
     for c in configs:
         w, z = weight(c, F.col("E_min"), rt), _z(c.suffix)
         scored = scored.withColumn(f"P_off_target{c.suffix}", F.when(z > 0, w / z).otherwise(F.lit(0.0)))
@@ -120,7 +127,7 @@ def _add_external(sums: DataFrame, rows: DataFrame, known: DataFrame, configs: l
         for opened, mark in ((True, ""), (False, "_noacc")):
             on = on.withColumn(f"__add{mark}{c.suffix}", weight(c, F.col("E_min"), rt, opened))
     joined = sums.join(on.select("sirna_id", *(F.col(f"`__add{m}{c.suffix}`") for c in configs for m in ("", "_noacc"))), "sirna_id", "left")
-    columns = [F.col("sirna_id")]
+    columns = [F.col("sirna_id"), F.col("E_min")]
     for c in configs:
         for mark in ("", "_noacc"):
             add = F.coalesce(F.col(f"`__add{mark}{c.suffix}`"), F.lit(0.0))
