@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from duplexa.llm.minhash_dedup import FILTER_BITS, _filter_bits, _mix
 from duplexa.llm.scratch import Scratch
 from duplexa.llm.suffix_sort import common_prefixes, deep_shallow_order
+from duplexa.llm.worker_cache import claim
 
 U64 = np.uint64
 #: Bytes of an anchor.
 GRAM = 16
 #: Window starts hashed at a time, texts gathered before anchors are sent, anchors of a task, contexts of a task.
-SEGMENT, GATHER, TASK_ANCHORS, TASK_CONTEXTS = 1 << 20, 16 << 20, 2_000_000, 100_000
+SEGMENT, GATHER, TASK_ANCHORS, TASK_CONTEXTS = 1 << 19, 8 << 20, 1_000_000, 100_000
 TABLE = np.random.default_rng(77).integers(0, 2**63, 256, dtype=U64) * U64(2) + U64(1)
 ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 BASE = U64(0xA24BAED4963EE407)
@@ -104,6 +105,7 @@ def _anchor_blocks(buckets: int, length: int):
         return pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("open", pa.binary()), ("done", pa.binary())]))
 
     def run(batches):
+        claim()
         held, size = [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1)):
@@ -133,6 +135,7 @@ def _mark(buckets: int):
     """Marks of anchors, in blocks by document: settled ones and those whose windows must be compared."""
 
     def run(batches):
+        claim()
         opened, done = [[np.empty(0, np.int64)] for _ in PLANES], [[np.empty(0, np.int64)] for _ in range(2)]
         for batch in batches:
             for x, y in zip(batch.column("open"), batch.column("done")):
@@ -204,6 +207,7 @@ def _contexts(length: int):
     """The bytes around each open anchor of a document: key, doc, nth, least and most bytes before it, left and right."""
 
     def run(batches):
+        claim()
         for batch in batches:
             rows = []
             for doc, text, parts in zip(batch.column("doc"), batch.column("text"), batch.column("open")):
