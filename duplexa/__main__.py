@@ -9,7 +9,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from duplexa import __version__, api, config
+from duplexa.functions.parameters import DEFAULT_TEMPERATURE, Config
+from duplexa.operators import scoring
 from duplexa.plans import reports
+from duplexa.plans.profiling import Profile
 
 CALLS = {"off-targets": api.off_targets, "accessibility": api.accessibility, "index": api.index, "search": api.search}
 
@@ -34,20 +37,35 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--output-format", choices=("tsv", "csv", "parquet"), default="tsv")
         if name == "off-targets":
             sub.add_argument("--summary-only", action="store_true")
+            sub.add_argument("--legacy-format", action="store_true", help="print the older report of all sites together")
+            sub.add_argument("--detailed-report", action="store_true", help="with every transcript in the older report")
+            sub.add_argument("--profile", action="store_true", help="print the time of each step")
     return top
 
 
 def run(spark: SparkSession, command: str, given: dict) -> None:
     out, kind, only = given.pop("output_file", None), given.pop("output_format", "tsv"), given.pop("summary_only", False)
-    result = CALLS[command](spark, **given)
+    legacy, detailed, timed = (given.pop(name, False) for name in ("legacy_format", "detailed_report", "profile"))
+    profile = Profile()
+    with profile.step("plan"):
+        result = CALLS[command](spark, **given)
     if command == "off-targets":
-        if not out:
-            scoring_view = result.sites.orderBy("P_off_target", ascending=False)
-            scoring_view.show(10, truncate=False)
-            return
-        if not only:
-            reports.write_sites(reports.without_intermediates(result.sites), out, kind, ranked=kind != "parquet")
-        reports.write_summaries(result.sums, result.configs, out + ".summaries")
+        if legacy or detailed:
+            configs = [Config(), Config(0.8, 0.8)]
+            by, totals = scoring.transcript_probabilities(result.sites, configs, temperature=given.get("temperature", DEFAULT_TEMPERATURE))
+            for line in reports.legacy_report("siRNA", by, totals, configs, detailed):
+                print(line)
+        elif not out:
+            with profile.step("sites"):
+                scoring.top_sites(result.sites).show(10, truncate=False)
+        else:
+            if not only:
+                with profile.step("sites"):
+                    reports.write_sites(reports.without_intermediates(result.sites), out, kind, ranked=kind != "parquet")
+            with profile.step("summaries"):
+                reports.write_summaries(result.sums, result.configs, out + ".summaries")
+        if timed:
+            print(profile.table())
     elif command == "search" and out:
         reports.write_sites(result, out, kind)
     elif command == "index":

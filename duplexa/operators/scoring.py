@@ -190,7 +190,7 @@ def transcript_probabilities(
     of one aggregation, so no two results need joining.
     """
     rt = thermal_energy(temperature)
-    rows = prepare(sites)
+    rows = prepare(sites).drop("E_min")
     least = rows.agg(F.least(F.min("energy").cast("double"), F.lit(on_energy)).alias("E_min")).withColumn("__one", F.lit(1))
     rows = rows.withColumn("__one", F.lit(1)).join(F.broadcast(least), "__one")
     own = least.withColumn("energy", F.lit(on_energy)).withColumn("opening_energy", F.lit(on_opening)).withColumn("exp_value", F.lit(expression))

@@ -5,6 +5,8 @@ import pytest
 from duplexa import __main__ as cli
 from duplexa import api, config
 from duplexa.functions.parameters import Config
+from duplexa.plans import orchestration
+from duplexa.plans.profiling import Profile
 from duplexa.streaming import folder
 
 GTF = 'chr1\tt\texon\t1\t100\t.\t+\t0\tgene_id "g1"; transcript_id "t1"; RPKM "600";\nchr1\tt\texon\t150\t300\t.\t+\t0\tgene_id "g2"; transcript_id "t2"; RPKM "100";\n'
@@ -69,3 +71,29 @@ def test_files_are_scored_as_they_arrive(spark, files):
         (files / "in" / "s2.out").write_text(SITES.replace("s1", "s2"))
     sums = spark.read.parquet(str(files / "out" / "sums"))
     assert sorted(r["sirna_id"] for r in sums.collect()) == ["s1", "s2"]
+
+
+def test_older_report_and_profile(spark, files, capsys):
+    given = {"risearch_file": str(files / "in" / "s1.out"), "gtf_file": str(files / "a.gtf")}
+    cli.run(spark, "off-targets", given | {"detailed_report": True, "profile": True})
+    out = capsys.readouterr().out
+    assert "# On-target info for siRNA #" in out and "chr1\tt1\t" in out and "plan" in out
+
+
+def test_steps_and_rows_are_watched(spark):
+    profile = Profile()
+    with profile.step("count"):
+        assert profile.rows("all", spark.range(7)).collect()
+    assert profile.as_dict()["rows"] == {"all": 7} and "count" in profile.table()
+
+
+def test_a_whole_run(spark, files):
+    (files / "s.fa").write_text(">s\nGGCAUCGAUCGGAUUACGCAU\n")
+    (files / "g.fa").write_text(">chr1\n" + "A" * 30 + "ATGCGTAATCCGATCGATGCC" + "A" * 30 + "\n")
+    jobs = orchestration.plan(str(files / "s.fa"), str(files / "g.fa"), {"all": str(files / "a.gtf")}, str(files / "run"), window_size=20, max_span=15, unpaired_prob=5)
+    assert orchestration.waves(jobs) == [["accessibility", "index"], ["search"], ["off-targets:all"]]
+    assert orchestration.execute(spark, jobs, dry_run=True)[-1] == "off-targets:all" and not (files / "run").exists()
+    orchestration.execute(spark, jobs)
+    assert spark.read.parquet(str(files / "run" / "all" / "sites")).count() >= 1
+    with pytest.raises(ValueError, match="wait"):
+        orchestration.waves([orchestration.Job("a", None, ["b"]), orchestration.Job("b", None, ["a"])])
