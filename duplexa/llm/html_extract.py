@@ -34,6 +34,9 @@ MARKS = set(
     "topbar masthead footer comment comments commentlist reply replies respond disqus share sharing social related recommended recommendations "
     "pagination pager login toolbar copyright banner".split()
 )
+#: The same as the end of a longer word.
+MARK_ENDS = ("nav", "menu", "sidebar", "footer", "comment", "comments", "cookie", "cookies", "banner", "breadcrumbs", "notice", "newsletter", "advert")
+REMARKS = set("comment comments reply replies".split())
 HEADS = {"header", "heading"}
 
 TOKEN = re.compile(
@@ -122,7 +125,10 @@ class Page:
             self.paths.append(f"{self.paths[parent]}/{name}" + "".join("." + w for w in sorted(words)))
             inside = self._within(parent, ("article", "main"))
             heads = not inside and (name == "header" or bool(words & HEADS))
-            self.marked.append(hidden or name in CHROME or heads or (bool(words & MARKS) and name not in ("body", "html", "article", "main")))
+            if name in ("body", "html", "article", "main"):
+                self.marked.append(hidden or (name == "article" and bool(words & REMARKS)))
+            else:
+                self.marked.append(hidden or name in CHROME or heads or bool(words & MARKS) or any(w.endswith(MARK_ENDS) for w in words))
             if name not in VOID and not attrs.rstrip().endswith("/"):
                 stack.append(len(self.tags) - 1)
                 in_link += name == "a"
@@ -154,7 +160,7 @@ def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
     """The article's blocks of a page joined by new lines; ``template`` holds the keys of its host's template tokens."""
     page = Page(source)
     n = len(page.tags)
-    holds = [t in ("article", "main") for t in page.tags]
+    holds = [t in ("article", "main") and not m for t, m in zip(page.tags, page.marked)]
     for i in range(n - 1, 0, -1):
         holds[page.parents[i]] |= holds[i]
     # What holds an article is no frame around it, whatever its name says.
