@@ -75,6 +75,9 @@ def test_templates_leave_the_slot_that_varies(spark):
         ("<ARTICLE><P>x</P></ARTICLE", "x"),
         ("<p hidden>no</p><p style='display: none'>no</p><p>yes", "yes"),
         ("plain & simple", "plain & simple"),
+        ("<article><p>own</p><article class='comment'><p>a remark that is longer than the text</p></article></article>", "own"),
+        ("<div id=topNav>x</div><div class='post'><p>one</p></div><div class='userComments'><p>a long and winding remark on it</p></div>", "one"),
+        ("<main><p>a<td>b</td></p><table><tr><td>c<td>d</table></main>", "a\nb\nc\nd"),
     ],
 )
 def test_markup(source, text):
