@@ -42,7 +42,7 @@ def load_sites(spark: SparkSession, path: str) -> DataFrame:
 
 def off_targets(
     spark: SparkSession,
-    risearch_file: str | None = None,
+    predictions_file: str | None = None,
     sirna_fasta: str | None = None,
     target_fasta: str | None = None,
     gtf_file: str | None = None,
@@ -55,7 +55,7 @@ def off_targets(
     max_span: int = 40,
     unpaired_prob: int = 30,
     temperature: float = 37.0,
-    on_target_risearch_file: str | None = None,
+    on_target_predictions: str | None = None,
     on_target_expression: float = 1000.0,
     on_target_accessibility: str | None = None,
     on_target_ids_file: str | None = None,
@@ -72,8 +72,8 @@ def off_targets(
     energies come from ``accessibility_dir``, or from folding ``genome_file``, or are 0.
     Everything up to the result is one lazy plan; sums are there for one siRNA as well.
     """
-    if risearch_file:
-        sites = load_sites(spark, risearch_file)
+    if predictions_file:
+        sites = load_sites(spark, predictions_file)
     elif sirna_fasta:
         if not target_fasta:
             raise ValueError("sirna_fasta needs target_fasta")
@@ -93,8 +93,8 @@ def off_targets(
     configs = sweep(alpha, gamma, theta)
     targets = profiles.read_on_targets(spark, on_target_ids_file) if on_target_ids_file else None
     external = None
-    if on_target_risearch_file:
-        energy, start, end, strand = predictions.best_site_in_text(spark, on_target_risearch_file)
+    if on_target_predictions:
+        energy, start, end, strand = predictions.best_site_in_text(spark, on_target_predictions)
         own = 0.0
         if on_target_accessibility:
             place = spark.createDataFrame([("onTarget", start, end, strand)], "chrom string, start int, end int, strand string")

@@ -53,7 +53,7 @@ def test_search_index_and_accessibility(spark, files):
 
 
 def test_command_line_from_a_description(spark, files):
-    (files / "run.json").write_text(json.dumps({"command": "off-targets", "risearch_file": "in/s1.out", "gtf_file": "a.gtf", "output_file": "out", "theta": "0.85"}))
+    (files / "run.json").write_text(json.dumps({"command": "off-targets", "predictions_file": "in/s1.out", "gtf_file": "a.gtf", "output_file": "out", "theta": "0.85"}))
     command, options = config.load(str(files / "run.json"))
     assert command == "off-targets" and options["gtf_file"] == str(files / "a.gtf")
     cli.run(spark, command, options)
@@ -74,7 +74,7 @@ def test_files_are_scored_as_they_arrive(spark, files):
 
 
 def test_older_report_and_profile(spark, files, capsys):
-    given = {"risearch_file": str(files / "in" / "s1.out"), "gtf_file": str(files / "a.gtf")}
+    given = {"predictions_file": str(files / "in" / "s1.out"), "gtf_file": str(files / "a.gtf")}
     cli.run(spark, "off-targets", given | {"detailed_report": True, "profile": True})
     out = capsys.readouterr().out
     assert "# On-target info for siRNA #" in out and "chr1\tt1\t" in out and "plan" in out
