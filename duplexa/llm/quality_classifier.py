@@ -95,17 +95,20 @@ def fit(indices: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray,
     if not n:
         return OrdinalModel(weights, theta, 0)
     flat, value = np.concatenate(indices), np.concatenate(values)
-    row = np.repeat(np.arange(n), [len(i) for i in indices])
-    keep = np.bincount(flat, minlength=BUCKETS)[flat] >= max(LEAST_ROWS, n / ROWS_EACH)
-    used, col = np.unique(flat[keep], return_inverse=True)
-    row, value = row[keep], value[keep]
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(i) for i in indices])
+    frequent = np.bincount(flat, minlength=BUCKETS) >= max(LEAST_ROWS, n / ROWS_EACH)
+    keep = frequent[flat]
+    used, number = np.nonzero(frequent)[0], np.cumsum(frequent, dtype=np.int32) - 1
+    col, row, value = number[flat[keep]], row[keep], value[keep]
     scale = np.zeros(len(used))
     for k in range(levels - 1):
         below = grades[row] <= k
         one, other = (np.bincount(col[m], weights=np.minimum(value[m], 1), minlength=len(used)) for m in (below, ~below))
         ratio = np.log((one + 1) / ((grades <= k).sum() + 2)) - np.log((other + 1) / ((grades > k).sum() + 2))
         scale = np.maximum(scale, np.abs(ratio) * np.sqrt((one + other) / (one + other + 10)))
-    scale = np.where((scale >= LEAST_RATIO) | (used >= LAST), scale, 0)
+    told = (scale >= LEAST_RATIO) | (used >= LAST)
+    keep, number = told[col], np.cumsum(told, dtype=np.int32) - 1
+    used, scale, col, row, value = used[told], scale[told], number[col[keep]], row[keep], value[keep]
     value = value * scale[col]
     w = np.zeros(len(used))
     gaps = np.log(np.maximum(np.diff(theta), 1e-3))
@@ -142,7 +145,7 @@ def _featurize(batches):
     for batch in batches:
         made = [features(x.as_py()) for x in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("grade"), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.float64()))],
+            [batch.column("grade"), pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([m[1] for m in made], pa.list_(pa.float32()))],
             ["grade", "indices", "values"],
         )
 
@@ -159,10 +162,11 @@ def train(documents: DataFrame, grades: DataFrame, levels: int, id_col: str = "d
     rows = rows.where((F.col("grade") >= 0) & (F.col("grade") < levels)).orderBy(F.xxhash64("id"), "id", "grade").limit(sample_rows).toArrow()
     chosen = spark.createDataFrame(rows)  # sample_rows at most, so it may be broadcast
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(F.broadcast(chosen), "id").select("grade", "text").mapInArrow(_featurize, "grade int, indices array<long>, values array<double>").toArrow()
-    cut = lambda name: [np.asarray(x.values) for x in found.column(name)]
-    order = np.argsort([hash((g, len(i), float(i.sum()))) for g, i in zip(found.column("grade").to_pylist(), cut("indices"))], kind="stable")
-    indices, values, grade = cut("indices"), cut("values"), np.asarray(found.column("grade"), dtype=np.int64)
+    found = texts.join(F.broadcast(chosen), "id").select("grade", "text").mapInArrow(_featurize, "grade int, indices array<int>, values array<float>").toArrow()
+    indices, values = ([np.asarray(x.values) for x in found.column(name)] for name in ("indices", "values"))
+    grade = np.asarray(found.column("grade"), dtype=np.int64)
+    # Whatever order the tasks end in, sums are taken in one order.
+    order = np.lexsort(([float(v.sum()) for v in values], [int(i.sum(dtype=np.int64)) for i in indices], [len(i) for i in indices], grade))
     return fit([indices[i] for i in order], [values[i] for i in order], grade[order], levels)
 
 

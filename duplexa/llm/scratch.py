@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,7 +16,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; a folder of this machine only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.gettempdir()}/duplexa-shared"
+        folder = tempfile.mkdtemp(prefix="duplexa-shared-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        found = f"file://{folder}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
@@ -23,7 +27,7 @@ class Scratch:
     """Written tables of one operator run: ``save`` writes and rereads, ``drop`` deletes.
 
     Parquet in shared storage outlives lost executors and is compressed, unlike the
-    blocks of a checkpoint. The last table of a run is what its result reads, so it stays.
+    blocks of a checkpoint. What a result still reads stays until the folder is cleared.
     """
 
     def __init__(self, spark: SparkSession, label: str):
