@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ U64 = np.uint64
 GRAM = 16
 #: Window starts hashed at a time, texts gathered before anchors are sent, anchors of a task, contexts of a task.
 SEGMENT, GATHER, TASK_ANCHORS, TASK_CONTEXTS = 1 << 19, 8 << 20, 1_000_000, 100_000
+#: An anchor with more extents than this in one gathering is compared by windows wherever it is.
+FREQUENT = 48
 TABLE = np.random.default_rng(77).integers(0, 2**63, 256, dtype=U64) * U64(2) + U64(1)
 ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 BASE = U64(0xA24BAED4963EE407)
@@ -91,18 +94,28 @@ def _anchor_blocks(buckets: int, length: int):
         source = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
         # Extents that a smaller document of this task has are settled here; one stands for all.
         here = doc > source
+        # Of an anchor with very many extents two are sent on, from two documents; all are to be compared.
+        start = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
+        count = np.add.reduceat(new.astype(np.int64), start)
+        number = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+        low, high = np.minimum.reduceat(doc, start), np.maximum.reduceat(doc, start)
+        many = ((count > FREQUENT) & (low != high))[number] & ~here
+        sent = ~here & ~many
+        least, most = (np.nonzero(many & (doc == x[number]))[0] for x in (low, high))
+        for some in (least, most):
+            sent[some[np.unique(number[some], return_index=True)[1]]] = True
         bucket = (key % U64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        cols = {"bucket": [], "open": [], "done": []}
+        cols = {"bucket": [], "open": [], "done": [], "many": []}
         for b in range(buckets):
             i = order[ends[b] : ends[b + 1]]
             if len(i):
-                o, d = i[~here[i]], i[here[i]]
                 cols["bucket"].append(b)
-                cols["open"].append(b"".join(_planes(x[o], w) for x, (_, w) in zip((key, extent, doc, nth), PLANES)))
-                cols["done"].append(b"".join(_planes(x[d], w) for x, w in ((doc, 8), (nth, 4))))
-        return pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("open", pa.binary()), ("done", pa.binary())]))
+                cols["open"].append(b"".join(_planes(x[i[sent[i]]], w) for x, (_, w) in zip((key, extent, doc, nth), PLANES)))
+                for name, which in (("done", here), ("many", many)):
+                    cols[name].append(b"".join(_planes(x[i[which[i]]], w) for x, w in ((doc, 8), (nth, 4))))
+        return pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("open", pa.binary()), ("done", pa.binary()), ("many", pa.binary())]))
 
     def run(batches):
         claim()
@@ -136,15 +149,17 @@ def _mark(buckets: int):
 
     def run(batches):
         claim()
-        opened, done = [[np.empty(0, np.int64)] for _ in PLANES], [[np.empty(0, np.int64)] for _ in range(2)]
+        opened, done, many = ([[np.empty(0, np.int64)] for _ in range(n)] for n in (len(PLANES), 2, 2))
         for batch in batches:
-            for x, y in zip(batch.column("open"), batch.column("done")):
+            for x in batch.column("open"):
                 for into, part in zip(opened, _open_parts(x.as_py())):
                     into.append(part)
-                y = y.as_py()
-                n = len(y) // 12
-                done[0].append(_numbers(y[: 8 * n], 8))
-                done[1].append(_numbers(y[8 * n :], 4))
+            for name, into in (("done", done), ("many", many)):
+                for y in batch.column(name):
+                    y = y.as_py()
+                    n = len(y) // 12
+                    into[0].append(_numbers(y[: 8 * n], 8))
+                    into[1].append(_numbers(y[8 * n :], 4))
         key, extent, doc, nth = map(np.concatenate, opened)
         order = np.lexsort((doc, extent, key))
         key, extent, doc, nth = key[order], extent[order], doc[order], nth[order]
@@ -161,10 +176,10 @@ def _mark(buckets: int):
             number = np.cumsum(group) - 1
             low, high, kinds = (f.reduceat(x, np.nonzero(group)[0]) for f, x in ((np.minimum, doc), (np.maximum, doc), (np.add, same.astype(np.int64))))
             mixed = ((low != high) & (kinds > 1))[number] & ~covered
-        doc_of = np.concatenate([*done[0], doc[covered], doc[mixed]])
-        nth_of = np.concatenate([*done[1], nth[covered], nth[mixed]])
+        doc_of = np.concatenate([*done[0], doc[covered], doc[mixed], *many[0]])
+        nth_of = np.concatenate([*done[1], nth[covered], nth[mixed], *many[1]])
         kind = np.zeros(len(doc_of), np.int64)
-        kind[len(kind) - np.count_nonzero(mixed) :] = 1
+        kind[sum(map(len, done[0])) + np.count_nonzero(covered) :] = 1
         bucket = (_mix(doc_of.view(U64)) % U64(buckets)).astype(np.int64)
         order = np.lexsort((doc_of, bucket))
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -255,6 +270,39 @@ def covered_windows(key, doc, least, most, left: list[bytes], right: list[bytes]
     return masks
 
 
+def _windows(length: int):
+    """A row for each window of a context: a 128-bit digest of its bytes, and where it is."""
+
+    def run(batches):
+        claim()
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                rows = []
+                for doc, nth, key, least, most, left, right in zip(*(part.column(c).to_pylist() for c in ("doc", "nth", "key", "least", "most", "left", "right"))):
+                    head = key.to_bytes(8, "big", signed=True)
+                    for before in range(least, most + 1):
+                        digest = xxhash.xxh3_128(head + left[len(left) - before :] + b"|" + right[: length - GRAM - before]).digest()
+                        rows.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), before, doc, nth))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()))], ["w1", "w2", "before", "doc", "nth"]
+                )
+
+    return run
+
+
+def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
+    """(doc, nth, mask) for anchors with more contexts than a task holds: smallest documents of equal windows, joined back.
+
+    Work follows the number of windows; the least document is combined before the
+    shuffle, and the join may be split where one window is in very many documents.
+    """
+    rows = contexts.mapInArrow(_windows(length), "w1 long, w2 long, before int, doc long, nth int")
+    first = rows.groupBy("before", "w1", "w2").agg(F.min("doc").alias("source"), F.count("*").alias("n")).where("n > 1").drop("n")
+    hit = rows.join(first, ["before", "w1", "w2"]).where("doc > source")
+    return hit.groupBy("doc", "nth").agg(F.bit_or(F.expr("shiftleft(1L, before)")).alias("mask"))
+
+
 def _compare(length: int):
     def run(table: pa.Table) -> pa.Table:
         column = lambda c: np.asarray(table.column(c))
@@ -331,7 +379,8 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     and so before the shuffle. Where extents around one anchor differ between documents,
     their bytes are sorted deep: multikey quicksort, then blind tries, and intervals of
     common prefixes tell which windows are equal. Anchors with more contexts than a task
-    holds are compared in blocks. The text moves only of documents with such anchors or
+    holds are settled by digests of their windows, and of anchors that are frequent in one
+    task two extents are sent on, so no anchor is gathered whole. The text moves only of documents with such anchors or
     with removals. kept_text leaves out what remains of characters cut in part.
 
     Null text counts as empty. A null id is neither changed nor a source. Rows that
@@ -347,7 +396,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     docs = rows.where("doc is not null").select(F.col("doc").cast("long").alias("doc"), "text")
     total = heads.agg(F.sum("n_bytes")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (18 * TASK_ANCHORS)))
-    blocks = docs.mapInArrow(_anchor_blocks(4 * tasks, length), "bucket int, open binary, done binary")
+    blocks = docs.mapInArrow(_anchor_blocks(4 * tasks, length), "bucket int, open binary, done binary, many binary")
     marks = blocks.repartition(tasks, "bucket").mapInArrow(_mark(4 * tasks), "bucket int, marks binary")
     marks = scratch.save(marks.repartition(tasks, "bucket").mapInArrow(_gather, "doc long, done binary, open binary"), "marks")
 
@@ -358,14 +407,11 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     around = scratch.save(around.distinct(), "contexts")
     n = around.count()
     parts = max(1, -(-n // TASK_CONTEXTS))
-    hot = around.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TASK_CONTEXTS)
-    hot = hot.select("key", F.ceil(F.col("n") / TASK_CONTEXTS).cast("int").alias("cells"))
-    # At most one in TASK_CONTEXTS contexts has a hot key of its own.
-    dealt = around.join(hot, "key", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-    dealt = dealt.withColumn("cell", F.expr("cast(pmod(xxhash64(doc, nth), cells) as int)")).withColumn("other", F.explode(F.expr("sequence(0, cells - 1)")))
-    dealt = dealt.withColumn("part", F.when(F.col("cells") > 1, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(parts))))
-    dealt = dealt.groupBy("part", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"))
-    masks = dealt.applyInArrow(_compare(length), "doc long, nth int, mask long").groupBy("doc", "nth").agg(F.bit_or("mask").alias("mask"))
+    hot = around.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TASK_CONTEXTS).select("key")
+    usual = around.join(hot, "key", "left_anti") if n > TASK_CONTEXTS else around
+    masks = usual.groupBy(F.pmod(F.xxhash64("key"), F.lit(parts))).applyInArrow(_compare(length), "doc long, nth int, mask long")
+    if n > TASK_CONTEXTS:
+        masks = masks.union(_by_windows(around.join(hot, "key", "left_semi"), length))
     masks = masks.groupBy("doc").agg(F.collect_list(F.struct("nth", "mask")).alias("m"))
     masks = scratch.save(masks.select("doc", F.col("m.nth").alias("nths"), F.col("m.mask").alias("masks")), "masks")
 
