@@ -193,9 +193,10 @@ def test_removal_equals_brute_force(spark, texts):
     assert got == brute_removal(docs)
 
 
-def test_blocks_of_one_anchor_equal_the_whole(spark, monkeypatch):
+@pytest.mark.parametrize("contexts", [10, 10_000])
+def test_very_frequent_anchors_lose_nothing(spark, monkeypatch, contexts):
     docs = [f"{i:03d}" + "the passage that very many documents share with each other, word by word" + f"{i % 7}" * 20 for i in range(120)]
-    monkeypatch.setattr(suffix_dedup, "TASK_CONTEXTS", 10)
+    monkeypatch.setattr(suffix_dedup, "TASK_CONTEXTS", contexts)
     rows = suffix_dedup.dedup_substrings(document_frame(spark, docs)).collect()
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
 
