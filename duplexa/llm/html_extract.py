@@ -262,12 +262,14 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     tokens = pages.select("key", "host", "html").mapInArrow(_occurrences, "host string, token long, pages long, vector long")
     tokens = tokens.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"))
     tokens = tokens.where(F.col("pages") >= MIN_PAGES)
-    classes = tokens.groupBy("host", "pages", "vector").agg(F.collect_list("token").alias("class"))
-    by_host = classes.groupBy("host").agg(F.max("pages").alias("all_pages"), F.collect_list(F.struct("pages", "class")).alias("classes"))
-    valid = F.filter(
-        "classes", lambda c: (c["pages"] >= F.col("all_pages") * MIN_SHARE) & ((F.size(c["class"]) >= MIN_TOKENS) | (c["pages"] == F.col("all_pages")))
-    )
-    return by_host.select("host", F.flatten(F.transform(valid, lambda c: c["class"])).alias("template")).where(F.size("template") > 1)
+    # The page's own token tells how many pages a host has. Of tokens on most pages there are
+    # hardly more than one page holds, so what is gathered for a host stays small.
+    hosts = tokens.where("token = 0").select("host", F.col("pages").alias("all_pages"))
+    common = tokens.join(hosts, "host").where(F.col("pages") >= F.col("all_pages") * MIN_SHARE)
+    classes = common.groupBy("host", "all_pages", "pages", "vector").agg(F.collect_list("token").alias("class"))
+    valid = classes.where((F.size("class") >= MIN_TOKENS) | (F.col("pages") == F.col("all_pages")))
+    template = valid.groupBy("host").agg(F.flatten(F.collect_list("class")).alias("template"))
+    return template.where(F.size("template") > 1)
 
 
 def _extract(batches):
