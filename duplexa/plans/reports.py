@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from duplexa.functions.parameters import Config
 from duplexa.shipping import ship
 
+# The lines of summaries and of the older report.
+HEAD = "# On-target info for {sirna_id} #"
+TAIL = "## End of on-target info ##"
+CONFIG = "# For {title}; "
+DETAIL_HEAD, DETAIL_NAMES, DETAIL_TAIL = "# Off-target info#", ["# ID1", "ID2"], "## End of off-target info"
+
 FLOATS = ("energy", "exp_value", "opening_energy", "dG_total")
 
 
@@ -39,7 +45,7 @@ def write_sites(sites: DataFrame, path: str, kind: str = "tsv", ranked: bool = F
 
 def summary_text(sirna_id: str, sums: dict, configs: list[Config]) -> str:
     """One siRNA's summary file: a line for each config with P, Z and Zoff, with and without opening energy."""
-    lines = [f"# On-target info for {sirna_id} #"]
+    lines = [HEAD.format(sirna_id=sirna_id)]
     for c in configs:
         shown = []
         values = {}
@@ -48,8 +54,8 @@ def summary_text(sirna_id: str, sums: dict, configs: list[Config]) -> str:
             values |= {f"P{mark}": w / z if z > 0 else 0.0, f"Z{mark}": z, f"Zoff{mark}": z - w}
         for name in ("P", "Z", "Zoff"):
             shown += [f"{name}{mark}: {values[name + mark]!s}" for mark in ("", "_noacc")]
-        lines.append(f"# For {c.title}; " + "; ".join(shown))
-    return "\n".join([*lines, "## End of on-target info ##\n"])
+        lines.append(CONFIG.format(title=c.title) + "; ".join(shown))
+    return "\n".join([*lines, TAIL + "\n"])
 
 
 def summaries(sums: DataFrame, configs: list[Config]) -> Iterator[tuple[str, str]]:
@@ -81,7 +87,7 @@ def legacy_report(sirna_id: str, probabilities: DataFrame, totals: DataFrame, co
     The field Z holds the on-target's weight.
     """
     row = totals.first().asDict()
-    yield f"# On-target info for {sirna_id} #"
+    yield HEAD.format(sirna_id=sirna_id)
     for c in configs:
         parts = {}
         for mark in ("", "_noacc"):
@@ -89,12 +95,12 @@ def legacy_report(sirna_id: str, probabilities: DataFrame, totals: DataFrame, co
             z = on + off
             parts |= {f"Pon{mark}": on / z if z > 0 else 0.0, f"Poff{mark}": off / z if z > 0 else 0.0, f"Z{mark}": on, f"Zoff{mark}": off}
         names = [f"{n}{m}" for n in ("Pon", "Poff", "Z", "Zoff") for m in ("", "_noacc")]
-        yield f"# For alpha={c.alpha} and gamma={c.gamma}; " + "; ".join(f"{n}: {parts[n]:.12g}" for n in names)
-    yield "## End of on-target info ##"
+        yield CONFIG.format(title=f"alpha={c.alpha} and gamma={c.gamma}") + "; ".join(f"{n}: {parts[n]:.12g}" for n in names)
+    yield TAIL
     if detailed:
-        yield "# Off-target info#"
-        yield "\t".join(["# ID1", "ID2", *(f"alpha:{c.alpha},gamma:{c.gamma}{m}" for c in configs for m in ("", "(NoAcc)"))])
+        yield DETAIL_HEAD
+        yield "\t".join([*DETAIL_NAMES, *(f"alpha:{c.alpha},gamma:{c.gamma}{m}" for c in configs for m in ("", "(NoAcc)"))])
         for r in probabilities.orderBy("chrom", "transcript_id").toLocalIterator():
             values = [r[f"P{m}{c.suffix}"] or 0.0 for c in configs for m in ("", "_noacc")]
             yield "\t".join([str(r["chrom"]), str(r["transcript_id"]), *(f"{v:.12g}" for v in values)])
-        yield "## End of off-target info"
+        yield DETAIL_TAIL
