@@ -111,7 +111,63 @@ def _license_sql() -> str:
     """
 
 
+#: Smallest node reachable over the pairs (x, y) of a relation named link.
+REACHED = """
+    edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+    reach AS (SELECT x AS node, y AS other FROM edge UNION SELECT r.node, e.y FROM reach r JOIN edge e ON e.x = r.other),
+    least AS (SELECT node, min(other) AS low FROM reach GROUP BY node)
+"""
+
 ORACLE_SQL = {
+    "op2_minhash_near_dedup": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS shingle
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        link AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+        {REACHED}
+        SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+            d.doc_id <= coalesce(low, d.doc_id) AS kept
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON node = d.doc_id
+    """,
+    "op8_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM (
+                SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL
+            )
+        ), link AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+        ), {REACHED}, k AS (SELECT x, count(*) AS n FROM edge GROUP BY x)
+        SELECT r.vec_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, least(r.vec_id, coalesce(low, r.vec_id)) AS component_id,
+            r.vec_id <= coalesce(low, r.vec_id) AS kept
+        FROM embeddings r LEFT JOIN k ON k.x = r.vec_id LEFT JOIN least ON node = r.vec_id
+    """,
+    "op9_suffix_array_dedup": """
+        WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        b AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM t),
+        g AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS g FROM (SELECT doc_id, h, unnest(range(greatest(n - 49, 0))) AS i FROM b)),
+        f AS (SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY g) AS again FROM g),
+        o AS (SELECT doc_id, i, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM f WHERE again),
+        r AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o),
+        u AS (SELECT doc_id, run, min(i) AS lo, max(i) + 50 AS hi FROM r GROUP BY doc_id, run),
+        k AS (
+            SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM u
+            UNION ALL SELECT b.doc_id, b.n, b.n, coalesce(max(u.hi), 0) FROM b LEFT JOIN u ON u.doc_id = b.doc_id GROUP BY b.doc_id, b.n
+        ),
+        e AS (
+            SELECT b.doc_id, string_agg(substr(b.h, CAST(2 * since + 1 AS BIGINT), CAST(2 * (lo - since) AS BIGINT)), '' ORDER BY lo, hi) AS kept
+            FROM k JOIN b ON b.doc_id = k.doc_id GROUP BY b.doc_id
+        ),
+        c AS (SELECT doc_id, sum(hi - lo) AS removed, count(*) AS spans FROM u GROUP BY doc_id)
+        SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+            sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM b LEFT JOIN e ON e.doc_id = b.doc_id LEFT JOIN c ON c.doc_id = b.doc_id
+    """,
     "op3_dedup_lines": f"""
         WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
         l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM s),
