@@ -45,6 +45,7 @@ def off_targets(
     predictions_file: str | None = None,
     sirna_fasta: str | None = None,
     target_fasta: str | None = None,
+    target_index: str | None = None,
     gtf_file: str | None = None,
     feature_type: str = "exon",
     expression_metric: str = "RPKM",
@@ -55,7 +56,9 @@ def off_targets(
     max_span: int = 40,
     unpaired_prob: int = 30,
     temperature: float = 37.0,
+    on_target_file: str | None = None,
     on_target_predictions: str | None = None,
+    query_file: str | None = None,
     on_target_expression: float = 1000.0,
     on_target_accessibility: str | None = None,
     on_target_ids_file: str | None = None,
@@ -75,9 +78,9 @@ def off_targets(
     if predictions_file:
         sites = load_sites(spark, predictions_file)
     elif sirna_fasta:
-        if not target_fasta:
-            raise ValueError("sirna_fasta needs target_fasta")
-        sites = search(spark, sirna_fasta, target_fasta).select(*predictions.SITE)
+        if not (target_fasta or target_index):
+            raise ValueError("sirna_fasta needs target_fasta or target_index")
+        sites = search(spark, sirna_fasta, target_fasta, target_index).select(*predictions.SITE)
     else:
         raise ValueError("no input: give predictions, or siRNAs and a target")
     if sense_only:
@@ -93,20 +96,35 @@ def off_targets(
     configs = sweep(alpha, gamma, theta)
     targets = profiles.read_on_targets(spark, on_target_ids_file) if on_target_ids_file else None
     external = None
-    if on_target_predictions:
-        energy, start, end, strand = predictions.best_site_in_text(spark, on_target_predictions)
-        own = 0.0
-        if on_target_accessibility:
-            place = spark.createDataFrame([("onTarget", start, end, strand)], "chrom string, start int, end int, strand string")
-            profile = profiles.read_profiles(spark, on_target_accessibility).withColumn("chrom", F.lit("onTarget"))
-            own = float(opening.opening_energy(place, profile).first()["opening_energy"])
+    if on_target_predictions or (on_target_file and query_file):
+        energy, own = _on_target(
+            spark, on_target_predictions, on_target_file, query_file, on_target_accessibility, (window_size, max_span, unpaired_prob, temperature)
+        )
         external = sites.select("sirna_id").distinct().select(
-            "sirna_id", F.lit(float(energy)).alias("energy"), F.lit(own).alias("opening_energy"), F.lit(float(on_target_expression)).alias("expression")
+            "sirna_id", F.lit(energy).alias("energy"), F.lit(own).alias("opening_energy"), F.lit(float(on_target_expression)).alias("expression")
         )
     scored = scoring.score_by_sirna(sites, configs, targets, temperature, external)
     return OffTargets(scored.sites, scored.sums, configs)
 
 
+def _on_target(spark: SparkSession, found: str | None, target: str | None, query: str | None, profile: str | None, fold: tuple) -> tuple[float, float]:
+    """Energy and opening energy of the best on-target site: from its file, or searched; from its profile, or folded.
+
+    Without a site both are 0; without a profile or sequence the opening energy is.
+    """
+    if found:
+        energy, start, end, strand = predictions.best_site_in_text(spark, found)
+    else:
+        best = searching.search(fasta.read_fasta(spark, query), fasta.read_fasta(spark, target)).agg(F.min(F.struct("energy", "start", "end", "strand")).alias("b"))
+        energy, start, end, strand = best.first()["b"] or (0.0, 0, 0, "+")
+    if not energy or not (profile or target):
+        return float(energy), 0.0
+    window, span, unpaired, temperature = fold
+    rows = profiles.read_profiles(spark, profile) if profile else folding.fold(fasta.read_fasta(spark, target), window, span, unpaired, temperature)
+    place = spark.createDataFrame([("onTarget", start, end, strand)], "chrom string, start int, end int, strand string")
+    return float(energy), float(opening.opening_energy(place, rows.withColumn("chrom", F.lit("onTarget"))).first()["opening_energy"])
+
+
 def accessibility(
     spark: SparkSession, genome: str, window_size: int = 80, max_span: int = 40, unpaired_prob: int = 30, temperature: float = 37.0, output: str | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from duplexa import api
 
-PATHS = {"predictions_file", "sirna_fasta", "target_fasta", "gtf_file", "accessibility_dir", "genome_file", "on_target_predictions", "on_target_accessibility", "on_target_ids_file", "genome", "output", "output_file"}
+PATHS = {"predictions_file", "sirna_fasta", "target_fasta", "gtf_file", "accessibility_dir", "genome_file", "on_target_predictions", "on_target_file", "query_file", "target_index", "on_target_accessibility", "on_target_ids_file", "genome", "output", "output_file"}
 OUTPUT = {"output_file": None, "output_format": "tsv", "summary_only": False}
 
 

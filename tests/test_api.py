@@ -50,6 +50,11 @@ def test_search_index_and_accessibility(spark, files):
     assert folded.count() == 2 * 81
     scored = api.off_targets(spark, sirna_fasta=str(files / "s.fa"), target_fasta=str(files / "g.fa"), accessibility_dir=str(files / "acc"))
     assert scored.sites.where("opening_energy is null").count() == 0
+    on = api.off_targets(
+        spark, sirna_fasta=str(files / "s.fa"), target_index=where, on_target_file=str(files / "g.fa"), query_file=str(files / "s.fa"), window_size=20, max_span=15, unpaired_prob=25
+    )
+    row = on.sums.first()
+    assert 0 < row["W_on"] < row["Z_sirna"]
 
 
 def test_command_line_from_a_description(spark, files):
