@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duplexa.llm.components import connected_components
+from duplexa.llm.id_filter import broadcast_filter, mix, passing
 from duplexa.llm.scratch import Scratch
 from duplexa.llm.worker_cache import claim
 
@@ -20,8 +21,6 @@ BLOCK = 512
 #: Of a family larger than a block, about this many documents visit every block.
 HUBS = 64
 REMEMBERED = 500_000
-#: Largest filter of document ids that is sent to the executors, in bits (16 MB); fuller filters let more pass.
-FILTER_BITS = 1 << 27
 U64 = np.uint64
 
 
@@ -36,13 +35,6 @@ class _Words(dict):
 _words = _Words()
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> U64(32))) * U64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> U64(29))) * U64(0x9E3779B97F4A7C15)
-    return x ^ (x >> U64(32))
-
-
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted 64-bit hashes of a text's distinct runs of ``words`` words.
 
@@ -56,8 +48,8 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     width = min(words, len(h))
     run = h[: len(h) - width + 1]
     for i in range(1, width):
-        run = _mix(run) + h[i : len(h) - width + 1 + i]
-    return np.unique(_mix(run + U64(width)))
+        run = mix(run) + h[i : len(h) - width + 1 + i]
+    return np.unique(mix(run + U64(width)))
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
@@ -103,41 +95,23 @@ def _sign(words: int):
 
 def _post(batches):
     """A row for each coordinate-value pair of a document, the pair as one 64-bit number."""
-    salt = _mix(np.arange(1, COORDINATES + 1, dtype=U64))
+    salt = mix(np.arange(1, COORDINATES + 1, dtype=U64))
     for batch in batches:
         if batch.num_rows:
             rows = np.frombuffer(b"".join(x.as_py() for x in batch.column("sig")), U64).reshape(batch.num_rows, COORDINATES)
             rep = batch.column("rep").to_numpy(zero_copy_only=False)
-            keys = _mix(rows + salt[None]).view(np.int64)
+            keys = mix(rows + salt[None]).view(np.int64)
             for at in range(0, len(rep), 4096):
                 part = keys[at : at + 4096]
                 yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(rep[at : at + 4096], COORDINATES))], ["key", "rep"])
 
 
-def _filter_bits(size: int):
-    def run(batches):
-        bits = np.zeros(size // 8, np.uint8)
-        for batch in batches:
-            x = _mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
-            for shift in (0, 32):
-                at = (x >> U64(shift)) % U64(size)
-                np.bitwise_or.at(bits, (at >> U64(3)).astype(np.int64), (1 << (at & U64(7))).astype(np.uint8))
-        if bits.any():
-            yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()])], ["bits"])
-
-    return run
-
-
-def _sets(shared, size: int, words: int):
+def _sets(shared, words: int):
     def run(batches):
         bits = np.frombuffer(shared.value, np.uint8)
         claim(_words)
         for batch in batches:
-            x = _mix(batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
-            hit = np.ones(len(x), bool)
-            for shift in (0, 32):
-                at = (x >> U64(shift)) % U64(size)
-                hit &= (bits[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8) & 1) > 0
+            hit = passing(bits, batch.column("id").to_numpy(zero_copy_only=False))
             part = batch.take(pa.array(np.nonzero(hit)[0]))
             for at in range(0, part.num_rows, 512):
                 some = part.slice(at, 512)
@@ -286,14 +260,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     families = connected_components(met, scratch, "met").withColumnsRenamed({"node": "rep", "component": "family"})
     families = scratch.save(families, "families")
 
-    members = families.count()
-    bits = 1 << max(16, min(FILTER_BITS, 16 * members).bit_length())
-    bits = min(bits, FILTER_BITS)
-    full = np.zeros(bits // 8, np.uint8)
-    for row in families.select("rep").coalesce(8).mapInArrow(_filter_bits(bits), "bits binary").toLocalIterator():
-        full |= np.frombuffer(row[0], np.uint8)
-    sent = spark.sparkContext.broadcast(full.tobytes())
-    sets = docs.where("id is not null").mapInArrow(_sets(sent, bits, words), "rep long, hashes binary, sig binary").where("sig is not null")
+    sent = broadcast_filter(families, "rep", families.count())
+    sets = docs.where("id is not null").mapInArrow(_sets(sent, words), "rep long, hashes binary, sig binary").where("sig is not null")
     sizes = families.groupBy("family").agg(F.count("*").alias("m"))
     group = families.join(sizes, "family").join(sets, "rep")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")

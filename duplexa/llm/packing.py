@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duplexa.llm.bpe_automaton import SEPARATORS, chunks
+from duplexa.llm.bpe_automaton import chunks
 from duplexa.llm.scratch import Scratch
 from duplexa.llm.worker_cache import claim
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duplexa.llm.minhash_dedup import FILTER_BITS, _filter_bits, _mix
+from duplexa.llm.id_filter import broadcast_filter, mix, passing
 from duplexa.llm.scratch import Scratch
 from duplexa.llm.suffix_sort import common_prefixes, deep_shallow_order
 from duplexa.llm.worker_cache import claim
@@ -55,7 +55,7 @@ def anchors(text: bytes, length: int = 50):
         for odd in ODD:
             h = h[:-step] * odd + h[step:]
             step *= 2
-        h = _mix(h)
+        h = mix(h)
         # The place in the low bits makes the leftmost of equal grams the least.
         least = _minima((h & ~U64((1 << 24) - 1)) | np.arange(len(h), dtype=U64), length - GRAM + 1)
         place = (least & U64((1 << 24) - 1)).astype(np.int64)
@@ -64,7 +64,7 @@ def anchors(text: bytes, length: int = 50):
         at = place[first]
         sums = np.concatenate([np.zeros(1, U64), np.cumsum(TABLE[part] * POWERS[: len(part)])])
         extent = (sums[last + length] - sums[first]) * INVERSES[first]
-        extent = _mix(extent + (last - first).astype(U64) * ODD[0] + (at - first).astype(U64) * ODD[1])
+        extent = mix(extent + (last - first).astype(U64) * ODD[0] + (at - first).astype(U64) * ODD[1])
         out.append((h[at] >> U64(16), extent >> U64(24), at + low, first + low, last + low))
     return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, U64)] * 2 + [np.empty(0, np.int64)] * 3
 
@@ -180,7 +180,7 @@ def _mark(buckets: int):
         nth_of = np.concatenate([*done[1], nth[covered], nth[mixed], *many[1]])
         kind = np.zeros(len(doc_of), np.int64)
         kind[sum(map(len, done[0])) + np.count_nonzero(covered) :] = 1
-        bucket = (_mix(doc_of.view(U64)) % U64(buckets)).astype(np.int64)
+        bucket = (mix(doc_of.view(U64)) % U64(buckets)).astype(np.int64)
         order = np.lexsort((doc_of, bucket))
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
         cols = {"bucket": [], "marks": []}
@@ -346,23 +346,14 @@ def _cut(length: int, with_text: bool):
     return run
 
 
-def _passing(spark, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most rows that are not in ``ids``: a filter of FILTER_BITS at most is sent, so the join moves less."""
-    bits = min(FILTER_BITS, 1 << max(16, (16 * ids.count()).bit_length()))
-    full = np.zeros(bits // 8, np.uint8)
-    for row in ids.select("doc").coalesce(8).mapInArrow(_filter_bits(bits), "bits binary").toLocalIterator():
-        full |= np.frombuffer(row[0], np.uint8)
-    sent = spark.sparkContext.broadcast(full.tobytes())
+def _passing(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows that are not in ``ids``, so that the join with them moves less."""
+    sent = broadcast_filter(ids, "doc", ids.count())
 
     def run(batches):
-        have = np.frombuffer(sent.value, np.uint8)
+        bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
-            x = _mix(batch.column(0).to_numpy(zero_copy_only=False).view(U64))
-            hit = np.ones(len(x), bool)
-            for shift in (0, 32):
-                at = (x >> U64(shift)) % U64(bits)
-                hit &= (have[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8) & 1) > 0
-            yield batch.take(pa.array(np.nonzero(hit)[0]))
+            yield batch.take(pa.array(np.nonzero(passing(bits, batch.column(0).to_numpy(zero_copy_only=False)))[0]))
 
     return docs.mapInArrow(run, "doc long, text string")
 
@@ -401,7 +392,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     marks = scratch.save(marks.repartition(tasks, "bucket").mapInArrow(_gather, "doc long, done binary, open binary"), "marks")
 
     asked = marks.where("length(open) > 0").select("doc", "open")
-    around = _passing(spark, docs, asked).join(asked, "doc").mapInArrow(
+    around = _passing(docs, asked).join(asked, "doc").mapInArrow(
         _contexts(length), "key long, doc long, nth int, least int, most int, left binary, right binary"
     )
     around = scratch.save(around.distinct(), "contexts")
@@ -417,7 +408,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     done = marks.where("length(done) > 0").select("doc", "done")
     edits = scratch.save(done.join(masks, "doc", "full"), "edits")
-    cut = _passing(spark, docs, edits).join(edits, "doc").mapInArrow(
+    cut = _passing(docs, edits).join(edits, "doc").mapInArrow(
         _cut(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     )
     cut = scratch.save(cut.dropDuplicates(["doc"]), "cut")
