@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
+
 _held: dict[int, dict] = {}
 
 
 def claim(*tables: dict) -> None:
     """From now on the worker holds these tables; others are emptied, as workers outlive their stage."""
     own = {id(t): t for t in tables}
-    for key, table in list(_held.items()):
-        if key not in own:
-            table.clear()
-            del _held[key]
+    dropped = [key for key in _held if key not in own]
+    for key in dropped:
+        _held.pop(key).clear()
+    if dropped:
+        _give_back()
     _held.update(own)
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass
