@@ -23,10 +23,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 or more of its five-word shingles."""
+    """One document of each group that shares 0.8 or more of its five-word shingles.
+
+    A document without words, or with a null id, is a group of its own, and its row stays.
+    """
     found = minhash_dedup.near_duplicates(docs, words=5, percent=80)
-    # A document without words is a group of its own, and its row stays.
-    return docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+    # What goes is joined away, and not what stays kept, as a null id equals none.
+    return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

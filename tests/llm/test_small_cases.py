@@ -111,3 +111,14 @@ def test_stages(spark, tmp_path, rows):
         if n < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == before.columns
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_stages_keep_null_ids(spark, tmp_path):
+    text = "a b c d e f g"
+    _tables(spark, str(tmp_path), [(1, text), (None, text), (None, "other words"), (2, text), (3, None), (2, text), (4, "h i j k l m n")])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert sorted(map(str, got)) == ["1", "3", "4", "None", "None"]
+    for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.drop_repeated_passages):
+        assert stage(spark, docs, str(tmp_path)).where("doc_id is null").count() == 2
+    assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).where("doc_id is null").count() == 2
