@@ -1,4 +1,4 @@
-"""Main text of web pages: templates from tokens that occur alike on a host's pages, text from the slots left."""
+"""Main text of web pages: templates from tokens that occur alike on a host's pages, text from what lies between."""
 
 from __future__ import annotations
 
@@ -24,7 +24,10 @@ BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-BOXES = set("body center div section table td".split())
+FRAMES = set("#page html body center".split())
+PROSE = set("p li blockquote pre dd dt td th caption figcaption h1 h2 h3 h4 h5 h6".split())
+#: The share of a page's text that may lie beside the region taken for the article.
+REST = 0.1
 CHROME = set("head nav footer aside form button dialog menu input label fieldset search".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 #: Words of class and id names that mark what surrounds an article.
@@ -156,6 +159,54 @@ def token_key(token: str) -> int:
     return int.from_bytes(hashlib.blake2b(token.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _below(page: Page, top: int) -> list[bool]:
+    """Of each node, whether it is ``top`` or beneath it."""
+    inside = [False] * len(page.tags)
+    for i in range(len(inside)):
+        inside[i] = i == top or (i > 0 and inside[page.parents[i]])
+    return inside
+
+
+def _region(page: Page, blocks: list[int]) -> int:
+    """The smallest element that holds ``blocks`` but for REST of their text, link text not counted.
+
+    Within the page's own frame (body and what is around it) that rest may be paragraphs; further
+    down, or in a section, paragraphs and headings are the article's and none is left out.
+    """
+    n = len(page.tags)
+    size, prose = [0] * n, [0] * n
+    linked = all(page.links[b] >= len(page.blocks[b][1]) for b in blocks)
+    for b in blocks:
+        node, text = page.blocks[b]
+        own = len(text) - (0 if linked else page.links[b])
+        size[node] += own
+        prose[node] += page.tags[node] in PROSE and 2 * own > len(text)
+    # A node's number is larger than its parent's.
+    for i in range(n - 1, 0, -1):
+        size[page.parents[i]] += size[i]
+        prose[page.parents[i]] += prose[i]
+    within = [False] * n
+    for i in range(1, n):
+        within[i] = page.tags[i] == "section" or within[page.parents[i]]
+    sections = [0] * n
+    for b in blocks:
+        node = page.blocks[b][0]
+        sections[node] += within[node] and page.tags[node] in PROSE
+    for i in range(n - 1, 0, -1):
+        sections[page.parents[i]] += sections[i]
+    largest = [0] * n
+    for i in range(n - 1, 0, -1):
+        if not largest[page.parents[i]] or size[i] >= size[largest[page.parents[i]]]:
+            largest[page.parents[i]] = i
+    top = 0
+    while child := largest[top]:
+        held = sections if page.tags[top] in FRAMES else prose
+        if not size[child] or size[child] < (1 - REST) * size[0] or held[child] < held[top]:
+            break
+        top = child
+    return top
+
+
 def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
     """The article's blocks of a page joined by new lines; ``template`` holds the keys of its host's template tokens."""
     page = Page(source)
@@ -180,28 +231,11 @@ def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
     ]
     if bodies:
         top = max(bodies, key=lambda i: (whole[i], -i))
-        inside = [False] * n
-        for i in range(1, n):
-            inside[i] = i == top or inside[page.parents[i]]
+        inside = _below(page, top)
         kept = [b for b in kept if inside[page.blocks[b][0]]]
     elif kept:
-        # Slots are what lies between template tags; without a template, the boxes of the layout.
-        seen = [token_key(p) in template for p in page.paths] if template else [False] * n
-        framed = template and sum(seen) > MIN_TOKENS
-        slot = [0] * n
-        for i in range(1, n):
-            box = page.tags[i] in BOXES and (seen[i] or not framed)
-            slot[i] = i if box else slot[page.parents[i]]
-        chars: dict[int, int] = {}
-        for b in kept:
-            node, text = page.blocks[b]
-            if not fixed[b]:
-                chars[slot[node]] = chars.get(slot[node], 0) + len(text) - page.links[b]
-        # An article has its heading with it.
-        for i in {slot[page.blocks[b][0]] for b in kept if page.tags[page.blocks[b][0]] in ("h1", "h2", "h3")}:
-            chars[i] = 2 * chars.get(i, 0)
-        best = max(chars, key=lambda i: (chars[i], -i)) if chars else 0
-        kept = [b for b in kept if slot[page.blocks[b][0]] == best or page.tags[page.blocks[b][0]] == "h1"]
+        inside = _below(page, _region(page, [b for b in kept if not fixed[b]]))
+        kept = [b for b in kept if inside[page.blocks[b][0]] or page.tags[page.blocks[b][0]] == "h1"]
     free = [b for b in kept if not fixed[b]]
     # A host of nothing but copies has no text that varies; then the text is the page's own.
     return "\n".join(page.blocks[b][1] for b in (free or kept))
@@ -293,7 +327,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Templates are deduced over all pages of each host. Markup names what is chrome
     (menus, headers, footers, sidebars, notices, adverts, forms, comments); of the rest
-    the article element counts, or else the template slot with the most text. Texts that
+    the article element counts, or else the smallest element around the text that varies. Texts that
     belong to the template are left out. Templates reach the pages by a broadcast up to
     BROADCAST_HOSTS hosts and by a join on the host beyond.
 

@@ -84,6 +84,19 @@ def test_markup(source, text):
     assert html_extract.main_text(source) == text
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<body><div class=post><div class=intro><p>Short lead.</p></div><div class=part><p>" + "long part " * 20 + "</p></div></div></body>", "Short lead.\n" + ("long part " * 20).strip()),
+        ("<body><section><h2>One</h2><p>first part</p></section><section><p>second, longer part</p></section></body>", "One\nfirst part\nsecond, longer part"),
+        ("<div class=post><p>before the table</p><table><tr><td>a cell<td>another cell of more text</table><p>after</p></div>", "before the table\na cell\nanother cell of more text\nafter"),
+        ("<body><div>Site</div><div><p>" + "the article " * 9 + "</p><p>its end</p></div><div>(c) Us</div></body>", ("the article " * 9).strip() + "\nits end"),
+    ],
+)
+def test_an_article_in_several_boxes_stays_whole(source, text):
+    assert html_extract.main_text(source) == text
+
+
 # Near duplicates -----------------------------------------------------------------
 
 
