@@ -26,6 +26,9 @@ BLOCK = set(
 )
 FRAMES = set("#page html body center".split())
 PROSE = set("p li blockquote pre dd dt td th caption figcaption h1 h2 h3 h4 h5 h6".split())
+SUBHEADS = set("h2 h3 h4 h5 h6".split())
+#: A page with this many times more template text than other text is a near copy.
+COPY = 10
 #: The share of a page's text that may lie beside the region taken for the article.
 REST = 0.1
 CHROME = set("head nav footer aside form button dialog menu input label fieldset search".split())
@@ -207,6 +210,26 @@ def _region(page: Page, blocks: list[int]) -> int:
     return top
 
 
+def _between(page: Page, kept: list[int], fixed: list[bool]) -> list[int]:
+    """Of the blocks ``kept``, those of the article: the template shows where it begins and ends, and nothing inside it goes."""
+    chars = lambda some: sum(len(page.blocks[b][1]) - page.links[b] for b in some)
+    free = [b for b in kept if not fixed[b]]
+    # A page of hardly anything else is a near copy of others, whose common text is the article.
+    if not free or COPY * chars(free) < chars(b for b in kept if fixed[b]):
+        free, fixed = kept, [False] * len(fixed)
+    inside = _below(page, _region(page, free))
+    own = [b for b in free if inside[page.blocks[b][0]]]
+    start, last = kept.index(own[0]), kept.index(own[-1])
+    first = start
+    # A heading that many articles have stands before the text that varies.
+    while first and fixed[kept[first - 1]] and page.tags[page.blocks[kept[first - 1]][0]] in SUBHEADS:
+        first -= 1
+    titles = lambda some: [b for b in some if page.tags[page.blocks[b][0]] == "h1" and not fixed[b]]
+    # Outside the region, only such headings lie between first and last; the page's title comes with them.
+    body = [b for n, b in enumerate(kept) if first <= n <= last and (inside[page.blocks[b][0]] or n < start)]
+    return sorted({*body, *titles(kept)})
+
+
 def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
     """The article's blocks of a page joined by new lines; ``template`` holds the keys of its host's template tokens."""
     page = Page(source)
@@ -234,11 +257,8 @@ def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
         inside = _below(page, top)
         kept = [b for b in kept if inside[page.blocks[b][0]]]
     elif kept:
-        inside = _below(page, _region(page, [b for b in kept if not fixed[b]]))
-        kept = [b for b in kept if inside[page.blocks[b][0]] or page.tags[page.blocks[b][0]] == "h1"]
-    free = [b for b in kept if not fixed[b]]
-    # A host of nothing but copies has no text that varies; then the text is the page's own.
-    return "\n".join(page.blocks[b][1] for b in (free or kept))
+        kept = _between(page, kept, fixed)
+    return "\n".join(page.blocks[b][1] for b in kept)
 
 
 def _mix(page_key: int, count: int) -> int:
@@ -327,8 +347,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Templates are deduced over all pages of each host. Markup names what is chrome
     (menus, headers, footers, sidebars, notices, adverts, forms, comments); of the rest
-    the article element counts, or else the smallest element around the text that varies. Texts that
-    belong to the template are left out. Templates reach the pages by a broadcast up to
+    the article element counts, or else the smallest element around the text that varies. Template
+    texts are left out before and after the article, never inside it. Templates reach the pages by a broadcast up to
     BROADCAST_HOSTS hosts and by a join on the host beyond.
 
     Null or empty html: an empty text. Null url: the page is on a host of its own kind,

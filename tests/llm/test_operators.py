@@ -97,6 +97,25 @@ def test_an_article_in_several_boxes_stays_whole(source, text):
     assert html_extract.main_text(source) == text
 
 
+def extracted(spark, pages):
+    rows = spark.createDataFrame([(n, f"https://host.example/{n}", p) for n, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(html_extract.extract_text(rows).collect(), key=lambda r: r["page_id"])]
+
+
+def test_the_template_takes_nothing_out_of_an_article(spark):
+    body = lambda n: f"<h1>Dish {n}</h1><p>About {n}, a dish.</p><h2>Ingredients</h2><ul><li>{n} eggs<li>Salt</ul><h2>References</h2><p>Book {n * 3}</p>"
+    want = lambda n: f"Dish {n}\nAbout {n}, a dish.\nIngredients\n{n} eggs\nSalt\nReferences\nBook {n * 3}"
+    frame = "<html><body><div class=top>Our site</div>{}<div class=low>Write to us at any time.</div></body></html>"
+    for box in ("<article>{}</article>", "<div class=box>{}</div>"):
+        assert extracted(spark, [frame.format(box.format(body(n))) for n in range(8)]) == [want(n) for n in range(8)]
+    # Near copies of one article, and other pages of the host.
+    shared = [f"Paragraph {k} is the same on very many pages of this host, word by word." for k in range(6)]
+    copies = ["".join(f"<p>{p}</p>" for p in [*shared[:3], f"Edition {n}.", *shared[3:]]) for n in range(9)]
+    for box in ("<article>{}</article>", "<div class=box>{}</div>"):
+        got = extracted(spark, [frame.format(box.format(c)) for c in copies] + [frame.format(box.format(body(9)))])
+        assert got[:9] == ["\n".join([*shared[:3], f"Edition {n}.", *shared[3:]]) for n in range(9)]
+
+
 # Near duplicates -----------------------------------------------------------------
 
 
