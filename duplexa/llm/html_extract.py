@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from duplexa.llm.scratch import Scratch
 
-#: A class is part of a host's template from this many pages and this share of them on.
-MIN_PAGES, MIN_SHARE, MIN_TOKENS = 5, 0.8, 3
-#: Up to this many hosts the templates (a few hundred bytes a host) are broadcast; beyond, they are joined by host.
-BROADCAST_HOSTS = 20_000
+#: A class is part of a host's template from this many tokens and pages on; beyond 500 pages, from this share of them on,
+#: so that what is gathered for a host is no more than a hundred pages hold.
+MIN_PAGES, MIN_SHARE, MIN_TOKENS = 5, 0.01, 3
+#: Up to this many template tokens (8 bytes each) the templates are broadcast; beyond, they are joined by host.
+BROADCAST_TOKENS = 1_000_000
 
 # Element names of HTML by what they do here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -210,13 +211,22 @@ def _region(page: Page, blocks: list[int]) -> int:
     return top
 
 
-def _between(page: Page, kept: list[int], fixed: list[bool]) -> list[int]:
+def _between(page: Page, kept: list[int], support: list[int]) -> list[int]:
     """Of the blocks ``kept``, those of the article: the template shows where it begins and ends, and nothing inside it goes."""
     chars = lambda some: sum(len(page.blocks[b][1]) - page.links[b] for b in some)
-    free = [b for b in kept if not fixed[b]]
-    # A page of hardly anything else is a near copy of others, whose common text is the article.
-    if not free or COPY * chars(free) < chars(b for b in kept if fixed[b]):
-        free, fixed = kept, [False] * len(fixed)
+    # Classes nest by support: a page has those of its layout and, with more pages, those around it.
+    levels: dict[int, list[int]] = {}
+    for b in kept:
+        levels.setdefault(support[b], []).append(b)
+    free = levels.pop(0, [])
+    # A page of hardly anything besides a class is a near copy of others, and the class is their article.
+    for pages in sorted(levels):
+        if not free or COPY * chars(free) < chars(levels[pages]):
+            free = free + levels.pop(pages)
+    free.sort()
+    fixed = [True] * len(support)
+    for b in free:
+        fixed[b] = False
     inside = _below(page, _region(page, free))
     own = [b for b in free if inside[page.blocks[b][0]]]
     start, last = kept.index(own[0]), kept.index(own[-1])
@@ -230,8 +240,8 @@ def _between(page: Page, kept: list[int], fixed: list[bool]) -> list[int]:
     return sorted({*body, *titles(kept)})
 
 
-def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
-    """The article's blocks of a page joined by new lines; ``template`` holds the keys of its host's template tokens."""
+def main_text(source: str, template: dict[int, int] = {}) -> str:  # noqa: B006
+    """The article's blocks of a page joined by new lines; ``template`` has the keys of its host's template tokens and the pages each is on."""
     page = Page(source)
     n = len(page.tags)
     holds = [t in ("article", "main") and not m for t, m in zip(page.tags, page.marked)]
@@ -241,7 +251,6 @@ def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
     out = [False] * n
     for i in range(1, n):
         out[i] = out[page.parents[i]] or (page.marked[i] and not (holds[i] and page.tags[i] not in CHROME))
-    fixed = [bool(template) and token_key(f"{page.paths[node]} {text}") in template for node, text in page.blocks]
     kept = [b for b, (node, _) in enumerate(page.blocks) if not out[node]]
     size = [0] * n
     for b in kept:
@@ -257,7 +266,8 @@ def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
         inside = _below(page, top)
         kept = [b for b in kept if inside[page.blocks[b][0]]]
     elif kept:
-        kept = _between(page, kept, fixed)
+        # A class is on all pages of its layout and on no other, so that a page's own tokens match it to its layout.
+        kept = _between(page, kept, [template.get(token_key(f"{page.paths[node]} {text}"), 0) if template else 0 for node, text in page.blocks])
     return "\n".join(page.blocks[b][1] for b in kept)
 
 
@@ -305,38 +315,37 @@ def _occurrences(batches):
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template array<long>) of hosts with a template.
+    """(host, template array<struct<pages, class>>) of hosts with a template.
 
     ``pages`` has host, key and html. Tokens whose occurrence vectors over the host's
     pages are equal form a class; vectors are compared by the sum of a hash of (page,
     count), so counts combine before they are shuffled, however many pages a host has.
-    Classes of enough tokens on enough pages are valid; on a host they nest by support,
-    and together they are its template.
+    Classes of enough tokens on enough pages are valid, those of a layout that only some
+    pages have too; each goes with its support, by which classes nest.
     """
     tokens = pages.select("key", "host", "html").mapInArrow(_occurrences, "host string, token long, pages long, vector long")
     tokens = tokens.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"))
     tokens = tokens.where(F.col("pages") >= MIN_PAGES)
-    # The page's own token tells how many pages a host has. Of tokens on most pages there are
-    # hardly more than one page holds, so what is gathered for a host stays small.
+    # The page's own token tells how many pages a host has.
     hosts = tokens.where("token = 0").select("host", F.col("pages").alias("all_pages"))
     common = tokens.join(hosts, "host").where(F.col("pages") >= F.col("all_pages") * MIN_SHARE)
     classes = common.groupBy("host", "all_pages", "pages", "vector").agg(F.collect_list("token").alias("class"))
     valid = classes.where((F.size("class") >= MIN_TOKENS) | (F.col("pages") == F.col("all_pages")))
-    template = valid.groupBy("host").agg(F.flatten(F.collect_list("class")).alias("template"))
-    return template.where(F.size("template") > 1)
+    template = valid.groupBy("host").agg(F.collect_list(F.struct("pages", "class")).alias("template"))
+    return template.where((F.size("template") > 1) | (F.size(F.col("template")[0]["class"]) > 1))
 
 
 def _extract(batches):
-    sets: dict[tuple, frozenset] = {}
+    hosts: dict[str, dict[int, int]] = {}
     for part in batches:
         texts = []
-        for source, template in zip(part.column("html"), part.column("template")):
-            keys = tuple(template.values.to_pylist()) if template.is_valid else ()
-            if keys not in sets:
-                if len(sets) > 1000:
-                    sets.clear()
-                sets[keys] = frozenset(keys)
-            texts.append(main_text(source.as_py() or "", sets[keys]))
+        for source, host, template in zip(part.column("html"), part.column("host"), part.column("template")):
+            host = host.as_py()
+            if host not in hosts:
+                if len(hosts) > 1000 or sum(map(len, hosts.values())) > 500_000:
+                    hosts.clear()
+                hosts[host] = {token: c["pages"] for c in (template.as_py() or ()) for token in c["class"]}
+            texts.append(main_text(source.as_py() or "", hosts[host]))
         yield pa.RecordBatch.from_arrays(
             [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"]
         )
@@ -349,7 +358,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     (menus, headers, footers, sidebars, notices, adverts, forms, comments); of the rest
     the article element counts, or else the smallest element around the text that varies. Template
     texts are left out before and after the article, never inside it. Templates reach the pages by a broadcast up to
-    BROADCAST_HOSTS hosts and by a join on the host beyond.
+    BROADCAST_TOKENS tokens and by a join on the host beyond.
 
     Null or empty html: an empty text. Null url: the page is on a host of its own kind,
     read without template. Repeated rows are read each; other columns are ignored; an
@@ -360,8 +369,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
     keyed = rows.where(F.col("host") != "").select("host", "html", F.xxhash64("id", "url").alias("key"))
     templates = Scratch(spark, "templates").save(deduce_templates(keyed), "templates")
-    small = templates.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    joined = rows.join(F.broadcast(templates) if small else templates, "host", "left").select("id", "url", "html", "template")
+    tokens = templates.agg(F.sum(F.aggregate("template", F.lit(0), lambda n, c: n + F.size(c["class"])))).first()[0] or 0
+    small = tokens <= BROADCAST_TOKENS
+    joined = rows.join(F.broadcast(templates) if small else templates, "host", "left").select("id", "url", "html", "host", "template")
     kind = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
     done = joined.mapInArrow(_extract, f"id {kind[id_col]}, url {kind[url_col]}, text string, n_chars long")
     return done.withColumnsRenamed({"id": id_col, "url": url_col})

@@ -116,6 +116,15 @@ def test_the_template_takes_nothing_out_of_an_article(spark):
         assert got[:9] == ["\n".join([*shared[:3], f"Edition {n}.", *shared[3:]]) for n in range(9)]
 
 
+def test_each_layout_of_a_host_has_its_template(spark):
+    post = lambda n: f"<html><body><div class=top>Our site</div><div class=box><h1>Post {n}</h1><p>Text {n} of it.</p></div></body></html>"
+    boast = "".join(f"<p>Line {k} of what stands on each product page, in many words that say little.</p>" for k in range(4))
+    product = lambda n: f"<html><body><div class=top>Our site</div><div class=item><h1>Thing {n}</h1><p>It is {n} cm long, {'very ' * 20}sturdy.</p></div><div class=pitch>{boast}</div></body></html>"
+    got = extracted(spark, [post(n) for n in range(12)] + [product(n) for n in range(8)])
+    assert got[:12] == [f"Post {n}\nText {n} of it." for n in range(12)]
+    assert got[12:] == [f"Thing {n}\nIt is {n} cm long, {'very ' * 20}sturdy." for n in range(8)]
+
+
 # Near duplicates -----------------------------------------------------------------
 
 
