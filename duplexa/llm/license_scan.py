@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,25 @@ SPELLINGS = [
 NOT_WORDS = r"[^\p{L}\p{N}]+"
 #: Canonical lines that say whose rights they are, not which: not part of a licence text.
 OWNER_LINES = r"^((copyright )?(c )?(copyright )?[0-9]{4}( .*)?|copyright c .*|all rights reserved)$"
+#: Where the full texts lie, one a file named by its id.
+TEXTS = Path(__file__).parent / "licenses"
+#: Canonical lines before a licence's first own line that name it, its version and place, or its owner, with or without a year.
+HEADER_LINES = (
+    r"(the )?(mit|expat|x11|isc|0bsd|bsd|zlib|apache|mozilla|gnu|artistic|unlicense)( [\p{L}\p{N}]+){0,5} license( [\p{L}\p{N}]+){0,5}"
+    r"|(the )?(unlicense|artistic license)|license|version [0-9 ]+[a-z]+ [0-9]{4}|http www apache org licenses|spdx license identifier .*"
+    r"|copyright( [\p{L}\p{N}]+){1,12}|(51 franklin|59 temple|675 mass) .*"
+)
+
+
+def texts() -> list[tuple[str, str]]:
+    """(license_id, text) of every known licence, full texts also without what follows their terms or the owner's line in it."""
+    known = list(LICENSES.items())
+    for file in sorted(TEXTS.glob("*.txt")):
+        name, text = file.name.removesuffix(".txt").removesuffix("-Regents"), file.read_text("utf-8")
+        known += [(name, text), (name, re.sub(r"(?m)^ *Copyright \[yyyy\].*$", "", text))]
+        if end := re.search(r"END OF TERMS AND CONDITIONS", text):
+            known += [(name, text[: end.end()]), (name, text[: end.start()])]
+    return known
 
 
 def canonical_line(line: Column) -> Column:
@@ -60,10 +82,18 @@ def digest(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
-def known_digests(spark, licenses: dict[str, str]) -> DataFrame:
-    """(license_id, known_digest), a row for each licence given."""
-    rows = spark.createDataFrame(list(licenses.items()), "license_id string, license_text string")
-    return rows.groupBy(digest(F.array_join(canonical_lines(F.col("license_text")), " ")).alias("known_digest")).agg(F.min("license_id").alias("license_id"))
+def own_digest(lines: Column, whole: Column) -> Column:
+    """The digest of canonical lines from a licence's first own line on; ``whole`` is that of all of them."""
+    header = rf"^(?:(?:{HEADER_LINES})(?:\n|$))+"
+    joined = F.array_join(lines, "\n")
+    return F.when(joined.rlike(header), digest(F.replace(F.regexp_replace(joined, header, ""), F.lit("\n"), F.lit(" ")))).otherwise(whole)
+
+
+def known_digests(spark, licenses: list[tuple[str, str]]) -> DataFrame:
+    """(license_id, known_digest), a row for each licence text given."""
+    rows = spark.createDataFrame(licenses, "license_id string, license_text string").select("license_id", canonical_lines(F.col("license_text")).alias("lines"))
+    key = own_digest(F.col("lines"), digest(F.array_join("lines", " ")))
+    return rows.groupBy(key.alias("known_digest")).agg(F.min("license_id").alias("license_id"))
 
 
 def scan(documents: DataFrame, licenses: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,24 +101,25 @@ def scan(documents: DataFrame, licenses: dict[str, str] | None = None, id_col: s
 
     The digest is of the entire canonical text: one licence wrapped, spelt, punctuated or
     capitalised otherwise, or under another copyright line, has one digest. license_id is
-    the known licence of that digest, null if none; notices are the known licences that
-    single lines are, sorted and joined by commas. ``licenses`` is the caller's table,
-    a row a licence, whose digests are broadcast; documents are not shuffled.
+    the known licence of the text after its header (HEADER_LINES), null if none; notices are the known licences that
+    single lines are, sorted and joined by commas. ``licenses`` is the caller's table
+    in place of ``texts()``, a row a licence, whose digests are broadcast; documents are not shuffled.
 
     Null and empty texts, and texts of nothing but punctuation or copyright lines, have
     the digest of the empty string and no licence. Repeated rows stay; other columns are
     ignored; an empty table gives an empty result.
     """
     spark = documents.sparkSession
-    known = known_digests(spark, LICENSES if licenses is None else licenses)
+    known = spark.createDataFrame(known_digests(spark, texts() if licenses is None else list(licenses.items())).collect(), "known_digest string, license_id string")
     by_digest = F.create_map(*(F.lit(x) for row in known.collect() for x in row))
     rows = documents.select(F.col(id_col).alias("id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
-    rows = rows.select("id", digest(F.array_join("lines", " ")).alias("text_digest"), F.transform("lines", digest).alias("line_digests"))
-    joined = rows.join(F.broadcast(known), F.col("text_digest") == F.col("known_digest"), "left")
+    rows = rows.select("id", digest(F.array_join("lines", " ")).alias("text_digest"), F.transform("lines", digest).alias("line_digests"), "lines")
+    rows = rows.withColumn("own_digest", own_digest(F.col("lines"), F.col("text_digest")))
+    joined = rows.join(F.broadcast(known), F.col("own_digest") == F.col("known_digest"), "left")
     notices = F.array_sort(F.array_distinct(F.filter(F.transform("line_digests", lambda d: F.try_element_at(by_digest, d)), lambda x: x.isNotNull())))
     return joined.select(
         F.col("id").alias(id_col),
         "text_digest",
-        F.when(F.col("text_digest") != digest(F.lit("")), F.col("license_id")).alias("license_id"),
+        F.when(F.col("own_digest") != digest(F.lit("")), F.col("license_id")).alias("license_id"),
         F.array_join(notices, ",").alias("notices"),
     )

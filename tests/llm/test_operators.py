@@ -387,6 +387,31 @@ def test_one_licence_in_many_dresses(spark):
     assert not re.search("Python|Pandas|InArrow", plan)
 
 
+def test_published_licence_files_are_known(spark):
+    full = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in license_scan.TEXTS.glob("*.txt")}
+    mit, bsd = license_scan.LICENSES["MIT"], full["BSD-3-Clause"]
+    apache = full["Apache-2.0"]
+    cases = {
+        "MIT License\n\nCopyright (c) 2024 A. Body\n\n" + mit: "MIT",
+        "The MIT License (MIT)\nCopyright Jane Doe\n\n" + re.sub(r"(.{50,70}) ", r"\1\n", mit): "MIT",
+        "BSD 3-Clause License\n\nCopyright 2020, Jane Doe\nAll rights reserved.\n" + re.sub(r"(.{50,70}) ", r"\1\n", bsd): "BSD-3-Clause",
+        "Copyright Jane Doe\n" + full["BSD-2-Clause"]: "BSD-2-Clause",
+        apache.replace("[yyyy] [name of copyright owner]", "2021 Jane Doe"): "Apache-2.0",
+        apache[: apache.index("APPENDIX")]: "Apache-2.0",
+        full["GPL-3.0"]: "GPL-3.0",
+        full["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA", 1): "GPL-2.0",
+        full["LGPL-2.1"]: "LGPL-2.1",
+        full["MPL-2.0"]: "MPL-2.0",
+        "The Unlicense\n" + full["Unlicense"]: "Unlicense",
+        full["CC0-1.0"]: "CC0-1.0",
+        "MIT License": None,
+        "MIT License\n" + mit + "\nAnd more.": None,
+        bsd.replace("may be used", "may not be used"): None,
+    }
+    rows = sorted(license_scan.scan(document_frame(spark, list(cases))).collect())
+    assert [r["license_id"] for r in rows] == list(cases.values())
+
+
 # Vectors -------------------------------------------------------------------------
 
 
