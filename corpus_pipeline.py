@@ -9,6 +9,9 @@ from duplexa.llm import line_dedup, minhash_dedup, packing, quality_classifier,
 from duplexa.llm.queries import word_bpe
 from duplexa.llm.scratch import Scratch
 
+#: A single line shorter than line dedup's minimum counts as boilerplate from this many copies on.
+MIN_COPIES = 10
+
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of the best grade is at least one half; the others go."""
@@ -18,8 +21,8 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of repeated line runs."""
-    return _counted(line_dedup.dedup_lines(docs).select(docs.columns))
+    """All documents, without later copies of repeated line runs and of short lines that MIN_COPIES places have."""
+    return _counted(line_dedup.dedup_lines(docs, min_copies=MIN_COPIES).select(docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

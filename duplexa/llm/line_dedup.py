@@ -30,11 +30,13 @@ def dedup_lines(
     text_col: str = "text",
     min_lines: int = MIN_LINES,
     min_chars: int = MIN_CHARS,
+    min_copies: int | None = None,
 ) -> DataFrame:
     """``documents`` without later copies of repeated line runs, and n_lines, n_removed, n_runs.
 
     A line goes if it lies in a run of ``min_lines`` lines, or is a line of ``min_chars``
     characters, that also begins at an earlier place; places are ordered by (id, line).
+    With ``min_copies``, a shorter line goes too if the whole table has it that often.
     Every maximal repeated run of that length is a union of such runs, so suffixes need
     ordering only to that depth: names of runs of 1, 2, 4 ... lines are built by doubling,
     and suffixes of one name form an interval of the suffix array whose common prefix is
@@ -63,8 +65,9 @@ def dedup_lines(
         shift = min(run, min_lines - run)
         rows = rows.withColumn(f"run{run + shift}", _double(F.col(f"run{run}"), shift))
         run += shift
-    single = F.filter(F.arrays_zip(F.col("run1").alias("name"), F.col("at").alias("at"), F.col("chars").alias("chars")), lambda x: x["chars"] >= min_chars)
-    long = F.transform(single, lambda x: F.struct(F.lit(1).alias("run"), x["name"].alias("name"), F.array(x["at"]).alias("at")))
+    single = F.filter(F.arrays_zip(F.col("run1").alias("name"), F.col("at").alias("at"), F.col("chars").alias("chars")), lambda x: x["chars"] >= (min_chars if min_copies is None else 1))
+    # Single lines under min_chars go as runs of 0 lines.
+    long = F.transform(single, lambda x: F.struct((x["chars"] >= min_chars).cast("int").alias("run"), x["name"].alias("name"), F.array(x["at"]).alias("at")))
     runs = F.transform(
         F.col(f"run{run}"), lambda x, i: F.struct(F.lit(run).alias("run"), x.alias("name"), F.slice(F.col("at"), i + 1, run).alias("at"))
     )
@@ -72,7 +75,8 @@ def dedup_lines(
         "s.run", F.col("s.name.a").alias("a"), F.col("s.name.b").alias("b"), F.col("id").alias("id"), "s.at"
     )
     place = F.struct(F.col("id"), F.col("at")[0].alias("line"))
-    intervals = starts.groupBy("run", "a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    intervals = starts.groupBy("run", "a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    intervals = intervals.where((F.col("run") > 0) | (F.col("n") >= (min_copies or 0))).drop("n")
     later = starts.join(intervals, ["run", "a", "b"]).where(place > F.col("first"))
     gone = later.select("id", F.explode("at").alias("line")).groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("__gone"))
     cut = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))

@@ -122,3 +122,15 @@ def test_stages_keep_null_ids(spark, tmp_path):
     for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.drop_repeated_passages):
         assert stage(spark, docs, str(tmp_path)).where("doc_id is null").count() == 2
     assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).where("doc_id is null").count() == 2
+
+
+def test_short_lines_go_by_how_often_they_repeat(spark, tmp_path):
+    rows = [(n, f"own text {n}\nAll rights reserved." + ("\nYes." if n < 9 else "")) for n in range(12)]
+    _tables(spark, str(tmp_path), rows)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs.select("doc_id", "text"), str(tmp_path)).collect()}
+    assert got[0] == rows[0][1] and got[11] == "own text 11"
+    once = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame([(n, t.replace("\nYes", " Yes")) for n, t in rows], "doc_id long, text string"), min_copies=3).collect()}
+    assert once[0] == "own text 0\nAll rights reserved. Yes." and once[8] == "own text 8" and once[11] == "own text 11" and once[9] == rows[9][1]
+    shorter = line_dedup.dedup_lines(docs.where("doc_id in (0, 9, 11)").select("doc_id", "text"), min_copies=10).collect()
+    assert all(r["n_removed"] == 0 for r in shorter)
