@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duplexa.functions.energies import BULGE, HAIRPIN, INTERIOR, can_pair, codes, stacks
+from duplexa.functions.energies import BULGE, HAIRPIN, INTERIOR, MOST_UNPAIRED, can_pair, codes, stacks
 from duplexa.functions.parameters import DEFAULT_TEMPERATURE, thermal_energy
 from duplexa.functions.sequences import reverse_complement, to_dna, to_rna
 from duplexa.operators.search import tile
@@ -16,7 +16,7 @@ from duplexa.shipping import ship
 #: Energy of a stretch that is never open.
 CLOSED = 25.5
 #: Unpaired bases in an interior loop or bulge at most, and windows folded at a time.
-LOOP, BATCH = 4, 256
+LOOP, BATCH = MOST_UNPAIRED, 256
 
 
 def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -> np.ndarray:
@@ -34,29 +34,43 @@ def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -
     hairpins = np.zeros(size + 1)
     for n in range(3, size + 1):
         hairpins[n] = factor(HAIRPIN.get(n, 6.4 + 1.75 * rt * np.log(max(n, 9) / 9)))
-    loops = [(a, b) for a in range(LOOP + 1) for b in range(LOOP + 1 - a)]
+    # Loops whose factor depends on the bases: stacks, and bulges of one.
+    near = [(0, 0), (0, 1), (1, 0)]
+    far = np.zeros((LOOP + 1, LOOP + 1))
+    for a in range(LOOP + 1):
+        for b in range(LOOP + 1 - a):
+            if a + b > 1:
+                far[a, b] = factor(INTERIOR.get(a + b, 1.6) if a and b else BULGE[a + b])
 
     def steps(d):
-        """Of pairs (i, i + d): each loop's inner pairs and factor."""
+        """Of pairs (i, i + d): each near loop's inner pairs and factor."""
         i = np.arange(size - d)
-        for a, b in loops:
-            inner = d - 2 - a - b
-            if inner < 4:
+        for a, b in near:
+            if d - 2 - a - b < 4:
                 continue
-            x, y, p, q = windows[:, i], windows[:, i + d], windows[:, i + 1 + a], windows[:, i + d - 1 - b]
-            if a == b == 0:
-                e = factor(stack[x, y, p, q])
-            elif a == 0 or b == 0:
-                e = factor(BULGE[a + b] + (stack[x, y, p, q] if a + b == 1 else 0.0))
-            else:
-                e = factor(INTERIOR.get(a + b, 1.6))
+            e = factor(stack[windows[:, i], windows[:, i + d], windows[:, i + 1 + a], windows[:, i + d - 1 - b]] + (BULGE[1] if a + b else 0.0))
             yield i, a, b, e
 
+    def within(d):
+        """Of pairs (i, i + d): views of the sums of all pairs inside, and the factor of the loop between by (a, b), b counted from the inside."""
+        m = min(LOOP + 1, d - 5)
+        if m < 1:
+            return None
+        s0, s1, s2 = inside.strides
+        low = d - m  # the last m places before i + d
+        view = np.lib.stride_tricks.as_strided(inside[:, 1:, low:], (count, size - d, m, m), (s0, s1 + s2, s1, s2), writeable=False)
+        weight = far[:m, :m][:, ::-1].copy()
+        # Inner pairs of at least four places.
+        weight[(np.arange(m)[:, None] + np.arange(m)[::-1][None]) > d - 6] = 0.0
+        return view, weight
+
     for d in range(4, span):
         i = np.arange(size - d)
         total = np.full((count, size - d), hairpins[d - 1])
         for _, a, b, e in steps(d):
             total = total + e * inside[:, i + 1 + a, i + d - 1 - b]
+        if inner := within(d):
+            total = total + np.einsum("wiab,ab->wi", *inner)
         inside[:, i, i + d] = np.where(pairs[windows[:, i], windows[:, i + d]], total, 0.0)
     # Sums over the outer stretch: before each base, and from each base on.
     ahead, behind = np.ones((count, size + 1)), np.ones((count, size + 1))
@@ -81,6 +95,15 @@ def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -
                 free[:, i + 1, i + 2 + a] += w
             if b:
                 free[:, i + d - b, i + d + 1] += w
+        if inner := within(d):
+            view, weight = inner
+            m = len(weight)
+            left, right = np.einsum("wiab,ab->wia", view, weight), np.einsum("wiab,ab->wib", view, weight)
+            for a in range(1, m):
+                free[:, i + 1, i + 2 + a] += closed * left[:, :, a]
+                free[:, i + d - a, i + d + 1] += closed * right[:, :, m - 1 - a]
+            for n in i:
+                outside[:, n + 1 : n + 1 + m, n + d - m : n + d] += closed[:, n, None, None] * weight
     # Loops that begin before a stretch and end after it.
     around = np.cumsum(free, axis=1)
     around = np.cumsum(around[:, :, ::-1], axis=2)[:, :, ::-1]

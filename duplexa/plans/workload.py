@@ -514,5 +514,5 @@ def folded_profiles(spark, sf_dir):
     from duplexa.operators import folding
 
     _, targets = _oligos(spark, sf_dir)
-    rows = folding.fold(targets, window=40, span=30, unpaired=8)
+    rows = folding.fold(targets, window=80, span=40, unpaired=30)
     return rows.select("chrom", "strand", "position", F.transform("u", lambda x: F.round(x.cast("double"), 3)).alias("u"))

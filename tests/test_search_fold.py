@@ -119,3 +119,37 @@ def test_profiles_of_both_strands(spark):
         {(r["strand"], r["position"]): r["u"] for r in folding.fold(records(spark, [("c", long)]), 20, 15, 4, tile_size=size).collect()} for size in (64, 4096)
     )
     assert tiled.keys() == whole.keys() and all(tiled[k] == pytest.approx(whole[k], abs=1e-4) for k in whole)
+
+
+def test_loops_of_more_than_four_bases_count():
+    assert BULGE[6] < BULGE[30] < 6.2 and INTERIOR[5] == 2.0 and INTERIOR[30] < 3.8
+    # Two helices with 2 and 3 unpaired bases between: the outer one would be open if they were no loop.
+    sequence = "GGGGAAGGGGCUUCGGCCCCAAACCCC"
+    n = len(sequence)
+    chance = folding.unpaired_chances(codes(sequence)[None], n, 4, RT)[0]
+    assert chance[3, 3] < 0.2 and chance[n - 1, 3] < 0.2
+    # A duplex over a loop of 3 and 3 bases, by hand.
+    table, loop = stacks(), search.loop_energy(3, 3)
+    assert loop == 2.0 and search.loop_energy(10, 0) == BULGE[10]
+
+
+def test_duplexes_cross_wide_loops(spark):
+    left, right = "GGCGCGGC", "GCCGGCCG"
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGU", "UGCA"))
+    query = left + "AAA" + right
+    target = "A" * 5 + turn(right) + "AAA" + turn(left) + "A" * 5
+    rows = search.search(records(spark, [("s", query)]), records(spark, [("t", target)]), strands=("+",), seed_wobble=False).collect()
+    helix = lambda s: sum(stacks()[codes(a)[0], 3 - codes(a)[0], codes(b)[0], 3 - codes(b)[0]] for a, b in zip(s, s[1:]))
+    best = min(rows, key=lambda r: r["energy"])
+    assert best["energy"] == pytest.approx(4.09 + helix(left) + helix(right) + search.loop_energy(3, 3), abs=1e-3)
+    assert (best["start"], best["end"], best["q_start"], best["q_end"]) == (5, 23, 1, 19)
+
+
+def test_the_registered_profiles_are_whole(spark, tmp_path):
+    from duplexa.plans import workload
+
+    spark.createDataFrame([(7,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(7,)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    rows = workload.QUERIES["folded_profiles"](spark, str(tmp_path)).collect()
+    assert len(rows) == 120 and {len(r["u"]) for r in rows} == {30}
+    assert any(r["u"][29] < 25.5 for r in rows)
