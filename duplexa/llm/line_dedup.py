@@ -1,4 +1,4 @@
-"""Repeated runs of lines, found by prefix doubling over sequences of line names."""
+"""Repeated runs of lines, found by grouping hashes of single lines and of short runs."""
 
 from __future__ import annotations
 
@@ -37,11 +37,11 @@ def dedup_lines(
     A line goes if it lies in a run of ``min_lines`` lines, or is a line of ``min_chars``
     characters, that also begins at an earlier place; places are ordered by (id, line).
     With ``min_copies``, a shorter line goes too if the whole table has it that often.
-    Every maximal repeated run of that length is a union of such runs, so suffixes need
-    ordering only to that depth: names of runs of 1, 2, 4 ... lines are built by doubling,
-    and suffixes of one name form an interval of the suffix array whose common prefix is
-    at least the run. The interval's first place keeps its lines. Blank lines belong to
-    no run and stay.
+    Every maximal repeated run of that length is a union of such runs, so no suffix array
+    is built: runs of ``min_lines`` lines get hashed names, made by doubling (once for two
+    lines), and the places of one name are those of an interval of the array whose common
+    prefix is at least the run. The first place keeps its lines. Blank lines belong to no
+    run and stay.
 
     Intervals are found by an aggregation of (count, first place), combined before the
     shuffle, and joined back only where a name repeats; that join may be split where one
