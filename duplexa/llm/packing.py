@@ -4,22 +4,28 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duplexa.llm.bpe_automaton import chunks
+from duplexa.llm.bpe_automaton import byte_letters
 from duplexa.llm.scratch import Scratch
 from duplexa.llm.worker_cache import claim
 
 DIMS, BITS, BUCKETS = 3, 16, 1024
 #: Words a worker remembers, some 200 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+#: Text bytes encoded at a time.
+SLICE = 4 << 20
+#: Signs that no rule of the tokenizer joins with letters before them.
+SIGNS = ".,;:!?#$%&*+()[]{}=~^@\"/|-_"
 #: A task's sequences are numbered from its partition number times this.
 NUMBERS = 1 << 40
 
@@ -61,111 +67,176 @@ def projection() -> np.ndarray:
     return np.random.default_rng(20_240_229).standard_normal((BUCKETS, DIMS))
 
 
-def curve_points(ids_of: list[np.ndarray]) -> np.ndarray:
-    """Coordinates of documents: hashed token counts at unit length, projected and squashed."""
-    out = np.zeros((len(ids_of), DIMS))
-    directions = projection()
-    for row, ids in enumerate(ids_of):
-        counts = np.bincount((ids.astype(np.int64) * 40_503 >> 4) % BUCKETS, minlength=BUCKETS)
-        norm = np.sqrt(float(counts @ counts))
-        out[row] = counts @ directions / norm if norm else 0
+def curve_points(ids: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Coordinates of documents laid end to end: hashed token counts at unit length, projected and squashed."""
+    begins = np.concatenate([[0], stops[:-1]])
+    out = np.zeros((len(stops), DIMS))
+    for at in range(0, len(stops), 512):
+        low, high = int(begins[at]), int(stops[min(at + 512, len(stops)) - 1])
+        sizes = (stops - begins)[at : at + 512]
+        bucket = (ids[low:high].astype(np.int64) * 40_503 >> 4) % BUCKETS
+        bucket += np.repeat(np.arange(len(sizes)) * BUCKETS, sizes)
+        counts = np.bincount(bucket, minlength=len(sizes) * BUCKETS).reshape(len(sizes), BUCKETS).astype(np.float64)
+        norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        out[at : at + 512] = counts @ projection() / np.maximum(norm, 1)
     return np.minimum(((np.tanh(out) + 1) / 2 * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
-@lru_cache(maxsize=2)
-def _library(spec: str):
-    """The tokenizer, the ids of words met so far, and for each id whether it ends a word."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def _lowered(word: str) -> str:
+    """A Latin word in lower case, if that is all the tokenizer's normaliser does to it; else the empty string."""
+    return word.lower() if max(word) < "\u0250" and unicodedata.is_normalized("NFC", word) else ""
+
+
+class _Library:
+    """The tokenizer, one without its normaliser and splitting for plain words, and the ids of words met so far."""
+
+    def __init__(self, spec: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        data = json.loads(spec)
+        self.whole = Tokenizer.from_str(spec)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        suffix = data["model"].get("end_of_word_suffix")
+        #: Of each id, whether it ends a word.
+        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        for token, i in data["model"]["vocab"].items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+        self.letters = byte_letters()
+        data |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": [], "truncation": None, "padding": None}
+        self.bare = Tokenizer.from_str(json.dumps(data)) if self.ends.any() else None
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. Words met twice are remembered, others until too many are new."""
+        known, young = self.known, self.young
+        parts = list(map(known.get, words))
+        missing = [n for n, x in enumerate(parts) if x is None]
+        fresh = []
+        for n in missing:
+            found = young.get(words[n])
+            if found is None:
+                fresh.append(words[n])
+            else:
+                parts[n] = found
+                if len(known) < REMEMBERED:
+                    known[words[n]] = young.pop(words[n])
+        if fresh:
+            now = self.encode(fresh)
+            for n in missing:
+                if parts[n] is None:
+                    parts[n] = now[words[n]]
+            if len(young) > REMEMBERED:
+                young.clear()
+            young |= now
+        return parts
+
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of runs without white space.
+
+        Latin letters, and such before a run of signs, are one word of the tokenizer (or
+        two); the letters are encoded in long lines without normalising, which part where
+        an id ends a word. All others, and all if a line does not part so, are encoded one by one.
+        """
+        plain, rest = [], []
+        for w in words:
+            base = w if w.isalpha() else w.rstrip(SIGNS)
+            low = base.lower() if base.isascii() else _lowered(base)
+            if low.isalpha():
+                plain.append((w, low, w[len(base) :]))
+            else:
+                rest.append(w)
+        lows = list({low for _, low, _ in plain})
+        parted = self._lines(lows) if self.bare and lows else None
+        if parted is None:
+            plain, rest = [], words
+        out = dict(zip(rest, self._one_by_one(rest))) if rest else {}
+        if plain:
+            tails = list({tail for *_, tail in plain} - {""})
+            marks = dict(zip(tails, self._one_by_one(tails))) | {"": b""}
+            coded = dict(zip(lows, parted))
+            out |= {w: coded[low] + marks[tail] if tail else coded[low] for w, low, tail in plain}
+        return out
+
+    def _lines(self, lows: list[str]) -> list[bytes] | None:
+        letters = self.letters
+        line = " ".join([x if x.isascii() else "".join([letters[b] for b in x.encode()]) for x in lows])
+        ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+        stop = (np.nonzero(self.ends[ids])[0] + 1) * 4
+        if len(stop) != len(lows):
+            return None
+        flat, stop = ids.tobytes(), stop.tolist()
+        return [flat[i:j] for i, j in zip([0, *stop], stop)]
+
 
-    made = Tokenizer.from_str(spec)
-    made.no_truncation()
-    made.no_padding()
-    suffix = json.loads(spec)["model"].get("end_of_word_suffix")
-    ends = np.zeros(made.get_vocab_size(), bool)
-    for token, i in made.get_vocab().items():
-        ends[i] = bool(suffix) and token.endswith(suffix)
-    return made, {}, ends
+@lru_cache(maxsize=1)
+def _library(spec: str) -> _Library:
+    return _Library(spec)
 
 
-def _encode_words(spec: str, words: list[str]) -> dict[str, bytes]:
-    """Ids of runs without white space.
+def encode_all(spec: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each closed by ``end_id``, laid end to end, and where each text's end.
 
-    A plain Latin word, and one before a full stop or comma, is one word of the
-    tokenizer (or two); such are encoded in long lines, which part where an id ends a
-    word. All others are encoded one by one.
+    Texts are cut at ASCII white space, over which no token reaches; each distinct word of
+    them is looked up once, and encoded if it is new.
     """
-    made, _, ends = _library(spec)
-    plain, rest = {}, []
-    for w in words:
-        base = w[:-1] if w[-1] in ".," else w
-        low = base.lower()
-        if low.isalpha() and max(low) < "\u0250":
-            plain[w] = low
-        else:
-            rest.append(w)
-    if not ends.any():
-        plain, rest = {}, words
-    out = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(rest, made.encode_batch_fast(rest, add_special_tokens=False))} if rest else {}
-    if plain:
-        bases = list(set(plain.values()))
-        ids = np.array(made.encode_batch_fast([" ".join(bases)], add_special_tokens=False)[0].ids, "<u4")
-        stop = (np.nonzero(ends[ids])[0] + 1) * 4
-        if len(stop) != len(bases):
-            raise ValueError("a plain word is not one word of the tokenizer")
-        flat, stop = ids.tobytes(), stop.tolist()
-        coded = {w: flat[i:j] for w, i, j in zip(bases, [0, *stop], stop)}
-        marks = {m: np.array(made.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
-        for w, low in plain.items():
-            out[w] = coded[low] + (marks[w[-1]] if w[-1] in marks else b"")
-    return out
-
-
-def _folded(text: str) -> str:
-    """A Latin-1 text in lower case, as the tokenizer reads it anyway: fewer words to look up. Others as they are."""
-    if "<|" in text:
-        return text
-    if not text.isascii():
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-    return text.lower()
-
-
-def encode_all(spec: str, texts: list[str], end_id: int) -> list[bytes]:
-    """Ids of each text and ``end_id``, as little-endian 32-bit numbers; words met before are looked up."""
-    known = _library(spec)[1]
-    cut = [chunks(_folded(t)) for t in texts]
-    found = [list(map(known.get, words)) for words in cut]
-    fresh = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
-    if fresh:
-        now = _encode_words(spec, list(fresh))
-        if len(known) < REMEMBERED:
-            known |= now
-        for words, ids in zip(cut, found):
-            if None in ids:
-                ids[:] = [now[w] if i is None else i for w, i in zip(words, ids)]
-    end = np.array([end_id], "<u4").tobytes()
-    return [b"".join(ids) + end for ids in found]
+    library = _library(spec)
+    texts = pc.fill_null(texts, "")
+    # The tokenizer reads letters in lower case anyway, but in the names of special tokens.
+    texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+    cut = pc.ascii_split_whitespace(texts)
+    offsets = cut.offsets.to_numpy().astype(np.int64)
+    coded = cut.flatten().dictionary_encode()
+    distinct = coded.dictionary
+    # One string, parted again, is a faster way to Python's strings than one by one.
+    words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), " ")[0].as_py().split(" ") if len(distinct) else []
+    parts = library.look_up(words)
+    flat = np.frombuffer(b"".join(parts), "<u4")
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    word = coded.indices.to_numpy()
+    length = sizes[word]
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    # Where each word's ids begin in ``flat``, less where they begin in the result.
+    shift = (np.cumsum(sizes) - sizes)[word] - (ends - length)
+    ids = flat[np.repeat(shift, length) + np.arange(total)]
+    stops = np.concatenate([[0], ends])[offsets[1:] - offsets[0]]
+    return np.insert(ids, stops, np.uint32(end_id)), stops + np.arange(1, len(stops) + 1)
+
+
+def _packed(ids: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """A binary array of the documents' ids."""
+    offsets = np.concatenate([[0], stops]) * ids.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
+
+
+def _slices(batch: pa.RecordBatch, column: int):
+    """The batch in slices of about SLICE text bytes, a row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = (np.cumsum(sizes) - sizes) // SLICE
+    cuts = [0, *(np.nonzero(np.diff(group))[0] + 1).tolist(), batch.num_rows]
+    for low, high in zip(cuts, cuts[1:]):
+        if high > low:
+            yield batch.slice(low, high - low)
 
 
 def _tokenize(shared, end_id: int):
     def run(batches):
-        claim(_library(shared.value)[1])
+        library = _library(shared.value)
+        claim(library.known, library.young)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encode_all(shared.value, [x.as_py() or "" for x in part.column(1)], end_id)
-                flat = [np.frombuffer(x, "<u4") for x in ids]
-                keys = hilbert_keys(curve_points(flat))
+            for part in _slices(batch, 1):
+                ids, stops = encode_all(shared.value, part.column(1), end_id)
+                keys = pa.array(hilbert_keys(curve_points(ids, stops)))
                 # Two bytes an id where they do: half to store and move.
-                small = [x.astype("<u2").tobytes() if x.max() < 65536 else b"" for x in flat]
-                large = [None if s else i for s, i in zip(small, ids)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(keys), pa.array([s or None for s in small], pa.binary()), pa.array(large, pa.binary())],
-                    ["doc", "curve_key", "small", "large"],
-                )
+                fits = int(ids.max(initial=0)) < 65536
+                packed, none = _packed(ids.astype("<u2") if fits else ids, stops), pa.nulls(len(stops), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), keys, packed if fits else none, none if fits else packed], ["doc", "curve_key", "small", "large"])
 
     return run
 

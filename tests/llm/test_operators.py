@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from against_sql import DATA, same
 from hypothesis import given, settings
@@ -326,8 +327,18 @@ def test_hilbert_neighbours_touch():
 def test_new_words_in_lines_equal_the_library(library):
     rnd = random.Random(3)
     cases = ["".join(chr(rnd.choice([32, 46, 44, rnd.randrange(33, 0x250), rnd.randrange(65, 123)])) for _ in range(40)) for _ in range(800)]
-    for case, data in zip(cases, packing.encode_all(word_bpe(), cases, 1)):
-        assert np.frombuffer(data, "<u4").tolist() == [*library.encode(case, add_special_tokens=False).ids, 1], case
+    cases += ["".join(chr(rnd.choice([9, 32, 0x85, 0x1C, 0x2003, rnd.randrange(0x3000), rnd.randrange(0x1F300, 0x1F700), rnd.randrange(65, 123)])) for _ in range(30)) for _ in range(300)]
+    cases += ["", None, " \n ", "a" * 3000, "İstanbul ΣΑΣ's DON'T Don't <|endoftext|>x<|ENDOFTEXT|> WORDS In UPPER <|startoftext|>", "a/b a-b. ÉTUDE É. ß ÿ Ÿ ŉ ǰ it's' \"word\"'s x'dx can't."]
+    ids, stops = packing.encode_all(word_bpe(), pa.array(cases), 1)
+    for case, begin, end in zip(cases, [0, *stops], stops):
+        assert ids[begin:end].tolist() == [*library.encode(case or "", add_special_tokens=False).ids, 1], case
+
+
+def test_a_line_that_does_not_part_is_encoded_word_by_word(library, monkeypatch):
+    monkeypatch.setattr(packing._Library, "_lines", lambda self, lows: None)
+    own = packing._Library(word_bpe())
+    words = ["notmet", "norme.", "été", "x'd"]
+    assert [np.frombuffer(own.encode(words)[w], "<u4").tolist() for w in words] == [library.encode(w, add_special_tokens=False).ids for w in words]
 
 
 # Grades --------------------------------------------------------------------------
