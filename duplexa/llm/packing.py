@@ -21,9 +21,10 @@ from duplexa.llm.worker_cache import claim
 
 DIMS, BITS, BUCKETS = 3, 16, 1024
 #: Words a worker remembers, some 200 bytes each.
-REMEMBERED = 200_000
-#: Text bytes encoded at a time.
-SLICE = 4 << 20
+REMEMBERED = 100_000
+#: Words in a line that the tokenizer is given, and text bytes encoded at a time.
+LINE = 5000
+SLICE = 2 << 20
 #: Signs that no rule of the tokenizer joins with letters before them.
 SIGNS = ".,;:!?#$%&*+()[]{}=~^@\"/|-_"
 #: A task's sequences are numbered from its partition number times this.
@@ -152,8 +153,8 @@ class _Library:
             else:
                 rest.append(w)
         lows = list({low for _, low, _ in plain})
-        parted = self._lines(lows) if self.bare and lows else None
-        if parted is None:
+        parted = [x for at in range(0, len(lows), LINE) for x in self._line(lows[at : at + LINE])] if self.bare else []
+        if len(parted) != len(lows):
             plain, rest = [], words
         out = dict(zip(rest, self._one_by_one(rest))) if rest else {}
         if plain:
@@ -163,13 +164,14 @@ class _Library:
             out |= {w: coded[low] + marks[tail] if tail else coded[low] for w, low, tail in plain}
         return out
 
-    def _lines(self, lows: list[str]) -> list[bytes] | None:
+    def _line(self, lows: list[str]) -> list[bytes]:
+        """Ids of each word of a line, or nothing if it does not part into them."""
         letters = self.letters
         line = " ".join([x if x.isascii() else "".join([letters[b] for b in x.encode()]) for x in lows])
         ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
         stop = (np.nonzero(self.ends[ids])[0] + 1) * 4
         if len(stop) != len(lows):
-            return None
+            return []
         flat, stop = ids.tobytes(), stop.tolist()
         return [flat[i:j] for i, j in zip([0, *stop], stop)]
 
