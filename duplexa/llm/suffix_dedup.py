@@ -69,7 +69,7 @@ def anchors(text: bytes, length: int = 50):
     return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, U64)] * 2 + [np.empty(0, np.int64)] * 3
 
 
-PLANES = (("key", 6), ("extent", 5), ("doc", 8), ("nth", 4))
+PLANES = (("key", 6), ("extent", 5), ("doc", 8), ("row", 8), ("nth", 4))
 
 
 def _planes(values, width: int) -> bytes:
@@ -84,11 +84,16 @@ def _numbers(data: bytes, width: int) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def _anchor_blocks(buckets: int, length: int):
+def _planes_of(named: bool):
+    """What is sent of an anchor; rows that go by their id need no name of their own."""
+    return [p for p in PLANES if named or p[0] != "row"]
+
+
+def _anchor_blocks(buckets: int, length: int, named: bool):
     def flush(held):
-        key, extent, doc, nth = (np.concatenate([h[i] for h in held]) for i in range(4))
+        key, extent, doc, row, nth = (np.concatenate([h[i] for h in held]) for i in range(5))
         order = np.lexsort((doc, extent, key))
-        key, extent, doc, nth = key[order], extent[order], doc[order], nth[order]
+        key, extent, doc, row, nth = key[order], extent[order], doc[order], row[order], nth[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1])
         source = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
@@ -112,20 +117,21 @@ def _anchor_blocks(buckets: int, length: int):
             i = order[ends[b] : ends[b + 1]]
             if len(i):
                 cols["bucket"].append(b)
-                cols["open"].append(b"".join(_planes(x[i[sent[i]]], w) for x, (_, w) in zip((key, extent, doc, nth), PLANES)))
+                parts = {"key": key, "extent": extent, "doc": doc, "row": row, "nth": nth}
+                cols["open"].append(b"".join(_planes(parts[name][i[sent[i]]], w) for name, w in _planes_of(named)))
                 for name, which in (("done", here), ("many", many)):
-                    cols[name].append(b"".join(_planes(x[i[which[i]]], w) for x, w in ((doc, 8), (nth, 4))))
+                    cols[name].append(b"".join(_planes(x[i[which[i]]], w) for x, w in ((row, 8), (nth, 4))))
         return pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("open", pa.binary()), ("done", pa.binary()), ("many", pa.binary())]))
 
     def run(batches):
         claim()
         held, size = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
+            for row, doc, text in zip(batch.column("row"), batch.column("doc"), batch.column("text")):
                 data = text.as_buffer().to_pybytes() if text.is_valid else b""
                 if len(data) >= length:
                     key, extent, *_ = anchors(data, length)
-                    held.append((key, extent, np.full(len(key), doc.as_py(), np.int64), np.arange(len(key))))
+                    held.append((key, extent, np.full(len(key), doc.as_py(), np.int64), np.full(len(key), row.as_py(), np.int64), np.arange(len(key))))
                     size += len(data)
                     if size >= GATHER:
                         yield flush(held)
@@ -136,23 +142,24 @@ def _anchor_blocks(buckets: int, length: int):
     return run
 
 
-def _open_parts(data: bytes):
-    n, at, out = len(data) // sum(w for _, w in PLANES), 0, []
-    for _, w in PLANES:
+def _open_parts(data: bytes, named: bool):
+    planes = _planes_of(named)
+    n, at, out = len(data) // sum(w for _, w in planes), 0, []
+    for _, w in planes:
         out.append(_numbers(data[at : at + n * w], w))
         at += n * w
     return out
 
 
-def _mark(buckets: int):
-    """Marks of anchors, in blocks by document: settled ones and those whose windows must be compared."""
+def _mark(buckets: int, named: bool):
+    """Marks of anchors, in blocks by row: settled ones and those whose windows must be compared."""
 
     def run(batches):
         claim()
-        opened, done, many = ([[np.empty(0, np.int64)] for _ in range(n)] for n in (len(PLANES), 2, 2))
+        opened, done, many = ([[np.empty(0, np.int64)] for _ in range(n)] for n in (len(_planes_of(named)), 2, 2))
         for batch in batches:
             for x in batch.column("open"):
-                for into, part in zip(opened, _open_parts(x.as_py())):
+                for into, part in zip(opened, _open_parts(x.as_py(), named)):
                     into.append(part)
             for name, into in (("done", done), ("many", many)):
                 for y in batch.column(name):
@@ -160,9 +167,10 @@ def _mark(buckets: int):
                     n = len(y) // 12
                     into[0].append(_numbers(y[: 8 * n], 8))
                     into[1].append(_numbers(y[8 * n :], 4))
-        key, extent, doc, nth = map(np.concatenate, opened)
+        key, extent, doc, *row, nth = map(np.concatenate, opened)
         order = np.lexsort((doc, extent, key))
         key, extent, doc, nth = key[order], extent[order], doc[order], nth[order]
+        row = row[0][order] if named else doc
         n = len(key)
         covered = mixed = np.zeros(n, bool)
         if n:
@@ -176,26 +184,26 @@ def _mark(buckets: int):
             number = np.cumsum(group) - 1
             low, high, kinds = (f.reduceat(x, np.nonzero(group)[0]) for f, x in ((np.minimum, doc), (np.maximum, doc), (np.add, same.astype(np.int64))))
             mixed = ((low != high) & (kinds > 1))[number] & ~covered
-        doc_of = np.concatenate([*done[0], doc[covered], doc[mixed], *many[0]])
+        row_of = np.concatenate([*done[0], row[covered], row[mixed], *many[0]])
         nth_of = np.concatenate([*done[1], nth[covered], nth[mixed], *many[1]])
-        kind = np.zeros(len(doc_of), np.int64)
+        kind = np.zeros(len(row_of), np.int64)
         kind[sum(map(len, done[0])) + np.count_nonzero(covered) :] = 1
-        bucket = (mix(doc_of.view(U64)) % U64(buckets)).astype(np.int64)
-        order = np.lexsort((doc_of, bucket))
+        bucket = (mix(row_of.view(U64)) % U64(buckets)).astype(np.int64)
+        order = np.lexsort((row_of, bucket))
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
         cols = {"bucket": [], "marks": []}
         for b in range(buckets):
             i = order[ends[b] : ends[b + 1]]
             if len(i):
                 cols["bucket"].append(b)
-                cols["marks"].append(b"".join(_planes(x[i], w) for x, w in ((doc_of, 8), (nth_of, 4), (kind, 1))))
+                cols["marks"].append(b"".join(_planes(x[i], w) for x, w in ((row_of, 8), (nth_of, 4), (kind, 1))))
         yield pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("marks", pa.binary())]))
 
     return run
 
 
 def _gather(batches):
-    """One row for each document with marks: ``done`` and ``open`` hold the anchors' numbers."""
+    """One row for each of the table's with marks: ``done`` and ``open`` hold the anchors' numbers."""
     parts = [[np.empty(0, np.int64)] for _ in range(3)]
     for batch in batches:
         for x in batch.column("marks"):
@@ -203,38 +211,38 @@ def _gather(batches):
             n = len(data) // 13
             for into, part in zip(parts, (_numbers(data[: 8 * n], 8), _numbers(data[8 * n : 12 * n], 4), _numbers(data[12 * n :], 1))):
                 into.append(part)
-    doc_of, nth_of, kind = map(np.concatenate, parts)
-    order = np.lexsort((kind, doc_of))
-    doc_of, nth_of, kind = doc_of[order], nth_of[order].astype("<u4"), kind[order]
-    starts = np.concatenate([np.nonzero(np.diff(doc_of, prepend=doc_of[:1] - 1))[0], [len(doc_of)]])
+    row_of, nth_of, kind = map(np.concatenate, parts)
+    order = np.lexsort((kind, row_of))
+    row_of, nth_of, kind = row_of[order], nth_of[order].astype("<u4"), kind[order]
+    starts = np.concatenate([np.nonzero(np.diff(row_of, prepend=row_of[:1] - 1))[0], [len(row_of)]])
     for at in range(0, len(starts) - 1, 10_000):
         some = starts[at : at + 10_001]
-        docs, a, b = [], [], []
+        rows, a, b = [], [], []
         for i, j in zip(some[:-1].tolist(), some[1:].tolist()):
             m = i + int(np.searchsorted(kind[i:j], 1))
-            docs.append(int(doc_of[i]))
+            rows.append(int(row_of[i]))
             a.append(nth_of[i:m].tobytes())
             b.append(nth_of[m:j].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["doc", "done", "open"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["row", "done", "open"])
 
 
 def _contexts(length: int):
-    """The bytes around each open anchor of a document: key, doc, nth, least and most bytes before it, left and right."""
+    """The bytes around each open anchor of a text: key, doc, row, nth, least and most bytes before it, left and right."""
 
     def run(batches):
         claim()
         for batch in batches:
             rows = []
-            for doc, text, parts in zip(batch.column("doc"), batch.column("text"), batch.column("open")):
+            for row, doc, text, parts in zip(*(batch.column(c) for c in ("row", "doc", "text", "open"))):
                 data = text.as_buffer().to_pybytes()
                 nth = np.unique(np.frombuffer(parts.as_py(), "<u4"))
                 key, _, at, first, last = anchors(data, length)
                 for i in nth.tolist():
                     a, p, q = int(at[i]), int(first[i]), int(last[i])
-                    rows.append((int(key[i]), doc.as_py(), i, a - q, a - p, data[p:a], data[a + GRAM : q + length]))
+                    rows.append((int(key[i]), doc.as_py(), row.as_py(), i, a - q, a - p, data[p:a], data[a + GRAM : q + length]))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "doc", "nth", "least", "most", "left", "right"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "doc", "row", "nth", "least", "most", "left", "right"])
 
     return run
 
@@ -279,28 +287,28 @@ def _windows(length: int):
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 rows = []
-                for doc, nth, key, least, most, left, right in zip(*(part.column(c).to_pylist() for c in ("doc", "nth", "key", "least", "most", "left", "right"))):
+                for doc, row, nth, key, least, most, left, right in zip(*(part.column(c).to_pylist() for c in ("doc", "row", "nth", "key", "least", "most", "left", "right"))):
                     head = key.to_bytes(8, "big", signed=True)
                     for before in range(least, most + 1):
                         digest = xxhash.xxh3_128(head + left[len(left) - before :] + b"|" + right[: length - GRAM - before]).digest()
-                        rows.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), before, doc, nth))
+                        rows.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), before, doc, row, nth))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()))], ["w1", "w2", "before", "doc", "nth"]
+                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))], ["w1", "w2", "before", "doc", "row", "nth"]
                 )
 
     return run
 
 
 def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """(doc, nth, mask) for anchors with more contexts than a task holds: smallest documents of equal windows, joined back.
+    """(row, nth, mask) for anchors with more contexts than a task holds: smallest documents of equal windows, joined back.
 
     Work follows the number of windows; the least document is combined before the
     shuffle, and the join may be split where one window is in very many documents.
     """
-    rows = contexts.mapInArrow(_windows(length), "w1 long, w2 long, before int, doc long, nth int")
+    rows = contexts.mapInArrow(_windows(length), "w1 long, w2 long, before int, doc long, row long, nth int")
     first = rows.groupBy("before", "w1", "w2").agg(F.min("doc").alias("source"), F.count("*").alias("n")).where("n > 1").drop("n")
     hit = rows.join(first, ["before", "w1", "w2"]).where("doc > source")
-    return hit.groupBy("doc", "nth").agg(F.bit_or(F.expr("shiftleft(1L, before)")).alias("mask"))
+    return hit.groupBy("row", "nth").agg(F.bit_or(F.expr("shiftleft(1L, before)")).alias("mask"))
 
 
 def _compare(length: int):
@@ -309,7 +317,7 @@ def _compare(length: int):
         texts = lambda c: table.column(c).to_pylist()
         masks = covered_windows(column("key"), column("doc"), column("least"), column("most"), texts("left"), texts("right"), length)
         hit = masks != 0
-        return pa.table({"doc": pa.array(column("doc")[hit]), "nth": pa.array(column("nth")[hit]), "mask": pa.array(masks[hit])})
+        return pa.table({"row": pa.array(column("row")[hit]), "nth": pa.array(column("nth")[hit]), "mask": pa.array(masks[hit])})
 
     return run
 
@@ -339,8 +347,8 @@ def _cut(length: int, with_text: bool):
                     digests.append(hashlib.sha256(rest).hexdigest())
                     kept.append(rest.decode("utf-8", "ignore") if with_text else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests), pa.array(kept, pa.string())],
-                    ["doc", "n_removed", "n_spans", "kept_sha256", "kept_text"],
+                    [part.column("row"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests), pa.array(kept, pa.string())],
+                    ["row", "n_removed", "n_spans", "kept_sha256", "kept_text"],
                 )
 
     return run
@@ -348,18 +356,18 @@ def _cut(length: int, with_text: bool):
 
 def _passing(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without most rows that are not in ``ids``, so that the join with them moves less."""
-    sent = broadcast_filter(ids, "doc", ids.count())
+    sent = broadcast_filter(ids, "row", ids.count())
 
     def run(batches):
         bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             yield batch.take(pa.array(np.nonzero(passing(bits, batch.column(0).to_numpy(zero_copy_only=False)))[0]))
 
-    return docs.mapInArrow(run, "doc long, text string")
+    return docs.mapInArrow(run, "row long, doc long, text string")
 
 
 def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, with_text: bool = False) -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text) of every document.
+    """id, n_bytes, n_removed, n_spans, kept_sha256 (and text_sha256 and kept_text, null where all is kept) of every document.
 
     Every byte goes that lies in a ``length``-byte string which also starts in a document
     of smaller id; strings are those of the input, over UTF-8 bytes, within documents.
@@ -375,50 +383,58 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     with removals. kept_text leaves out what remains of characters cut in part.
 
     Null text counts as empty. A null id is neither changed nor a source. Rows that
-    repeat an id are the same document and must repeat the text; no row removes from
-    another with its id. Other columns are ignored; an empty table gives an empty result.
+    repeat an id are judged each by its own text, and no row removes from another with
+    its id; where their texts differ, such a row goes by a hash of id and text. Other
+    columns are ignored; an empty table gives an empty result.
     """
     if length - GRAM < 0 or length - GRAM > 62:
         raise ValueError("length must be from 16 to 78")
     spark = documents.sparkSession
     scratch = Scratch(spark, "suffixes")
     rows = documents.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    heads = rows.select("doc", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
-    docs = rows.where("doc is not null").select(F.col("doc").cast("long").alias("doc"), "text")
+    rows = rows.withColumn("row", F.col("doc").cast("long"))
+    again = rows.where("doc is not null").groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
+    again = scratch.save(again, "again")
+    named = again.limit(1).count() > 0
+    if named:
+        rows = rows.join(again.withColumnRenamed("row", "again"), F.col("row") == F.col("again"), "left")
+        rows = rows.select("doc", "text", F.when(F.col("again").isNull(), F.col("row")).otherwise(F.xxhash64("doc", "text")).alias("row"))
+    heads = rows.select("doc", "row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    docs = rows.where("doc is not null").select("row", F.col("doc").cast("long").alias("doc"), "text")
     total = heads.agg(F.sum("n_bytes")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (18 * TASK_ANCHORS)))
-    blocks = docs.mapInArrow(_anchor_blocks(4 * tasks, length), "bucket int, open binary, done binary, many binary")
-    marks = blocks.repartition(tasks, "bucket").mapInArrow(_mark(4 * tasks), "bucket int, marks binary")
-    marks = scratch.save(marks.repartition(tasks, "bucket").mapInArrow(_gather, "doc long, done binary, open binary"), "marks")
+    blocks = docs.mapInArrow(_anchor_blocks(4 * tasks, length, named), "bucket int, open binary, done binary, many binary")
+    marks = blocks.repartition(tasks, "bucket").mapInArrow(_mark(4 * tasks, named), "bucket int, marks binary")
+    marks = scratch.save(marks.repartition(tasks, "bucket").mapInArrow(_gather, "row long, done binary, open binary"), "marks")
 
-    asked = marks.where("length(open) > 0").select("doc", "open")
-    around = _passing(docs, asked).join(asked, "doc").mapInArrow(
-        _contexts(length), "key long, doc long, nth int, least int, most int, left binary, right binary"
+    asked = marks.where("length(open) > 0").select("row", "open")
+    around = _passing(docs, asked).join(asked, "row").mapInArrow(
+        _contexts(length), "key long, doc long, row long, nth int, least int, most int, left binary, right binary"
     )
     around = scratch.save(around.distinct(), "contexts")
     n = around.count()
     parts = max(1, -(-n // TASK_CONTEXTS))
     hot = around.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TASK_CONTEXTS).select("key")
     usual = around.join(hot, "key", "left_anti") if n > TASK_CONTEXTS else around
-    masks = usual.groupBy(F.pmod(F.xxhash64("key"), F.lit(parts))).applyInArrow(_compare(length), "doc long, nth int, mask long")
+    masks = usual.groupBy(F.pmod(F.xxhash64("key"), F.lit(parts))).applyInArrow(_compare(length), "row long, nth int, mask long")
     if n > TASK_CONTEXTS:
         masks = masks.union(_by_windows(around.join(hot, "key", "left_semi"), length))
-    masks = masks.groupBy("doc").agg(F.collect_list(F.struct("nth", "mask")).alias("m"))
-    masks = scratch.save(masks.select("doc", F.col("m.nth").alias("nths"), F.col("m.mask").alias("masks")), "masks")
+    masks = masks.groupBy("row").agg(F.collect_list(F.struct("nth", "mask")).alias("m"))
+    masks = scratch.save(masks.select("row", F.col("m.nth").alias("nths"), F.col("m.mask").alias("masks")), "masks")
 
-    done = marks.where("length(done) > 0").select("doc", "done")
-    edits = scratch.save(done.join(masks, "doc", "full"), "edits")
-    cut = _passing(docs, edits).join(edits, "doc").mapInArrow(
-        _cut(length, with_text), "doc long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    done = marks.where("length(done) > 0").select("row", "done")
+    edits = scratch.save(done.join(masks, "row", "full"), "edits")
+    cut = _passing(docs, edits).join(edits, "row").mapInArrow(
+        _cut(length, with_text), "row long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     )
-    cut = scratch.save(cut.dropDuplicates(["doc"]), "cut")
+    cut = scratch.save(cut.dropDuplicates(["row"]), "cut")
     scratch.drop("marks", "contexts", "masks", "edits")
-    out = heads.join(cut, "doc", "left").select(
+    out = heads.join(cut, "row", "left").select(
         F.col("doc").alias(id_col),
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
-        *(["kept_text"] if with_text else []),
+        *([F.col("sha").alias("text_sha256"), "kept_text"] if with_text else []),
     )
     return out

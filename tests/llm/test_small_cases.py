@@ -68,6 +68,23 @@ def test_empty_table(odd, name):
     assert OPERATORS[name](odd.limit(0)).count() == 0
 
 
+def test_one_id_with_several_texts(spark):
+    passage = "a passage of well over fifty bytes that several of the rows hold"
+    rows = [(1, passage + " here"), (1, "x" * 90), (1, passage), (2, "y" * 40), (2, "so: " + passage + "!"), (2, "x" * 60), (3, "x" * 60), (2, "x" * 60), (None, passage)]
+    got = suffix_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
+    assert sorted((r["doc_id"] or 0, r["n_removed"], r["kept_text"] or "") for r in got) == sorted(
+        [(1, 0, ""), (1, 0, ""), (1, 0, ""), (2, 0, ""), (2, len(passage), "so: !"), (2, 60, ""), (3, 60, ""), (2, 60, ""), (0, 0, "")]
+    )
+
+
+def test_the_passage_stage_cuts_each_text_of_an_id_by_itself(spark, tmp_path):
+    passage = "a passage of well over fifty bytes that several of the rows hold"
+    rows = [(1, passage), (2, "own words"), (2, "so: " + passage + "!"), (2, None), (3, passage + "é")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.drop_repeated_passages(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in got) == [(1, passage), (2, ""), (2, "own words"), (2, "so: !"), (3, "é")]
+
+
 VECTORS = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [float("inf"), 1.0]), (7, []), (0, [1.0, 0.0]), (8, [0.0, 1.0]), (9, [1.0]), (None, [1.0, 0.0])]
 
 
