@@ -37,8 +37,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without byte runs of 50 and more that a document of smaller id has."""
-    cut = suffix_dedup.dedup_substrings(docs, with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("__cut_id"), "kept_text").dropDuplicates(["__cut_id"])
-    joined = docs.join(cut, F.col("doc_id") == F.col("__cut_id"), "left")
+    cut = suffix_dedup.dedup_substrings(docs, with_text=True).where("n_removed > 0")
+    # Rows of one id may differ in text, so a row is known by both.
+    cut = cut.select(F.col("doc_id").alias("__cut_id"), F.col("text_sha256").alias("__cut_sha"), "kept_text").dropDuplicates(["__cut_id", "__cut_sha"])
+    joined = docs.join(cut, (F.col("doc_id") == F.col("__cut_id")) & (F.sha2("text", 256) == F.col("__cut_sha")), "left")
     text = F.when(F.col("__cut_id").isNotNull(), F.col("kept_text")).otherwise(F.col("text"))
     return _counted(joined.withColumn("text", text).select(docs.columns))
 
