@@ -46,26 +46,82 @@ MARK_ENDS = ("nav", "menu", "sidebar", "footer", "comment", "comments", "cookie"
 REMARKS = set("comment comments reply replies".split())
 HEADS = {"header", "heading"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(sorted(RAW)) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
-    r"|<[!?][^>]*>|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+#: Of RAW, those whose content is never markup, so that an unclosed one takes the rest of the page.
+TEXT_ONLY = set("script style iframe textarea title noscript".split())
+OPENING = re.compile(r"<(?=[a-zA-Z/!?])")
+#: A quote counts as such after an equals sign only. Possessive throughout: nothing is read twice.
+TAG = re.compile(r"""<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|)|["'])*+)>""")
+CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>?", re.I) for name in RAW}
+#: Elements below this depth are not nested any further.
+DEPTH = 256
 ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
+def _markup(source: str):
+    """(text, name, attributes, is an end tag) for each tag with the text before it; the last has no name.
+
+    Comments and what RAW elements hold are passed over. Every character is read a bounded
+    number of times, whatever is left open: after one tag that only quotes keep from
+    ending, all tags end at their first ``>``; no tag begins after the last ``>``; an
+    unclosed comment is the rest of the page.
+    """
+    at, text, last, plain, unclosed = 0, 0, source.rfind(">"), False, set()
+    held = []
+    while m := OPENING.search(source, at):
+        low, mark, comment = m.start(), source[m.start() + 1], source.startswith("<!--", m.start())
+        if low > last and not comment:
+            break
+        if mark in "!?":
+            end = source.find("-->" if comment else ">", low + 2)
+            held.append(source[text:low])
+            at = text = len(source) if end < 0 else end + (3 if comment else 1)
+            continue
+        tag = None if plain else TAG.match(source, low)
+        if tag is None:
+            stop = source.find(">", low)
+            whole = re.match(r"<(/)?([a-zA-Z][^\s/>]*)(.*)", source[low:stop], re.S)
+            if whole is None:
+                at = low + 1
+                continue
+            plain = True
+            ends, name, attrs, after = whole[1], whole[2], whole[3], stop + 1
+        else:
+            ends, name, attrs, after = tag["end"], tag["name"], tag["attrs"], tag.end()
+        held.append(source[text:low])
+        at = text = after
+        name = name.lower()
+        if not ends and name in RAW and name not in unclosed and (name in TEXT_ONLY or not attrs.rstrip().endswith("/")):
+            close = CLOSING[name].search(source, at)
+            if close or name in TEXT_ONLY:
+                at = text = close.end() if close else len(source)
+                continue
+            unclosed.add(name)
+        yield "".join(held), name, attrs, bool(ends)
+        held = []
+    rest = source[text:]
+    # An unfinished tag at the very end is markup.
+    cut = rest.rfind("<")
+    held.append(rest[:cut] if cut >= 0 and re.match(r"<[/a-zA-Z!]", rest[cut:]) and ">" not in rest[cut:] else rest)
+    yield "".join(held), None, "", False
+
+
 class Page:
     """A page's open-element tree and its text blocks, from one tolerant pass over the markup."""
 
     __slots__ = ("tags", "parents", "paths", "marked", "blocks", "links")
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.paths, self.marked = ["#page"], [-1], [""], [False]
+        #: A path is a digest of an element's name and classes and of its parent's path.
+        self.tags, self.parents, self.paths, self.marked = ["#page"], [-1], [b""], [False]
         #: (node, text) in page order, and how many of each block's characters are link text.
         self.blocks: list[tuple[int, str]] = []
         self.links: list[int] = []
-        stack, held, at, linked, in_link = [0], [], 0, 0, 0
+        article = [False]
+        stack, held, linked, in_link = [0], [], 0, 0
+        #: How often each name is open, and of elements not nested any further.
+        opened: dict[str, int] = {}
+        beyond: dict[str, int] = {}
 
         def flush():
             nonlocal linked
@@ -79,32 +135,39 @@ class Page:
         def pop(n):
             nonlocal in_link
             while len(stack) > n:
-                in_link -= self.tags[stack.pop()] == "a"
-
-        for m in TOKEN.finditer(source):
-            if m.start() > at:
-                held.append(source[at : m.start()])
-                linked += (m.start() - at) * (in_link > 0)
-            at = m.end()
-            name = m["name"]
+                tag = self.tags[stack.pop()]
+                opened[tag] -= 1
+                in_link -= tag == "a"
+
+        for text, name, attrs, ends in _markup(source):
+            if text:
+                held.append(text)
+                linked += len(text) * (in_link > 0)
             if name is None:
-                continue
-            name = name.lower()
+                break
             if name == "br" or name == "wbr":
                 held.append(" " if name == "br" else "")
                 continue
-            if m["end"]:
+            block = name in BLOCK
+            if ends:
+                if beyond.get(name):
+                    beyond[name] -= 1
+                    if block:
+                        flush()
+                    continue
+                if not opened.get(name):
+                    continue
                 for n in range(len(stack) - 1, 0, -1):
                     if self.tags[stack[n]] == name:
-                        if name in BLOCK:
+                        if block:
                             flush()
                         pop(n)
                         break
                     # A stray end tag of inline markup does not close a block around it.
-                    if name not in BLOCK and self.tags[stack[n]] in BLOCK:
+                    if not block and self.tags[stack[n]] in BLOCK:
                         break
                 continue
-            if name in BLOCK:
+            if block:
                 flush()
                 # A new block ends an open paragraph with its inline markup, and a new item its predecessor.
                 for n in range(len(stack) - 1, 0, -1):
@@ -114,7 +177,7 @@ class Page:
                         break
                     if tag in BLOCK:
                         break
-            attrs, words, hidden = m["attrs"] or "", set(), False
+            words, hidden = set(), False
             if attrs:
                 for key, *values in ATTR.findall(attrs):
                     key, value = key.lower(), next((v for v in values if v), "").lower()
@@ -129,38 +192,33 @@ class Page:
             parent = stack[-1]
             self.tags.append(name)
             self.parents.append(parent)
-            self.paths.append(f"{self.paths[parent]}/{name}" + "".join("." + w for w in sorted(words)))
-            inside = self._within(parent, ("article", "main"))
-            heads = not inside and (name == "header" or bool(words & HEADS))
+            label = name + "".join("." + w for w in sorted(words)) if words else name
+            self.paths.append(hashlib.blake2b(self.paths[parent] + label.encode("utf-8", "replace"), digest_size=8).digest())
+            heads = not article[parent] and (name == "header" or bool(words & HEADS))
+            article.append(article[parent] or name in ("article", "main"))
             if name in ("body", "html", "article", "main"):
                 self.marked.append(hidden or (name == "article" and bool(words & REMARKS)))
             else:
                 self.marked.append(hidden or name in CHROME or heads or bool(words & MARKS) or any(w.endswith(MARK_ENDS) for w in words))
             if name not in VOID and not attrs.rstrip().endswith("/"):
-                stack.append(len(self.tags) - 1)
-                in_link += name == "a"
-        if at < len(source):
-            rest = source[at:]
-            # An unfinished tag at the very end is markup.
-            held.append(rest[: rest.rfind("<")] if re.search(r"<[/a-zA-Z!][^>]*\Z", rest) else rest)
+                if len(stack) > DEPTH:
+                    beyond[name] = beyond.get(name, 0) + 1
+                else:
+                    stack.append(len(self.tags) - 1)
+                    opened[name] = opened.get(name, 0) + 1
+                    in_link += name == "a"
         flush()
 
-    def _within(self, node: int, names) -> bool:
-        while node > 0:
-            if self.tags[node] in names:
-                return True
-            node = self.parents[node]
-        return False
-
     def tokens(self):
-        """Each page token once or more: tags by their path, and texts by path and content."""
-        yield from self.paths[1:]
+        """Each page token once or more, as its key: tags by their path, and texts by path and content."""
+        for path in self.paths[1:]:
+            yield int.from_bytes(path, "little", signed=True)
         for node, text in self.blocks:
-            yield f"{self.paths[node]} {text}"
+            yield text_key(self.paths[node], text)
 
 
-def token_key(token: str) -> int:
-    return int.from_bytes(hashlib.blake2b(token.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def text_key(path: bytes, text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(path + b" " + text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 def _below(page: Page, top: int) -> list[bool]:
@@ -267,7 +325,7 @@ def main_text(source: str, template: dict[int, int] = {}) -> str:  # noqa: B006
         kept = [b for b in kept if inside[page.blocks[b][0]]]
     elif kept:
         # A class is on all pages of its layout and on no other, so that a page's own tokens match it to its layout.
-        kept = _between(page, kept, [template.get(token_key(f"{page.paths[node]} {text}"), 0) if template else 0 for node, text in page.blocks])
+        kept = _between(page, kept, [template.get(text_key(page.paths[node], text), 0) if template else 0 for node, text in page.blocks])
     return "\n".join(page.blocks[b][1] for b in kept)
 
 
@@ -301,7 +359,6 @@ def _occurrences(batches):
         for key, host, source in zip(*(part.column(i) for i in range(3))):
             key, host, counts = key.as_py(), host.as_py(), {}
             for token in Page(source.as_py() or "").tokens():
-                token = token_key(token)
                 counts[token] = counts.get(token, 0) + 1
             counts[0] = 1  # the page itself
             for token, n in counts.items():
@@ -360,6 +417,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     texts are left out before and after the article, never inside it. Templates reach the pages by a broadcast up to
     BROADCAST_TOKENS tokens and by a join on the host beyond.
 
+    Pages are read in time and memory in proportion to their length, whatever tags they
+    leave open; elements nested over DEPTH deep count as beside each other.
     Null or empty html: an empty text. Null url: the page is on a host of its own kind,
     read without template. Repeated rows are read each; other columns are ignored; an
     empty table gives an empty result.

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing columns, for every operator and stage."""
 
 import random
+import time
 
 import pytest
 
@@ -111,6 +112,47 @@ def test_odd_pages(spark):
     assert html_extract.extract_text(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<div>" * 100_000 + "deep" + "</div>" * 100_000 + "<p>after</p>", "deep\nafter"),
+        ("<" + "a" * 500_000, ""),
+        ("<a " * 160_000 + ">x", "x"),
+        ("<!--" * 120_000, ""),
+        ("<!" * 250_000 + ">x", "x"),
+        ("<script>" * 60_000, ""),
+        ("<svg>" * 60_000 + "<p>x</p>", "x"),
+        ("<b><div>" + "<i>" * 50_000 + "x" + "</b>" * 50_000, "x"),
+        ("<div>" * 50_000 + "</p>" * 50_000 + "x", "x"),
+        ("<p>a" * 100_000, "\n".join(["a"] * 100_000)),
+        ("<p class='" + "a " * 250_000 + "'>x</p>", "x"),
+        ("<a x='>" * 70_001 + "<p>x</p>", None),
+    ],
+    ids=range(12),
+)
+def test_hostile_pages_take_time_in_proportion(source, text):
+    began = time.process_time()
+    got = html_extract.main_text(source)
+    assert len(list(html_extract.Page(source).tokens())) < len(source)
+    assert time.process_time() - began < 15
+    assert text is None or got == text
+
+
+def test_markup_left_open():
+    cases = {
+        "<p title='a>b'>x</p>": "x",
+        "<p class=it's>x</p><p>y's</p>": "x\ny's",
+        '<p class="a"">x</p>': "x",
+        '<p class="a>x</p><p>y</p>': "x\ny",
+        "<svg/><p>x</p><svg><text>no</text></svg>": "x",
+        "<object><p>x</p>": "x",
+        "a < b & c <3 <p>d": "a < b & c <3\nd",
+        "<SCRIPT>no</script ><p>x<!-- no -->y<!--> z": "xy z",
+        "<p>x</p><!-- no": "x",
+    }
+    assert {k: html_extract.main_text(k) for k in cases} == cases
+
+
 def _tables(spark, folder, rows):
     spark.createDataFrame([(*r, "en", "s", None) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     labels = [(1, 1, 0), (5, 1, 0), (7, None, 1), (None, 1, 0)] if rows else []
