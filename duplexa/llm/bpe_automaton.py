@@ -19,6 +19,8 @@ from duplexa.shipping import ship
 
 #: Words and pieces a worker remembers; rarer ones are encoded anew.
 REMEMBERED = 300_000
+#: States of a worker's table, some 500 bytes each with their arcs; beyond, the table begins anew.
+STATES = 60_000
 NEVER = 1 << 40
 #: str.split() also parts these four, which the tokenizer's white space class does not hold.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -46,15 +48,19 @@ class TokenAutomaton:
     c gets an arc beside every arc a whose state has arc b; the state after c copies the
     arcs which the state after b has just then; the state after a loses arc b. ``left``,
     ``right`` and ``born`` hold the gadgets in order of rank, ``pairs`` the arcs they take.
-    An arc's presence follows from the two gadgets that made its ends, so ``follows``
-    resolves it through them; results are kept in a transition table.
+    An arc's presence follows from the two gadgets that made its ends.
+
+    Words are read letter by letter through a table compiled from it: a state of the table
+    is the set of paths still open, each a last token and the place in the tree of labels
+    that the letters since have reached. Paths end at one token at most, which the table
+    holds, and one for a word's last letter. Rows of the table are made when a word first
+    asks for them, as the whole has more states than any text uses.
     """
 
     def __init__(self, vocab: dict[str, int], merges: list, suffix: str):
         size = max(vocab.values(), default=0) + 1
         self.left, self.right, self.born = [0] * size, [0] * size, [-1] * size
         self.pairs: dict[int, int] = {}
-        self.table: dict[int, bool] = {}
         self.labels = {i: t for t, i in vocab.items()}
         letters = byte_letters()
         reached = {vocab[x] for letter in letters for x in (letter, letter + suffix) if x in vocab}
@@ -66,14 +72,32 @@ class TokenAutomaton:
                 reached.add(c)
             self.left[c], self.right[c], self.born[c] = a, b, rank
             self.pairs[a << 20 | b] = rank
-        self.inner, self.final = {}, {}
+        # The tree of labels: (node, letter) as one number -> node; of each node the inner and the closing token, -1 for none.
+        self.tree: dict[int, int] = {}
+        self.inner, self.closing, self.length = [-1], [-1], [0] * size
         for token, i in vocab.items():
             if i in reached:
-                into, text = (self.final, token[: -len(suffix)]) if suffix and token.endswith(suffix) else (self.inner, token)
-                into[text] = i
-        for text in [*self.inner, *self.final]:
-            for n in range(1, len(text)):
-                self.inner.setdefault(text[:n], -1)
+                closes = bool(suffix) and token.endswith(suffix)
+                text, node = (token[: -len(suffix)] if closes else token), 0
+                for letter in text:
+                    key = node << 21 | ord(letter)
+                    node = self.tree.get(key, 0) or self.tree.setdefault(key, len(self.inner))
+                    if node == len(self.inner):
+                        self.inner.append(-1)
+                        self.closing.append(-1)
+                self.length[i] = len(text)
+                if closes or not suffix:
+                    self.closing[node] = i
+                if not closes:
+                    self.inner[node] = i
+        #: Of each state its open paths and the token that ends there; the numbers of states.
+        self.states: list[tuple] = []
+        self.ended: list[int] = []
+        self.numbers: dict[tuple, int] = {}
+        #: (state, letter) as one number -> the state after it, or the token that closes the word with it.
+        self.steps: dict[int, int] = {}
+        self.closes: dict[int, int] = {}
+        self.clear()
 
     def _open(self, u: int, v: int, before: int) -> bool:
         pairs, born = self.pairs, self.born
@@ -87,37 +111,55 @@ class TokenAutomaton:
             else:
                 before, u = born[u], self.right[u]
 
-    def follows(self, u: int, v: int) -> bool:
-        key = u << 20 | v
-        found = self.table.get(key)
-        if found is None:
-            if len(self.table) > 1_000_000:
-                self.table.clear()
-            found = self.table[key] = self._open(u, v, NEVER)
-        return found
+    def clear(self) -> None:
+        """Begin the table anew; state 0 is before a word's first letter."""
+        self.states, self.ended = [((0, -1),)], [-1]
+        for table in (self.numbers, self.steps, self.closes):
+            table.clear()
+
+    def _step(self, state: int, letter: int, tokens: list[int]) -> tuple[list, int]:
+        """The open paths after a letter, and the token that ends with it."""
+        paths, token = [], -1
+        for node, last in self.states[state]:
+            node = self.tree.get(node << 21 | letter, 0)
+            if node:
+                paths.append((node, last))
+                t = tokens[node]
+                if token < 0 <= t and (last < 0 or self._open(last, t, NEVER)):
+                    token = t
+        return paths, token
+
+    def _next(self, state: int, letter: int) -> int:
+        paths, token = self._step(state, letter, self.inner)
+        if token >= 0:
+            paths.append((0, token))
+        made = tuple(paths)
+        number = self.numbers.setdefault(made, len(self.states))
+        if number == len(self.states):
+            self.states.append(made)
+            self.ended.append(token)
+        self.steps[state << 21 | letter] = number
+        return number
 
     def encode(self, word: str) -> list[int]:
         """Token ids of one pre-split word given in byte letters."""
-        n, inner, final, follows = len(word), self.inner, self.final, self.follows
-        last, begun = [-1] * (n + 1), [0] * (n + 1)
-        for j in range(n):
-            u = last[j]
-            if j and u < 0:
-                continue
-            for i in range(j + 1, n + 1):
-                part = word[j:i]
-                if i == n:
-                    t = final.get(part, -1)
-                else:
-                    t = inner.get(part)
-                    if t is None:
-                        break
-                if t >= 0 and last[i] < 0 and (not j or follows(u, t)):
-                    last[i], begun[i] = t, j
-        out = []
-        while n:
-            out.append(last[n])
-            n = begun[n]
+        if len(self.states) > STATES:
+            self.clear()
+        steps, state, ended = self.steps, 0, []
+        *inner, last = map(ord, word)
+        for letter in inner:
+            known = steps.get(state << 21 | letter)
+            state = self._next(state, letter) if known is None else known
+            ended.append(self.ended[state])
+        key = state << 21 | last
+        token = self.closes.get(key)
+        if token is None:
+            token = self.closes[key] = self._step(state, last, self.closing)[1]
+        out, at = [token], len(word) - self.length[token]
+        while at:
+            token = ended[at - 1]
+            out.append(token)
+            at -= self.length[token]
         return out[::-1]
 
 
@@ -219,7 +261,7 @@ def encode_decode(documents: DataFrame, spec: str, id_col: str = "doc_id", text_
     ``spec`` is the content of a tokenizers JSON file of the word-BPE kind, sent to the
     executors once. Ids equal that library's without special tokens added; ``decoded`` is
     its decode() of them. A text is cut at white space, over which no token reaches, so
-    frequent words are looked up and only others run through the automaton. One pass, no
+    frequent words are looked up and only others run through the automaton's table. One pass, no
     shuffle. Null or empty text: no ids and an empty string. Repeated rows stay; other
     columns are ignored; an empty table gives an empty result.
     """
@@ -230,7 +272,8 @@ def encode_decode(documents: DataFrame, spec: str, id_col: str = "doc_id", text_
 
     def run(batches):
         known = _remembered(shared.value)
-        claim(known, known.tok.pieces, known.tok.auto.table)
+        auto = known.tok.auto
+        claim(known, known.tok.pieces, auto.numbers, auto.steps, auto.closes)
         look = known.__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -285,6 +285,16 @@ def test_automaton_equals_the_library(library, texts):
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_the_table_begins_anew_and_needs_no_suffix(library, monkeypatch):
+    own = bpe_automaton.WordTokenizer(word_bpe())
+    words = sorted({p for p in own.presplit("the tokens of these several words, and of some others, are the same before and after")})
+    want = [own.auto.encode(w) for w in words]
+    monkeypatch.setattr(bpe_automaton, "STATES", 3)
+    assert [own.auto.encode(w) for w in words] == want and len(own.auto.states) < 20
+    plain = bpe_automaton.TokenAutomaton({"a": 0, "b": 1, "ab": 2, "abab": 3, "ba": 4}, [("a", "b"), ("ab", "ab"), ("b", "a")], "")
+    assert [plain.encode(w) for w in ("abab", "ababa", "bab", "ba", "bba")] == [[3], [3, 0], [1, 2], [4], [1, 4]]
+
+
 @tables
 def test_encoding_query(spark, texts, library):
     for r in queries.op6_bpe_encode_decode(spark, FOLDER).collect():
