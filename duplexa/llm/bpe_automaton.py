@@ -20,7 +20,7 @@ from duplexa.shipping import ship
 #: Words and pieces a worker remembers; rarer ones are encoded anew.
 REMEMBERED = 300_000
 #: States of a worker's table, some 500 bytes each with their arcs; beyond, the table begins anew.
-STATES = 60_000
+STATES = 100_000
 NEVER = 1 << 40
 #: str.split() also parts these four, which the tokenizer's white space class does not hold.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
