@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from duplexa.llm import bpe_automaton, components, embedding_dedup, html_extract, license_scan, minhash_dedup, packing, quality_classifier, queries, suffix_dedup, suffix_sort, topk_search
+from duplexa.llm import bpe_automaton, components, embedding_dedup, html_extract, license_scan, line_dedup, minhash_dedup, packing, quality_classifier, queries, suffix_dedup, suffix_sort, topk_search
 from duplexa.llm.queries import word_bpe
 
 FOLDER = f"{DATA}/sf0.001"
@@ -262,6 +262,66 @@ def test_segments_cover_every_window(monkeypatch):
     assert first[0] == 0 and last[-1] == len(data) - 50 and (first[1:] == last[:-1] + 1).all() and (at >= last).all() and (at - first <= 34).all()
 
 
+# Lines ---------------------------------------------------------------------------
+
+
+def brute_lines(texts, min_lines, min_chars=40):
+    """Every maximal run that an earlier place has, found by comparing all pairs of places."""
+    docs = [[(n, x) for n, x in enumerate(t.split("\n")) if x.strip(" ")] for t in texts]
+    places = [(d, k) for d, own in enumerate(docs) for k in range(len(own))]
+    gone = [set() for _ in texts]
+    for n, (d, k) in enumerate(places):
+        for e, j in places[:n]:
+            size = 0
+            while k + size < len(docs[d]) and j + size < len(docs[e]) and docs[d][k + size][1] == docs[e][j + size][1]:
+                size += 1
+            if size >= min_lines or size and len(docs[d][k][1]) >= min_chars:
+                gone[d] |= {docs[d][k + i][0] for i in range(size if size >= min_lines else 1)}
+    out = []
+    for t, cut in zip(texts, gone):
+        lines = t.split("\n")
+        out.append(("\n".join(x for n, x in enumerate(lines) if n not in cut), len(lines), len(cut), sum(n - 1 not in cut for n in cut)))
+    return out
+
+
+@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
+def test_line_runs_equal_brute_force(spark, min_lines):
+    rnd = random.Random(min_lines)
+    pool = [f"line {i}" for i in range(6)] + ["", "  ", "a line that is long enough to count on its own, in short"]
+    runs = [[rnd.choice(pool[:6]) + str(rnd.randrange(9)) for _ in range(rnd.randrange(2, 30))] for _ in range(5)]
+    docs = []
+    for n in range(40):
+        lines = []
+        for _ in range(rnd.randrange(5)):
+            run = rnd.choice(runs)
+            low = rnd.randrange(len(run))
+            lines += rnd.choice([run, run[low:], run[:low], [rnd.choice(pool)], [f"own {n} {rnd.random()}"], ["x"] * rnd.randrange(7)])
+        docs.append("\n".join(lines))
+    got = sorted(line_dedup.dedup_lines(document_frame(spark, docs), min_lines=min_lines).collect(), key=lambda r: r["doc_id"])
+    assert [(r["text"], r["n_lines"], r["n_removed"], r["n_runs"]) for r in got] == brute_lines(docs, min_lines)
+
+
+def test_ranks_follow_the_order_of_suffixes(spark, tmp_path):
+    from duplexa.llm.scratch import Scratch
+
+    rnd = random.Random(4)
+    docs = [[f"l{rnd.randrange(3)}" for _ in range(rnd.randrange(40))] for _ in range(12)]
+    rows = spark.createDataFrame([(n, 0, "\n".join(d)) for n, d in enumerate(docs)], "id long, key long, text string")
+    number = {r["t"]: (r["a"], r["b"]) for r in spark.createDataFrame([(f"l{i}",) for i in range(3)], "t string").selectExpr("t", "xxhash64(t) a", "xxhash64(7, t) b").collect()}
+    seen = 0
+    for level in line_dedup.suffix_intervals(rows, 2, Scratch(spark, "t")):
+        members = [(r["rank"], [number[x] for x in docs[r["id"]][r["k"] : r["k"] + r["depth"]]], r) for r in level.collect()]
+        assert all(len(run) == r["depth"] for _, run, r in members)
+        assert [run for _, run, _ in sorted(members, key=lambda m: m[0])] == sorted(run for _, run, _ in members)
+        groups = {}
+        for rank, run, r in members:
+            groups.setdefault(tuple(run), []).append((rank, r["copies"], r["id"], r["k"], r["later"]))
+        for g in groups.values():
+            assert len({m[0] for m in g}) == 1 and all(m[1] == len(g) > 1 for m in g) and sorted(m[2:] for m in g)[0][2] is False and sum(m[4] for m in g) == len(g) - 1
+        seen += len(groups)
+    assert seen > 20
+
+
 # Tokens --------------------------------------------------------------------------
 
 

@@ -78,6 +78,26 @@ def test_one_id_with_several_texts(spark):
     )
 
 
+def test_very_many_lines(spark):
+    rnd = random.Random(2)
+    lines = [f"{rnd.random()}" for _ in range(200_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["own", *lines, "end"])), (3, "\n".join(lines[n] for n in range(0, 200_000, 2)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame).collect()}
+    assert time.time() - began < 120
+    assert got[2]["text"] == "own\nend" and got[2]["n_removed"] == 200_000 and got[2]["n_runs"] == 1 and got[1]["n_removed"] == got[3]["n_removed"] == 0
+
+
+def test_lines_of_one_id_with_several_texts(spark):
+    rows = [(1, "a\nb\nc"), (1, "a\nb\nd"), (1, "a\nb\nc"), (None, "a\nb"), (None, "e\n\nf"), (2, "e\nf\nb"), (2, None)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # Places of a null id come first; of one id, texts in order of a hash.
+    assert len(got) == 7 and sorted(r["text"] for r in got if r["doc_id"] is None) == ["a\nb", "e\n\nf"]
+    assert sorted(str(r["text"]) for r in got if r["doc_id"] == 2) == ["None", "b"]
+    assert sorted(r["text"] for r in got if r["doc_id"] == 1) == ["c", "c", "d"]
+
+
 def test_the_passage_stage_cuts_each_text_of_an_id_by_itself(spark, tmp_path):
     passage = "a passage of well over fifty bytes that several of the rows hold"
     rows = [(1, passage), (2, "own words"), (2, "so: " + passage + "!"), (2, None), (3, passage + "é")]
