@@ -15,10 +15,11 @@ from duplexa.llm.scratch import Scratch
 CELL_ROWS = 2048
 MAX_CELLS = 4096
 SAMPLE_PER_CELL = 32
-BLOCK_ROWS = 4096
+#: Rows of a cell that one task holds: of those at home there, and of visitors.
+BLOCK_ROWS, VISITORS = 4096, 16_384
 #: Two linked vectors lie at most REACH standard deviations of their difference's share in one
 #: direction apart across a border; up to REACH ** 2 dimensions that is all of the difference.
-REACH = 3.5
+REACH = 3.0
 
 
 def usable(column: str) -> F.Column:
@@ -114,34 +115,28 @@ def _exact(a: np.ndarray, b: np.ndarray) -> float:
 
 def _links(threshold: float):
     def run(table: pa.Table) -> pa.Table:
-        home = table.column("home").to_numpy(zero_copy_only=False)
         side = table.column("side").to_numpy(zero_copy_only=False)
         lo, hi = int(table.column("lo")[0].as_py()), int(table.column("hi")[0].as_py())
         rows, reps = matrix(table.column("vector")), table.column("rep").to_numpy()
         copies = table.column("copies").to_numpy()
+        left, right = np.nonzero(side == lo)[0], np.nonzero(side == hi)[0]
         added, edges_a, edges_b = np.zeros(len(reps), np.int64), [], []
-        part = lambda n, own: np.nonzero((side == n) & (home == own))[0]
-        # Visitors meet each other in a cell of their own.
-        meet = [(part(lo, True), part(hi, True)), (part(lo, True), part(hi, False))]
-        if lo != hi:
-            meet.append((part(lo, False), part(hi, True)))
-        for left, right in meet:
-            for at in range(0, len(left) if len(right) else 0, 512):
-                x = left[at : at + 512]
-                near = rows[x] @ rows[right].T
-                link = near >= threshold
-                for i, j in zip(*np.nonzero(np.abs(near - threshold) < 1e-13)):
-                    link[i, j] = _exact(rows[x[i]], rows[right[j]]) >= threshold
-                if lo == hi and home[right[0]]:
-                    link &= x[:, None] != right[None]
-                    added[x] += link @ copies[right]
-                else:
-                    added[x] += link @ copies[right]
-                    added[right] += copies[x] @ link
-                i, j = np.nonzero(link)
-                a, b = forest(reps[x[i]], reps[right[j]])
-                edges_a.append(a)
-                edges_b.append(b)
+        for at in range(0, len(left) if len(right) else 0, 512):
+            x = left[at : at + 512]
+            near = rows[x] @ rows[right].T
+            link = near >= threshold
+            for i, j in zip(*np.nonzero(np.abs(near - threshold) < 1e-13)):
+                link[i, j] = _exact(rows[x[i]], rows[right[j]]) >= threshold
+            if lo == hi:
+                link &= x[:, None] != right[None]
+                added[x] += link @ copies[right]
+            else:
+                added[x] += link @ copies[right]
+                added[right] += copies[x] @ link
+            i, j = np.nonzero(link)
+            a, b = forest(reps[x[i]], reps[right[j]])
+            edges_a.append(a)
+            edges_b.append(b)
         a, b = forest(np.concatenate(edges_a or [reps[:0]]), np.concatenate(edges_b or [reps[:0]]))
         root = dict(zip(a.tolist(), b.tolist()))
         hit = np.nonzero(added)[0]
@@ -169,7 +164,7 @@ def near_duplicates(
     Equal vectors are one class from the start and count as linked. k-means is fitted on
     a bounded sample (SAMPLE_PER_CELL rows a cell, MAX_CELLS cells at most); every vector
     is indexed. A vector is compared in its own cell and in cells whose border is within
-    ``border_margin``, for as many directions as the sample varies in; up to 12, that finds
+    ``border_margin``, for as many directions as the sample varies in; up to 9, that finds
     every link, and beyond, some in a thousand of those that a border parts may be missed.
     With ``exact`` the margin is that of one direction and none is missed, at the price of
     more visits. Links found are exact. Cells over BLOCK_ROWS rows are compared block by
@@ -200,11 +195,15 @@ def near_duplicates(
             _assign(centres, margin), "cell int, home boolean, rep long, copies long, vector array<double>"
         )
         placed = scratch.save(placed, "placed")
-        blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-        # The block table has a row a cell, MAX_CELLS at most.
-        spread = placed.join(F.broadcast(blocks), "cell").withColumn("side", F.expr("pmod(xxhash64(rep), blocks)"))
-        pairs = spread.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-            "cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "home", "rep", "copies", "vector"
+        blocks = placed.groupBy("cell").agg(
+            F.ceil(F.count_if("home") / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil(F.count_if(~F.col("home")) / VISITORS).cast("int").alias("visits")
+        )
+        # The block table has a row a cell, MAX_CELLS at most. Visitors' blocks are numbered after the home blocks, with which alone they meet.
+        own = F.when(F.col("home"), F.expr("pmod(xxhash64(rep), blocks)")).otherwise(F.expr("blocks + pmod(xxhash64(rep), greatest(visits, 1))"))
+        others = F.when(F.col("home"), F.expr("sequence(0, blocks + visits - 1)")).when(F.col("blocks") > 0, F.expr("sequence(0, greatest(blocks, 1) - 1)"))
+        spread = placed.join(F.broadcast(blocks), "cell").withColumn("side", own.cast("int"))
+        pairs = spread.withColumn("other", F.explode(others)).select(
+            "cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "rep", "copies", "vector"
         )
         found = scratch.save(
             pairs.groupBy("cell", "lo", "hi").applyInArrow(_links(threshold), "rep long, added long, root long"), "links"

@@ -541,6 +541,7 @@ def test_vector_links_against_all_pairs(spark, rows, least, exact):
 
 def test_cells_of_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(embedding_dedup, "VISITORS", 90)
     test_vector_links_against_all_pairs(spark, planted(n=1200), 0.99, True)
 
 
