@@ -16,10 +16,12 @@ from duplexa.llm.scratch import Scratch
 from duplexa.llm.worker_cache import claim
 
 COORDINATES = 32
-#: Documents of a family that one task compares with as many others.
-BLOCK = 512
-#: Of a family larger than a block, about this many documents visit every block.
-HUBS = 64
+#: Documents of a family, and bytes of their sets, that one task compares with as many others.
+BLOCK, BLOCK_BYTES = 512, 32 << 20
+#: Of a family larger than a block, about so many documents visit every block, and so many bytes of theirs.
+HUBS, HUB_BYTES = 64, 8 << 20
+#: Rows and bytes of families smaller than a block that are compared in one go.
+TOGETHER, TOGETHER_BYTES = 4096, 16 << 20
 REMEMBERED = 500_000
 U64 = np.uint64
 
@@ -93,19 +95,82 @@ def _sign(words: int):
     return run
 
 
+#: Tells the coordinates' values apart.
+SALT = mix(np.arange(1, COORDINATES + 1, dtype=U64))
+
+
+def _signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), U64).reshape(len(column), COORDINATES)
+
+
 def _post(batches):
     """A row for each coordinate-value pair of a document, the pair as one 64-bit number."""
-    salt = mix(np.arange(1, COORDINATES + 1, dtype=U64))
     for batch in batches:
         if batch.num_rows:
-            rows = np.frombuffer(b"".join(x.as_py() for x in batch.column("sig")), U64).reshape(batch.num_rows, COORDINATES)
             rep = batch.column("rep").to_numpy(zero_copy_only=False)
-            keys = mix(rows + salt[None]).view(np.int64)
+            keys = mix(_signatures(batch.column("sig")) + SALT[None]).view(np.int64)
             for at in range(0, len(rep), 4096):
                 part = keys[at : at + 4096]
                 yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(rep[at : at + 4096], COORDINATES))], ["key", "rep"])
 
 
+def collisions(left: np.ndarray, right: np.ndarray, least: int, at_once: int = 2_000_000):
+    """(i, j, count) of all pairs of a left and a right row with ``least`` or more equal coordinates.
+
+    Rows hold their coordinate-value pairs as keys. The right rows are posted under theirs.
+    Of a left row's lists the ``least`` - 1 longest are skipped: a row with enough
+    collisions is in one of the others, which are merged. What the merge finds, and that
+    alone, is looked up in the skipped lists.
+    """
+    width = left.shape[1]
+    order = np.argsort(right.ravel(), kind="stable")
+    posted, row_of = right.ravel()[order], order // width
+    low = np.searchsorted(posted, left)
+    size = np.searchsorted(posted, left, "right") - low
+    by_size = np.argsort(size, axis=1, kind="stable")
+    short, long = by_size[:, : width - least + 1], by_size[:, width - least + 1 :]
+    low, size = np.take_along_axis(low, short, 1), np.take_along_axis(size, short, 1)
+    work = np.cumsum(size.sum(axis=1))
+    out = [(np.empty(0, np.int64),) * 3]
+    begin = 0
+    while begin < len(left):
+        done = int(work[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(work, done + at_once, "right")))
+        n = size[begin:end].ravel()
+        at = np.repeat(low[begin:end].ravel() - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        i = np.repeat(np.arange(begin, end), size[begin:end].sum(axis=1))
+        pair, count = np.unique(i * len(right) + row_of[at], return_counts=True)
+        i, j = pair // len(right), pair % len(right)
+        skipped = long[i]
+        count += (left[i[:, None], skipped] == right[j[:, None], skipped]).sum(axis=1)
+        enough = count >= least
+        out.append((i[enough], j[enough], count[enough]))
+        begin = end
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _keys(table: pa.Table) -> np.ndarray:
+    """Coordinate-value pairs of rows, told apart by the rows' families."""
+    family = mix(np.asarray(table.column("family")).astype(np.int64).view(U64))
+    return mix(_signatures(table.column("sig")) + SALT[None]) ^ family[:, None]
+
+
+def _fit(size_i, size_j, percent: int):
+    """Sets of such sizes can have 100 * common >= percent * union."""
+    return 100 * np.minimum(size_i, size_j) >= percent * np.maximum(size_i, size_j)
+
+
+def _matched(percent: int, least: int):
+    """Of whole families, the documents that any other has enough collisions with."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, size, rep = _keys(table), np.asarray(table.column("n")), np.asarray(table.column("rep"))
+        i, j, _ = collisions(keys, keys, least)
+        return pa.table({"rep": pa.array(rep[np.unique(i[(i != j) & _fit(size[i], size[j], percent)])])})
+
+    return run
+
+
 def _sets(shared, words: int):
     def run(batches):
         bits = np.frombuffer(shared.value, np.uint8)
@@ -113,17 +178,12 @@ def _sets(shared, words: int):
         for batch in batches:
             hit = passing(bits, batch.column("id").to_numpy(zero_copy_only=False))
             part = batch.take(pa.array(np.nonzero(hit)[0]))
-            for at in range(0, part.num_rows, 512):
-                some = part.slice(at, 512)
-                sets = [shingles(t.as_py(), words) for t in some.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column("id"),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                        pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                    ],
-                    ["rep", "hashes", "sig"],
-                )
+            made, at = [], 0
+            for row, text in enumerate(part.column("text"), 1):
+                made.append(shingles(text.as_py(), words).tobytes())
+                if row == part.num_rows or sum(map(len, made)) > BLOCK_BYTES // 4 or len(made) == 512:
+                    yield pa.RecordBatch.from_arrays([part.column("id").slice(at, len(made)), pa.array(made, pa.binary())], ["rep", "hashes"])
+                    made, at = [], row
 
     return run
 
@@ -134,13 +194,13 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def confirm(reps, left, right, labels, sigs, sets, percent: int, least: int, dense_from: int = 20_000):
+def confirm(reps, left, right, labels, keys, sets, percent: int, least: int, dense_from: int = 20_000):
     """Links that join the labels as all links of 100 * common >= percent * union would; pairs of joined labels are skipped.
 
-    Collisions of coordinates are counted for each left row with each right row. Pairs
-    with ``least`` or more, sizes permitting, are confirmed on whole sets, most
-    collisions first. Where many are left over, common elements of all of them are
-    counted at once by products of incidence matrices.
+    Collisions of left rows with right rows are counted from their postings. Pairs with
+    ``least`` or more, sizes permitting, are confirmed on whole sets, most collisions
+    first. Where many are left over, common elements of all of them are counted at once
+    by products of incidence matrices.
     """
     size = np.array([len(s) for s in sets])
     names, root = np.unique(labels, return_inverse=True)
@@ -154,16 +214,13 @@ def confirm(reps, left, right, labels, sigs, sets, percent: int, least: int, den
             x = parent[up]
 
     at_left, at_right = np.nonzero(left)[0], np.nonzero(right)[0]
-    count = np.zeros((len(at_left), len(at_right)), np.uint8)
-    for k in range(sigs.shape[1]):
-        count += sigs[at_left, k][:, None] == sigs[at_right, k][None]
-    fits = count >= least
-    fits &= (100 * np.minimum.outer(size[at_left], size[at_right])) >= percent * np.maximum.outer(size[at_left], size[at_right])
-    fits &= ~((left[at_right][None] & right[at_left][:, None]) & (at_left[:, None] >= at_right[None]))
-    fits &= root[at_left][:, None] != root[at_right][None]
-    i, j = np.nonzero(fits)
-    order = np.argsort(-count[i, j].astype(np.int16), kind="stable")
-    i, j = at_left[i[order]], at_right[j[order]]
+    i, j, count = collisions(keys[at_left], keys[at_right], least)
+    i, j = at_left[i], at_right[j]
+    # A pair that both sides hold is tried once.
+    fits = ~(left[j] & right[i] & (i >= j)) & (root[i] != root[j]) & _fit(size[i], size[j], percent)
+    i, j, count = i[fits], j[fits], count[fits]
+    order = np.argsort(-count, kind="stable")
+    i, j = i[order], j[order]
     out = []
 
     def link(a, b):
@@ -214,9 +271,8 @@ def _compare(percent: int, least: int):
         column = lambda c: np.asarray(table.column(c))
         found = []
         if len(table) > 1:
-            sigs = np.frombuffer(b"".join(x.as_py() for x in table.column("sig")), U64).reshape(len(table), COORDINATES)
-            sets = [np.frombuffer(x.as_py(), U64) for x in table.column("hashes")]
-            found = confirm(column("rep"), column("left"), column("right"), column("label"), sigs, sets, percent, least)
+            sets = [np.frombuffer(x.as_buffer(), U64) for x in table.column("hashes")]
+            found = confirm(column("rep"), column("left"), column("right"), column("label"), _keys(table), sets, percent, least)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return run
@@ -230,11 +286,13 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     frequencies put each class's pairs in one global order, rarest first, and only the
     prefix that two classes with enough equal coordinates must share is joined, so what
     very many documents have in common posts nothing. Classes that meet are a family.
-    Families are compared in blocks: collisions counted, pairs above the match threshold
-    confirmed on whole sets, pairs already joined skipped. A family larger than a block
-    meets some hubs in each block first; then only what is still apart from its largest
-    part is compared with all blocks. Only links that join something leave a task. A pair
-    at the threshold lacks the matches with a chance of about 4 in a million.
+    Within families collisions are counted from postings, the longest lists skipped
+    (``collisions``), before any set moves: a class without a partner above the match
+    threshold is done. The others' pairs above it are confirmed on whole sets, pairs
+    already joined skipped. A family of more rows or bytes than a block meets some hubs in
+    each block first; then only what is still apart from its largest part is compared with
+    all blocks. Only links that join something leave a task. A pair at the threshold lacks
+    the matches with a chance of about 4 in a million.
 
     Null and empty texts have no shingles and link with nothing. Rows that repeat an id
     are one document for links. A null id links with nothing. Other columns are ignored;
@@ -246,7 +304,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     prefix = COORDINATES - least + 1
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = scratch.save(docs.mapInArrow(_sign(words), "id long, n long, d1 long, d2 long, sig binary"), "signed")
-    classes = signed.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.any_value("sig").alias("sig"))
+    classes = signed.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
     classes = scratch.save(classes, "classes")
     posts = scratch.save(classes.select("rep", "sig").mapInArrow(_post, "key long, rep long"), "posts")
     frequent = posts.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
@@ -260,21 +318,39 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     families = connected_components(met, scratch, "met").withColumnsRenamed({"node": "rep", "component": "family"})
     families = scratch.save(families, "families")
 
-    sent = broadcast_filter(families, "rep", families.count())
-    sets = docs.where("id is not null").mapInArrow(_sets(sent, words), "rep long, hashes binary, sig binary").where("sig is not null")
+    # Families that fit in a block are compared many at a time, and by signatures first.
     sizes = families.groupBy("family").agg(F.count("*").alias("m"))
-    group = families.join(sizes, "family").join(sets, "rep")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    group = group.select("family", "rep", "hashes", "sig", blocks.alias("blocks"), (F.col("m") / HUBS).cast("long").alias("each"))
+    signs = families.join(sizes, "family").join(classes.select("rep", "n", "sig"), "rep")
+    signs = scratch.save(signs, "signs")
+    n = signs.count()
+    lots = F.pmod(F.xxhash64("family"), F.lit(max(1, -(-n // TOGETHER))))
+    small = signs.where(F.col("m") <= BLOCK)
+    matched = small.groupBy(lots).applyInArrow(_matched(percent, least), "rep long")
+    wanted = scratch.save(signs.where(F.col("m") > BLOCK).select("rep").union(matched), "wanted")
+
+    sent = broadcast_filter(wanted, "rep", wanted.count())
+    sets = docs.where("id is not null").mapInArrow(_sets(sent, words), "rep long, hashes binary")
+    # Rows that repeat an id have one class's set each; the class is known by its size and digest too.
+    group = signs.join(wanted, "rep").select("family", "rep", "n", "sig").join(sets, "rep").where("length(hashes) = 8 * n").dropDuplicates(["rep"])
+    group = scratch.save(group, "sets")
+    bytes_ = F.sum(F.length("hashes")).alias("bytes")
+    sizes = group.groupBy("family").agg(F.count("*").alias("m"), bytes_)
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    group = group.join(sizes, "family").select("family", "rep", "hashes", "sig", blocks.alias("blocks"), F.ceil(F.greatest(F.col("m") / HUBS, F.col("bytes") / HUB_BYTES)).cast("long").alias("each"))
     group = scratch.save(group.withColumn("block", F.expr("pmod(xxhash64(rep), blocks)").cast("int")), "group")
+    scratch.drop("sets")
 
     hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit(3), "rep"), F.greatest("each", F.lit(1))) == 0)
     visits = F.when(hub, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    # Families of one block take the same path; their members have nothing to visit.
+    # Families of one block share tasks; their members have nothing to visit.
+    total = group.agg(F.coalesce(F.sum(F.length("hashes")), F.lit(0)), F.count("*")).first()
+    lots = F.pmod(F.xxhash64("family"), F.lit(max(1, -(-total[0] // TOGETHER_BYTES), -(-total[1] // TOGETHER))))
+    single = F.col("blocks") == 1
     placed = group.withColumn("at", F.explode(visits)).select(
+        single.alias("single"), F.when(single, lots).otherwise(F.col("family")).alias("task"),
         "family", "at", "rep", F.col("rep").alias("label"), (F.col("at") == F.col("block")).alias("left"), F.lit(True).alias("right"), "hashes", "sig"
     )
-    links = scratch.save(placed.groupBy("family", "at").applyInArrow(_compare(percent, least), "a long, b long"), "links")
+    links = scratch.save(placed.groupBy("single", "task", "at").applyInArrow(_compare(percent, least), "a long, b long"), "links")
 
     large = group.where("blocks > 1")
     if large.limit(1).count():
@@ -282,8 +358,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         large = large.join(parts, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         large = scratch.save(large, "large")
         most = large.groupBy("family", "label").agg(F.count("*").alias("n")).groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("m"))
-        rest = large.groupBy("family", "label").agg(F.count("*").alias("n")).join(most, "family").where("label <> main").groupBy("family").agg(
-            F.max("main").alias("main"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("rest_blocks")
+        rest = large.groupBy("family", "label").agg(F.count("*").alias("n"), bytes_).join(most, "family").where("label <> main").groupBy("family").agg(
+            F.max("main").alias("main"), F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("rest_blocks")
         )
         large = large.join(rest, "family")
         own = F.expr("pmod(xxhash64(7, rep), rest_blocks)").cast("int")

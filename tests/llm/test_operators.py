@@ -131,20 +131,24 @@ def test_each_layout_of_a_host_has_its_template(spark):
 
 
 def brute_components(sets, percent):
-    parent = list(range(len(sets)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x] = parent[parent[x]]
-        return x
-
+    """Smallest index reachable, all pairs compared and links followed breadth first."""
+    near = [[] for _ in sets]
     for i, a in enumerate(sets):
         for j in range(i):
             common = len(a & sets[j])
             if a and sets[j] and 100 * common >= percent * (len(a) + len(sets[j]) - common):
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    return [find(i) for i in range(len(sets))]
+                near[i].append(j)
+                near[j].append(i)
+    found = [None] * len(sets)
+    for first in range(len(sets)):
+        if found[first] is None:
+            found[first], reached = first, [first]
+            for i in reached:
+                for j in near[i]:
+                    if found[j] is None:
+                        found[j] = first
+                        reached.append(j)
+    return found
 
 
 def shingle_set(text, width):
@@ -177,15 +181,43 @@ def test_near_duplicates_equal_brute_force(spark):
         assert [r["kept"] for r in rows] == [i == c for i, c in enumerate(want)]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**31), st.integers(1, 8), st.integers(1, 40), st.sampled_from([1, 30, 10**6]))
+def test_collisions_equal_all_pairs(seed, least, kinds, at_once):
+    rng = np.random.default_rng(seed)
+    left, right = (rng.integers(0, kinds, (n, 8)).astype(np.uint64) * np.uint64(8) + np.arange(8, dtype=np.uint64) for n in rng.integers(1, 40, 2))
+    count = (left[:, None] == right[None]).sum(axis=2)
+    i, j, c = minhash_dedup.collisions(left, right, least, at_once)
+    assert sorted(zip(i.tolist(), j.tolist(), c.tolist())) == [(a, b, count[a, b]) for a, b in zip(*np.nonzero(count >= least))]
+
+
+@pytest.mark.parametrize("limit", ["BLOCK_BYTES", "HUB_BYTES", "TOGETHER_BYTES", "TOGETHER", "BLOCK"])
+def test_groups_of_any_size_lose_no_link(spark, monkeypatch, limit):
+    monkeypatch.setattr(minhash_dedup, limit, 30 if limit in ("BLOCK", "TOGETHER") else 12_000)
+    rnd = random.Random(len(limit))
+    word = lambda: f"w{rnd.randrange(300)}"
+    docs = []
+    for size in (15, 60, 200):
+        base = [word() for _ in range(size)]
+        for _ in range(90):
+            base = list(base)
+            for _ in range(rnd.choice([0, 1, 1, 2]) * size // 60 + (size < 60) * rnd.randrange(2)):
+                base[rnd.randrange(size)] = word()
+            docs.append(" ".join(base))
+    rnd.shuffle(docs)
+    rows = sorted(minhash_dedup.near_duplicates(document_frame(spark, docs), words=3, percent=85).collect(), key=lambda r: r["doc_id"])
+    assert [r["component_id"] for r in rows] == brute_components([shingle_set(d, 3) for d in docs], 85)
+
+
 def test_dense_confirmation_equals_sparse():
     rnd = np.random.default_rng(4)
     base = np.unique(rnd.integers(0, 2**62, 80, dtype=np.uint64))
     sets = [np.unique(np.concatenate([rnd.choice(base, 70, replace=False), rnd.integers(0, 2**62, 6, dtype=np.uint64)])) for _ in range(90)]
-    sigs = np.stack([minhash_dedup.signature(s) for s in sets])
+    keys = np.stack([minhash_dedup.signature(s) for s in sets])
     ids, every = np.arange(90), np.ones(90, bool)
     found = []
     for dense_from in (10**9, 1):
-        links = minhash_dedup.confirm(ids, every, every, ids, sigs, sets, 70, 5, dense_from)
+        links = minhash_dedup.confirm(ids, every, every, ids, keys, sets, 70, 5, dense_from)
         a, b = components.forest(np.array([x for x, _ in links]), np.array([y for _, y in links]))
         found.append(sorted(zip(a.tolist(), b.tolist())))
     assert found[0] == found[1] and found[0]
