@@ -55,7 +55,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc")
     count once; nulls must not occur. No edges: an empty result.
     """
     link = "a long, b long"
-    now = edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(_local_stars, link)
+    # Dealt by one end, a node that many links join with others leaves its task with one.
+    now = edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).repartition("a").mapInArrow(_local_stars, link)
     now = scratch.save(now, f"{label}0")
     turn, before = 0, None
     while True:

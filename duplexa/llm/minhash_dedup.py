@@ -194,13 +194,23 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def confirm(reps, left, right, labels, keys, sets, percent: int, least: int, dense_from: int = 20_000):
-    """Links that join the labels as all links of 100 * common >= percent * union would; pairs of joined labels are skipped.
+def matches(left, right, labels, keys, size, percent: int, least: int):
+    """Pairs (i, j) of a left with a right row to be confirmed, most collisions first: ``least`` or more, sizes and labels permitting."""
+    at_left, at_right = np.nonzero(left)[0], np.nonzero(right)[0]
+    i, j, count = collisions(keys[at_left], keys[at_right], least)
+    i, j = at_left[i], at_right[j]
+    # A pair that both sides hold is tried once.
+    fits = ~(left[j] & right[i] & (i >= j)) & (labels[i] != labels[j]) & _fit(size[i], size[j], percent)
+    i, j, count = i[fits], j[fits], count[fits]
+    order = np.argsort(-count, kind="stable")
+    return i[order], j[order]
+
 
-    Collisions of left rows with right rows are counted from their postings. Pairs with
-    ``least`` or more, sizes permitting, are confirmed on whole sets, most collisions
-    first. Where many are left over, common elements of all of them are counted at once
-    by products of incidence matrices.
+def confirm(reps, labels, sets, i, j, percent: int, dense_from: int = 20_000):
+    """Links that join the labels as all pairs (i, j) with 100 * common >= percent * union would; pairs of joined labels are skipped.
+
+    Pairs are confirmed on whole sets in the order given. Where many are left over, common
+    elements of all of them are counted at once by products of incidence matrices.
     """
     size = np.array([len(s) for s in sets])
     names, root = np.unique(labels, return_inverse=True)
@@ -213,14 +223,6 @@ def confirm(reps, left, right, labels, keys, sets, percent: int, least: int, den
                 return x
             x = parent[up]
 
-    at_left, at_right = np.nonzero(left)[0], np.nonzero(right)[0]
-    i, j, count = collisions(keys[at_left], keys[at_right], least)
-    i, j = at_left[i], at_right[j]
-    # A pair that both sides hold is tried once.
-    fits = ~(left[j] & right[i] & (i >= j)) & (root[i] != root[j]) & _fit(size[i], size[j], percent)
-    i, j, count = i[fits], j[fits], count[fits]
-    order = np.argsort(-count, kind="stable")
-    i, j = i[order], j[order]
     out = []
 
     def link(a, b):
@@ -272,7 +274,15 @@ def _compare(percent: int, least: int):
         found = []
         if len(table) > 1:
             sets = [np.frombuffer(x.as_buffer(), U64) for x in table.column("hashes")]
-            found = confirm(column("rep"), column("left"), column("right"), column("label"), _keys(table), sets, percent, least)
+            size = np.array([len(s) for s in sets])
+            reps, labels, family = column("rep"), column("label"), column("family")
+            i, j = matches(column("left"), column("right"), labels, _keys(table), size, percent, least)
+            # One family after the other, as only its own sets have much in common.
+            order = np.argsort(family[i], kind="stable")
+            cuts = np.nonzero(np.diff(family[i[order]]))[0] + 1
+            for some in np.split(order, cuts) if len(order) else ():
+                used, flat = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
+                found += confirm(reps[used], labels[used], [sets[v] for v in used], flat[: len(some)], flat[len(some) :], percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return run

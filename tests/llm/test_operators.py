@@ -217,7 +217,9 @@ def test_dense_confirmation_equals_sparse():
     ids, every = np.arange(90), np.ones(90, bool)
     found = []
     for dense_from in (10**9, 1):
-        links = minhash_dedup.confirm(ids, every, every, ids, keys, sets, 70, 5, dense_from)
+        size = np.array([len(s) for s in sets])
+        i, j = minhash_dedup.matches(every, every, ids, keys, size, 70, 5)
+        links = minhash_dedup.confirm(ids, ids, sets, i, j, 70, dense_from)
         a, b = components.forest(np.array([x for x, _ in links]), np.array([y for _, y in links]))
         found.append(sorted(zip(a.tolist(), b.tolist())))
     assert found[0] == found[1] and found[0]
