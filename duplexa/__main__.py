@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import inspect
 import sys
+from pathlib import PurePath
 
 from pyspark.sql import SparkSession
 
@@ -51,10 +52,18 @@ def run(spark: SparkSession, command: str, given: dict) -> None:
         result = CALLS[command](spark, **given)
     if command == "off-targets":
         if legacy or detailed:
-            configs = [Config(), Config(0.8, 0.8)]
-            by, totals = scoring.transcript_probabilities(result.sites, configs, temperature=given.get("temperature", DEFAULT_TEMPERATURE))
-            for line in reports.legacy_report("siRNA", by, totals, configs, detailed):
-                print(line)
+            configs, on = [Config(), Config(0.8, 0.8)], result.on_target or {"energy": 0.0, "opening_energy": 0.0, "expression": 1000.0}
+            by, totals = scoring.transcript_probabilities(
+                result.matched, configs, on["energy"], on["opening_energy"], on["expression"], given.get("temperature", DEFAULT_TEMPERATURE)
+            )
+            name = PurePath(given["query_file"]).stem if given.get("query_file") else "siRNA"
+            lines = reports.legacy_report(name, by, totals, configs, detailed)
+            if out:
+                reports.write_lines(spark, lines, out + ".results")
+                reports.write_sites(reports.without_intermediates(result.sites), out + ".detailed_results", "tsv")
+            else:
+                for line in lines:
+                    print(line)
         elif not out:
             with profile.step("sites"):
                 scoring.top_sites(result.sites).show(10, truncate=False)
@@ -66,8 +75,8 @@ def run(spark: SparkSession, command: str, given: dict) -> None:
                 reports.write_summaries(result.sums, result.configs, out + ".summaries")
         if timed:
             print(profile.table())
-    elif command == "search" and out:
-        reports.write_sites(result, out, kind)
+    elif command == "search":
+        reports.write_sites(result, out, kind) if out else reports.print_rows(result)
     elif command == "index":
         print(result)
     else:

@@ -12,7 +12,7 @@ from duplexa.operators import accessibility as opening
 from duplexa.operators import folding, overlap, scoring
 from duplexa.operators import search as searching
 from duplexa.plans import reports
-from duplexa.sources import annotation, fasta, predictions, profiles
+from duplexa.sources import annotation, fasta, files, predictions, profiles
 
 
 @dataclass
@@ -22,6 +22,9 @@ class OffTargets:
     sites: DataFrame
     sums: DataFrame
     configs: list[Config]
+    #: The sites as they went into the sums' configs, and the on-target found apart from them.
+    matched: DataFrame | None = None
+    on_target: dict | None = None
 
     @property
     def summary(self) -> DataFrame:
@@ -30,12 +33,7 @@ class OffTargets:
 
 def load_sites(spark: SparkSession, path: str) -> DataFrame:
     """A prediction file, or a folder of them; the folder's sites know their siRNA's raw_e_min."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(where):
-        raise FileNotFoundError(path)
-    if files.getFileStatus(where).isDirectory():
+    if files.status(spark, path).isDirectory():
         return predictions.read_prediction_folder(spark, path)
     return spark.read.parquet(path) if path.endswith(".parquet") else predictions.read_predictions(spark, path)
 
@@ -67,16 +65,22 @@ def off_targets(
     theta: str = "",
     sense_only: bool = False,
     predictions_type: str = "gw",
+    mirror_minus_strand: bool = False,
+    precomputed_accessibility: str | None = None,
 ) -> OffTargets:
     """Score every binding site within its siRNA.
 
     Sites come from prediction files, or from a search of ``sirna_fasta`` in
     ``target_fasta``. With ``gtf_file`` they are joined with the annotation, and opening
-    energies come from ``accessibility_dir``, or from folding ``genome_file``, or are 0.
+    energies come from ``precomputed_accessibility`` (a Parquet table by place), from
+    ``accessibility_dir``, or from folding ``genome_file``, or are 0. With a folder of
+    predictions and ``sirna_fasta``, clamps are anchored at each siRNA's energy against itself.
     Everything up to the result is one lazy plan; sums are there for one siRNA as well.
     """
     if predictions_file:
         sites = load_sites(spark, predictions_file)
+        if sirna_fasta and "raw_e_min" in sites.columns:
+            sites = predictions.with_self_energy(sites, searching.self_energies(fasta.read_sirnas(spark, sirna_fasta)))
     elif sirna_fasta:
         if not (target_fasta or target_index):
             raise ValueError("sirna_fasta needs target_fasta or target_index")
@@ -84,27 +88,31 @@ def off_targets(
     else:
         raise ValueError("no input: give predictions, or siRNAs and a target")
     if sense_only:
-        sites = sites.where("strand = '+'")
+        sites = predictions.on_strand(sites)
     if gtf_file:
         known = annotation.read_annotation(spark, gtf_file, feature_type, expression_metric, transcriptome_format)
         sites = overlap.intersect(sites, known, predictions_type)
-    if accessibility_dir:
-        sites = opening.opening_energy(sites, profiles.read_profiles(spark, accessibility_dir))
+    if precomputed_accessibility:
+        files.status(spark, precomputed_accessibility)
+        sites = opening.precomputed_energy(sites, spark.read.parquet(precomputed_accessibility))
+    elif accessibility_dir:
+        sites = opening.opening_energy(sites, profiles.read_profiles(spark, accessibility_dir), mirror_minus_strand)
     elif genome_file:
         folded = folding.fold(fasta.read_fasta(spark, genome_file), window_size, max_span, unpaired_prob, temperature, quantised=True)
-        sites = opening.opening_energy(sites, folded)
+        sites = opening.opening_energy(sites, folded, mirror_minus_strand)
     configs = sweep(alpha, gamma, theta)
     targets = profiles.read_on_targets(spark, on_target_ids_file) if on_target_ids_file else None
-    external = None
+    external = on_target = None
     if on_target_predictions or (on_target_file and query_file):
         energy, own = _on_target(
             spark, on_target_predictions, on_target_file, query_file, on_target_accessibility, (window_size, max_span, unpaired_prob, temperature)
         )
+        on_target = {"energy": energy, "opening_energy": own, "expression": float(on_target_expression)}
         external = sites.select("sirna_id").distinct().select(
             "sirna_id", F.lit(energy).alias("energy"), F.lit(own).alias("opening_energy"), F.lit(float(on_target_expression)).alias("expression")
         )
     scored = scoring.score_by_sirna(sites, configs, targets, temperature, external)
-    return OffTargets(scored.sites, scored.sums, configs)
+    return OffTargets(scored.sites, scored.sums, configs, sites, on_target)
 
 
 def _on_target(spark: SparkSession, found: str | None, target: str | None, query: str | None, profile: str | None, fold: tuple) -> tuple[float, float]:
@@ -137,9 +145,13 @@ def accessibility(
 
 
 def index(spark: SparkSession, target: str, output: str | None = None) -> str:
-    """Write a target's records as Parquet tiles, which searches read in parallel; returns the folder."""
+    """Write a target's records as Parquet, which searches read in parallel; returns the folder.
+
+    An index that is newer than its target is used as it is.
+    """
     where = output or target.rsplit(".", 1)[0] + ".idx"
-    fasta.read_fasta(spark, target).write.mode("overwrite").parquet(where)
+    if not files.newer(spark, f"{where}/_SUCCESS", target):
+        fasta.read_fasta(spark, target).write.mode("overwrite").parquet(where)
     return where
 
 
@@ -162,6 +174,8 @@ def search(
     check_seed(seed_start, seed_end, seed_length, matrix)
     if not (target or index):
         raise ValueError("give a target or its index")
+    if index:
+        files.status(spark, index)
     targets = spark.read.parquet(index) if index else fasta.read_fasta(spark, target)
     return searching.search(fasta.read_sirnas(spark, query), targets, seed_length, max_extension, energy_threshold, seed_start, seed_end, seed_wobble, matrix)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duplexa.functions.parameters import Config
@@ -81,6 +81,24 @@ def write_summaries(sums: DataFrame, configs: list[Config], path: str) -> None:
     sums.toDF(*(f"c{n}" for n in range(len(fields)))).mapInPandas(render, "value string").write.mode("overwrite").text(path)
 
 
+def write_lines(spark: SparkSession, lines: Iterator[str], path: str) -> None:
+    """Lines into one text file, through Spark's file systems, as they come."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        for line in lines:
+            out.write(bytearray((line + "\n").encode()))
+    finally:
+        out.close()
+
+
+def print_rows(rows: DataFrame) -> None:
+    """All rows to standard output, tab-separated under their names, partition by partition."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def legacy_report(sirna_id: str, probabilities: DataFrame, totals: DataFrame, configs: list[Config], detailed: bool = False) -> Iterator[str]:
     """Lines of the older report: on-target chances for each config, then transcripts by chromosome and id.
 

@@ -203,6 +203,21 @@ def alpha_gamma_sweep(spark, sf_dir):
     return sums.select("sirna_id", *(F.round(F.log(F.col(f"`Z_sirna{c.suffix}`")), 6).alias(f"ln_z_{n}") for n, c in enumerate(PAIRS_SWEPT)))
 
 
+@query(f"""
+    WITH {VIEWS}, own AS (SELECT s_suppkey AS sirna_id, min(CAST(-20 - s_nationkey AS FLOAT)) AS own FROM supplier WHERE s_suppkey % 3 <> 0 GROUP BY 1),
+    anchored AS (SELECT site.*, coalesce(own, min(energy) OVER (PARTITION BY sirna_id)) AS raw FROM site LEFT JOIN own USING (sirna_id)),
+    clamped AS (SELECT *, CASE WHEN energy < 0.8 * raw THEN 0.9 * raw ELSE energy END AS e FROM anchored)
+    SELECT sirna_id, CAST(min(raw) AS DOUBLE) AS e_min, round(ln(sum({factor("e")})), 6) AS ln_z FROM clamped GROUP BY 1
+""")
+def self_energy_anchor(spark, sf_dir):
+    """Clamps anchored at a siRNA's energy against itself, where the table has it, and at its least energy otherwise."""
+    own = _read(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 0").selectExpr("s_suppkey AS sirna_id", "cast(-20 - s_nationkey AS float) AS e_min")
+    rows = predictions.with_self_energy(predictions.with_raw_minimum(sites(spark, sf_dir)), own)
+    sums = scoring.score_by_sirna(rows, sweep("0.8", "0.9")[-1:]).sums
+    suffix = sweep("0.8", "0.9")[-1].suffix
+    return sums.select("sirna_id", "E_min", F.round(F.log(F.col(f"`Z_sirna{suffix}`")), 6).alias("ln_z")).withColumnRenamed("E_min", "e_min")
+
+
 THETAS = sweep(theta="0.85;1.0")
 
 
@@ -335,7 +350,7 @@ def best_hit(spark, sf_dir):
 
 @query(f"WITH {VIEWS} SELECT sirna_id, chrom, \"start\", \"end\", energy FROM site WHERE strand = 'A'")
 def sense_only(spark, sf_dir):
-    return sites(spark, sf_dir).where("strand = 'A'").select("sirna_id", "chrom", "start", "end", "energy")
+    return predictions.on_strand(sites(spark, sf_dir), "A").select("sirna_id", "chrom", "start", "end", "energy")
 
 
 # Accessibility -------------------------------------------------------------------
@@ -408,7 +423,7 @@ def annotation_summary(spark, sf_dir):
 
 @query(f"WITH {VIEWS} SELECT chrom, strand, CAST(count(*) AS BIGINT) AS n FROM site GROUP BY 1, 2")
 def keys_of_sites(spark, sf_dir):
-    return sites(spark, sf_dir).groupBy("chrom", "strand").agg(F.count("*").alias("n"))
+    return predictions.site_keys(sites(spark, sf_dir))
 
 
 def _gtf_rows(spark, sf_dir):
@@ -466,11 +481,10 @@ def duplicate_ids(spark, sf_dir):
     return fasta.duplicate_ids(_read(spark, sf_dir, "lineitem").selectExpr("cast(l_partkey % 997 AS string) AS id"))
 
 
-@query("SELECT event_id, coalesce(TRY_CAST(CASE WHEN event_id % 3 = 0 THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END AS DOUBLE), 0) AS score FROM events")
+@query("SELECT event_id, coalesce(TRY_CAST(CASE WHEN event_id % 3 = 0 THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END AS FLOAT), 0)::DOUBLE AS score FROM events")
 def score_cast(spark, sf_dir):
     text = F.expr("CASE WHEN event_id % 3 = 0 THEN 'n/a' ELSE cast(event_id AS string) END")
-    rows = _read(spark, sf_dir, "events").select("event_id", text.alias("t"))
-    return rows.select("event_id", F.coalesce(F.expr("try_cast(t AS double)"), F.lit(0.0)).alias("score"))
+    return _read(spark, sf_dir, "events").select("event_id", annotation.number(text).cast("double").alias("score"))
 
 
 @query("SELECT doc_id, reverse(translate(translate(lower(text), 'eatnos', 'ACGTAC'), 'ATCGatcg', 'TAGCtagc')) AS turned FROM documents")

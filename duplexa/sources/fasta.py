@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duplexa.sources.files import status
+
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(id, sequence): id is the header's first word; lines are joined, blank ones skipped.
@@ -12,6 +14,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     The reader splits at line-start marks, so records are found in parallel and a record
     is one row; text before the first mark is dropped.
     """
+    status(spark, path)
     raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", r"\r", "").alias("value"))
     # Only the file's first record still has its mark.
     body = F.regexp_replace("value", r"^\s*>", "")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
 
+from duplexa.sources.files import status
+
 RAW = StructType(
     [
         StructField("sirna_id", StringType()),
@@ -64,6 +66,25 @@ def _any_file(spark: SparkSession, path: str, *suffixes: str) -> bool:
     return any(name.endswith(suffixes) for name in list_prediction_files(spark, path))
 
 
+def on_strand(sites: DataFrame, strand: str = "+") -> DataFrame:
+    """Sites of one strand; the filter reaches the scan."""
+    return sites.where(F.col("strand") == strand)
+
+
+def site_keys(sites: DataFrame) -> DataFrame:
+    """(chrom, strand, n): how many sites each chromosome and strand has."""
+    return sites.groupBy("chrom", "strand").agg(F.count("*").alias("n"))
+
+
+def with_self_energy(sites: DataFrame, energies: DataFrame) -> DataFrame:
+    """``raw_e_min`` from ``energies`` (sirna_id, e_min) for the siRNAs that it has; a row a siRNA is joined.
+
+    Clamps are then anchored at the siRNA's energy against itself and not at the least in its file.
+    """
+    least = energies.groupBy("sirna_id").agg(F.min("e_min").cast("float").alias("__own"))
+    return sites.join(least, "sirna_id", "left").withColumn("raw_e_min", F.coalesce("__own", "raw_e_min")).drop("__own")
+
+
 def prediction_summary(sites: DataFrame) -> DataFrame:
     """One row: counts, energy range, and the sorted chromosomes and strands."""
     return sites.agg(
@@ -78,6 +99,7 @@ def prediction_summary(sites: DataFrame) -> DataFrame:
 
 def best_site_in_text(spark: SparkSession, path: str) -> tuple[float, int, int, str]:
     """Energy, start, end and strand of a white-space separated file's best site; (0, 0, 0, '+') if it has none."""
+    status(spark, path)
     cut = F.split(F.trim("value"), r"\s+")
     rows = spark.read.text(path).select(cut.alias("f")).where(F.size("f") >= 8)
     rows = rows.select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duplexa.sources.files import status
+
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, strand, position, u array<float>) from Parquet profiles.
@@ -12,6 +14,7 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     Files hold position, strand and u1..uN. Folders partitioned by chrom (what
     ``write_profiles`` makes) bring it along; otherwise the file's name is the chromosome.
     """
+    status(spark, path)
     rows = spark.read.option("recursiveFileLookup", "false").parquet(path)
     if "u" in rows.columns:
         return rows.select("chrom", "strand", "position", "u")
@@ -27,6 +30,7 @@ def write_profiles(profiles: DataFrame, path: str) -> None:
 
 def read_on_targets(spark: SparkSession, path: str) -> DataFrame:
     """(sirna_id, target_id): tab-separated, comment and short lines skipped; of several rows for an id the last counts."""
+    status(spark, path)
     rows = spark.read.text(path).where("value not like '#%'").select(F.split("value", "\t").alias("f"), F.monotonically_increasing_id().alias("n"))
     rows = rows.where(F.size("f") >= 2).select(F.trim(F.col("f")[0]).alias("sirna_id"), F.trim(F.col("f")[1]).alias("target_id"), "n")
     return rows.groupBy("sirna_id").agg(F.max_by("target_id", "n").alias("target_id"))

@@ -1,4 +1,6 @@
 import json
+import math
+import re
 
 import pytest
 
@@ -39,6 +41,64 @@ def test_bad_input(spark, files):
         api.off_targets(spark, str(files / "missing"))
 
 
+def test_every_missing_input_is_told(spark, files):
+    sites, none = str(files / "in" / "s1.out"), str(files / "none")
+    for given in (
+        {"gtf_file": none + ".gtf"},
+        {"accessibility_dir": none},
+        {"genome_file": none},
+        {"on_target_ids_file": none},
+        {"on_target_predictions": none},
+        {"precomputed_accessibility": none},
+    ):
+        with pytest.raises(FileNotFoundError):
+            api.off_targets(spark, sites, **given)
+    for call in (lambda: api.search(spark, none, none), lambda: api.search(spark, none, index=none), lambda: api.index(spark, none), lambda: api.accessibility(spark, none)):
+        with pytest.raises(FileNotFoundError):
+            call()
+
+
+def test_clamps_anchored_at_self_energies(spark, files):
+    (files / "s.fa").write_text(">s1\nGGCAUCGAUCGGAUUACGCAU\n")
+    plain = api.off_targets(spark, str(files / "in"), gtf_file=str(files / "a.gtf"), alpha="0.8", gamma="0.9").sums.first()
+    own = api.off_targets(spark, str(files / "in"), sirna_fasta=str(files / "s.fa"), gtf_file=str(files / "a.gtf"), alpha="0.8", gamma="0.9").sums.first()
+    from duplexa.operators.search import self_energies
+    from duplexa.sources.fasta import read_sirnas
+
+    least = self_energies(read_sirnas(spark, str(files / "s.fa"))).first()["e_min"]
+    assert plain["E_min"] == -40.0 and own["E_min"] == pytest.approx(least, abs=1e-3) != -40.0
+    single = api.off_targets(spark, str(files / "in" / "s1.out"), sirna_fasta=str(files / "s.fa"), gtf_file=str(files / "a.gtf")).sums.first()
+    assert single["E_min"] == pytest.approx(-28.85, abs=1e-3)
+
+
+def test_energies_given_by_place(spark, files):
+    spark.createDataFrame([("chr1", 10, 30, "+", 2.5)], 'chrom string, start int, `end` int, strand string, opening_energy double').write.parquet(str(files / "given"))
+    sites = api.off_targets(spark, str(files / "in" / "s1.out"), gtf_file=str(files / "a.gtf"), precomputed_accessibility=str(files / "given")).sites
+    assert sorted((r["start"], r["opening_energy"]) for r in sites.collect()) == [(10, 2.5), (200, 10.0)]
+
+
+def test_an_index_is_used_again_until_its_target_changes(spark, files):
+    import os
+
+    (files / "g.fa").write_text(">chr1\nACGTACGT\n")
+    where = api.index(spark, str(files / "g.fa"), str(files / "i"))
+    os.utime(files / "g.fa", (1, 1))
+    written = (files / "i" / "_SUCCESS").stat().st_mtime_ns
+    assert api.index(spark, str(files / "g.fa"), where) == where and (files / "i" / "_SUCCESS").stat().st_mtime_ns == written
+    (files / "g.fa").write_text(">chr2\nACGT\n")
+    later = written / 1e9 + 10
+    os.utime(files / "g.fa", (later, later))
+    assert spark.read.parquet(api.index(spark, str(files / "g.fa"), where)).first()["id"] == "chr2"
+
+
+def test_search_prints_all_hits(spark, files, capsys):
+    (files / "s.fa").write_text(">s\nGGCAUCGAUCGGAUUACGCAU\n")
+    (files / "g.fa").write_text("".join(f">c{n}\nAAAAATGCGTAATCCGATCGATGCCAAAAA\n" for n in range(40)))
+    cli.run(spark, "search", {"query": str(files / "s.fa"), "target": str(files / "g.fa"), "energy_threshold": -30.0})
+    out = capsys.readouterr().out.splitlines()
+    assert out[0].startswith("sirna_id\t") and len({x.split("\t")[3] for x in out[1:]}) == 40
+
+
 def test_search_index_and_accessibility(spark, files):
     (files / "s.fa").write_text(">s\nGGCAUCGAUCGGAUUACGCAU\n")
     (files / "g.fa").write_text(">chr1\n" + "A" * 30 + "ATGCGTAATCCGATCGATGCC" + "A" * 30 + "\n")
@@ -85,6 +145,23 @@ def test_older_report_and_profile(spark, files, capsys):
     assert "# On-target info for siRNA #" in out and "chr1\tt1\t" in out and "plan" in out
 
 
+def test_older_report_with_an_on_target(spark, files, capsys):
+    (files / "on.out").write_text("x 1 21 onTarget 5 25 + -33.0\nx 1 21 onTarget 9 29 + -20.0\n")
+    (files / "target.tsv").write_text("s1\tt1\n")
+    given = {"predictions_file": str(files / "in" / "s1.out"), "gtf_file": str(files / "a.gtf"), "on_target_predictions": str(files / "on.out")}
+    given |= {"query_file": str(files / "my_sirna.fa"), "on_target_ids_file": str(files / "target.tsv"), "detailed_report": True}
+    cli.run(spark, "off-targets", dict(given))
+    out = capsys.readouterr().out
+    # The on-target's own weight, and every transcript, the tagged one too.
+    rt = 0.001987 * 310.15
+    on, off = 1000 * math.exp(33 / rt), 600 * math.exp(28.35 / rt) + 100 * math.exp(28.85 / rt)
+    pon = float(re.search(r"Pon: ([-+.e\d]+)", out)[1])
+    assert "my_sirna" in out and "chr1\tt1\t" in out and "chr1\tt2\t" in out and pon == pytest.approx(on / (on + off), rel=1e-4)
+    cli.run(spark, "off-targets", given | {"output_file": str(files / "old")})
+    assert (files / "old.results").read_text() == out
+    assert spark.read.csv(str(files / "old.detailed_results"), sep="\t", header=True).count() >= 1
+
+
 def test_steps_and_rows_are_watched(spark):
     profile = Profile()
     with profile.step("count"):

@@ -88,3 +88,25 @@ def test_profiles_round_trip(spark, tmp_path):
     flat = spark.createDataFrame([(1, "+", 0.5, 1.5)], "position int, strand string, u1 float, u2 float")
     flat.coalesce(1).toPandas().to_parquet(tmp_path / "chr7.parquet")
     assert profiles.read_profiles(spark, str(tmp_path / "chr7.parquet")).first()["chrom"] == "chr7"
+
+
+def test_the_format_is_told_however_late(spark, tmp_path):
+    short = "chr1\tx\n" * 300
+    row = "chr1\tx\texon\t1\t9\t.\t+\t.\t"
+    cases = {
+        "a": (short + row + "ID=exon:e;Parent=transcript:t;gene_id=g;RPKM=2\n", "gff3"),
+        "b": ("#!x\n" + short + row + 'gene_id "g"; transcript_id "t"; RPKM "2";\n', "gtf"),
+        "c": ("##gff-version 3\n" + row + "x y\n", "gff3"),
+        "d": ("# ID=x\n\n", "gtf"),
+        "e": ("", "gtf"),
+        "f": ("#\t\t\t\t\t\t\t\tID=x\n" + row + 'note "a=b"\n', "gtf"),
+    }
+    for name, (text, kind) in cases.items():
+        (tmp_path / name).write_text(text)
+        assert annotation.file_format(spark.read.text(str(tmp_path / name))) == kind
+
+
+def test_bed_headers_are_no_features(spark, tmp_path):
+    (tmp_path / "a.bed").write_text('# made by hand\nbrowser position chr1\ntrack name="x"\n\nchr1\t1\t9\tt1\t2.5\t+\nchr2\t3\t9\tt2\tno\t-\n')
+    got = annotation.read_annotation(spark, str(tmp_path / "a.bed"))
+    assert [(r["chrom"], r["start"], r["exp_value"]) for r in got.orderBy("chrom").collect()] == [("chr1", 1, 2.5), ("chr2", 3, 0.0)]
