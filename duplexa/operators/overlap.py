@@ -51,6 +51,9 @@ def overlap_join(sites: DataFrame, features: DataFrame, bin_width: int = BIN_WID
     return joined.where(met).drop("__level", "__bin", "__p0", "__t0")
 
 
+#: Places in a bin of merge_intervals.
+MERGE_WIDTH = 1 << 20
+
 SITE_KEY = ["sirna_id", "chrom", "start", "end", "strand", "energy", "transcript_id"]
 
 
@@ -84,14 +87,25 @@ def intersect(sites: DataFrame, features: DataFrame, mode: str = "gw") -> DataFr
     return transcript_join(sites, features) if mode == "tw" else one_per_transcript(overlap_join(sites, features))
 
 
-def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...] = ("chrom", "strand")) -> DataFrame:
-    """Unions of intervals at most ``padding`` apart, by key.
+def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...] = ("chrom", "strand"), bin_width: int = MERGE_WIDTH) -> DataFrame:
+    """Unions of intervals at most ``padding`` apart, by key; rows with a null in a key or an end are left out.
 
-    A running greatest end within the key marks where a gap begins; marks add up to the
-    number of the union.
+    A running greatest end marks where a gap begins; marks add up to the number of the
+    union. Both run within bins of starts, so that a key is many tasks; only what a bin
+    hands on, its greatest end and its number of gaps, runs over a key, a row a bin.
     """
-    order = Window.partitionBy(*by).orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(F.col("start") <= reach + padding, 0).otherwise(1)
-    marked = intervals.withColumn("__new", begins).withColumn("__n", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*by, "__n").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__n")
+    key = [*by, "__bin"]
+    rows = intervals.select(*by, "start", "end").dropna().withColumn("__bin", F.floor(F.col("start") / bin_width))
+    order = Window.partitionBy(*key).orderBy("start", "end")
+    before = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = rows.groupBy(*key).agg(F.max("end").alias("__end")).select(*key, F.max("__end").over(before).alias("__reach"))
+    rows = rows.withColumn("__own", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))).join(bins, key)
+    # The greatest of both, where there is one.
+    gap = F.col("start") > F.greatest("__own", "__reach") + padding
+    rows = rows.withColumn("__new", F.coalesce(gap, F.lit(True)).cast("long"))
+    gaps = rows.groupBy(*key).agg(F.sum("__new").alias("__gaps")).select(*key, F.coalesce(F.sum("__gaps").over(before), F.lit(0)).alias("__sum"))
+    # Of equal intervals the one that begins a union comes first, in whatever order they were above.
+    order = Window.partitionBy(*key).orderBy("start", "end", F.desc("__new"))
+    numbered = rows.withColumn("__n", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))).join(gaps, key)
+    numbered = numbered.withColumn("__n", F.col("__n") + F.col("__sum"))
+    return numbered.groupBy(*by, "__n").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__n")

@@ -54,3 +54,20 @@ def test_merge(spark):
 
 def test_empty(spark):
     assert pairs(spark, [], []).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 7, 100, 1 << 20])
+def test_unions_do_not_depend_on_bins(spark, width):
+    rnd = random.Random(width)
+    rows = [(rnd.choice("ab"), "+", at := rnd.randrange(600), at + rnd.choice([0, 1, 5, 90])) for _ in range(120)] + [(None, "+", 1, 2), ("a", "+", None, 5)]
+    frame = spark.createDataFrame(rows, "chrom string, strand string, start int, `end` int")
+    for padding in (0, 3):
+        want = []
+        for chrom in "ab":
+            for low, high in sorted((s, e) for c, _, s, e in rows if c == chrom and s is not None):
+                if want and want[-1][0] == chrom and low <= want[-1][2] + padding:
+                    want[-1][2] = max(want[-1][2], high)
+                else:
+                    want.append([chrom, low, high])
+        got = overlap.merge_intervals(frame, padding, bin_width=width).collect()
+        assert sorted([r["chrom"], r["start"], r["end"]] for r in got) == sorted(want)
