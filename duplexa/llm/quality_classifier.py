@@ -28,6 +28,8 @@ SAMPLE_ROWS = 8000
 #: nor do words whose share of rows differs by less than this log ratio across every threshold.
 LEAST_ROWS, ROWS_EACH, LEAST_RATIO = 4, 800, 1.5
 REMEMBERED = 400_000
+#: Runs of letters and of digits count as one sign of a shape, and this many signs tell one from others.
+SHAPE_SIGNS = 8
 SHAPE_RULES = [(re.compile(p), r) for p, r in ((r"[^\W\d_]*[a-zà-öø-ÿ][^\W\d_]*", "a"), (r"[^\W\d_]+", "A"), (r"\d+", "0"))]
 LETTERS = re.compile(r"[\W_]+")
 
@@ -46,7 +48,7 @@ class _Chunks(dict):
         word = LETTERS.sub("", chunk).lower()
         stem = _bucket("stem " + word[:STEM], LAST) if len(word) > STEM else BUCKETS
         word = _bucket(word, LAST) if word else BUCKETS
-        found = word << 40 | stem << 20 | (BUCKETS - SHAPES + _bucket(shape[:8], SHAPES))
+        found = word << 40 | stem << 20 | (BUCKETS - SHAPES + _bucket(shape[:SHAPE_SIGNS], SHAPES))
         if len(self) < REMEMBERED:
             self[chunk] = found
         return found
@@ -56,7 +58,10 @@ _known = _Chunks()
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values: 1 for each distinct word and stem, 8 times its share for each shape and for immediate repeats."""
+    """Buckets and values: 1 for each distinct word and stem, 8 times its share for each shape and for immediate repeats.
+
+    A shape is that of a whole run without white space, told by its first SHAPE_SIGNS signs.
+    """
     words = (text or "").split()
     both = np.fromiter(map(_known.__getitem__, words), np.int64, len(words))
     word = np.unique(np.concatenate([both >> 40, both >> 20 & 0xFFFFF]))

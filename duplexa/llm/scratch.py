@@ -13,9 +13,11 @@ from duplexa.shipping import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a folder of this machine only where that is unset."""
+    """The session's spark.checkpoint.dir; where that is unset, a folder of this machine, if Spark runs on it alone."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         folder = tempfile.mkdtemp(prefix="duplexa-shared-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         found = f"file://{folder}"
