@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from duplexa.llm.scratch import Scratch
 
-#: A class is part of a host's template from this many tokens and pages on; beyond 500 pages, from this share of them on,
-#: so that what is gathered for a host is no more than a hundred pages hold.
+#: A class is part of a host's template from this many tokens and pages on (all pages of a host with fewer); beyond 500
+#: pages, from this share of them on, so that what is gathered for a host is no more than a hundred pages hold.
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 5, 0.01, 3
 #: Up to this many template tokens (8 bytes each) the templates are broadcast; beyond, they are joined by host.
 BROADCAST_TOKENS = 1_000_000
@@ -371,7 +371,7 @@ def _occurrences(batches):
         yield batch()
 
 
-def deduce_templates(pages: DataFrame) -> DataFrame:
+def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, template array<struct<pages, class>>) of hosts with a template.
 
     ``pages`` has host, key and html. Tokens whose occurrence vectors over the host's
@@ -382,10 +382,13 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     """
     tokens = pages.select("key", "host", "html").mapInArrow(_occurrences, "host string, token long, pages long, vector long")
     tokens = tokens.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"))
-    tokens = tokens.where(F.col("pages") >= MIN_PAGES)
+    # Written, as the pages would be read twice for what follows.
+    tokens = scratch.save(tokens.where((F.col("pages") > 1) | (F.col("token") == 0)), "tokens")
     # The page's own token tells how many pages a host has.
     hosts = tokens.where("token = 0").select("host", F.col("pages").alias("all_pages"))
-    common = tokens.join(hosts, "host").where(F.col("pages") >= F.col("all_pages") * MIN_SHARE)
+    common = tokens.join(hosts, "host").where(
+        (F.col("all_pages") > 1) & (F.col("pages") >= F.least(F.lit(MIN_PAGES), "all_pages")) & (F.col("pages") >= F.col("all_pages") * MIN_SHARE)
+    )
     classes = common.groupBy("host", "all_pages", "pages", "vector").agg(F.collect_list("token").alias("class"))
     valid = classes.where((F.size("class") >= MIN_TOKENS) | (F.col("pages") == F.col("all_pages")))
     template = valid.groupBy("host").agg(F.collect_list(F.struct("pages", "class")).alias("template"))
@@ -427,7 +430,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
     keyed = rows.where(F.col("host") != "").select("host", "html", F.xxhash64("id", "url").alias("key"))
-    templates = Scratch(spark, "templates").save(deduce_templates(keyed), "templates")
+    scratch = Scratch(spark, "templates")
+    templates = scratch.save(deduce_templates(keyed, scratch), "templates")
+    scratch.drop("tokens")
     tokens = templates.agg(F.sum(F.aggregate("template", F.lit(0), lambda n, c: n + F.size(c["class"])))).first()[0] or 0
     small = tokens <= BROADCAST_TOKENS
     joined = rows.join(F.broadcast(templates) if small else templates, "host", "left").select("id", "url", "html", "host", "template")

@@ -118,6 +118,20 @@ def test_the_template_takes_nothing_out_of_an_article(spark):
         assert got[:9] == ["\n".join([*shared[:3], f"Edition {n}.", *shared[3:]]) for n in range(9)]
 
 
+@pytest.mark.parametrize("pages", [1, 2, 3, 4, 5, 9, 40, 100])
+def test_pages_without_an_article_element(spark, pages):
+    frame = (
+        "<html><body><table><tr><td>Our site of many things</td><td><a href=/>Start</a> <a href=/all>All</a></td></tr></table>"
+        "<div class=x1><span>Posted to you by the people of the site, who write daily.</span></div>{}<div class=x2><span>Write to us at any time.</span> <a href=/m>Mail</a></div></body></html>"
+    )
+    body = lambda n: "<div class=x3>" + f"<h1>Title {n}</h1>" + "".join(f"<p>Paragraph {k} of page {n} tells {n * 7 + k} things{' at length' * (n % 5)}.</p>" for k in range(4)) + "</div>"
+    got = extracted(spark, [frame.format(body(n)) for n in range(pages)])
+    for n, text in enumerate(got):
+        want = "\n".join([f"Title {n}", *(f"Paragraph {k} of page {n} tells {n * 7 + k} things{' at length' * (n % 5)}." for k in range(4))])
+        # A page alone has no others to tell its frame by.
+        assert text == want if pages > 1 else want in text
+
+
 def test_each_layout_of_a_host_has_its_template(spark):
     post = lambda n: f"<html><body><div class=top>Our site</div><div class=box><h1>Post {n}</h1><p>Text {n} of it.</p></div></body></html>"
     boast = "".join(f"<p>Line {k} of what stands on each product page, in many words that say little.</p>" for k in range(4))
