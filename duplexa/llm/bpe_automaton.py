@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import string
 import unicodedata
 from functools import lru_cache
 
@@ -27,6 +28,9 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 SPACE = re.compile("[ \\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 
 
+SIGNS = string.punctuation
+
+
 def chunks(text: str) -> list[str]:
     """The runs of a text between white space."""
     if any(c in text for c in SEPARATORS):
@@ -187,6 +191,11 @@ class WordTokenizer:
         library's own normaliser and pre-tokenizer decide.
         """
         if text.isascii():
+            # Letters, and signs after them, are what the pattern would part them into.
+            low = text.lower()
+            base = low.rstrip(SIGNS)
+            if base.isalpha():
+                return [base, low[len(base) :]] if len(base) < len(low) else [base]
             return [x if x.isalnum() else "".join([self.letters[b] for b in x.encode()]) for x in self.split.findall(text.lower())]
         if max(text) >= "\u0250":
             return [x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]

@@ -386,6 +386,7 @@ def test_automaton_equals_the_library(library, texts):
     cases += ["".join(rnd.choice("abinterhs") for _ in range(rnd.randint(1, 14))) for _ in range(3000)]
     cases += ["".join(rnd.choice(labels) for _ in range(rnd.randint(1, 3))) for _ in range(3000)]
     cases += ["".join(chr(rnd.choice([rnd.randrange(32, 0x3000), rnd.randrange(0xA0, 0x600), rnd.randrange(0x1F300, 0x1F700)])) for _ in range(12)) for _ in range(500)]
+    cases += ["word' word's it's' 's. a's, x'' \"word\". (word) word). word-word word-. WORD!? word_ w'd'"]
     cases += ["İstanbul ΣΑΣ's don't <|endoftext|>x<|startoftext|> 12½ a\x1cb é 中文 😀👍🏽 <| ' ''S", "\x00\x01\x7f", "a" * 500]
     for case in cases:
         ids = library.encode(case, add_special_tokens=False).ids
