@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duplexa.llm import bpe_automaton, embedding_dedup, html_extract, license_scan, line_dedup, minhash_dedup, packing, quality_classifier, suffix_dedup, topk_search
+from duplexa.llm import (
+    bpe_automaton,
+    embedding_dedup,
+    embedding_whitening,
+    html_extract,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    quality_classifier,
+    suffix_dedup,
+    topk_search,
+    warc,
+)
+from duplexa.llm.scratch import Scratch
 
 
 def word_bpe() -> str:
@@ -68,6 +82,19 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(rows, rows.where("vec_id % 100 = 0"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "warc").root
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    found = warc.records(warc.read(spark, path, payloads=False))
+    return found.select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +108,8 @@ QUERIES = {
         op8_embedding_near_dedup,
         op9_suffix_array_dedup,
         op10_exact_top_k,
+        op11_embedding_whitening,
+        op12_warc_round_trip,
     )
 }
 
@@ -203,4 +232,16 @@ ORACLE_SQL = {
         )
         SELECT query_id, "rank", vec_id, score FROM t WHERE "rank" <= 10
     """,
+    # A base32 letter for each five bits of the digest; x and y are the one or two hexadecimal digits that hold them.
+    "op12_warc_round_trip": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h, min(page_id) OVER (PARTITION BY b) AS first FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((
+                16 * (instr('0123456789abcdef', substr(h, CAST(1 + 5 * i // 4 AS BIGINT), 1)) - 1)
+                + greatest(instr('0123456789abcdef', substr(h || '0', CAST(2 + 5 * i // 4 AS BIGINT), 1)) - 1, 0)
+            ) // CAST(power(2, 3 - i % 4) AS BIGINT)) % 32 AS BIGINT), 1)), '') AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM d
+    """,
 }
