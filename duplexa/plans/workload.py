@@ -232,7 +232,7 @@ def e_min_anchor(spark, sf_dir):
     return scoring.with_least_energy(sites(spark, sf_dir, scored=True)).select("sirna_id", "transcript_id", "start", "energy", F.col("E_min").alias("e_min"))
 
 
-def _targets(spark, sf_dir):
+def targets(spark, sf_dir):
     return _read(spark, sf_dir, "part").selectExpr("p_partkey % 50 AS sirna_id", "p_partkey AS target_id")
 
 
@@ -246,7 +246,7 @@ TAGGED = f"""
 
 @query(f"WITH {TAGGED} SELECT sirna_id, transcript_id, \"start\", is_on_target FROM tagged")
 def on_target_tag(spark, sf_dir):
-    rows = scoring.tag_on_targets(sites(spark, sf_dir, scored=True), _targets(spark, sf_dir))
+    rows = scoring.tag_on_targets(sites(spark, sf_dir, scored=True), targets(spark, sf_dir))
     return rows.select("sirna_id", "transcript_id", "start", "is_on_target")
 
 
@@ -256,7 +256,7 @@ def on_target_tag(spark, sf_dir):
     FROM w GROUP BY sirna_id
 """)
 def on_target_weight(spark, sf_dir):
-    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), on_targets=_targets(spark, sf_dir)).sums
+    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), on_targets=targets(spark, sf_dir)).sums
     return sums.select("sirna_id", F.round(F.col("W_on") / F.col("Z_sirna"), 6).alias("p_on"), F.round(F.log(F.col("Z_sirna") - F.col("W_on")), 6).alias("ln_z_off"))
 
 
@@ -268,11 +268,11 @@ def on_target_weight(spark, sf_dir):
     FROM z JOIN on_site USING (sirna_id)
 """)
 def on_target_exclusion(spark, sf_dir):
-    targets = _targets(spark, sf_dir)
-    external = targets.groupBy("sirna_id").agg(F.max("target_id").alias("t")).selectExpr(
+    known = targets(spark, sf_dir)
+    external = known.groupBy("sirna_id").agg(F.max("target_id").alias("t")).selectExpr(
         "sirna_id", "-20 - cast(t AS double) / 1000 AS energy", "1.0D AS opening_energy", "1000.0D AS expression"
     )
-    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), on_targets=targets, external=external).sums
+    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), on_targets=known, external=external).sums
     return sums.select("sirna_id", F.round(F.log("Z_sirna"), 6).alias("ln_z"), F.round(F.col("W_on") / F.col("Z_sirna"), 6).alias("p_on"))
 
 
@@ -286,7 +286,7 @@ def on_target_exclusion(spark, sf_dir):
 """)
 def summary_stats(spark, sf_dir):
     configs = sweep(theta="0.85")
-    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), configs, _targets(spark, sf_dir)).sums
+    sums = scoring.score_by_sirna(sites(spark, sf_dir, scored=True), configs, targets(spark, sf_dir)).sums
     rows = scoring.summary(sums, configs)
     return rows.select(
         "sirna_id", "config_number", "config", F.round("P", 6).alias("p"), F.round(F.log("Z"), 6).alias("ln_z"), F.round(F.log("Zoff"), 6).alias("ln_z_off")
@@ -493,7 +493,7 @@ def reverse_complement(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", sequences.reverse_complement(text).alias("turned"))
 
 
-def _oligos(spark, sf_dir):
+def oligos(spark, sf_dir):
     """A sequence of 24 bases for each part, and one of 60 for each supplier."""
     digits = lambda key, n: f"translate(substring(concat(sha2(cast({key} AS string), 256), sha2(concat({key}, 'x'), 256)), 1, {n}), '0123456789abcdef', 'ACGUACGUACGUACGU')"
     queries = _read(spark, sf_dir, "part").selectExpr("cast(p_partkey AS string) AS id", f"{digits('p_partkey', 24)} AS sequence")
@@ -501,25 +501,25 @@ def _oligos(spark, sf_dir):
     return queries, targets
 
 
-def _oligo_sql(key, n):
+def oligo_sql(key, n):
     return f"translate(left(sha256(CAST({key} AS VARCHAR)) || sha256({key} || 'x'), {n}), '0123456789abcdef', 'ACGUACGUACGUACGU')"
 
 
 @query(f"""
-    WITH q AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {_oligo_sql("p_partkey", 24)} AS s FROM part),
-    t AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, {_oligo_sql("s_suppkey", 60)} AS s FROM supplier),
+    WITH q AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {oligo_sql("p_partkey", 24)} AS s FROM part),
+    t AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, {oligo_sql("s_suppkey", 60)} AS s FROM supplier),
     qk AS (SELECT id, n AS q_start, reverse(translate(substring(s, n, 6), 'ACGU', 'UGCA')) AS kmer FROM q, range(1, 20) r(n)),
     tk AS (SELECT id, n AS t_start, substring(s, n, 6) AS kmer FROM t, range(1, 56) r(n))
     SELECT qk.id AS sirna_id, tk.id AS target, CAST(q_start AS INTEGER) AS q_start, CAST(t_start AS INTEGER) AS t_start FROM qk JOIN tk USING (kmer)
 """)
 def kmer_seed_join(spark, sf_dir):
-    queries, targets = _oligos(spark, sf_dir)
+    queries, targets = oligos(spark, sf_dir)
     return searching.seeds(queries, targets, length=6, wobble=False).select("sirna_id", "target", "q_start", "t_start")
 
 
 @query()
 def duplex_search(spark, sf_dir):
-    queries, targets = _oligos(spark, sf_dir)
+    queries, targets = oligos(spark, sf_dir)
     return searching.search(queries, targets, seed_length=6, energy_threshold=-10.0)
 
 
@@ -527,6 +527,6 @@ def duplex_search(spark, sf_dir):
 def folded_profiles(spark, sf_dir):
     from duplexa.operators import folding
 
-    _, targets = _oligos(spark, sf_dir)
+    _, targets = oligos(spark, sf_dir)
     rows = folding.fold(targets, window=80, span=40, unpaired=30)
     return rows.select("chrom", "strand", "position", F.transform("u", lambda x: F.round(x.cast("double"), 3)).alias("u"))

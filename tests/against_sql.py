@@ -2,8 +2,10 @@
 
 import os
 
-import duckdb
 import pandas as pd
+import pytest
+
+duckdb = pytest.importorskip("duckdb")
 
 DATA = "/root/testdata"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -20,7 +20,7 @@ def test_the_rest_works_without_the_corpus_folders(tmp_path, pipeline):
     if not pipeline:
         (copy / "corpus_pipeline.py").unlink(missing_ok=True)
     assert not (copy / "duplexa/llm").exists() and not (copy / "tests/llm").exists()
-    env = {**os.environ, "DUPLEXA_WITHOUT_CORPUS": "1", "PYTHONPATH": ""}
+    env = {**os.environ, "DUPLEXA_WITHOUT_CORPUS": "1", "PYTHONPATH": os.pathsep.join(filter(None, [str(copy), os.environ.get("PYTHONPATH")]))}
     subprocess.run([sys.executable, "-c", CHECK], cwd=copy, env=env, check=True, timeout=120)
     if not pipeline:
         # The queries' own comparison with SQL runs beside this test; here they only have to be there.
