@@ -96,7 +96,10 @@ def off_targets(
         files.status(spark, precomputed_accessibility)
         sites = opening.precomputed_energy(sites, spark.read.parquet(precomputed_accessibility))
     elif accessibility_dir:
-        sites = opening.opening_energy(sites, profiles.read_profiles(spark, accessibility_dir), mirror_minus_strand)
+        known = profiles.read_blocks(spark, accessibility_dir)
+        if predictions_file:
+            opening.guard_profiles(sites, known)
+        sites = opening.opening_energy(sites, known, mirror_minus_strand)
     elif genome_file:
         folded = folding.fold(fasta.read_fasta(spark, genome_file), window_size, max_span, unpaired_prob, temperature, quantised=True)
         sites = opening.opening_energy(sites, folded, mirror_minus_strand)

@@ -372,7 +372,7 @@ PROFILE = """
         SELECT placed.*, b.size, CASE WHEN placed.strand = '+' THEN "end" ELSE "start" END AS place, least("end" - "start" + 1, b.width) AS k
         FROM placed LEFT JOIN b ON b.chrom = placed.chrom AND b.strand = placed.strand
     )
-    SELECT site_id, site_part, CASE WHEN size IS NULL OR place < 1 OR place > size THEN 10
+    SELECT site_id, site_part, CASE WHEN size IS NULL OR "start" < 1 OR "end" > size THEN 10
         ELSE round_even(CAST(CAST(coalesce(u[k], 25.5) AS FLOAT) * CAST(10 AS FLOAT) AS DOUBLE), 0) / 10 + 0 END AS opening_energy
     FROM q LEFT JOIN profile p ON p.chrom = q.chrom AND p.strand = q.strand AND p.position = q.place
 """)
