@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duplexa.functions.parameters import Config, check_seed, seed_spec, sweep
 from duplexa.operators import accessibility as opening
-from duplexa.operators import folding, overlap, scoring
+from duplexa.operators import folding, kmer_index, overlap, scoring
 from duplexa.operators import search as searching
 from duplexa.plans import reports
 from duplexa.sources import annotation, fasta, files, predictions, profiles
@@ -147,15 +147,13 @@ def accessibility(
     return folded
 
 
-def index(spark: SparkSession, target: str, output: str | None = None) -> str:
-    """Write a target's records as Parquet, which searches read in parallel; returns the folder.
+def index(spark: SparkSession, target: str, output: str | None = None, k: int = kmer_index.K) -> str:
+    """Write a target's k-mer index, in which searches find seeds without reading the target; returns the folder.
 
-    An index that is newer than its target is used as it is.
+    An index of the target as it is now is used as it is.
     """
     where = output or target.rsplit(".", 1)[0] + ".idx"
-    if not files.newer(spark, f"{where}/_SUCCESS", target):
-        fasta.read_fasta(spark, target).write.mode("overwrite").parquet(where)
-    return where
+    return kmer_index.ensure(spark, fasta.read_fasta(spark, target), target, where, k)
 
 
 def search(
@@ -177,10 +175,11 @@ def search(
     check_seed(seed_start, seed_end, seed_length, matrix)
     if not (target or index):
         raise ValueError("give a target or its index")
+    given = (seed_length, max_extension, energy_threshold, seed_start, seed_end, seed_wobble, matrix)
     if index:
         files.status(spark, index)
-    targets = spark.read.parquet(index) if index else fasta.read_fasta(spark, target)
-    return searching.search(fasta.read_sirnas(spark, query), targets, seed_length, max_extension, energy_threshold, seed_start, seed_end, seed_wobble, matrix)
+        return kmer_index.find(fasta.read_sirnas(spark, query), index, *given)
+    return searching.search(fasta.read_sirnas(spark, query), fasta.read_fasta(spark, target), *given)
 
 
 __all__ = ["OffTargets", "accessibility", "index", "load_sites", "off_targets", "reports", "search"]

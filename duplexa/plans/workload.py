@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from duplexa.functions import sequences
 from duplexa.functions.parameters import Config, sweep, thermal_energy
-from duplexa.operators import accessibility, overlap, scoring
+from duplexa.operators import accessibility, kmer_index, overlap, scoring
 from duplexa.operators import search as searching
-from duplexa.sources import annotation, fasta, predictions
+from duplexa.sources import annotation, fasta, files, predictions
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -517,6 +517,22 @@ def kmer_seed_join(spark, sf_dir):
     return searching.seeds(queries, targets, length=6, wobble=False).select("sirna_id", "target", "q_start", "t_start")
 
 
+@query(f"""
+    WITH q AS (SELECT CAST(p_partkey AS VARCHAR) AS id, reverse(translate(substring({oligo_sql("p_partkey", 24)}, 2, 7), 'ACGU', 'UGCA')) AS kmer FROM part),
+    f AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, {oligo_sql("s_suppkey", 60)} AS s FROM supplier),
+    t AS (SELECT id, '+' AS strand, s FROM f UNION ALL SELECT id, '-', reverse(translate(s, 'ACGU', 'UGCA')) FROM f),
+    k AS (SELECT id, strand, n AS t_start, substring(s, n, 7) AS kmer, substring(s, greatest(n - 20, 1), n + 27 - greatest(n - 20, 1)) AS around FROM t, range(1, 55) r(n))
+    SELECT q.id AS sirna_id, k.id AS target, strand, CAST(t_start AS INTEGER) AS t_start, around FROM q JOIN k USING (kmer)
+""")
+def indexed_seed_join(spark, sf_dir):
+    """An index built from the table, and seeds of seven at the places 2 to 8 found in it, with the bases beside them."""
+    queries, records = oligos(spark, sf_dir)
+    path = files.new_folder(spark, "index")
+    kmer_index.build(records, path)
+    found = kmer_index.seeds(queries, path, 7, 2, 8, wobble=False, strands=("+", "-"), flank=20)
+    return found.select("sirna_id", "target", "strand", "t_start", "around")
+
+
 @query()
 def duplex_search(spark, sf_dir):
     queries, targets = oligos(spark, sf_dir)

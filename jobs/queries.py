@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from duplexa.functions.parameters import sweep
 from duplexa.plans.workload import TARGETS, VIEWS, factor, oligo_sql
+from duplexa.sources.files import new_folder
 from jobs import gene_risk, seed_screen
-from jobs.common import run_folder
 
 
 def job1_gene_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = run_folder(spark, "gene_risk")
+    output = new_folder(spark, "gene_risk")
     gene_risk.run(spark, sf_dir, output)
     return gene_risk.run(spark, sf_dir, output)
 
 
 def job2_seed_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = run_folder(spark, "seed_screen")
+    folder = new_folder(spark, "seed_screen")
     seed_screen.run(spark, sf_dir, f"{folder}/hits", f"{folder}/checkpoint")
     return seed_screen.run(spark, sf_dir, f"{folder}/hits", f"{folder}/checkpoint")
 

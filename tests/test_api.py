@@ -82,13 +82,21 @@ def test_an_index_is_used_again_until_its_target_changes(spark, files):
 
     (files / "g.fa").write_text(">chr1\nACGTACGT\n")
     where = api.index(spark, str(files / "g.fa"), str(files / "i"))
-    os.utime(files / "g.fa", (1, 1))
-    written = (files / "i" / "_SUCCESS").stat().st_mtime_ns
-    assert api.index(spark, str(files / "g.fa"), where) == where and (files / "i" / "_SUCCESS").stat().st_mtime_ns == written
-    (files / "g.fa").write_text(">chr2\nACGT\n")
+    made = lambda: (files / "i" / "facts" / "_SUCCESS").stat().st_mtime_ns
+    ids = lambda: {r["id"] for r in spark.read.parquet(f"{where}/tiles").collect()}
+    written = made()
+    assert api.index(spark, str(files / "g.fa"), where) == where and made() == written and ids() == {"chr1"}
+    (files / "g.fa").write_text(">chr2\nACGTACGG\n")
     later = written / 1e9 + 10
     os.utime(files / "g.fa", (later, later))
-    assert spark.read.parquet(api.index(spark, str(files / "g.fa"), where)).first()["id"] == "chr2"
+    assert api.index(spark, str(files / "g.fa"), where) == where and made() != written and ids() == {"chr2"}
+    # Another k-mer length is another index; one that was never finished is none.
+    before = made()
+    assert api.index(spark, str(files / "g.fa"), where, k=5) == where and made() != before
+    (files / "i" / "facts" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="no index"):
+        (files / "s.fa").write_text(">s\nGGCAUCGAUCGGAUUACGCAU\n")
+        api.search(spark, str(files / "s.fa"), index=where)
 
 
 def test_search_prints_all_hits(spark, files, capsys):

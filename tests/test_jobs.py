@@ -14,7 +14,8 @@ from against_sql import DATA, same
 
 from duplexa.plans import workload
 from jobs import gene_risk, queries, seed_screen
-from jobs.common import load_settings, run_folder
+from duplexa.sources.files import new_folder
+from jobs.common import load_settings
 
 TABLES = f"{DATA}/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables here")
@@ -144,7 +145,7 @@ def test_settings_are_checked(spark, tmp_path):
             load_settings(spark, str(path), seed_screen.DEFAULTS)
     path.write_text('{"temperature": 40}')
     assert load_settings(spark, f"file://{path}", gene_risk.DEFAULTS)["temperature"] == 40
-    assert run_folder(spark, "x") != run_folder(spark, "x") and run_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert new_folder(spark, "x") != new_folder(spark, "x") and new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
 def test_the_command_line_runs_a_job_and_logs_it(tmp_path):
