@@ -28,7 +28,8 @@ class OffTargets:
 
     @property
     def summary(self) -> DataFrame:
-        return scoring.summary(self.sums, self.configs)
+        """P, Z and Zoff by siRNA and config; of sites that name no siRNA the one row of totals."""
+        return scoring.summary(self.sums, self.configs) if "sirna_id" in self.sums.columns else self.sums
 
 
 def load_sites(spark: SparkSession, path: str) -> DataFrame:
@@ -67,6 +68,9 @@ def off_targets(
     predictions_type: str = "gw",
     mirror_minus_strand: bool = False,
     precomputed_accessibility: str | None = None,
+    risearch_file: str | None = None,
+    on_target_risearch_file: str | None = None,
+    n_workers: int = 1,
 ) -> OffTargets:
     """Score every binding site within its siRNA.
 
@@ -76,7 +80,14 @@ def off_targets(
     ``accessibility_dir``, or from folding ``genome_file``, or are 0. With a folder of
     predictions and ``sirna_fasta``, clamps are anchored at each siRNA's energy against itself.
     Everything up to the result is one lazy plan; sums are there for one siRNA as well.
+
+    Sites that name no siRNA are scored together, with one partition function; an on-target
+    found apart then adds its weight and a row of its own, named onTarget. ``risearch_file``
+    and ``on_target_risearch_file`` are other names of ``predictions_file`` and
+    ``on_target_predictions``; ``n_workers`` is taken and left to Spark.
     """
+    predictions_file = predictions_file or risearch_file
+    on_target_predictions = on_target_predictions or on_target_risearch_file
     if predictions_file:
         sites = load_sites(spark, predictions_file)
         if sirna_fasta and "raw_e_min" in sites.columns:
@@ -107,10 +118,16 @@ def off_targets(
     targets = profiles.read_on_targets(spark, on_target_ids_file) if on_target_ids_file else None
     external = on_target = None
     if on_target_predictions or (on_target_file and query_file):
-        energy, own = _on_target(
+        energy, own, place = _on_target(
             spark, on_target_predictions, on_target_file, query_file, on_target_accessibility, (window_size, max_span, unpaired_prob, temperature)
         )
         on_target = {"energy": energy, "opening_energy": own, "expression": float(on_target_expression)}
+    if "sirna_id" not in sites.columns:
+        if len(configs) > 1 or targets is not None:
+            raise ValueError("sweeps and on-target ids need sites that name their siRNA")
+        scored, totals = scoring.score_together(sites, temperature, on_target and on_target | place)
+        return OffTargets(scored, totals, configs, sites, on_target)
+    if on_target:
         external = sites.select("sirna_id").distinct().select(
             "sirna_id", F.lit(energy).alias("energy"), F.lit(own).alias("opening_energy"), F.lit(float(on_target_expression)).alias("expression")
         )
@@ -118,8 +135,8 @@ def off_targets(
     return OffTargets(scored.sites, scored.sums, configs, sites, on_target)
 
 
-def _on_target(spark: SparkSession, found: str | None, target: str | None, query: str | None, profile: str | None, fold: tuple) -> tuple[float, float]:
-    """Energy and opening energy of the best on-target site: from its file, or searched; from its profile, or folded.
+def _on_target(spark: SparkSession, found: str | None, target: str | None, query: str | None, profile: str | None, fold: tuple) -> tuple[float, float, dict]:
+    """Energy, opening energy and place of the best on-target site: from its file, or searched; from its profile, or folded.
 
     Without a site both are 0; without a profile or sequence the opening energy is.
     """
@@ -128,12 +145,13 @@ def _on_target(spark: SparkSession, found: str | None, target: str | None, query
     else:
         best = searching.search(fasta.read_fasta(spark, query), fasta.read_fasta(spark, target)).agg(F.min(F.struct("energy", "start", "end", "strand")).alias("b"))
         energy, start, end, strand = best.first()["b"] or (0.0, 0, 0, "+")
+    where = {"chrom": "onTarget", "start": start, "end": end, "strand": strand}
     if not energy or not (profile or target):
-        return float(energy), 0.0
+        return float(energy), 0.0, where
     window, span, unpaired, temperature = fold
     rows = profiles.read_profiles(spark, profile) if profile else folding.fold(fasta.read_fasta(spark, target), window, span, unpaired, temperature)
     place = spark.createDataFrame([("onTarget", start, end, strand)], "chrom string, start int, end int, strand string")
-    return float(energy), float(opening.opening_energy(place, rows.withColumn("chrom", F.lit("onTarget"))).first()["opening_energy"])
+    return float(energy), float(opening.opening_energy(place, rows.withColumn("chrom", F.lit("onTarget"))).first()["opening_energy"]), where
 
 
 def accessibility(

@@ -63,10 +63,11 @@ def one_per_transcript(pairs: DataFrame) -> DataFrame:
     Exons of one transcript and repeated predictions collapse. An aggregation of the
     least struct, combined before the shuffle, where a row number would gather and sort.
     """
-    rest = [c for c in pairs.columns if c not in SITE_KEY]
+    key = [c for c in SITE_KEY if c in pairs.columns]
+    rest = [c for c in pairs.columns if c not in key]
     first = [c for c in ("trans_start", "trans_end", "gene_id") if c in rest]
     best = F.min(F.struct(*first, *(c for c in rest if c not in first))).alias("__best")
-    return pairs.groupBy(*SITE_KEY).agg(best).select(*SITE_KEY, *(F.col(f"__best.{c}").alias(c) for c in rest))
+    return pairs.groupBy(*key).agg(best).select(*key, *(F.col(f"__best.{c}").alias(c) for c in rest))
 
 
 def transcript_join(sites: DataFrame, features: DataFrame) -> DataFrame:

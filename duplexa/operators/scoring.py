@@ -173,6 +173,8 @@ def score_together(sites: DataFrame, temperature: float = DEFAULT_TEMPERATURE, o
             F.lit(float(on_target.get("opening_energy", 0.0))).alias("opening_energy"),
             F.lit(float(on_target.get("expression", 1000.0))).alias("exp_value"),
             F.lit("onTarget").alias("transcript_id"),
+            F.lit("onTarget").alias("gene_id"),
+            F.lit(float(on_target["energy"]) + float(on_target.get("opening_energy", 0.0))).alias("dG_total"),
             F.when(z > 0, F.col("w_on_target") / z).otherwise(F.lit(0.0)).alias("P_off_target"),
         )
         kinds = dict(scored.dtypes)

@@ -35,16 +35,15 @@ def with_raw_minimum(sites: DataFrame) -> DataFrame:
 
 
 def read_prediction_folder(spark: SparkSession, path: str) -> DataFrame:
-    """All of a folder's prediction files as one table, with ``raw_e_min``; Parquet files hold it already."""
+    """All of a folder's own prediction files as one table, with ``raw_e_min``; Parquet files hold it already. Subfolders are not looked into."""
+    names = list_prediction_files(spark, path)
+    stored, text = ([n for n in names if n.endswith(".parquet") == kind] for kind in (True, False))
     tables = []
-    for pattern in ("*.{gz,tsv,out}", "*.parquet"):
-        reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-        if pattern == "*.parquet":
-            if _any_file(spark, path, ".parquet"):
-                tables.append(reader.parquet(path))
-        elif _any_file(spark, path, ".gz", ".tsv", ".out"):
-            rows = reader.csv(path, schema=RAW, sep="\t", quote="").select(*SITE).where(F.col("sirna_id").isNotNull())
-            tables.append(with_raw_minimum(rows))
+    if text:
+        rows = spark.read.csv(text, schema=RAW, sep="\t", quote="").select(*SITE).where(F.col("sirna_id").isNotNull())
+        tables.append(with_raw_minimum(rows))
+    if stored:
+        tables.append(spark.read.parquet(*stored))
     if not tables:
         raise FileNotFoundError(f"no prediction files in {path}")
     out = tables[0]
@@ -62,10 +61,6 @@ def list_prediction_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if n.endswith((".gz", ".tsv", ".out", ".parquet")))
 
 
-def _any_file(spark: SparkSession, path: str, *suffixes: str) -> bool:
-    return any(name.endswith(suffixes) for name in list_prediction_files(spark, path))
-
-
 def on_strand(sites: DataFrame, strand: str = "+") -> DataFrame:
     """Sites of one strand; the filter reaches the scan."""
     return sites.where(F.col("strand") == strand)

@@ -187,3 +187,82 @@ def test_a_whole_run(spark, files):
     assert spark.read.parquet(str(files / "run" / "all" / "sites")).count() >= 1
     with pytest.raises(ValueError, match="wait"):
         orchestration.waves([orchestration.Job("a", None, ["b"]), orchestration.Job("b", None, ["a"])])
+
+
+SECTIONED = """
+command: off-targets
+verbose: false
+off_targets:
+  risearch_file: in/s1.out
+  transcriptome: ../{name}/a.gtf
+  transcriptome_format: gtf
+  feature: exon
+  window: 70
+  on_target_accessibility: null
+  alpha: "0.8;1.0"
+  gamma: 1.0
+  theta: ""
+  type: gw
+  output: ./out/sites.tsv
+  legacy_format: false
+accessibility:
+  fasta: g.fa
+  output: ./acc
+  span: 30
+"""
+
+
+def test_descriptions_with_sections(spark, files):
+    (files / "run.yaml").write_text(SECTIONED.format(name=files.name))
+    command, given = config.load(str(files / "run.yaml"))
+    assert command == "off-targets" and given["gtf_file"] == str(files / "a.gtf") and given["predictions_file"] == str(files / "in" / "s1.out")
+    assert given["window_size"] == 70 and given["gamma"] == "1.0" and given["predictions_type"] == "gw" and given["output_file"] == str(files / "out" / "sites.tsv")
+    cli.run(spark, command, dict(given))
+    written = spark.read.csv(given["output_file"], sep="\t", header=True)
+    assert written.count() == 2 and "P_off_target:alpha=0.8,gamma=1.0" in written.columns
+    (files / "run.yaml").write_text(SECTIONED.format(name=files.name).replace("command: off-targets", "command: accessibility"))
+    assert config.load(str(files / "run.yaml")) == ("accessibility", {"genome": str(files / "g.fa"), "output": str(files / "acc"), "max_span": 30})
+    for text, word in (
+        ("command: invalid", "unknown command"),
+        ("command: off-targets\noff_targets: {}\n", "needs risearch_file"),
+        ("command: accessibility\naccessibility:\n  fasta: g.fa\n", "needs output"),
+        ("command: off-targets\noff_targets:\n  risearch_file: x\n  colour: red\n", "unknown colour"),
+        ("command: off-targets\nother: 1\noff_targets:\n  risearch_file: x\n", "unknown other"),
+    ):
+        (files / "bad.yaml").write_text(text)
+        with pytest.raises(ValueError, match=word):
+            config.load(str(files / "bad.yaml"))
+
+
+def test_other_names_of_parameters(spark, files):
+    (files / "on.out").write_text("x 1 21 onTarget 5 25 + -33.0\n")
+    ours = api.off_targets(spark, str(files / "in" / "s1.out"), gtf_file=str(files / "a.gtf"), on_target_predictions=str(files / "on.out"))
+    theirs = api.off_targets(spark, risearch_file=str(files / "in" / "s1.out"), gtf_file=str(files / "a.gtf"), on_target_risearch_file=str(files / "on.out"), n_workers=4)
+    assert ours.sums.collect() == theirs.sums.collect()
+
+
+def test_sites_that_name_no_sirna(spark, files):
+    sites = [("chr1", 10, 30, "+", -28.35), ("chr1", 200, 220, "+", -28.85), ("chr1", 200, 220, "-", -40.0)]
+    spark.createDataFrame(sites, "chrom string, start int, `end` int, strand string, energy float").write.parquet(str(files / "sites.parquet"))
+    (files / "on.out").write_text("x 1 21 onTarget 5 25 + -29.0\n")
+    given = {"predictions_file": str(files / "sites.parquet"), "gtf_file": str(files / "a.gtf")}
+    alone = api.off_targets(spark, **given)
+    assert {r["transcript_id"]: r["P_off_target"] for r in alone.sites.collect()} == {"t1": pytest.approx(0.727, abs=1e-3), "t2": pytest.approx(0.273, abs=1e-3)}
+    both = api.off_targets(spark, **given, on_target_predictions=str(files / "on.out"), on_target_expression=50.0)
+    rows = {r["transcript_id"]: r for r in both.sites.collect()}
+    rt = 0.001987 * 310.15
+    w = {"t1": 600 * math.exp(28.35 / rt), "t2": 100 * math.exp(28.85 / rt), "onTarget": 50 * math.exp(29 / rt)}
+    assert {t: r["P_off_target"] for t, r in rows.items()} == {t: pytest.approx(x / sum(w.values()), rel=1e-5) for t, x in w.items()}
+    assert (rows["onTarget"]["chrom"], rows["onTarget"]["start"], rows["onTarget"]["gene_id"], rows["onTarget"]["dG_total"]) == ("onTarget", 5, "onTarget", -29.0)
+    assert both.summary.first()["z_total"] == pytest.approx(sum(w.values()), rel=1e-5)
+    with pytest.raises(ValueError, match="name their siRNA"):
+        api.off_targets(spark, **given, theta="0.9")
+
+
+def test_a_folder_s_own_files_alone_are_read(spark, files):
+    (files / "in" / "more").mkdir()
+    (files / "in" / "more" / "s9.out").write_text(SITES.replace("s1", "s9"))
+    (files / "in" / "x=1").mkdir()
+    (files / "in" / "x=1" / "s8.out").write_text(SITES.replace("s1", "s8"))
+    (files / "in" / "notes.txt").write_text("no sites\n")
+    assert {r["sirna_id"] for r in api.load_sites(spark, str(files / "in")).collect()} == {"s1"}
