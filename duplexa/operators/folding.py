@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duplexa.functions.energies import BULGE, HAIRPIN, INTERIOR, MOST_UNPAIRED, can_pair, codes, stacks
+from duplexa.functions.energies import BRANCH, BULGE, HAIRPIN, INTERIOR, MOST_UNPAIRED, MULTILOOP, can_pair, codes, stacks
 from duplexa.functions.parameters import DEFAULT_TEMPERATURE, thermal_energy
 from duplexa.functions.sequences import reverse_complement, to_dna, to_rna
 from duplexa.operators.search import tile
@@ -22,8 +22,8 @@ LOOP, BATCH = MOST_UNPAIRED, 256
 def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -> np.ndarray:
     """chance[w, last, n - 1] that the n bases ending at ``last`` are unpaired in window w.
 
-    McCaskill's inside and outside sums over hairpins, stacks, bulges and interior loops
-    of stem-loops beside each other, for all windows and all places of one span at once.
+    McCaskill's inside and outside sums over hairpins, stacks, bulges, interior loops and
+    loops with branches, for all windows and all places of one span at once.
     """
     count, size = windows.shape
     stack = np.pad(stacks(), [(0, 1)] * 4)
@@ -64,6 +64,10 @@ def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -
         weight[(np.arange(m)[:, None] + np.arange(m)[::-1][None]) > d - 6] = 0.0
         return view, weight
 
+    # Within loops with branches: ``last`` sums one branch that begins at i and open bases after
+    # it, ``lead`` the same with open bases before it, ``some`` one branch or more.
+    branch, multi = factor(BRANCH), factor(MULTILOOP + BRANCH)
+    last, lead, some = (np.zeros((count, size, size)) for _ in range(3))
     for d in range(4, span):
         i = np.arange(size - d)
         total = np.full((count, size - d), hairpins[d - 1])
@@ -71,7 +75,15 @@ def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -
             total = total + e * inside[:, i + 1 + a, i + d - 1 - b]
         if inner := within(d):
             total = total + np.einsum("wiab,ab->wi", *inner)
+        for k in range(4, d - 6):
+            total = total + multi * some[:, i + 1, i + 1 + k] * last[:, i + 2 + k, i + d - 1]
         inside[:, i, i + d] = np.where(pairs[windows[:, i], windows[:, i + d]], total, 0.0)
+        last[:, i, i + d] = last[:, i, i + d - 1] + branch * inside[:, i, i + d]
+        lead[:, i, i + d] = last[:, i, i + d] + lead[:, i + 1, i + d]
+        branches = lead[:, i, i + d]
+        for k in range(4, d - 4):
+            branches = branches + some[:, i, i + k] * last[:, i + k + 1, i + d]
+        some[:, i, i + d] = branches
     # Sums over the outer stretch: before each base, and from each base on.
     ahead, behind = np.ones((count, size + 1)), np.ones((count, size + 1))
     for j in range(size):
@@ -82,11 +94,29 @@ def unpaired_chances(windows: np.ndarray, span: int, unpaired: int, rt: float) -
         behind[:, i] = behind[:, i + 1] + (inside[:, i, i:high] * behind[:, i + 1 : high + 1]).sum(axis=1)
     whole = ahead[:, size][:, None]
     free = np.zeros((count, size + 2, size + 2))  # weight of loops whose open bases lie between two places (shifted by one)
+    # What is outside of the parts of loops with branches; ``taken`` adds up ``last_`` from each place on.
+    some_, last_, taken = np.zeros_like(some), np.zeros_like(last), np.zeros((count, size, size + 1))
     for d in range(span - 1, 3, -1):
         i = np.arange(size - d)
-        outside[:, i, i + d] += ahead[:, i] * behind[:, i + d + 1] / whole
+        around = some_[:, i, i + d]
+        last_[:, i, i + d] += around
+        for k in range(1, d - 3):
+            last_[:, i + k, i + d] += around
+            free[:, i, i + k + 1] += around * last[:, i + k, i + d]
+        for k in range(4, d - 4):
+            some_[:, i, i + k] += around * last[:, i + k + 1, i + d]
+            last_[:, i + k + 1, i + d] += around * some[:, i, i + k]
+        around = last_[:, i, i + d] * branch
+        for k in range(1, d - 3):
+            free[:, i + d - k + 1, i + d + 2] += around * inside[:, i, i + d - k]
+        taken[:, i, i + d] = taken[:, i, i + d + 1] + around
+        outside[:, i, i + d] += ahead[:, i] * behind[:, i + d + 1] / whole + taken[:, i, i + d]
         closed = outside[:, i, i + d] * (inside[:, i, i + d] > 0)
         free[:, i + 1, i + d + 1] += closed * hairpins[d - 1]
+        for k in range(4, d - 6):
+            left, right = some[:, i + 1, i + 1 + k], last[:, i + 2 + k, i + d - 1]
+            some_[:, i + 1, i + 1 + k] += closed * multi * right
+            last_[:, i + 2 + k, i + d - 1] += closed * multi * left
         for _, a, b, e in steps(d):
             w = closed * e
             outside[:, i + 1 + a, i + d - 1 - b] += w

@@ -4,7 +4,7 @@ import math
 import numpy as np
 import pytest
 
-from duplexa.functions.energies import BULGE, HAIRPIN, INTERIOR, can_pair, codes, stacks
+from duplexa.functions.energies import BRANCH, MULTILOOP, BULGE, HAIRPIN, INTERIOR, can_pair, codes, stacks
 from duplexa.functions.parameters import thermal_energy
 from duplexa.operators import folding, search
 
@@ -57,42 +57,39 @@ def test_tiles_lose_no_seed(spark, monkeypatch):
 
 
 def structures(n, ok):
-    """All sets of nested pairs without branching, over n bases."""
-
-    def helix(i, j):
-        # Structures closed by (i, j): nothing inside, or one inner pair.
-        yield [(i, j)]
-        for p in range(i + 1, j):
-            for q in range(p + 4, j):
-                if ok(p, q) and (p - i - 1) + (j - q - 1) <= folding.LOOP:
-                    for rest in helix(p, q):
-                        yield [(i, j), *rest]
-
-    def outer(i):
-        if i >= n:
+    """All sets of nested pairs over n bases, each as a list."""
+
+    def within(i, end):
+        if i >= end:
             yield []
             return
-        yield from outer(i + 1)
-        for j in range(i + 4, n):
+        yield from within(i + 1, end)
+        for j in range(i + 4, end):
             if ok(i, j):
-                for h in helix(i, j):
-                    for rest in outer(j + 1):
-                        yield h + rest
+                for inner in within(i + 1, j):
+                    for rest in within(j + 1, end):
+                        yield [(i, j), *inner, *rest]
 
-    return outer(0)
+    return within(0, n)
 
 
-def test_unpaired_chances_equal_the_sum_over_all_structures():
-    sequence = "GGACUUCGGUCCAGC"
+@pytest.mark.parametrize(
+    "sequence, span", [("GGACUUCGGUCCAGC", 13), ("GGAAACGAAACC", 12), ("GGCAAAGCGAAACACC", 16), ("AGGAAACCAGGAAACUCUA", 19), ("GGAAACGAAACGAAACCA", 18), ("GGAAACGAAACCAA", 11)]
+)
+def test_unpaired_chances_equal_the_sum_over_all_structures(sequence, span):
     base, table, pairs = codes(sequence), stacks(), can_pair()
-    n, span = len(base), 13
+    n = len(base)
     ok = lambda i, j: pairs[base[i], base[j]] > 0 and j - i < span
-    weights = []
+    weights, branched = [], 0
     for s in structures(n, ok):
         energy = 0.0
         for i, j in s:
-            inner = [(p, q) for p, q in s if i < p and q < j]
-            if not inner:
+            within = [(p, q) for p, q in s if i < p and q < j]
+            inner = [(p, q) for p, q in within if not any(a < p and q < b for a, b in within)]
+            if len(inner) > 1:
+                branched += 1
+                energy += MULTILOOP + BRANCH * (len(inner) + 1)
+            elif not inner:
                 m = j - i - 1
                 energy += HAIRPIN.get(m, 6.4 + 1.75 * RT * math.log(max(m, 9) / 9))
             else:
@@ -101,6 +98,7 @@ def test_unpaired_chances_equal_the_sum_over_all_structures():
                 stack = table[base[i], base[j], base[p], base[q]]
                 energy += stack if a == b == 0 else BULGE[a + b] + (stack if a + b == 1 else 0) if 0 in (a, b) else INTERIOR.get(a + b, 1.6)
         weights.append((math.exp(-energy / RT), {x for pair in s for x in pair}))
+    assert (branched > 0) == (span == n)
     whole = sum(w for w, _ in weights)
     got = folding.unpaired_chances(base[None], span, 5, RT)[0]
     for last in range(n):
