@@ -112,7 +112,7 @@ def off_targets(
             opening.guard_profiles(sites, known)
         sites = opening.opening_energy(sites, known, mirror_minus_strand)
     elif genome_file:
-        folded = folding.fold(fasta.read_fasta(spark, genome_file), window_size, max_span, unpaired_prob, temperature, quantised=True)
+        folded = folding.fold(fasta.tiles(spark, genome_file), window_size, max_span, unpaired_prob, temperature, quantised=True)
         sites = opening.opening_energy(sites, folded, mirror_minus_strand)
     configs = sweep(alpha, gamma, theta)
     targets = profiles.read_on_targets(spark, on_target_ids_file) if on_target_ids_file else None
@@ -143,13 +143,13 @@ def _on_target(spark: SparkSession, found: str | None, target: str | None, query
     if found:
         energy, start, end, strand = predictions.best_site_in_text(spark, found)
     else:
-        best = searching.search(fasta.read_fasta(spark, query), fasta.read_fasta(spark, target)).agg(F.min(F.struct("energy", "start", "end", "strand")).alias("b"))
+        best = searching.search(fasta.read_fasta(spark, query), fasta.tiles(spark, target)).agg(F.min(F.struct("energy", "start", "end", "strand")).alias("b"))
         energy, start, end, strand = best.first()["b"] or (0.0, 0, 0, "+")
     where = {"chrom": "onTarget", "start": start, "end": end, "strand": strand}
     if not energy or not (profile or target):
         return float(energy), 0.0, where
     window, span, unpaired, temperature = fold
-    rows = profiles.read_profiles(spark, profile) if profile else folding.fold(fasta.read_fasta(spark, target), window, span, unpaired, temperature)
+    rows = profiles.read_profiles(spark, profile) if profile else folding.fold(fasta.tiles(spark, target), window, span, unpaired, temperature)
     place = spark.createDataFrame([("onTarget", start, end, strand)], "chrom string, start int, end int, strand string")
     return float(energy), float(opening.opening_energy(place, rows.withColumn("chrom", F.lit("onTarget"))).first()["opening_energy"]), where
 
@@ -158,7 +158,7 @@ def accessibility(
     spark: SparkSession, genome: str, window_size: int = 80, max_span: int = 40, unpaired_prob: int = 30, temperature: float = 37.0, output: str | None = None
 ) -> DataFrame:
     """Profiles of a genome; with ``output`` they are quantised, written, and read from there."""
-    folded = folding.fold(fasta.read_fasta(spark, genome), window_size, max_span, unpaired_prob, temperature, quantised=bool(output))
+    folded = folding.fold(fasta.tiles(spark, genome), window_size, max_span, unpaired_prob, temperature, quantised=bool(output))
     if output:
         profiles.write_profiles(folded, output)
         return profiles.read_profiles(spark, output)
@@ -171,7 +171,7 @@ def index(spark: SparkSession, target: str, output: str | None = None, k: int =
     An index of the target as it is now is used as it is.
     """
     where = output or target.rsplit(".", 1)[0] + ".idx"
-    return kmer_index.ensure(spark, fasta.read_fasta(spark, target), target, where, k)
+    return kmer_index.ensure(spark, fasta.tiles(spark, target), target, where, k)
 
 
 def search(
@@ -197,7 +197,7 @@ def search(
     if index:
         files.status(spark, index)
         return kmer_index.find(fasta.read_sirnas(spark, query), index, *given)
-    return searching.search(fasta.read_sirnas(spark, query), fasta.read_fasta(spark, target), *given)
+    return searching.search(fasta.read_sirnas(spark, query), fasta.tiles(spark, target), *given)
 
 
 __all__ = ["OffTargets", "accessibility", "index", "load_sites", "off_targets", "reports", "search"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from duplexa.functions.energies import BRANCH, BULGE, HAIRPIN, INTERIOR, MOST_UNPAIRED, MULTILOOP, can_pair, codes, stacks
 from duplexa.functions.parameters import DEFAULT_TEMPERATURE, thermal_energy
 from duplexa.functions.sequences import reverse_complement, to_dna, to_rna
-from duplexa.operators.search import tile
+from duplexa.operators.search import Targets, tile
 from duplexa.shipping import ship
 
 #: Energy of a stretch that is never open.
@@ -186,18 +186,26 @@ def _fold(window: int, span: int, unpaired: int, temperature: float, quantised:
 
 
 def fold(
-    records: DataFrame, window: int = 80, span: int = 40, unpaired: int = 30, temperature: float = DEFAULT_TEMPERATURE, quantised: bool = False, tile_size: int = 4096
+    records: Targets, window: int = 80, span: int = 40, unpaired: int = 30, temperature: float = DEFAULT_TEMPERATURE, quantised: bool = False, tile_size: int = 4096
 ) -> DataFrame:
     """(chrom, strand, position, u array<float>) of both strands of every record.
 
     Sequences are cut into tiles with a window's context at each end, so a chromosome is
     folded by as many tasks as it has tiles. '-' is the profile of the reverse complement,
-    counted from its own start. Stretches never open, or cut off by the start, get 25.5.
+    counted from its own start; its tiles are those of '+', turned. Stretches never open,
+    or cut off by the start, get 25.5.
     """
-    ship(records.sparkSession)
-    turned = records.select("id", reverse_complement(to_dna(F.col("sequence"))).alias("sequence"), F.lit("-").alias("strand"))
-    both = records.select("id", "sequence", F.lit("+").alias("strand")).union(turned.select("id", "sequence", "strand"))
-    both = both.withColumn("id", F.struct("id", "strand"))
-    cut = tile(both, window, tile_size).select("id.id", "id.strand", "low", "offset", "size", to_rna(F.col("sequence")).alias("sequence"))
-    cut = cut.repartition("id", "strand", "offset")
-    return cut.mapInArrow(_fold(window, span, unpaired, temperature, quantised), "chrom string, strand string, position int, u array<float>")
+    cut = tile(records, window, tile_size)
+    ship(cut.sparkSession)
+    count = F.least(F.col("size"), F.col("total") - F.col("offset"))
+    plus = cut.select("id", F.lit("+").alias("strand"), "low", "offset", count.alias("size"), to_rna(F.col("sequence")).alias("sequence"))
+    minus = cut.select(
+        "id",
+        F.lit("-").alias("strand"),
+        (F.col("total") - F.col("low") - F.length("sequence")).alias("low"),
+        (F.col("total") - F.col("offset") - count).alias("offset"),
+        count.alias("size"),
+        to_rna(reverse_complement(to_dna(F.col("sequence")))).alias("sequence"),
+    )
+    both = plus.union(minus).repartition("id", "strand", "offset")
+    return both.mapInArrow(_fold(window, span, unpaired, temperature, quantised), "chrom string, strand string, position int, u array<float>")

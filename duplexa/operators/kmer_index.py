@@ -54,7 +54,7 @@ def _postings(k: int):
     return run
 
 
-def build(records: DataFrame, path: str, k: int = K, context: int = CONTEXT, tile_size: int = search.TILE, told: str = "") -> None:
+def build(records: search.Targets, path: str, k: int = K, context: int = CONTEXT, tile_size: int = search.TILE, told: str = "") -> None:
     """Index ``records`` (id, sequence) under ``path``: tiles, postings, and at last the facts that readers need.
 
     A tile is read once; its postings leave the task packed, one row a k-mer, and move in
@@ -63,11 +63,11 @@ def build(records: DataFrame, path: str, k: int = K, context: int = CONTEXT, til
     Records may share an id; of those that share their sequence too, one is kept. Records
     without an id are left out. Sequences are held in upper case RNA letters.
     """
-    spark = records.sparkSession
+    cut = search.tile_bases(records, context, tile_size).where("id IS NOT NULL")
+    spark = cut.sparkSession
     ship(spark)
-    cut = search.tile_bases(records.select(F.col("id").cast("string").alias("id"), "sequence").where("id IS NOT NULL"), context, tile_size)
-    cut = cut.select("id", F.col("offset").cast("int").alias("offset"), F.col("low").cast("int").alias("low"), F.col("total").cast("int").alias("total"), F.col("size").cast("int").alias("size"), "bases", "tile")
-    bases = records.agg(F.sum(F.length("sequence").cast("long"))).first()[0] or 0
+    cut = cut.select(F.col("id").cast("string").alias("id"), F.col("offset").cast("int").alias("offset"), F.col("low").cast("int").alias("low"), F.col("total").cast("int").alias("total"), F.col("size").cast("int").alias("size"), "bases", "tile")
+    bases = cut.agg(F.sum(F.least(F.col("size"), F.col("total") - F.col("offset")).cast("long"))).first()[0] or 0
     buckets = max(BUCKETS, min(4**k, -(-bases // BUCKET_BASES)))
     dealt = cut.repartition(buckets, *TILE_KEY).dropDuplicates(TILE_KEY)
     bucketed.write(dealt, f"{path}/tiles", buckets, TILE_KEY)
@@ -86,7 +86,7 @@ def facts(spark: SparkSession, path: str) -> dict | None:
     return row.asDict() if row and row["form"] == FORM else None
 
 
-def ensure(spark: SparkSession, records: DataFrame, target: str, path: str, k: int = K) -> str:
+def ensure(spark: SparkSession, records: search.Targets, target: str, path: str, k: int = K) -> str:
     """The index of a target file under ``path``, built unless one of this file as it is now, by size and time, is there."""
     about = files.status(spark, target)
     told = f"{about.getLen()} bytes of {about.getModificationTime()}"
