@@ -73,6 +73,12 @@ def least_matches(percent: int) -> int:
     return max(1, math.floor(COORDINATES * p - 5 * math.sqrt(COORDINATES * p * (1 - p))))
 
 
+def _digest(hashes: bytes) -> tuple[int, int]:
+    """Two halves of a set's 128-bit digest, by which equal sets are known."""
+    digest = xxhash.xxh3_128(hashes).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
 def _sign(words: int):
     def run(batches):
         claim(_words)
@@ -83,9 +89,8 @@ def _sign(words: int):
                 for text in part.column("text"):
                     s = shingles(text.as_py(), words)
                     size.append(len(s))
-                    digest = xxhash.xxh3_128(s.tobytes()).digest()
-                    one.append(int.from_bytes(digest[:8], "little", signed=True))
-                    two.append(int.from_bytes(digest[8:], "little", signed=True))
+                    for into, half in zip((one, two), _digest(s.tobytes())):
+                        into.append(half)
                     sig.append(signature(s).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sig, pa.binary())],
@@ -182,7 +187,10 @@ def _sets(shared, words: int):
             for row, text in enumerate(part.column("text"), 1):
                 made.append(shingles(text.as_py(), words).tobytes())
                 if row == part.num_rows or sum(map(len, made)) > BLOCK_BYTES // 4 or len(made) == 512:
-                    yield pa.RecordBatch.from_arrays([part.column("id").slice(at, len(made)), pa.array(made, pa.binary())], ["rep", "hashes"])
+                    one, two = zip(*map(_digest, made))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("id").slice(at, len(made)), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(made, pa.binary())], ["least", "d1", "d2", "hashes"]
+                    )
                     made, at = [], row
 
     return run
@@ -305,7 +313,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     the matches with a chance of about 4 in a million.
 
     Null and empty texts have no shingles and link with nothing. Rows that repeat an id
-    are one document for links. A null id links with nothing. Other columns are ignored;
+    are one document for links, whatever their texts: each is linked as any of them is. A null id links with nothing. Other columns are ignored;
     an empty table gives an empty result.
     """
     spark = documents.sparkSession
@@ -314,8 +322,16 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     prefix = COORDINATES - least + 1
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = scratch.save(docs.mapInArrow(_sign(words), "id long, n long, d1 long, d2 long, sig binary"), "signed")
-    classes = signed.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
-    classes = scratch.save(classes, "classes")
+    classes = signed.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("least"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
+    # A class goes by its smallest id; where an id is the smallest of several, by a hash of id and set.
+    shared = classes.groupBy("least").agg(F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    shared = scratch.save(shared, "shared")
+    repeated = shared.limit(1).count() > 0
+    rep = F.col("least")
+    if repeated:
+        classes = classes.join(shared.withColumnRenamed("least", "again"), F.col("least") == F.col("again"), "left")
+        rep = F.when(F.col("again").isNull(), rep).otherwise(F.xxhash64("least", "d1", "d2"))
+    classes = scratch.save(classes.select("d1", "d2", rep.alias("rep"), "least", "n", "sig"), "classes")
     posts = scratch.save(classes.select("rep", "sig").mapInArrow(_post, "key long, rep long"), "posts")
     frequent = posts.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
     shared = posts.join(frequent, "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("f", "key"))).alias("keys"))
@@ -330,18 +346,19 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     # Families that fit in a block are compared many at a time, and by signatures first.
     sizes = families.groupBy("family").agg(F.count("*").alias("m"))
-    signs = families.join(sizes, "family").join(classes.select("rep", "n", "sig"), "rep")
+    signs = families.join(sizes, "family").join(classes, "rep")
     signs = scratch.save(signs, "signs")
     n = signs.count()
     lots = F.pmod(F.xxhash64("family"), F.lit(max(1, -(-n // TOGETHER))))
     small = signs.where(F.col("m") <= BLOCK)
     matched = small.groupBy(lots).applyInArrow(_matched(percent, least), "rep long")
-    wanted = scratch.save(signs.where(F.col("m") > BLOCK).select("rep").union(matched), "wanted")
+    wanted = signs.where(F.col("m") > BLOCK).select("rep").union(matched)
+    wanted = scratch.save(signs.join(wanted, "rep").select("family", "rep", "least", "d1", "d2", "sig"), "wanted")
 
-    sent = broadcast_filter(wanted, "rep", wanted.count())
-    sets = docs.where("id is not null").mapInArrow(_sets(sent, words), "rep long, hashes binary")
-    # Rows that repeat an id have one class's set each; the class is known by its size and digest too.
-    group = signs.join(wanted, "rep").select("family", "rep", "n", "sig").join(sets, "rep").where("length(hashes) = 8 * n").dropDuplicates(["rep"])
+    sent = broadcast_filter(wanted, "least", wanted.count())
+    sets = docs.where("id is not null").mapInArrow(_sets(sent, words), "least long, d1 long, d2 long, hashes binary")
+    # Rows that repeat an id have one class's set each, which its digest tells.
+    group = wanted.join(sets, ["least", "d1", "d2"]).select("family", "rep", "sig", "hashes").dropDuplicates(["rep"])
     group = scratch.save(group, "sets")
     bytes_ = F.sum(F.length("hashes")).alias("bytes")
     sizes = group.groupBy("family").agg(F.count("*").alias("m"), bytes_)
@@ -379,9 +396,17 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         rights = large.withColumn("u", F.explode(F.expr("sequence(0, rest_blocks - 1)"))).select(*columns, "u", F.col("block").alias("at"), F.lit(False).alias("left"), F.lit(True).alias("right"))
         more = lefts.union(rights).groupBy("family", "u", "at").applyInArrow(_compare(percent, least), "a long, b long")
         links = links.union(scratch.save(more, "more"))
+    if repeated:
+        # All sets of one id are one document: its classes are joined.
+        several = signed.where("n > 0 and id is not null").select("id", "d1", "d2").distinct().join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
+        joined = several.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("sets"))
+        links = links.union(several.join(joined.where("sets > 1"), "id").select("a", F.col("rep").alias("b")).where("a <> b"))
     components = connected_components(links, scratch, "joined")
-    found = classes.select("d1", "d2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    found = classes.select("d1", "d2", "rep", "least").join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if repeated:
+        smallest = found.groupBy("component").agg(F.min("least").alias("id"))
+        found = found.join(smallest, "component").withColumn("component", F.col("id"))
+    found = found.select("d1", "d2", "component")
     out = signed.select("id", "n", "d1", "d2").join(found, ["d1", "d2"], "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
     return out.select(

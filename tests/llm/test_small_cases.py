@@ -213,3 +213,33 @@ def test_short_lines_go_by_how_often_they_repeat(spark, tmp_path):
     assert once[0] == "own text 0\nAll rights reserved. Yes." and once[8] == "own text 8" and once[11] == "own text 11" and once[9] == rows[9][1]
     shorter = line_dedup.dedup_lines(docs.where("doc_id in (0, 9, 11)").select("doc_id", "text"), min_copies=10).collect()
     assert all(r["n_removed"] == 0 for r in shorter)
+
+
+def by_pairs(rows, words=5, percent=80):
+    """Smallest id reachable, by comparing all rows; rows of one id are one document."""
+    sets = [(i, set(minhash_dedup.shingles(t, words).tolist())) for i, t in rows]
+    ids = sorted({i for i, _ in sets if i is not None})
+    least = {i: i for i in ids}
+    links = [(a, b) for a, x in sets for b, y in sets if a is not None and b is not None and x and y and 100 * len(x & y) >= percent * len(x | y)]
+    for _ in ids:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+def test_one_id_with_several_texts_in_any_order(spark):
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    near = lambda t: " ".join([*t[:-1], "changed"])
+    a, b, c, d = text(80), text(80), text(120), text(60)
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (9, near(a)), (7, near(b)), (3, " ".join(c)), (6, " ".join(c)), (6, " ".join(d)), (8, near(d)), (5, ""), (4, " ".join(text(80))), (4, None), (None, " ".join(a))]
+    rows += [(20, " ".join(a)), (20, " ".join(text(80))), (2, near(c))]
+    want = by_pairs(rows)
+    assert want[9] == want[7] == 5 and want[8] == want[6] == want[3] == 2
+    for _ in range(3):
+        rng.shuffle(rows)
+        got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            if r["n_shingles"]:
+                assert r["component_id"] == (want[r["doc_id"]] if r["doc_id"] is not None else None), r
