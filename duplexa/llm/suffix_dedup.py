@@ -22,12 +22,14 @@ GRAM = 16
 SEGMENT, GATHER, TASK_ANCHORS, TASK_CONTEXTS = 1 << 19, 8 << 20, 1_000_000, 100_000
 #: An anchor with more extents than this in one gathering is compared by windows wherever it is.
 FREQUENT = 48
-TABLE = np.random.default_rng(77).integers(0, 2**63, 256, dtype=U64) * U64(2) + U64(1)
+TABLE, OTHER = np.random.default_rng(77).integers(0, 2**63, (2, 256), dtype=U64) * U64(2) + U64(1)
 ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-BASE = U64(0xA24BAED4963EE407)
 with np.errstate(over="ignore"):
-    POWERS = np.cumprod(np.full(SEGMENT + 4096, BASE, U64))
-    INVERSES = np.cumprod(np.full(SEGMENT + 4096, U64(pow(int(BASE), -1, 2**64)), U64))
+    #: Of both hashes of extents: the table of bytes, and powers of the base and of its inverse.
+    HASHES = [
+        (table, np.cumprod(np.full(SEGMENT + 4096, U64(base), U64)), np.cumprod(np.full(SEGMENT + 4096, U64(pow(base, -1, 2**64)), U64)))
+        for table, base in ((TABLE, 0xA24BAED4963EE407), (OTHER, 0x8EBC6AF09C88C6E3))
+    ]
 
 
 def _minima(x: np.ndarray, width: int) -> np.ndarray:
@@ -39,8 +41,8 @@ def _minima(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
-def anchors(text: bytes, length: int = 50):
-    """Anchors of a text: (key, extent hash, anchor place, first window, last window), arrays in order.
+def anchors(text: bytes, length: int = 50, hashed: bool = True):
+    """Anchors of a text: (key, 64 and 32 bits of its extent's hashes, anchor place, first window, last window), arrays in order.
 
     Each string of ``length`` bytes is laid to its anchor, the gram in it of least hash
     (leftmost if tied): equal strings have equal anchors at equal places. Windows of one
@@ -62,14 +64,18 @@ def anchors(text: bytes, length: int = 50):
         first = np.concatenate([[0], np.nonzero(np.diff(place))[0] + 1])
         last = np.concatenate([first[1:] - 1, [len(place) - 1]])
         at = place[first]
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum(TABLE[part] * POWERS[: len(part)])])
-        extent = (sums[last + length] - sums[first]) * INVERSES[first]
-        extent = mix(extent + (last - first).astype(U64) * ODD[0] + (at - first).astype(U64) * ODD[1])
-        out.append((h[at] >> U64(16), extent >> U64(24), at + low, first + low, last + low))
-    return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, U64)] * 2 + [np.empty(0, np.int64)] * 3
+        extents = []
+        for table, powers, inverses in HASHES if hashed else ():
+            sums = np.concatenate([np.zeros(1, U64), np.cumsum(table[part] * powers[: len(part)])])
+            extent = (sums[last + length] - sums[first]) * inverses[first]
+            extents.append(mix(extent + (last - first).astype(U64) * ODD[0] + (at - first).astype(U64) * ODD[1]))
+        extents = [extents[0], extents[1] >> U64(32)] if hashed else [h[:0]] * 2
+        out.append((h[at] >> U64(16), *extents, at + low, first + low, last + low))
+    return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, U64)] * 3 + [np.empty(0, np.int64)] * 3
 
 
-PLANES = (("key", 6), ("extent", 5), ("doc", 8), ("row", 8), ("nth", 4))
+#: Extents of one anchor are told apart by 96 bits: of 10 ** 9 of them two are taken for equal with a chance below 10 ** -11.
+PLANES = (("key", 6), ("extent", 8), ("extra", 4), ("doc", 8), ("row", 8), ("nth", 4))
 
 
 def _planes(values, width: int) -> bytes:
@@ -91,11 +97,11 @@ def _planes_of(named: bool):
 
 def _anchor_blocks(buckets: int, length: int, named: bool):
     def flush(held):
-        key, extent, doc, row, nth = (np.concatenate([h[i] for h in held]) for i in range(5))
-        order = np.lexsort((doc, extent, key))
-        key, extent, doc, row, nth = key[order], extent[order], doc[order], row[order], nth[order]
+        key, extent, extra, doc, row, nth = (np.concatenate([h[i] for h in held]) for i in range(6))
+        order = np.lexsort((doc, extra, extent, key))
+        key, extent, extra, doc, row, nth = (x[order] for x in (key, extent, extra, doc, row, nth))
         new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1])
+        new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1]) | (extra[1:] != extra[:-1])
         source = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
         # Extents that a smaller document of this task has are settled here; one stands for all.
         here = doc > source
@@ -117,7 +123,7 @@ def _anchor_blocks(buckets: int, length: int, named: bool):
             i = order[ends[b] : ends[b + 1]]
             if len(i):
                 cols["bucket"].append(b)
-                parts = {"key": key, "extent": extent, "doc": doc, "row": row, "nth": nth}
+                parts = {"key": key, "extent": extent, "extra": extra, "doc": doc, "row": row, "nth": nth}
                 cols["open"].append(b"".join(_planes(parts[name][i[sent[i]]], w) for name, w in _planes_of(named)))
                 for name, which in (("done", here), ("many", many)):
                     cols[name].append(b"".join(_planes(x[i[which[i]]], w) for x, w in ((row, 8), (nth, 4))))
@@ -130,8 +136,8 @@ def _anchor_blocks(buckets: int, length: int, named: bool):
             for row, doc, text in zip(batch.column("row"), batch.column("doc"), batch.column("text")):
                 data = text.as_buffer().to_pybytes() if text.is_valid else b""
                 if len(data) >= length:
-                    key, extent, *_ = anchors(data, length)
-                    held.append((key, extent, np.full(len(key), doc.as_py(), np.int64), np.full(len(key), row.as_py(), np.int64), np.arange(len(key))))
+                    key, extent, extra, *_ = anchors(data, length)
+                    held.append((key, extent, extra, np.full(len(key), doc.as_py(), np.int64), np.full(len(key), row.as_py(), np.int64), np.arange(len(key))))
                     size += len(data)
                     if size >= GATHER:
                         yield flush(held)
@@ -167,9 +173,9 @@ def _mark(buckets: int, named: bool):
                     n = len(y) // 12
                     into[0].append(_numbers(y[: 8 * n], 8))
                     into[1].append(_numbers(y[8 * n :], 4))
-        key, extent, doc, *row, nth = map(np.concatenate, opened)
-        order = np.lexsort((doc, extent, key))
-        key, extent, doc, nth = key[order], extent[order], doc[order], nth[order]
+        key, extent, extra, doc, *row, nth = map(np.concatenate, opened)
+        order = np.lexsort((doc, extra, extent, key))
+        key, extent, extra, doc, nth = (x[order] for x in (key, extent, extra, doc, nth))
         row = row[0][order] if named else doc
         n = len(key)
         covered = mixed = np.zeros(n, bool)
@@ -177,7 +183,7 @@ def _mark(buckets: int, named: bool):
             group = np.ones(n, bool)
             group[1:] = key[1:] != key[:-1]
             same = group.copy()
-            same[1:] |= extent[1:] != extent[:-1]
+            same[1:] |= (extent[1:] != extent[:-1]) | (extra[1:] != extra[:-1])
             own = np.maximum.accumulate(np.where(same, np.arange(n), 0))
             covered = doc > doc[own]
             # An anchor's other extents matter where one of them is in another document.
@@ -236,7 +242,7 @@ def _contexts(length: int):
             for row, doc, text, parts in zip(*(batch.column(c) for c in ("row", "doc", "text", "open"))):
                 data = text.as_buffer().to_pybytes()
                 nth = np.unique(np.frombuffer(parts.as_py(), "<u4"))
-                key, _, at, first, last = anchors(data, length)
+                key, _, _, at, first, last = anchors(data, length, hashed=False)
                 for i in nth.tolist():
                     a, p, q = int(at[i]), int(first[i]), int(last[i])
                     rows.append((int(key[i]), doc.as_py(), row.as_py(), i, a - q, a - p, data[p:a], data[a + GRAM : q + length]))
@@ -330,7 +336,7 @@ def _cut(length: int, with_text: bool):
                 removed, spans, digests, kept = [], [], [], []
                 for text, done, nths, masks in zip(*(part.column(c) for c in ("text", "done", "nths", "masks"))):
                     data = text.as_buffer().to_pybytes()
-                    _, _, at, first, last = anchors(data, length)
+                    *_, at, first, last = anchors(data, length, hashed=False)
                     change = np.zeros(len(data) + 1, np.int64)
                     whole = np.unique(np.frombuffer(done.as_py() or b"", "<u4")).astype(np.int64)
                     np.add.at(change, first[whole], 1)

@@ -292,6 +292,25 @@ def test_very_frequent_anchors_lose_nothing(spark, monkeypatch, contexts):
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
 
 
+def test_thousands_of_extents_around_one_anchor(spark):
+    rng = random.Random(2)
+    side = lambda: "".join(rng.choice("abcdefgh") for _ in range(45))
+    docs = [side() + "the one and only core of them" + side() for _ in range(3000)] + ["x"]
+    docs += [docs[5], docs[7][10:] + "tail", docs[9][:-12] + "end"]
+    rows = suffix_dedup.dedup_substrings(document_frame(spark, docs)).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
+
+
+def test_extents_are_told_apart_by_both_hashes():
+    rng = np.random.default_rng(0)
+    found = [np.concatenate(x) for x in zip(*(suffix_dedup.anchors(rng.integers(0, 256, 5000, dtype=np.uint8).tobytes()) for _ in range(20)))]
+    key, extent, extra, at, first, last = found
+    assert len(np.unique(extent)) == len(extent) and len(np.unique(extra)) > 0.99 * len(extra)
+    assert abs(np.corrcoef(extent.astype(float), extra.astype(float))[0, 1]) < 0.05 and extra.max() < 2**32
+    bare = suffix_dedup.anchors(b"some text that is long enough to have an anchor or two in it, or three", hashed=False)
+    assert len(bare[1]) == 0 and len(bare[3]) == len(bare[0])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b)), max_size=120), st.binary(max_size=30))
 def test_deep_shallow_order(strings, prefix):
@@ -306,7 +325,7 @@ def test_deep_shallow_order(strings, prefix):
 def test_segments_cover_every_window(monkeypatch):
     data = bytes(random.Random(8).randrange(97, 100) for _ in range(5000))
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
-    _, _, at, first, last = suffix_dedup.anchors(data)
+    *_, at, first, last = suffix_dedup.anchors(data)
     assert first[0] == 0 and last[-1] == len(data) - 50 and (first[1:] == last[:-1] + 1).all() and (at >= last).all() and (at - first <= 34).all()
 
 
