@@ -20,7 +20,7 @@ BROADCAST_TOKENS = 1_000_000
 
 # Element names of HTML by what they do here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe textarea title svg math object canvas audio video select".split())
+RAW = set("script style noscript template iframe textarea title svg annotation annotation-xml object canvas audio video select".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -45,6 +45,15 @@ MARKS = set(
 MARK_ENDS = ("nav", "menu", "sidebar", "footer", "comment", "comments", "cookie", "cookies", "banner", "breadcrumbs", "notice", "newsletter", "advert")
 REMARKS = set("comment comments reply replies".split())
 HEADS = {"header", "heading"}
+#: Words, and the form element, that also name boxes around or within articles: what they mark may be kept, see ``_dropped``.
+BOXES = set(
+    "form header heading promo promotion notice notices sidebar sidebars widget widgets menu menus topbar login toolbar copyright banner related recommended "
+    "recommendations pagination pager".split()
+)
+BOX_ENDS = ("menu", "sidebar", "banner", "notice")
+#: Names that tell how a page is laid out, or what it does without: has-sidebar, no-ads, comments-open, ad-free.
+LAYOUT = re.compile(r"(?<!\S)(?:(?:has|no|not|with|without|hide)[-_]\S*|\S*[-_](?:open|opened|closed|free|enabled|disabled|off|none))(?!\S)")
+WITHOUT = re.compile(r"(?:no|has|with|without)(?=.)")
 
 #: Of RAW, those whose content is never markup, so that an unclosed one takes the rest of the page.
 TEXT_ONLY = set("script style iframe textarea title noscript".split())
@@ -109,15 +118,17 @@ def _markup(source: str):
 class Page:
     """A page's open-element tree and its text blocks, from one tolerant pass over the markup."""
 
-    __slots__ = ("tags", "parents", "paths", "marked", "blocks", "links")
+    __slots__ = ("tags", "parents", "paths", "marked", "boxes", "article", "blocks", "links")
 
     def __init__(self, source: str):
         #: A path is a digest of an element's name and classes and of its parent's path.
-        self.tags, self.parents, self.paths, self.marked = ["#page"], [-1], [b""], [False]
+        self.tags, self.parents, self.paths = ["#page"], [-1], [b""]
+        #: Whether a node is chrome by its markup, or else the names by which it may be; and whether it is an article or in one.
+        self.marked, self.boxes, self.article = [False], [frozenset()], [False]
         #: (node, text) in page order, and how many of each block's characters are link text.
         self.blocks: list[tuple[int, str]] = []
         self.links: list[int] = []
-        article = [False]
+        article = self.article
         stack, held, linked, in_link = [0], [], 0, 0
         #: How often each name is open, and of elements not nested any further.
         opened: dict[str, int] = {}
@@ -177,12 +188,13 @@ class Page:
                         break
                     if tag in BLOCK:
                         break
-            words, hidden = set(), False
+            words, marks, hidden = set(), set(), False
             if attrs:
                 for key, *values in ATTR.findall(attrs):
                     key, value = key.lower(), next((v for v in values if v), "").lower()
                     if key in ("class", "id"):
                         words.update(WORD.findall(value))
+                        marks.update(WORD.findall(LAYOUT.sub(" ", value)))
                     elif key == "role":
                         hidden |= value.strip() in ROLES
                     elif key == "style":
@@ -194,12 +206,16 @@ class Page:
             self.parents.append(parent)
             label = name + "".join("." + w for w in sorted(words)) if words else name
             self.paths.append(hashlib.blake2b(self.paths[parent] + label.encode("utf-8", "replace"), digest_size=8).digest())
-            heads = not article[parent] and (name == "header" or bool(words & HEADS))
+            heads = {"header"} if not article[parent] and (name == "header" or marks & HEADS) else set()
             article.append(article[parent] or name in ("article", "main"))
             if name in ("body", "html", "article", "main"):
-                self.marked.append(hidden or (name == "article" and bool(words & REMARKS)))
+                self.marked.append(hidden or (name == "article" and bool(marks & REMARKS)))
+                self.boxes.append(frozenset())
             else:
-                self.marked.append(hidden or name in CHROME or heads or bool(words & MARKS) or any(w.endswith(MARK_ENDS) for w in words))
+                named = {w for w in marks if w in MARKS or (w.endswith(MARK_ENDS) and not _without(w))}
+                boxes = {w for w in named if w in BOXES or (w not in MARKS and w.endswith(BOX_ENDS))}
+                self.marked.append(hidden or (name in CHROME and name != "form") or len(named) > len(boxes))
+                self.boxes.append(frozenset(boxes | heads | ({"form"} if name == "form" else set())))
             if name not in VOID and not attrs.rstrip().endswith("/"):
                 if len(stack) > DEPTH:
                     beyond[name] = beyond.get(name, 0) + 1
@@ -217,6 +233,13 @@ class Page:
             yield text_key(self.paths[node], text)
 
 
+def _without(word: str) -> bool:
+    """nosidebar, hasbanner: a mark that is said not to be there, or to be somewhere."""
+    found = WITHOUT.match(word)
+    rest = word[found.end() :] if found else ""
+    return rest in MARKS or rest in MARK_ENDS
+
+
 def text_key(path: bytes, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(path + b" " + text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
@@ -298,34 +321,115 @@ def _between(page: Page, kept: list[int], support: list[int]) -> list[int]:
     return sorted({*body, *titles(kept)})
 
 
-def main_text(source: str, template: dict[int, int] = {}) -> str:  # noqa: B006
-    """The article's blocks of a page joined by new lines; ``template`` has the keys of its host's template tokens and the pages each is on."""
-    page = Page(source)
+def _summed(page: Page, of: list[int]) -> list[int]:
+    """Of each node, the sum over it and what is beneath it."""
+    out = of[:]
+    for i in range(len(out) - 1, 0, -1):
+        out[page.parents[i]] += out[i]
+    return out
+
+
+def _dropped(page: Page) -> list[bool]:
+    """Of each node, whether it lies in what surrounds or interrupts an article.
+
+    Chrome by its markup goes, unless its name alone says so and it holds an article. A name
+    or a form that may as well be a box (BOXES) marks nothing on a page where boxes of it
+    hold most of the text; within an article a name marks only what is more links than prose.
+    """
     n = len(page.tags)
     holds = [t in ("article", "main") and not m for t, m in zip(page.tags, page.marked)]
     for i in range(n - 1, 0, -1):
         holds[page.parents[i]] |= holds[i]
-    # What holds an article is no frame around it, whatever its name says.
-    out = [False] * n
+    hard = [False] * n
     for i in range(1, n):
-        out[i] = out[page.parents[i]] or (page.marked[i] and not (holds[i] and page.tags[i] not in CHROME))
-    kept = [b for b, (node, _) in enumerate(page.blocks) if not out[node]]
-    size = [0] * n
+        hard[i] = hard[page.parents[i]] or (page.marked[i] and not (holds[i] and page.tags[i] not in CHROME))
+    if not any(page.boxes):
+        return hard
+    own, prose, links = [0] * n, [0] * n, [0] * n
+    for (node, text), linked in zip(page.blocks, page.links):
+        if not hard[node]:
+            own[node] += len(text) - linked
+            links[node] += linked
+            prose[node] += len(text) - linked if page.tags[node] in PROSE else 0
+    own, prose, links = (_summed(page, x) for x in (own, prose, links))
+    # Text in boxes of each name, those within a box of the name not counted again.
+    named: dict[str, int] = {}
+    within: list[frozenset] = [frozenset()] * n
+    for i in range(1, n):
+        above = within[page.parents[i]]
+        within[i] = above | page.boxes[i] if page.boxes[i] else above
+        for word in page.boxes[i] - above:
+            if word == "form" or not page.article[page.parents[i]]:
+                named[word] = named.get(word, 0) + own[i]
+    usual = {word for word, size in named.items() if 2 * size > own[0]}
+    out = hard
+    for i in range(1, n):
+        boxed = page.boxes[i] - usual
+        prosaic = page.article[page.parents[i]] and "form" not in boxed and prose[i] > links[i]
+        if boxed and not holds[i] and not prosaic:
+            out[i] = True
+        out[i] = out[i] or out[page.parents[i]]
+    return out
+
+
+def _bodies(page: Page, out: list[bool], support: list[int], kept: list[int]) -> list[int]:
+    """The blocks of the article elements that are one text, or of main; none where the page has neither.
+
+    Of several places that have articles, the one with most text that the template does not
+    have is taken, ties by all text; there, articles that are more links than text are not
+    part of it. Main is taken where it has more text beside its articles than in them.
+    """
+    n = len(page.tags)
+    size, fresh, links = [0] * n, [0] * n, [0] * n
     for b in kept:
-        size[page.blocks[b][0]] += len(page.blocks[b][1]) - page.links[b]
-    whole = size[:]
-    for i in range(n - 1, 0, -1):
-        whole[page.parents[i]] += whole[i]
-    bodies = [i for i in range(n) if page.tags[i] == "article" and not out[i] and whole[i]] or [
-        i for i in range(n) if page.tags[i] == "main" and not out[i] and whole[i]
-    ]
-    if bodies:
-        top = max(bodies, key=lambda i: (whole[i], -i))
-        inside = _below(page, top)
-        kept = [b for b in kept if inside[page.blocks[b][0]]]
+        node, text = page.blocks[b]
+        size[node] += len(text) - page.links[b]
+        fresh[node] += 0 if support[b] else len(text) - page.links[b]
+        links[node] += page.links[b]
+    size, fresh, links = (_summed(page, x) for x in (size, fresh, links))
+    nested = [False] * n
+    for i in range(1, n):
+        nested[i] = nested[page.parents[i]] or page.tags[page.parents[i]] == "article"
+    groups: dict[int, list[int]] = {}
+    for i in range(n):
+        if page.tags[i] == "article" and not out[i] and not nested[i] and size[i] + links[i]:
+            groups.setdefault(page.parents[i], []).append(i)
+    score = lambda nodes: (sum(fresh[i] for i in nodes), sum(size[i] for i in nodes), -nodes[0])
+    tops: list[int] = []
+    if groups:
+        tops = max(groups.values(), key=score)
+        tops = [i for i in tops if size[i] > links[i]] or tops
+    mains = [i for i in range(n) if page.tags[i] == "main" and not out[i] and size[i]]
+    if mains:
+        main = max(mains, key=lambda i: (size[i], -i))
+        below = _below(page, main)
+        held = sum(size[i] for nodes in groups.values() for i in nodes if below[i])
+        if not tops or (below[tops[0]] and size[main] - held > held):
+            tops = [main]
+    if not tops:
+        return []
+    inside = [False] * n
+    for i in range(n):
+        inside[i] = i in tops or (i > 0 and inside[page.parents[i]])
+    # Beside main's own text, an article of more links than text is another page's.
+    if page.tags[tops[0]] == "main":
+        others = {i for nodes in groups.values() for i in nodes if size[i] <= links[i]}
+        for i in range(n):
+            inside[i] = inside[i] and i not in others and (i in tops or inside[page.parents[i]])
+    return [b for b in kept if inside[page.blocks[b][0]]]
+
+
+def main_text(source: str, template: dict[int, int] = {}) -> str:  # noqa: B006
+    """The article's blocks of a page joined by new lines; ``template`` has the keys of its host's template tokens and the pages each is on."""
+    page = Page(source)
+    out = _dropped(page)
+    kept = [b for b, (node, _) in enumerate(page.blocks) if not out[node]]
+    # A class is on all pages of its layout and on no other, so that a page's own tokens match it to its layout.
+    support = [template.get(text_key(page.paths[node], text), 0) if template else 0 for node, text in page.blocks]
+    if body := _bodies(page, out, support, kept):
+        kept = body
     elif kept:
-        # A class is on all pages of its layout and on no other, so that a page's own tokens match it to its layout.
-        kept = _between(page, kept, [template.get(text_key(page.paths[node], text), 0) if template else 0 for node, text in page.blocks])
+        kept = _between(page, kept, support)
     return "\n".join(page.blocks[b][1] for b in kept)
 
 
@@ -415,10 +519,11 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """id, url, text and n_chars of every page; text is the article alone, its blocks joined by new lines.
 
     Templates are deduced over all pages of each host. Markup names what is chrome
-    (menus, headers, footers, sidebars, notices, adverts, forms, comments); of the rest
-    the article element counts, or else the smallest element around the text that varies. Template
-    texts are left out before and after the article, never inside it. Templates reach the pages by a broadcast up to
-    BROADCAST_TOKENS tokens and by a join on the host beyond.
+    (menus, headers, footers, sidebars, notices, adverts, forms, comments), but for boxes that hold most of a page's
+    text and for prose within an article. Of the rest the article elements of one place count, that which
+    has most text outside the template where there are several, or main; or else the smallest element around the
+    text that varies. Template texts are left out before and after the article, never inside it. Templates reach the
+    pages by a broadcast up to BROADCAST_TOKENS tokens and by a join on the host beyond.
 
     Pages are read in time and memory in proportion to their length, whatever tags they
     leave open; elements nested over DEPTH deep count as beside each other.

@@ -132,6 +132,72 @@ def test_pages_without_an_article_element(spark, pages):
         assert text == want if pages > 1 else want in text
 
 
+FRAMED = "<html><body><div class=top>Our site of many things</div>{}<div class=low>Write to us at any time of the day.</div></body></html>"
+
+
+def story(n):
+    return f"<h1>Title {n}</h1>" + "".join(f"<p>Paragraph {k} of page {n} tells {n * 7 + k} things{' at length' * (n % 5)}.</p>" for k in range(4))
+
+
+def told(n):
+    return "\n".join([f"Title {n}", *(f"Paragraph {k} of page {n} tells {n * 7 + k} things{' at length' * (n % 5)}." for k in range(4))])
+
+
+@pytest.mark.parametrize("pages", [10, 20])
+@pytest.mark.parametrize(
+    "box",
+    [
+        "<form id=aspnetForm><input type=hidden name=v><div>{}</div></form>",
+        "<form id=aspnetForm><nav>Start</nav><article>{}</article><footer>End of it</footer></form>",
+        '<div class="content has-sidebar">{}</div>',
+        '<div class="layout no-sidebar">{}</div>',
+        '<div class="post comments-open">{}</div>',
+        '<div class="story ad-free">{}</div>',
+        '<div class="noSidebar post">{}</div>',
+        '<div class="sidebar-layout"><div class=x>{}</div></div>',
+        '<div class="page-banner-layout">{}</div>',
+    ],
+)
+def test_boxes_around_an_article_are_not_taken_for_chrome(spark, box, pages):
+    # As if without a host of its own, and on a host of such pages.
+    assert told(3) in html_extract.main_text(FRAMED.format(box.format(story(3))))
+    assert extracted(spark, [FRAMED.format(box.format(story(n))) for n in range(pages)]) == [told(n) for n in range(pages)]
+
+
+def test_an_article_in_small_widgets(spark):
+    widgets = lambda n: "".join(f'<div class="el el-widget">{part}</div>' for part in story(n).replace("</p>", "</p>|").replace("</h1>", "</h1>|").split("|") if part)
+    assert extracted(spark, [FRAMED.format(f"<div class=wrap>{widgets(n)}</div>") for n in range(8)]) == [told(n) for n in range(8)]
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<main><article><h1>T</h1><p>one part of it</p></article><article><p>two</p></article><article><p>three, the end</p></article></main>", "T\none part of it\ntwo\nthree, the end"),
+        ("<main><h1>T</h1><p>first of three</p><p>second of three</p><p>third of three</p><article><a href=/x>teaser</a></article></main>", "T\nfirst of three\nsecond of three\nthird of three"),
+        ("<div><article><p>the story itself, at length</p></article><article><h3><a href=/y>Another story to read</a></h3></article></div>", "the story itself, at length"),
+        ("<div><article><p>the story itself, at length</p></article></div><div><article><p>short</p></article></div>", "the story itself, at length"),
+        ("<article><p>text</p><section class=related-work><h2>Related work</h2><p>Others did so too.</p></section></article>", "text\nRelated work\nOthers did so too."),
+        ("<article><h2>Menu</h2><div class=menu><ul><li>Soup<li>Roast</ul></div></article>", "Menu\nSoup\nRoast"),
+        ("<article><div class=banner><h1>Title</h1></div><p>text</p><p class=copyright>The law of copyright is old.</p></article>", "Title\ntext\nThe law of copyright is old."),
+        ("<article><p>text</p><div class=related><ul><li><a href=/a>One more</a><li><a href=/b>Another</a></ul></div></article>", "text"),
+        ("<article><p>text</p><div class=notice>We have rules.</div><form><p>Name</p><a href=/>in</a><input></form><div class=ad><p>Buy this now</p></div></article>", "text"),
+        ("<article><p>let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=tex>x=2</annotation></math> be</p></article>", "let x=2 be"),
+        ("<div class=post><p>one</p></div><div class='userComments'><p>a long and winding remark on it</p><p>and more of the kind</p></div>", "one"),
+        ("<div class=cookie-consent><p>We use very many cookies for very many ends, as you may know.</p></div><p>short text</p>", "short text"),
+    ],
+)
+def test_parts_of_an_article_and_what_is_none(source, text):
+    assert html_extract.main_text(source) == text
+
+
+def test_the_template_tells_which_article_is_the_page_s_own(spark):
+    promo = "<section><article><p>" + "Our great offer to all of you, this week only, is still on. " * 9 + "</p></article></section>"
+    pages = [FRAMED.format(f"{promo}<div><article>{story(n)}</article></div>") for n in range(9)]
+    assert extracted(spark, pages) == [told(n) for n in range(9)]
+    # Alone, the page cannot tell, and more text wins.
+    assert html_extract.main_text(pages[0]).startswith("Our great offer")
+
+
 def test_each_layout_of_a_host_has_its_template(spark):
     post = lambda n: f"<html><body><div class=top>Our site</div><div class=box><h1>Post {n}</h1><p>Text {n} of it.</p></div></body></html>"
     boast = "".join(f"<p>Line {k} of what stands on each product page, in many words that say little.</p>" for k in range(4))
