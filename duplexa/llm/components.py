@@ -45,13 +45,29 @@ def _local_stars(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
+#: So many edges, 16 MB of numbers, are joined by one task; the graphs of larger ones take turns of all tasks.
+TOGETHER = 1_000_000
+
+
+def _components(batches):
+    """(node, component) of the edges that one task holds, TOGETHER of them at most."""
+    parts = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
+    if parts:
+        a, b = forest(*(np.concatenate(x) for x in zip(*parts)))
+        roots = np.unique(b)
+        for node, component in ((a, b), (roots, roots)):
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(component)], ["node", "component"])
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc") -> DataFrame:
     """(node, component) for every node of ``edges(a long, b long)``; component is the smallest node reachable.
 
     Edges shrink to one star a task and component first. Then large-star and small-star
     steps alternate until nothing changes: every step joins each node with the smallest
     node near it, so no list of neighbours is ever gathered, and a hub's edges are an
-    equi-join that adaptive execution may split. Self-links are dropped; repeated edges
+    equi-join that adaptive execution may split. Once no more than TOGETHER edges are left
+    (a graph over more nodes than that never has so few), one task joins them, which saves
+    a small graph the turns. Self-links are dropped; repeated edges
     count once; nulls must not occur. No edges: an empty result.
     """
     link = "a long, b long"
@@ -63,6 +79,10 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc")
         summary = now.select(F.count("*"), F.expr("coalesce(sum(cast(xxhash64(a, b) as decimal(38,0))), 0)")).first()
         if summary == before or not summary[0]:
             break
+        if summary[0] <= TOGETHER:
+            done = scratch.save(now.coalesce(1).mapInArrow(_components, "node long, component long"), f"{label}-done")
+            scratch.drop(f"{label}{turn}")
+            return done
         before = summary
         turn += 1
         both = now.union(now.select("b", "a"))

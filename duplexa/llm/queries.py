@@ -115,28 +115,31 @@ QUERIES = {
 
 
 def _license_sql() -> str:
+    """Known texts and documents made canonical by the same rules, both without the header before a licence's own lines."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     line = "lower(x)"
     for one, other in license_scan.SPELLINGS:
         line = f"replace({line}, {quoted(one)}, {quoted(other)})"
     line = f"trim(regexp_replace({line}, {quoted(license_scan.NOT_WORDS)}, ' ', 'g'))"
+    header = quoted(rf"^((?:{license_scan.HEADER_LINES})(?:\n|$))+")
 
     def lines(text):
         made = f"list_transform(string_split(coalesce({text}, ''), chr(10)), lambda x: {line})"
         return f"list_filter({made}, lambda x: x <> '' AND NOT regexp_matches(x, {quoted(license_scan.OWNER_LINES)}))"
 
-    known = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in license_scan.LICENSES.items())
+    own = f"sha256(replace(regexp_replace(array_to_string(ls, chr(10)), {header}, ''), chr(10), ' '))"
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in license_scan.texts())
     return f"""
         WITH k AS (
-            SELECT sha256(array_to_string({lines("t")}, ' ')) AS d, min(l) AS license_id FROM (VALUES {known}) AS v(l, t) GROUP BY 1
+            SELECT {own} AS d, min(l) AS license_id FROM (SELECT l, {lines("t")} AS ls FROM (VALUES {known}) AS v(l, t)) GROUP BY 1
         ), r AS (SELECT doc_id, {lines("text")} AS ls FROM documents),
-        w AS (SELECT doc_id, sha256(array_to_string(ls, ' ')) AS text_digest FROM r),
+        w AS (SELECT doc_id, sha256(array_to_string(ls, ' ')) AS text_digest, {own} AS own_digest FROM r),
         n AS (
             SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
             FROM (SELECT doc_id, sha256(unnest(ls)) AS d FROM r) JOIN k USING (d) GROUP BY doc_id
         )
-        SELECT w.doc_id, w.text_digest, k.license_id, coalesce(n.notices, '') AS notices
-        FROM w LEFT JOIN k ON k.d = w.text_digest LEFT JOIN n ON n.doc_id = w.doc_id
+        SELECT w.doc_id, w.text_digest, CASE WHEN own_digest <> sha256('') THEN k.license_id END AS license_id, coalesce(n.notices, '') AS notices
+        FROM w LEFT JOIN k ON k.d = w.own_digest LEFT JOIN n ON n.doc_id = w.doc_id
     """
 
 

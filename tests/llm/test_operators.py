@@ -7,7 +7,9 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from against_sql import DATA, same
@@ -305,7 +307,9 @@ def test_dense_confirmation_equals_sparse():
     assert found[0] == found[1] and found[0]
 
 
-def test_connected_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("together", [components.TOGETHER, 100, 0])
+def test_connected_components_of_chains_and_stars(spark, together, monkeypatch):
+    monkeypatch.setattr(components, "TOGETHER", together)
     rnd = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000 + 2 * i, 5001 + 2 * i) for i in range(40)] + [(9, 9)]
     rnd.shuffle(edges)
@@ -626,6 +630,14 @@ def test_published_licence_files_are_known(spark):
     }
     rows = sorted(license_scan.scan(document_frame(spark, list(cases))).collect())
     assert [r["license_id"] for r in rows] == list(cases.values())
+    # The SQL knows the same texts and headers.
+    documents = pd.DataFrame({"doc_id": range(len(cases) + 3), "text": [*cases, None, "", "Copyright 2020 Me"]})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    found = con.execute(queries.ORACLE_SQL["op7_license_scan"]).df().astype(object).sort_values("doc_id")
+    ours = license_scan.scan(spark.createDataFrame(documents, "doc_id long, text string")).toPandas().sort_values("doc_id")
+    plain = lambda f: [tuple(None if pd.isna(v) else v for v in r) for r in f[["doc_id", "text_digest", "license_id", "notices"]].itertuples(index=False)]
+    assert plain(found) == plain(ours) and [r[2] for r in plain(found)] == [*cases.values(), None, None, None]
 
 
 # Vectors -------------------------------------------------------------------------
