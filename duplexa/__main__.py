@@ -1,4 +1,4 @@
-"""Command line: python -m duplexa off-targets | accessibility | index | search | -c FILE."""
+"""Command line: python -m duplexa off-targets | accessibility | index | prepare | search | -c FILE."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from duplexa.operators import scoring
 from duplexa.plans import reports
 from duplexa.plans.profiling import Profile
 
-CALLS = {"off-targets": api.off_targets, "accessibility": api.accessibility, "index": api.index, "search": api.search}
+CALLS = {"off-targets": api.off_targets, "accessibility": api.accessibility, "index": api.index, "prepare": api.prepare, "search": api.search}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -40,14 +40,14 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--summary-only", action="store_true")
             sub.add_argument("--legacy-format", action="store_true", help="print the older report of all sites together")
             sub.add_argument("--detailed-report", action="store_true", help="with every transcript in the older report")
-            sub.add_argument("--profile", action="store_true", help="print the time of each step")
+            sub.add_argument("--profile", action="store_true", help="print time, rows, spill and memory of each step")
     return top
 
 
 def run(spark: SparkSession, command: str, given: dict) -> None:
     out, kind, only = given.pop("output_file", None), given.pop("output_format", "tsv"), given.pop("summary_only", False)
     legacy, detailed, timed = (given.pop(name, False) for name in ("legacy_format", "detailed_report", "profile"))
-    profile = Profile()
+    profile = Profile(spark if timed else None)
     with profile.step("plan"):
         result = CALLS[command](spark, **given)
     if command == "off-targets":
@@ -77,7 +77,7 @@ def run(spark: SparkSession, command: str, given: dict) -> None:
             print(profile.table())
     elif command == "search":
         reports.write_sites(result, out, kind) if out else reports.print_rows(result)
-    elif command == "index":
+    elif command in ("index", "prepare"):
         print(result)
     else:
         result.show(20, truncate=False)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duplexa.functions.parameters import Config, check_seed, seed_spec, sweep
 from duplexa.operators import accessibility as opening
-from duplexa.operators import folding, kmer_index, overlap, scoring
+from duplexa.operators import folding, kmer_index, overlap, scoring, stored_features
 from duplexa.operators import search as searching
 from duplexa.plans import reports
 from duplexa.sources import annotation, fasta, files, predictions, profiles
@@ -75,8 +75,8 @@ def off_targets(
     """Score every binding site within its siRNA.
 
     Sites come from prediction files, or from a search of ``sirna_fasta`` in
-    ``target_fasta``. With ``gtf_file`` they are joined with the annotation, and opening
-    energies come from ``precomputed_accessibility`` (a Parquet table by place), from
+    ``target_fasta``. With ``gtf_file`` they are joined with the annotation, or with what
+    ``prepare`` stored of one, and opening energies come from ``precomputed_accessibility`` (a Parquet table by place), from
     ``accessibility_dir``, or from folding ``genome_file``, or are 0. With a folder of
     predictions and ``sirna_fasta``, clamps are anchored at each siRNA's energy against itself.
     Everything up to the result is one lazy plan; sums are there for one siRNA as well.
@@ -100,7 +100,9 @@ def off_targets(
         raise ValueError("no input: give predictions, or siRNAs and a target")
     if sense_only:
         sites = predictions.on_strand(sites)
-    if gtf_file:
+    if gtf_file and stored_features.is_stored(spark, gtf_file):
+        sites = stored_features.intersect(sites, gtf_file, predictions_type)
+    elif gtf_file:
         known = annotation.read_annotation(spark, gtf_file, feature_type, expression_metric, transcriptome_format)
         sites = overlap.intersect(sites, known, predictions_type)
     if precomputed_accessibility:
@@ -165,6 +167,17 @@ def accessibility(
     return folded
 
 
+def prepare(
+    spark: SparkSession, gtf_file: str, output: str, feature_type: str = "exon", expression_metric: str = "RPKM", transcriptome_format: str = "auto"
+) -> str:
+    """Store an annotation's features for many runs, which then name ``output`` as their gtf_file; returns it.
+
+    It is read and checked once, here; runs join it where it lies, without shuffling it.
+    """
+    stored_features.store(annotation.read_annotation(spark, gtf_file, feature_type, expression_metric, transcriptome_format), output)
+    return output
+
+
 def index(spark: SparkSession, target: str, output: str | None = None, k: int = kmer_index.K) -> str:
     """Write a target's k-mer index, in which searches find seeds without reading the target; returns the folder.
 
@@ -200,4 +213,4 @@ def search(
     return searching.search(fasta.read_sirnas(spark, query), fasta.tiles(spark, target), *given)
 
 
-__all__ = ["OffTargets", "accessibility", "index", "load_sites", "off_targets", "reports", "search"]
+__all__ = ["OffTargets", "accessibility", "index", "load_sites", "off_targets", "prepare", "reports", "search"]

@@ -75,15 +75,13 @@ def build(records: search.Targets, path: str, k: int = K, context: int = CONTEXT
     packed = tiles.mapInArrow(_postings(k), POSTINGS)
     ranged = packed.repartitionByRange(buckets, F.expr(f"pmod(hash(kmer), {buckets})"), *TILE_KEY)
     bucketed.write(ranged, f"{path}/postings", buckets, ["kmer"])
-    spark.createDataFrame([(FORM, k, context, buckets, told)], "form int, k int, context int, buckets int, told string").coalesce(1).write.mode("overwrite").json(f"{path}/facts")
+    bucketed.write_facts(spark, path, {"form": FORM, "k": k, "context": context, "buckets": buckets, "told": told})
 
 
 def facts(spark: SparkSession, path: str) -> dict | None:
     """What an index says of itself; None where there is none, or none that was finished."""
-    if not files.exists(spark, f"{path}/facts/_SUCCESS"):
-        return None
-    row = spark.read.schema("form int, k int, context int, buckets int, told string").json(f"{path}/facts").first()
-    return row.asDict() if row and row["form"] == FORM else None
+    known = bucketed.read_facts(spark, path)
+    return known if known and known.get("form") == FORM else None
 
 
 def ensure(spark: SparkSession, records: search.Targets, target: str, path: str, k: int = K) -> str:
@@ -92,9 +90,7 @@ def ensure(spark: SparkSession, records: search.Targets, target: str, path: str,
     told = f"{about.getLen()} bytes of {about.getModificationTime()}"
     known = facts(spark, path)
     if not known or known["told"] != told or known["k"] != k:
-        if known:
-            # Until the new index is whole there is none.
-            files.delete(spark, f"{path}/facts")
+        bucketed.drop_facts(spark, path)
         build(records, path, k, told=told)
     return path
 

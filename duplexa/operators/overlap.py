@@ -15,20 +15,17 @@ def _bins(start: Column, end: Column, width: Column) -> tuple[Column, Column]:
     return F.floor(low / width), F.floor(high / width)
 
 
-def overlap_join(sites: DataFrame, features: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
-    """Every site with every feature on its chromosome and strand that satisfies site.start < end and site.end > start.
-
-    An equi-join on (chrom, strand, level, bin), not a range join over a chromosome, so
-    that work follows the number of neighbours and a dense stretch is many keys. A feature
-    too long for its level's bins is put on a coarser level; sites are put on the levels
-    that features use. A pair is taken in one bin only: the later of its two first bins.
-    Rows with a null in a key or an end match nothing. Feature columns that clash are
-    named trans_start and trans_end; energies and other columns stay.
-    """
+def level_count(features: DataFrame, bin_width: int = BIN_WIDTH) -> int:
+    """How many levels the longest feature needs; an action over the features' ends."""
     longest = features.agg(F.max(F.abs(F.col("end") - F.col("start")))).first()[0] or 0
     levels = 1
     while bin_width * BINS_EACH**levels < longest:
         levels += 1
+    return levels
+
+
+def bin_features(features: DataFrame, bin_width: int, levels: int) -> DataFrame:
+    """Features by (chrom, strand, __level, __bin), a row for each bin; those too long for a level's bins are on a coarser one."""
     widths = F.array(*(F.lit(bin_width * BINS_EACH**n) for n in range(levels)))
     own_level = F.lit(levels - 1)
     for n in range(levels - 2, -1, -1):
@@ -42,13 +39,40 @@ def overlap_join(sites: DataFrame, features: DataFrame, bin_width: int = BIN_WID
         *(c for c in features.columns if c not in ("chrom", "strand", "start", "end")),
     )
     low, high = _bins(F.col("trans_start"), F.col("trans_end"), F.get(widths, F.col("__level")))
-    right = right.withColumn("__t0", low).withColumn("__bin", F.explode(F.sequence(low, high)))
-    left = sites.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))) if levels > 1 else F.lit(0))
-    low, high = _bins(F.col("start"), F.col("end"), F.get(widths, F.col("__level")))
-    left = left.withColumn("__p0", low).withColumn("__bin", F.explode(F.sequence(low, high)))
-    joined = left.join(right, ["chrom", "strand", "__level", "__bin"])
-    met = (F.col("start") < F.col("trans_end")) & (F.col("end") > F.col("trans_start")) & (F.col("__bin") == F.greatest("__p0", "__t0"))
-    return joined.where(met).drop("__level", "__bin", "__p0", "__t0")
+    return right.withColumn("__t0", low).withColumn("__bin", F.explode(F.sequence(low, high)))
+
+
+def bin_sites(sites: DataFrame, bin_width: int, levels: list[int]) -> DataFrame:
+    """Sites by (chrom, strand, __level, __bin) on each of the levels that features use."""
+    left = sites.withColumn("__level", F.explode(F.array(*map(F.lit, levels))) if len(levels) > 1 else F.lit(levels[0] if levels else 0))
+    width = F.lit(bin_width) * F.pow(F.lit(float(BINS_EACH)), "__level").cast("long")
+    low, high = _bins(F.col("start"), F.col("end"), width)
+    return left.withColumn("__p0", low).withColumn("__bin", F.explode(F.sequence(low, high)))
+
+
+def met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Binned sites with the binned features they overlap; a pair is taken in one bin only, the later of its two first bins."""
+    joined = left.join(right, BIN_KEY)
+    both = (F.col("start") < F.col("trans_end")) & (F.col("end") > F.col("trans_start")) & (F.col("__bin") == F.greatest("__p0", "__t0"))
+    return joined.where(both).drop("__level", "__bin", "__p0", "__t0")
+
+
+BIN_KEY = ["chrom", "strand", "__level", "__bin"]
+
+
+def overlap_join(sites: DataFrame, features: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
+    """Every site with every feature on its chromosome and strand that satisfies site.start < end and site.end > start.
+
+    An equi-join on (chrom, strand, level, bin), not a range join over a chromosome, so
+    that work follows the number of neighbours and a dense stretch is many keys. A feature
+    too long for its level's bins is put on a coarser level; sites are put on the levels
+    that features use. A pair is taken in one bin only: the later of its two first bins.
+    Rows with a null in a key or an end match nothing. Feature columns that clash are
+    named trans_start and trans_end; energies and other columns stay. Features that many
+    runs share are better stored once, by ``stored_features.store``.
+    """
+    levels = level_count(features, bin_width)
+    return met(bin_sites(sites, bin_width, list(range(levels))), bin_features(features, bin_width, levels))
 
 
 #: Places in a bin of merge_intervals.
@@ -83,9 +107,13 @@ def transcript_join(sites: DataFrame, features: DataFrame) -> DataFrame:
 
 def intersect(sites: DataFrame, features: DataFrame, mode: str = "gw") -> DataFrame:
     """``tw``: by transcript; ``gw``: by place, one row for each site and transcript."""
+    check_mode(mode)
+    return transcript_join(sites, features) if mode == "tw" else one_per_transcript(overlap_join(sites, features))
+
+
+def check_mode(mode: str) -> None:
     if mode not in ("gw", "tw"):
         raise ValueError(f"mode is gw or tw, not {mode!r}")
-    return transcript_join(sites, features) if mode == "tw" else one_per_transcript(overlap_join(sites, features))
 
 
 def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...] = ("chrom", "strand"), bin_width: int = MERGE_WIDTH) -> DataFrame:

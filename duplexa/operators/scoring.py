@@ -112,12 +112,27 @@ def score_by_sirna(
     sums = partition_sums(rows, configs, rt)
     if external is not None:
         sums = _add_external(sums, rows, known, configs, rt)
+    return Scored(with_probabilities(rows, sums, configs, rt), sums)
+
+
+def with_probabilities(rows: DataFrame, sums: DataFrame, configs: list[Config], rt: float) -> DataFrame:
+    """Prepared sites with P_off_target for each config; a row of sums for each siRNA is joined."""
     wanted = [_z(c.suffix) for c in configs] + ([] if "E_min" in rows.columns else [F.col("E_min")])
     scored = rows.join(sums.select("sirna_id", *wanted), "sirna_id")
     for c in configs:
         w, z = weight(c, F.col("E_min"), rt), _z(c.suffix)
         scored = scored.withColumn(f"P_off_target{c.suffix}", F.when(z > 0, w / z).otherwise(F.lit(0.0)))
-    return Scored(scored.drop(*(f"Z_sirna{c.suffix}" for c in configs)), sums)
+    return scored.drop(*(f"Z_sirna{c.suffix}" for c in configs))
+
+
+def merged_sums(parts: DataFrame) -> DataFrame:
+    """One row a siRNA from sums over parts of its sites: Z and weights add up, of E_min the least counts.
+
+    Right for configs without clamps, whose weights do not depend on other sites.
+    """
+    return parts.groupBy("sirna_id").agg(
+        F.min("E_min").alias("E_min"), *(F.sum(F.col(f"`{c}`")).alias(c) for c in parts.columns if c.startswith(("Z_sirna", "W_on")))
+    )
 
 
 def _add_external(sums: DataFrame, rows: DataFrame, known: DataFrame, configs: list[Config], rt: float) -> DataFrame:

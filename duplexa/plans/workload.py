@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from duplexa.functions import sequences
 from duplexa.functions.parameters import Config, sweep, thermal_energy
-from duplexa.operators import accessibility, kmer_index, overlap, scoring
+from duplexa.operators import accessibility, kmer_index, overlap, scoring, stored_features
 from duplexa.operators import search as searching
 from duplexa.sources import annotation, fasta, files, predictions
 
@@ -122,6 +122,14 @@ def overlap_binned(spark, sf_dir):
     return overlap.overlap_join(sites(spark, sf_dir), features(spark, sf_dir), bin_width=64).select(*PAIRS)
 
 
+@query(f"WITH {VIEWS} SELECT {PAIR_COLUMNS} FROM single")
+def overlap_stored(spark, sf_dir):
+    """Features stored in buckets first, and sites joined with them where they lie."""
+    path = files.new_folder(spark, "features")
+    stored_features.store(features(spark, sf_dir), path)
+    return stored_features.intersect(sites(spark, sf_dir), path).select(*PAIRS)
+
+
 @query(f"WITH {VIEWS} SELECT {PAIR_COLUMNS} FROM single")
 def overlap_dedup(spark, sf_dir):
     return _single(spark, sf_dir).select(*PAIRS)

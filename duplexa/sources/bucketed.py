@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duplexa.sources import files
 
 
 def _name() -> str:
@@ -32,3 +36,21 @@ def read(spark: SparkSession, path: str, schema: str, buckets: int, keys: list[s
         return spark.table(name)
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def write_facts(spark: SparkSession, path: str, facts: dict) -> None:
+    """What readers of a stored thing need to know of it, written last: without its facts a thing is not finished."""
+    spark.range(1).select(F.lit(json.dumps(facts)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/facts")
+
+
+def read_facts(spark: SparkSession, path: str) -> dict | None:
+    """The facts of what is stored under ``path``; None where nothing is, or nothing finished."""
+    if not files.exists(spark, f"{path}/facts/_SUCCESS"):
+        return None
+    row = spark.read.text(f"{path}/facts").first()
+    return json.loads(row["value"]) if row else None
+
+
+def drop_facts(spark: SparkSession, path: str) -> None:
+    """From now on nothing finished is there."""
+    files.delete(spark, f"{path}/facts")

@@ -3,6 +3,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from duplexa import __main__ as cli
 from duplexa import api, config
@@ -177,6 +178,29 @@ def test_steps_and_rows_are_watched(spark):
     assert profile.as_dict()["rows"] == {"all": 7} and "count" in profile.table()
 
 
+def test_steps_tell_what_spark_measured(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark.range(5000).repartition(3).write.parquet(str(tmp_path / "in"))
+    profile = Profile(spark)
+    with profile.step("sum"):
+        spark.read.parquet(str(tmp_path / "in")).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*")).collect()
+    with profile.step("write"):
+        spark.read.parquet(str(tmp_path / "in")).where("id < 40").write.parquet(str(tmp_path / "out"))
+    with profile.step("nothing"):
+        pass
+    got = profile.stages
+    assert got["sum"]["rows_in"] == 5000 and 10 <= got["sum"]["shuffled_rows"] <= 40 and got["sum"]["tasks"] >= 2 and got["sum"]["execution_memory"] > 0
+    assert got["write"]["rows_out"] == 40 and got["write"]["bytes_out"] > 0 and got["nothing"]["jobs"] == 0 and not got["sum"]["forgotten"]
+    assert "MB spilled" in profile.table() and profile.as_dict()["stages"]["sum"]["jobs"] >= 1
+    # Outside of a step nothing is counted, nor is what another thread runs.
+    before = dict(got["sum"])
+    spark.range(9).count()
+    with profile.step("alone"), ThreadPoolExecutor(1) as pool:
+        pool.submit(lambda: spark.range(9).count()).result()
+    assert profile.stages["sum"] == before and profile.stages["alone"]["jobs"] == 0
+
+
 def test_a_whole_run(spark, files):
     (files / "s.fa").write_text(">s\nGGCAUCGAUCGGAUUACGCAU\n")
     (files / "g.fa").write_text(">chr1\n" + "A" * 30 + "ATGCGTAATCCGATCGATGCC" + "A" * 30 + "\n")
