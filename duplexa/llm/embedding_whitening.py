@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from duplexa.llm.embedding_dedup import matrix
 from duplexa.llm.scratch import Scratch
+from duplexa.llm.worker_cache import claim
 
 COMPONENTS = 8
 SCALE, OFFSET = 1024, 100_000
@@ -103,6 +104,7 @@ def _products(mean, whole: bool):
     width = len(mean[0])
 
     def run(batches):
+        claim()
         total = np.zeros((width, width)), np.zeros((width, width))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -188,6 +190,7 @@ def _score(n: int, sums: list[int], mean, axes: np.ndarray):
     held = np.array([s % 2**64 for s in sums], np.uint64)
 
     def run(batches):
+        claim()
         for batch in batches:
             rows = scaled(matrix(batch.column("vector"), len(sums)))
             high, low = centred(rows, mean)

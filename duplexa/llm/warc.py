@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duplexa.llm.worker_cache import claim
 from duplexa.shipping import ship
 
 #: Bytes that one archive's records have about, before compression, unless one has more; a reading task holds one archive.
@@ -73,6 +74,7 @@ def page_record(row_id, uri: str | None, payload: bytes, refers_to, date: str) -
 
 def _records(date: str, compressed: bool):
     def run(batches):
+        claim()
         for batch in batches:
             made, size = [], 0
             for row_id, uri, payload, refers_to in zip(*(batch.column(c).to_pylist() for c in ("id", "uri", "payload", "refers_to"))):
@@ -313,6 +315,7 @@ SCHEMA = pa.schema([(c.split()[0], TYPES[c.split()[1]]) for c in f"{RECORD}, {GA
 
 def _salvage(payloads: bool):
     def run(batches):
+        claim()
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
                 rows, size = [], 0
