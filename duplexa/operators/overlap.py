@@ -119,22 +119,24 @@ def check_mode(mode: str) -> None:
 def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...] = ("chrom", "strand"), bin_width: int = MERGE_WIDTH) -> DataFrame:
     """Unions of intervals at most ``padding`` apart, by key; rows with a null in a key or an end are left out.
 
-    A running greatest end marks where a gap begins; marks add up to the number of the
-    union. Both run within bins of starts, so that a key is many tasks; only what a bin
-    hands on, its greatest end and its number of gaps, runs over a key, a row a bin.
+    Rows are dealt by key and bin of starts, so that a key is many tasks, and merged within
+    bins there; only those unions go on. What bins hand to later ones, their greatest end
+    and how many unions they begin, runs over a key, a row a bin. A bin's unions that an
+    earlier one reaches into belong to the union that is open there.
     """
     key = [*by, "__bin"]
     rows = intervals.select(*by, "start", "end").dropna().withColumn("__bin", F.floor(F.col("start") / bin_width))
     order = Window.partitionBy(*key).orderBy("start", "end")
-    before = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = rows.groupBy(*key).agg(F.max("end").alias("__end")).select(*key, F.max("__end").over(before).alias("__reach"))
-    rows = rows.withColumn("__own", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))).join(bins, key)
-    # The greatest of both, where there is one.
-    gap = F.col("start") > F.greatest("__own", "__reach") + padding
-    rows = rows.withColumn("__new", F.coalesce(gap, F.lit(True)).cast("long"))
-    gaps = rows.groupBy(*key).agg(F.sum("__new").alias("__gaps")).select(*key, F.coalesce(F.sum("__gaps").over(before), F.lit(0)).alias("__sum"))
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("__new", F.coalesce(F.col("start") > reach + padding, F.lit(True)).cast("long"))
     # Of equal intervals the one that begins a union comes first, in whatever order they were above.
     order = Window.partitionBy(*key).orderBy("start", "end", F.desc("__new"))
-    numbered = rows.withColumn("__n", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))).join(gaps, key)
-    numbered = numbered.withColumn("__n", F.col("__n") + F.col("__sum"))
+    rows = rows.withColumn("__own", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    within = rows.groupBy(*key, "__own").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    before = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    reached = within.groupBy(*key).agg(F.max("end").alias("__end")).select(*key, F.max("__end").over(before).alias("__reach"))
+    within = within.join(reached, key).withColumn("__new", F.coalesce(F.col("start") > F.col("__reach") + padding, F.lit(True)).cast("long"))
+    begun = within.groupBy(*key).agg(F.sum("__new").alias("__begun")).select(*key, F.coalesce(F.sum("__begun").over(before), F.lit(0)).alias("__before"))
+    running = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = within.withColumn("__n", F.sum("__new").over(running)).join(begun, key).withColumn("__n", F.col("__n") + F.col("__before"))
     return numbered.groupBy(*by, "__n").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,20 +66,24 @@ def summaries(sums: DataFrame, configs: list[Config]) -> Iterator[tuple[str, str
 
 
 def write_summaries(sums: DataFrame, configs: list[Config], path: str) -> None:
-    """All summaries as text under ``path``, written by the executors, one row a siRNA."""
-    import pandas as pd
+    """Every siRNA's summary as a text file of its own, in a folder sirna_id=ID under ``path``.
 
+    Sums are a row a siRNA, so each folder gets one file. Executors render and write them
+    with Spark's text writer; a failed run leaves none. Ids are escaped as Spark escapes names of folders.
+    """
     ship(sums.sparkSession)
     fields = sums.columns
 
     def render(batches):
         for batch in batches:
-            rows = [dict(zip(fields, r)) for r in batch.itertuples(index=False)]
-            texts = [summary_text(r["sirna_id"], r, configs) for r in rows]
-            yield pd.DataFrame({"value": texts})
+            rows = [dict(zip(fields, row)) for row in zip(*(column.to_pylist() for column in batch.columns))]
+            # The writer ends the last line.
+            texts = [summary_text(r["sirna_id"], r, configs).removesuffix("\n") for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([str(r["sirna_id"]) for r in rows], pa.string()), pa.array(texts, pa.string())], ["sirna_id", "value"])
 
     # Names with points in them do not pass as they are.
-    sums.toDF(*(f"c{n}" for n in range(len(fields)))).mapInPandas(render, "value string").write.mode("overwrite").text(path)
+    named = sums.where(F.col("sirna_id").isNotNull()).toDF(*(f"c{n}" for n in range(len(fields))))
+    named.mapInArrow(render, "sirna_id string, value string").write.mode("overwrite").partitionBy("sirna_id").text(path)
 
 
 def write_lines(spark: SparkSession, lines: Iterator[str], path: str) -> None:

@@ -14,6 +14,8 @@ from duplexa.functions.parameters import Config, sweep, thermal_energy
 from duplexa.operators import accessibility, kmer_index, overlap, scoring, stored_features
 from duplexa.operators import search as searching
 from duplexa.sources import annotation, fasta, files, predictions
+from duplexa.sources import profiles as opened
+from duplexa.streaming import folder as arrivals
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -484,6 +486,91 @@ def extraction_guard_counts(spark, sf_dir):
     return annotation.extraction_counts(rows)
 
 
+# Files, written from the tables and read back -------------------------------------
+
+
+def _prediction_files(spark, sf_dir):
+    """The sites as a folder of prediction files."""
+    folder = files.new_folder(spark, "predictions")
+    rows = sites(spark, sf_dir).selectExpr("sirna_id", "1 AS q_start", "21 AS q_end", "chrom", "start", "end", "strand", "energy")
+    rows.repartition(4).write.option("compression", "gzip").csv(folder, sep="\t")
+    return folder
+
+
+@query(f"""
+    WITH {VIEWS} SELECT CAST(sirna_id AS VARCHAR) AS sirna_id, CAST(chrom AS VARCHAR) AS chrom, CAST("start" AS INTEGER) AS "start", CAST("end" AS INTEGER) AS "end",
+        strand, energy, min(energy) OVER (PARTITION BY sirna_id) AS raw_e_min FROM site
+""")
+def prediction_folder(spark, sf_dir):
+    rows = predictions.read_prediction_folder(spark, _prediction_files(spark, sf_dir))
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("energy", "raw_e_min")})
+
+
+@query(f"""
+    WITH {VIEWS} SELECT CAST(sirna_id AS VARCHAR) AS sirna_id, CAST(min(energy) AS DOUBLE) AS e_min, round(ln(sum({factor("energy")})), 6) AS ln_z,
+        round(ln(sum({factor("CAST(0.85 AS DOUBLE) * (energy + 10) - 10")})), 6) AS ln_z_theta FROM site GROUP BY sirna_id
+""")
+def summed_arrivals(spark, sf_dir):
+    """Prediction files, each with some sites of every siRNA, scored by a stream in several batches."""
+    configs = sweep(theta="0.85")
+    folder = _prediction_files(spark, sf_dir)
+    out = files.new_folder(spark, "arrivals")
+    arrivals.sum_arrivals(spark, folder, out, f"{out}/checkpoint", configs=configs, files_each=2).awaitTermination()
+    sums = arrivals.arrived(spark, out, configs).sums
+    return sums.select(
+        "sirna_id", F.col("E_min").alias("e_min"), F.round(F.log("Z_sirna"), 6).alias("ln_z"), F.round(F.log(F.col(f"`Z_sirna{configs[1].suffix}`")), 6).alias("ln_z_theta")
+    )
+
+
+@query("""
+    SELECT CAST(o_custkey % 8 AS VARCHAR) AS chrom, CAST(o_orderkey AS INTEGER) AS "start", 'g' || (o_custkey % 300) AS gene_id, CAST(o_custkey AS VARCHAR) AS transcript_id,
+        CAST(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 1000 + 0.5 END AS DOUBLE) AS exp_value FROM orders WHERE o_orderkey % 2 = 0
+""")
+def gtf_file(spark, sf_dir):
+    folder = files.new_folder(spark, "gtf")
+    rows = _gtf_rows(spark, sf_dir)
+    rows.select(F.concat_ws("\t", "chrom", F.lit("made"), "feature", "start", "end", F.lit("."), "strand", F.lit("."), "attributes").alias("value")).write.text(folder)
+    rows = annotation.read_annotation(spark, folder)
+    return rows.select("chrom", "start", "gene_id", "transcript_id", F.col("exp_value").cast("double").alias("exp_value"))
+
+
+@query("""
+    SELECT CAST(o_custkey % 8 AS VARCHAR) AS chrom, o_orderkey AS "start", o_orderkey + 9 AS "end", '-' AS strand, 't' || o_custkey AS gene_id, 't' || o_custkey AS transcript_id,
+        CAST(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 100 END AS DOUBLE) AS exp_value FROM orders
+""")
+def bed_file(spark, sf_dir):
+    folder = files.new_folder(spark, "bed")
+    fields = ("o_custkey % 8", "o_orderkey", "o_orderkey + 9", "concat('t', o_custkey)", "960", "'-'", "CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE cast(o_orderkey % 100 AS string) END")
+    _read(spark, sf_dir, "orders").select(F.concat_ws("\t", *map(F.expr, fields)).alias("value")).write.text(folder)
+    rows = annotation.read_annotation(spark, folder, kind="bed7")
+    return rows.withColumn("exp_value", F.col("exp_value").cast("double"))
+
+
+@query(f"""
+    WITH s AS (SELECT CAST(doc_id AS VARCHAR) AS id, translate(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'), '{sequences.LETTERS}', '{sequences.BASES}') AS s FROM documents)
+    SELECT id, CAST(length(s) AS BIGINT) AS n_bases, sha256(s) AS sequence_sha256 FROM s
+""")
+def fasta_records(spark, sf_dir):
+    """Texts as records of a FASTA file with lines of 60 bases, read in pieces and put together again."""
+    folder = files.new_folder(spark, "fasta")
+    lines = F.regexp_replace(sequences.spelt(F.col("text")), "(.{60})(?=.)", "$1\n")
+    _read(spark, sf_dir, "documents").select(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" a text\n"), lines).alias("value")).write.text(folder)
+    rows = fasta.read_fasta(spark, folder)
+    return rows.select("id", F.length("sequence").cast("long").alias("n_bases"), F.sha2("sequence", 256).alias("sequence_sha256"))
+
+
+@query("""
+    SELECT CAST(vec_id % 4 AS VARCHAR) AS chrom, CASE (vec_id // 4) % 2 WHEN 0 THEN '+' ELSE '-' END AS strand, CAST(vec_id // 8 + 1 AS INTEGER) AS position,
+        embedding[1] AS u1, embedding[64] AS u64 FROM embeddings
+""")
+def stored_profiles(spark, sf_dir):
+    """Profiles written in blocks and read back place by place."""
+    folder = files.new_folder(spark, "profiles")
+    opened.write_profiles(profiles(spark, sf_dir), folder)
+    rows = opened.read_profiles(spark, folder)
+    return rows.select("chrom", "strand", "position", F.get("u", F.lit(0)).alias("u1"), F.get("u", F.lit(63)).alias("u64"))
+
+
 @query("SELECT CAST(l_partkey % 997 AS VARCHAR) AS id, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
 def duplicate_ids(spark, sf_dir):
     return fasta.duplicate_ids(_read(spark, sf_dir, "lineitem").selectExpr("cast(l_partkey % 997 AS string) AS id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from duplexa.functions.parameters import sweep
+from duplexa.functions.sequences import BASES, LETTERS
 from duplexa.plans.workload import TARGETS, VIEWS, factor, oligo_sql
 from duplexa.sources.files import new_folder
 from jobs import gene_risk, seed_screen
@@ -56,7 +57,7 @@ ORACLE_SQL = {
     "job1_gene_risk": _gene_risk_sql(),
     "job2_seed_screen": f"""
         WITH q AS (SELECT CAST(p_partkey AS VARCHAR) AS sirna_id, reverse(translate(substring({oligo_sql("p_partkey", 24)}, 2, 7), 'ACGU', 'UGCA')) AS kmer FROM part),
-        s AS (SELECT doc_id, lang, translate(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'), '{seed_screen.LETTERS}', '{seed_screen.BASES}') AS bases FROM documents),
+        s AS (SELECT doc_id, lang, translate(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'), '{LETTERS}', '{BASES}') AS bases FROM documents),
         t AS (SELECT doc_id, lang, bases, unnest(range(1, greatest(length(bases) - 6, 0) + 1)) AS place FROM s)
         SELECT sirna_id, doc_id, lang, CAST(count(*) AS BIGINT) AS n_sites, CAST(min(place) AS INTEGER) AS first_site
         FROM t JOIN q ON q.kmer = substring(bases, place, 7) GROUP BY sirna_id, doc_id, lang

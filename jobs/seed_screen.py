@@ -13,13 +13,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duplexa.functions.sequences import spelt
 from duplexa.operators import search
 from duplexa.plans import workload
-from duplexa.sources import files
-from jobs.common import HERE, command_line, load_settings
+from jobs.common import HERE, command_line, load_settings, there
 
 LOG = logging.getLogger("jobs.seed_screen")
 SETTINGS = str(HERE / "seed_screen.json")
@@ -29,13 +29,6 @@ TEXT = "doc_id long, text string, lang string"
 HITS = "sirna_id string, doc_id long, n_sites long, first_site int, batch long, lang string"
 #: Files that one language of a batch is written in at most.
 SPREAD = 32
-LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-BASES = "ACGU" * 13
-
-
-def as_target(text: Column) -> Column:
-    """A text's letters as bases, in turn A, C, G and U along the alphabet; all else is left out, as is a null text."""
-    return F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z]", ""), LETTERS, BASES)
 
 
 def seed_hits(texts: DataFrame, sirnas: DataFrame, given: dict) -> DataFrame:
@@ -44,7 +37,7 @@ def seed_hits(texts: DataFrame, sirnas: DataFrame, given: dict) -> DataFrame:
     Texts are cut into tiles and meet the siRNAs in one equi-join on the seed; counts are
     combined before their shuffle. Rows that repeat a doc_id add up.
     """
-    records = texts.select(F.struct("doc_id", "lang").alias("id"), as_target(F.col("text")).alias("sequence"))
+    records = texts.select(F.struct("doc_id", "lang").alias("id"), spelt(F.col("text")).alias("sequence"))
     end = given["seed_start"] + given["seed_length"] - 1
     found = search.seeds(sirnas, records, given["seed_length"], given["seed_start"], end, given["seed_wobble"])
     found = found.groupBy("sirna_id", "target").agg(F.count("*").alias("n_sites"), F.min("t_start").alias("first_site"))
@@ -53,7 +46,7 @@ def seed_hits(texts: DataFrame, sirnas: DataFrame, given: dict) -> DataFrame:
 
 def hits(spark: SparkSession, output: str) -> DataFrame:
     """All batches' rows as one table: a siRNA and text that several batches have become one row."""
-    if not files.exists(spark, output):
+    if not there(spark, output):
         return spark.createDataFrame([], HITS).drop("batch")
     rows = spark.read.schema(HITS).parquet(output)
     return rows.groupBy("sirna_id", "doc_id", "lang").agg(F.sum("n_sites").alias("n_sites"), F.min("first_site").alias("first_site"))
@@ -65,7 +58,7 @@ def run(spark: SparkSession, tables: str, output: str, checkpoint: str, settings
     The output belongs to its checkpoint: with batches there and no checkpoint, ValueError.
     """
     given = load_settings(spark, settings, DEFAULTS)
-    if files.exists(spark, output) and not files.exists(spark, checkpoint):
+    if there(spark, output) and not there(spark, checkpoint):
         raise ValueError(f"{output} holds batches of another checkpoint than {checkpoint}")
     # As a pattern the path may be a file or a folder.
     texts = spark.readStream.schema(TEXT).option("maxFilesPerTrigger", given["files_each"]).parquet(f"{tables}/documents.parque[t]")

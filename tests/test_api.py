@@ -213,6 +213,39 @@ def test_a_whole_run(spark, files):
         orchestration.waves([orchestration.Job("a", None, ["b"]), orchestration.Job("b", None, ["a"])])
 
 
+def test_a_run_goes_on_where_it_was_stopped(spark, files):
+    import threading
+
+    both, seen = threading.Barrier(2, timeout=60), []
+
+    def job(name, fails=False, meets=False):
+        def run(spark):
+            seen.append(name)
+            if meets:
+                both.wait()
+            if fails:
+                raise RuntimeError("stopped")
+            spark.range(3).write.mode("overwrite").parquet(str(files / name))
+
+        return run
+
+    def jobs(fails):
+        made = [orchestration.Job(n, job(n, meets=not (files / "a").exists()), output=str(files / n)) for n in "ab"]
+        return [*made, orchestration.Job("c", job("c", fails), ["a", "b"], str(files / "c")), orchestration.Job("d", job("d"), ["c"], str(files / "d"))]
+
+    # The first wave's jobs wait for each other, so they run side by side.
+    with pytest.raises(RuntimeError, match="stopped"):
+        orchestration.execute(spark, jobs(True))
+    assert sorted(seen) == ["a", "b", "c"]
+    seen.clear()
+    assert orchestration.execute(spark, jobs(False), resume=True) == ["a", "b", "c", "d"] and seen == ["c", "d"]
+    seen.clear()
+    orchestration.execute(spark, jobs(False), resume=True)
+    assert not seen and spark.read.parquet(str(files / "d")).count() == 3
+    orchestration.execute(spark, jobs(False), side_by_side=1)
+    assert sorted(seen) == ["a", "b", "c", "d"]
+
+
 SECTIONED = """
 command: off-targets
 verbose: false
@@ -283,6 +316,25 @@ def test_sites_that_name_no_sirna(spark, files):
         api.off_targets(spark, **given, theta="0.9")
 
 
+def test_each_sirna_has_a_summary_file(spark, files):
+    for n in (2, 3):
+        (files / "in" / f"s{n}.out").write_text(SITES.replace("s1", f"s/{n}"))
+    (files / "target.tsv").write_text("s1\tt1\n")
+    given = {"predictions_file": str(files / "in"), "gtf_file": str(files / "a.gtf"), "on_target_ids_file": str(files / "target.tsv"), "theta": "0.85", "summary_only": True}
+    for _ in range(2):
+        cli.run(spark, "off-targets", given | {"output_file": str(files / "out")})
+    found = {p.parent.name: p for p in (files / "out.summaries").rglob("part-*")}
+    assert sorted(found) == ["sirna_id=s%2F2", "sirna_id=s%2F3", "sirna_id=s1"] and not (files / "out").exists()
+    rt = 0.001987 * 310.15
+    on, other = 600 * math.exp(28.35 / rt), 100 * math.exp(28.85 / rt)
+    lines = found["sirna_id=s1"].read_text().split("\n")
+    assert lines[0] == "# On-target info for s1 #" and lines[3:] == ["## End of on-target info ##", ""]
+    told = re.fullmatch(r"# For alpha=1.0 and gamma=1.0; P: (\S+); P_noacc: (\S+); Z: (\S+); Z_noacc: (\S+); Zoff: (\S+); Zoff_noacc: (\S+)", lines[1])
+    want = [on / (on + other)] * 2 + [on + other] * 2 + [other] * 2
+    assert [float(x) for x in told.groups()] == [pytest.approx(x, rel=1e-5) for x in want] and lines[2].startswith("# For theta=0.85; P: ")
+    assert "P: 0.0; " in found["sirna_id=s%2F2"].read_text() and "for s/2 #" in found["sirna_id=s%2F2"].read_text()
+
+
 def test_a_folder_s_own_files_alone_are_read(spark, files):
     (files / "in" / "more").mkdir()
     (files / "in" / "more" / "s9.out").write_text(SITES.replace("s1", "s9"))

@@ -12,6 +12,7 @@ from pathlib import Path
 import pytest
 from against_sql import DATA, same
 
+from duplexa.functions.sequences import BASES, LETTERS
 from duplexa.plans import workload
 from jobs import gene_risk, queries, seed_screen
 from duplexa.sources.files import new_folder
@@ -53,7 +54,7 @@ def test_gene_risk_follows_its_settings(spark, tmp_path):
 
 def found_by_hand(spark, texts, start=2, length=7):
     """Seed matches of texts by plain search, letter by letter."""
-    bases = str.maketrans(seed_screen.LETTERS, seed_screen.BASES)
+    bases = str.maketrans(LETTERS, BASES)
     wanted = {}
     for r in workload.oligos(spark, TABLES)[0].collect():
         seed = r["sequence"][start - 1 : start - 1 + length].translate(str.maketrans("ACGU", "UGCA"))[::-1]

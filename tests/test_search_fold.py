@@ -1,10 +1,11 @@
+import functools
 import itertools
 import math
 
 import numpy as np
 import pytest
 
-from duplexa.functions.energies import BRANCH, MULTILOOP, BULGE, HAIRPIN, INTERIOR, can_pair, codes, stacks
+from duplexa.functions.energies import BRANCH, BULGE, HAIRPIN, INTERIOR, MULTILOOP, STARTS, can_pair, codes, stacks
 from duplexa.functions.parameters import thermal_energy
 from duplexa.operators import folding, search
 
@@ -51,11 +52,61 @@ def test_tiles_lose_no_seed(spark, monkeypatch):
     genome = "".join(rng.choice(list("ACGT"), 700))
     query = records(spark, [("s", "".join(rng.choice(list("ACGU"), 21)))])
     whole = sorted(map(tuple, search.seeds(query, records(spark, [("t", genome)]), 4, strands=("+", "-")).select("strand", "q_start", "t_start").collect()))
-    monkeypatch.setattr(search.tile, "__defaults__", (64,))
+    monkeypatch.setattr(search.tile_bases, "__defaults__", (64,))
     parts = sorted(map(tuple, search.seeds(query, records(spark, [("t", genome)]), 4, strands=("+", "-")).select("strand", "q_start", "t_start").collect()))
     assert parts == whole and len(whole) > 50
 
 
+def least_duplex(query, target, length, matrix="t04"):
+    """The least energy of all duplexes that hold ``length`` stacked pairs, by trying every next pair from every pair."""
+    q, t = codes(query).tolist(), codes(target).tolist()
+    table, pairs = stacks(matrix), can_pair()
+    start, end = STARTS[matrix]
+    pair = lambda i, j: 0 <= i < len(q) and 0 <= j < len(t) and pairs[q[i], t[j]] > 0
+    weak = lambda i, j: end if {q[i], t[j]} != {1, 2} else 0.0
+
+    def step(i, j, x, y):
+        """From the pair (i, j) to the next (x, y), further along the siRNA and back along the target."""
+        a, b = x - i - 1, j - y - 1
+        stack = table[q[i], t[j], q[x], t[y]]
+        if a + b < 2 and not (a and b):
+            return stack + (BULGE[1] if a + b else 0.0)
+        return BULGE[a + b] if not (a and b) else search.loop_energy(a, b) + weak(i, j) + weak(x, y)
+
+    @functools.cache
+    def after(i, j):
+        return min([weak(i, j), *(step(i, j, x, y) + after(x, y) for x in range(i + 1, len(q)) for y in range(j) if pair(x, y) and x - i + j - y - 2 <= search.LOOP)])
+
+    @functools.cache
+    def before(i, j):
+        return min([weak(i, j), *(step(x, y, i, j) + before(x, y) for x in range(i) for y in range(j + 1, len(t)) if pair(x, y) and i - x + y - j - 2 <= search.LOOP)])
+
+    found = []
+    for i, j in itertools.product(range(len(q)), range(len(t))):
+        if all(pair(i + k, j - k) for k in range(length)):
+            inner = sum(table[q[i + k], t[j - k], q[i + k + 1], t[j - k - 1]] for k in range(length - 1))
+            found.append(start + before(i, j) + inner + after(i + length - 1, j - length + 1))
+    return min(found, default=None)
+
+
+@pytest.mark.parametrize("length", [3, 5])
+def test_sites_have_the_least_energy_of_all_duplexes(spark, length):
+    rng = np.random.default_rng(length)
+    word = lambda n: "".join(rng.choice(list("ACGU"), n))
+    queries = [(f"q{n}", word(14)) for n in range(7)]
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGU", "UGCA"))
+    targets = [(f"t{n}", word(24)) for n in range(6)] + [("near", word(4) + turn(queries[0][1])[:6] + "A" + turn(queries[0][1])[6:] + word(4))]
+    rows = search.search(records(spark, queries), records(spark, targets), length, energy_threshold=50.0, strands=("+",)).collect()
+    least = {}
+    for r in rows:
+        key = (r["sirna_id"], r["chrom"])
+        least[key] = min(least.get(key, 99.0), r["energy"])
+    want = {(a, b): least_duplex(q, t, length) for (a, q), (b, t) in itertools.product(queries, targets)}
+    want = {k: v for k, v in want.items() if v is not None}
+    assert len(want) > 15 and least.keys() == want.keys()
+    assert all(least[k] == pytest.approx(v, abs=1e-3) for k, v in want.items())
+
+
 def structures(n, ok):
     """All sets of nested pairs over n bases, each as a list."""
 
