@@ -125,7 +125,10 @@ def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...]
     earlier one reaches into belong to the union that is open there.
     """
     key = [*by, "__bin"]
-    rows = intervals.select(*by, "start", "end").dropna().withColumn("__bin", F.floor(F.col("start") / bin_width))
+    rows = intervals.select(*by, "start", "end").withColumn("__bin", F.floor(F.col("start") / bin_width))
+    # Said of every column, so that joins find nothing to add on one of their sides alone and the shuffle of rows is used again.
+    for name in (*key, "start", "end"):
+        rows = rows.where(F.col(name).isNotNull())
     order = Window.partitionBy(*key).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.coalesce(F.col("start") > reach + padding, F.lit(True)).cast("long"))

@@ -138,6 +138,21 @@ def test_an_output_without_its_checkpoint_is_refused(spark, growing, tmp_path):
         seed_screen.run(spark, tables, out, str(tmp_path / "other"))
 
 
+def test_paths_that_only_spark_can_open(spark, growing, tmp_path):
+    tables, add = growing
+    texts = add()
+    for name in ("lineitem", "orders"):
+        shutil.copy(f"{TABLES}/{name}.parquet", tables)
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.jobs.link./data", f"file://{tmp_path}")
+    far = "viewfs://jobs/data"
+    first = gene_risk.run(spark, f"{far}/tables", f"{far}/risk")
+    assert first.count() and rows(first) == rows(gene_risk.run(spark, tables, str(tmp_path / "near")))
+    for _ in range(2):
+        found = seed_screen.run(spark, f"{far}/tables", f"{far}/hits", f"{far}/checkpoint")
+        assert as_counter(found) == found_by_hand(spark, texts)
+        texts = add()
+
+
 def test_settings_are_checked(spark, tmp_path):
     path = tmp_path / "s.json"
     for text, word in (('{"seeds": 1}', "unknown seeds"), ('{"seed_length": "7"}', "not a int"), ('{"seed_wobble": 1}', "not a bool")):

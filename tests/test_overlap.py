@@ -3,6 +3,7 @@ import random
 import pytest
 
 from duplexa.operators import overlap
+from duplexa.plans.profiling import Profile
 
 SITE = "sirna_id string, chrom string, start int, end int, strand string, energy double"
 FEATURE = "chrom string, start int, end int, strand string, gene_id string, transcript_id string, exp_value double"
@@ -71,3 +72,12 @@ def test_unions_do_not_depend_on_bins(spark, width):
                     want.append([chrom, low, high])
         got = overlap.merge_intervals(frame, padding, bin_width=width).collect()
         assert sorted([r["chrom"], r["start"], r["end"]] for r in got) == sorted(want)
+
+
+def test_merging_moves_the_rows_once(spark):
+    rows = spark.range(3000).selectExpr("id % 3 AS chrom", "'+' AS strand", "id * 7 % 5000 AS start", "id * 7 % 5000 + 40 + id % 9 AS end")
+    profile = Profile(spark)
+    with profile.step("merge"):
+        found = overlap.merge_intervals(rows, 2, bin_width=1000).count()
+    # Every other shuffle moves unions within bins, or a row a bin.
+    assert found < 10 and 3000 <= profile.stages["merge"]["shuffled_rows"] < 3300
