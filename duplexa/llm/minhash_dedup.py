@@ -22,7 +22,7 @@ BLOCK, BLOCK_BYTES = 512, 32 << 20
 HUBS, HUB_BYTES = 64, 8 << 20
 #: Rows and bytes of families smaller than a block that are compared in one go.
 TOGETHER, TOGETHER_BYTES = 4096, 16 << 20
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 U64 = np.uint64
 
 
@@ -119,7 +119,7 @@ def _post(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(rep[at : at + 4096], COORDINATES))], ["key", "rep"])
 
 
-def collisions(left: np.ndarray, right: np.ndarray, least: int, at_once: int = 2_000_000):
+def collisions(left: np.ndarray, right: np.ndarray, least: int, at_once: int = 1_000_000):
     """(i, j, count) of all pairs of a left and a right row with ``least`` or more equal coordinates.
 
     Rows hold their coordinate-value pairs as keys. The right rows are posted under theirs.
