@@ -129,6 +129,7 @@ def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...]
     # Said of every column, so that joins find nothing to add on one of their sides alone and the shuffle of rows is used again.
     for name in (*key, "start", "end"):
         rows = rows.where(F.col(name).isNotNull())
+    bare = rows
     order = Window.partitionBy(*key).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.coalesce(F.col("start") > reach + padding, F.lit(True)).cast("long"))
@@ -137,7 +138,8 @@ def merge_intervals(intervals: DataFrame, padding: int = 0, by: tuple[str, ...]
     rows = rows.withColumn("__own", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     within = rows.groupBy(*key, "__own").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     before = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    reached = within.groupBy(*key).agg(F.max("end").alias("__end")).select(*key, F.max("__end").over(before).alias("__reach"))
+    # From the rows themselves: greatest ends are combined before they move, and nothing is sorted for them.
+    reached = bare.groupBy(*key).agg(F.max("end").alias("__end")).select(*key, F.max("__end").over(before).alias("__reach"))
     within = within.join(reached, key).withColumn("__new", F.coalesce(F.col("start") > F.col("__reach") + padding, F.lit(True)).cast("long"))
     begun = within.groupBy(*key).agg(F.sum("__new").alias("__begun")).select(*key, F.coalesce(F.sum("__begun").over(before), F.lit(0)).alias("__before"))
     running = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)

@@ -64,7 +64,10 @@ def run(spark: SparkSession, tables: str, output: str, checkpoint: str, settings
     texts = spark.readStream.schema(TEXT).option("maxFilesPerTrigger", given["files_each"]).parquet(f"{tables}/documents.parque[t]")
 
     def screen(batch: DataFrame, number: int) -> None:
-        found = seed_hits(batch, workload.oligos(batch.sparkSession, tables)[0], given)
+        # A few files that are not split would be as few tasks.
+        tasks = spark.sparkContext.defaultParallelism
+        spread = batch.repartition(tasks) if batch.rdd.getNumPartitions() < tasks else batch
+        found = seed_hits(spread, workload.oligos(batch.sparkSession, tables)[0], given)
         found.repartition("lang", F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD))).write.mode("overwrite").partitionBy("lang").parquet(f"{output}/batch={number}")
 
     query = texts.writeStream.foreachBatch(screen).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
