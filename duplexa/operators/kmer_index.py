@@ -123,7 +123,7 @@ def seeds(
     q = search.query_kmers(queries, length, start, end, wobble, strands)
     tiles = bucketed.read(spark, f"{path}/tiles", TILES, buckets, TILE_KEY)
     if length < k:
-        return search.scan(q, tiles, length, flank)
+        return search.scan(q, tiles, length, flank, strands)
     q = q.withColumn("seed", F.col("kmer")).withColumn("kmer", F.substring("kmer", 1, k))
     postings = bucketed.read(spark, f"{path}/postings", POSTINGS, buckets, ["kmer"])
     hits = postings.join(F.broadcast(q) if search.sent_whole(q) else q, "kmer").drop("kmer")

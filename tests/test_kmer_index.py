@@ -5,6 +5,7 @@ import random
 import pytest
 
 from duplexa.operators import kmer_index, search
+from duplexa.plans.profiling import Profile
 
 COLUMNS = ["sirna_id", "target", "strand", "q_start", "t_start", "total", "before", "around", "query"]
 
@@ -44,6 +45,31 @@ def test_seeds_in_an_index_are_those_of_the_plain_search(made, given, sent, monk
         assert all(b in {"A": "U", "C": "G", "G": "CU" if wobble else "C", "U": "AG" if wobble else "A"}[a] for a, b in zip(seed, against))
 
 
+@pytest.mark.parametrize("given", [(6, None, None, True, 20), (7, 2, 8, True, 30), (9, None, None, True, 12), (4, 2, 6, False, 5)])
+def test_places_that_meet_many_sirnas_give_the_same_seeds(made, given, monkeypatch):
+    queries, records, path = made
+    length, start, end, wobble, flank = given
+    ask = lambda: [listed(search.seeds(queries, records, length, start, end, wobble, ("+", "-"), flank)), listed(kmer_index.seeds(queries, path, length, start, end, wobble, ("+", "-"), flank))]
+    plain = ask()
+    monkeypatch.setattr(search, "SENT_ROWS", 0)
+    monkeypatch.setattr(search, "SHARED", 0)
+    assert ask() == plain and plain[0] == plain[1]
+
+
+@pytest.mark.parametrize("indexed", [False])
+def test_what_moves_follows_the_inputs_and_not_their_matches(spark, tmp_path, indexed, monkeypatch):
+    monkeypatch.setattr(search, "SENT_ROWS", 0)
+    records = spark.createDataFrame([(f"t{n}", "GGACGUUCAGCAUUGACC") for n in range(100)], "id string, sequence string")
+    queries = spark.range(1000).selectExpr("cast(id AS string) AS id", "'AAGCUGAACAA' AS sequence")
+    if indexed:
+        kmer_index.build(records, str(tmp_path / "i"))
+    profile = Profile(spark)
+    with profile.step("seeds"):
+        find = (lambda *a: kmer_index.seeds(queries, str(tmp_path / "i"), *a)) if indexed else (lambda *a: search.seeds(queries, records, *a))
+        found = find(7, 3, 9, False, ("+", "-"), 4).count()
+    assert found == 100 * 1000 and profile.stages["seeds"]["shuffled_rows"] < 15_000
+
+
 def test_sites_found_in_an_index(made):
     queries, records, path = made
     plain = search.search(queries, records, energy_threshold=-6.0)
