@@ -16,7 +16,7 @@ from duplexa.sources import bucketed, files
 #: Length of indexed k-mers, and bases kept beyond a tile's ends for seeds and their flanks.
 K, CONTEXT = 6, 64
 #: Bases that one bucket's postings are of, about; buckets at least.
-BUCKET_BASES, BUCKETS = 64 << 20, 8
+BUCKET_BASES, BUCKETS = 1 << 20, 8
 FORM = 1
 
 TILES = "id string, offset int, low int, total int, size int, bases binary, tile long"
@@ -108,7 +108,8 @@ def seeds(
     """The rows of ``search.seeds``, found in an index.
 
     siRNA k-mers meet the postings, which stay where they are: sent whole where they are
-    few, else dealt to the postings' buckets. Only tiles with a posting found give up
+    few, else dealt to the postings' buckets; where many share a spelling (``search.crowd``)
+    places are looked up first and meet them last. Only tiles with a posting found give up
     their bases, joined once for a k-mer and tile and again in their own buckets. Longer
     seeds are looked up by their first k bases and compared in the tile; shorter ones are
     looked for in all tiles.
@@ -124,9 +125,16 @@ def seeds(
     tiles = bucketed.read(spark, f"{path}/tiles", TILES, buckets, TILE_KEY)
     if length < k:
         return search.scan(q, tiles, length, flank, strands)
-    q = q.withColumn("seed", F.col("kmer")).withColumn("kmer", F.substring("kmer", 1, k))
     postings = bucketed.read(spark, f"{path}/postings", POSTINGS, buckets, ["kmer"])
-    hits = postings.join(F.broadcast(q) if search.sent_whole(q) else q, "kmer").drop("kmer")
+    sent = search.sent_whole(q)
+    if not sent and (tasks := search.crowd(q)):
+        asked = q.select(F.substring("kmer", 1, k).alias("kmer"))
+        places = postings.join(asked.distinct(), "kmer", "left_semi").drop("kmer").join(tiles, TILE_KEY).withColumn("at", F.explode("places")).drop("places")
+        # A place near a record's end may be too short for a longer seed, and then meets none.
+        places = places.withColumn("kmer", search.piece(F.col("at"), F.lit(length)))
+        return search.meet(places, q, length, flank, strands, tasks)
+    q = q.withColumn("seed", F.col("kmer")).withColumn("kmer", F.substring("kmer", 1, k))
+    hits = postings.join(F.broadcast(q) if sent else q, "kmer").drop("kmer")
     hits = hits.join(tiles, TILE_KEY).withColumn("at", F.explode("places")).drop("places")
     if length > k:
         hits = hits.where(search.piece(F.col("at"), F.lit(length)) == F.col("seed"))

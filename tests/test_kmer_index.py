@@ -56,7 +56,7 @@ def test_places_that_meet_many_sirnas_give_the_same_seeds(made, given, monkeypat
     assert ask() == plain and plain[0] == plain[1]
 
 
-@pytest.mark.parametrize("indexed", [False])
+@pytest.mark.parametrize("indexed", [False, True])
 def test_what_moves_follows_the_inputs_and_not_their_matches(spark, tmp_path, indexed, monkeypatch):
     monkeypatch.setattr(search, "SENT_ROWS", 0)
     records = spark.createDataFrame([(f"t{n}", "GGACGUUCAGCAUUGACC") for n in range(100)], "id string, sequence string")
