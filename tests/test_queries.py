@@ -23,3 +23,11 @@ def test_entry_names_its_columns(spark):
 
     assert __spark_entry__.entry(spark).columns == ["sirna_id", "chrom", "start", "end", "strand", "transcript_id", "p"]
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_prediction_files_grow_in_number_and_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(workload, "FILE_ROWS", 500, raising=False)
+    names = workload.predictions.list_prediction_files(spark, workload._prediction_files(spark, f"{DATA}/sf0.001"))
+    rows = [spark.read.text(n).count() for n in names]
+    assert sum(rows) > 5000 and max(rows) < 600
+    same(spark, workload.QUERIES["summed_arrivals"], workload.ORACLE_SQL["summed_arrivals"], f"{DATA}/sf0.001")
