@@ -40,6 +40,8 @@ class Scratch:
     def save(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         frame.write.option("compression", "zstd").parquet(path)
+        # Spark deletes a finished step's shuffles once the driver's heap has let go of them, which with much memory it may never do by itself.
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -243,3 +243,18 @@ def test_one_id_with_several_texts_in_any_order(spark):
         for r in got:
             if r["n_shingles"]:
                 assert r["component_id"] == (want[r["doc_id"]] if r["doc_id"] is not None else None), r
+
+
+def test_a_saved_step_leaves_no_shuffle_on_disk(spark):
+    import time
+
+    from duplexa.llm.scratch import Scratch
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {n.rsplit("/", 1)[-1] for n in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
+    before = names()
+    assert Scratch(spark, "t").save(spark.range(1000).repartition(7), "rows").count() == 1000
+    end = time.time() + 20
+    while (left := names() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
