@@ -202,3 +202,16 @@ def test_the_registered_profiles_are_whole(spark, tmp_path):
     rows = workload.QUERIES["folded_profiles"](spark, str(tmp_path)).collect()
     assert len(rows) == 120 and {len(r["u"]) for r in rows} == {30}
     assert any(r["u"][29] < 25.5 for r in rows)
+
+
+def test_short_records_are_folded_together(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("ACGU"), n)) for n in [30] * 20 + [12, 45, 1]]
+    apart = [folding.profile(s, 30, 20, 4) for s in texts]
+    calls, fold = [], folding.unpaired_chances
+    monkeypatch.setattr(folding, "unpaired_chances", lambda windows, *a: calls.append(len(windows)) or fold(windows, *a))
+    rows = [(str(n), "+", 0, 0, len(s), s) for n, s in enumerate(texts)]
+    table = folding.pa.RecordBatch.from_pylist([dict(zip(("id", "strand", "low", "offset", "size", "sequence"), r)) for r in rows])
+    found = {b.column("chrom")[0].as_py(): np.array(b.column("u").to_pylist()) for b in folding._fold(30, 20, 4, 37.0, False)([table])}
+    assert len(calls) == 3 and max(calls) == 36
+    assert all(np.allclose(found[str(n)], energy, atol=1e-5) for n, energy in enumerate(apart))
