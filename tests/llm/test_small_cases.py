@@ -253,8 +253,12 @@ def test_a_saved_step_leaves_no_shuffle_on_disk(spark):
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     names = lambda: {n.rsplit("/", 1)[-1] for n in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
     before = names()
-    assert Scratch(spark, "t").save(spark.range(1000).repartition(7), "rows").count() == 1000
+    scratch = Scratch(spark, "t")
+    assert scratch.save(spark.range(1000).repartition(7), "rows").count() == 1000
+    own = names() - before
+    assert own
+    scratch.save(spark.range(10), "next")
     end = time.time() + 20
-    while (left := names() - before) and time.time() < end:
+    while (left := names() & own) and time.time() < end:
         time.sleep(0.2)
     assert not left
