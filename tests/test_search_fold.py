@@ -107,6 +107,38 @@ def test_sites_have_the_least_energy_of_all_duplexes(spark, length):
     assert all(least[k] == pytest.approx(v, abs=1e-3) for k, v in want.items())
 
 
+def test_seeds_of_one_file_are_extended_by_many_tasks(spark, monkeypatch):
+    counts, extend = [], search.extend
+    monkeypatch.setattr(search, "extend", lambda found, *given: counts.append(found.rdd.getNumPartitions()) or extend(found, *given))
+    targets = records(spark, [(f"t{n}", "GGGCCCAAAUUU") for n in range(20)]).coalesce(1)
+    rows = search.search(records(spark, [("s", "GGGCCCAAAUUU")]), targets, energy_threshold=0.0, strands=("+",)).collect()
+    assert counts[0] > 1 and {r["chrom"] for r in rows} == {f"t{n}" for n in range(20)}
+
+
+def test_of_equally_good_ends_the_nearest_is_taken():
+    # -5.32 kcal/mol are had with 8-20 and with 6-20; sums of doubles differed in their last place.
+    rows = {"query": "GCCAUGAUGAUCUAGAGGAGA", "around": "CGCUUCCNCGUAAGAUUAGUUCCUAAC", "q_start": 8, "t_start": 13, "before": 12}
+    batch = search.pa.RecordBatch.from_pylist([rows | {"sirna_id": "s", "target": "t", "strand": "+", "total": len(rows["around"])}])
+    (found,) = search._extend(6, 20, 0.0, "t04")([batch])
+    assert found.to_pylist() == [{"sirna_id": "s", "q_start": 8, "q_end": 20, "chrom": "t", "start": 3, "end": 17, "strand": "+", "energy": -5.32}]
+
+
+def test_long_batches_are_extended_as_each_seed_alone(monkeypatch):
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(rng.choice(list("ACGU"), n))
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGU", "UGCA"))
+    rows = []
+    for n in range(60):
+        query, at, left = word(int(rng.integers(8, 26))), int(rng.integers(1, 3)), word(int(rng.integers(0, 21)))
+        around = left + turn(query[at - 1 : at + 5]) + word(int(rng.integers(0, 21)))
+        rows.append({"sirna_id": str(n), "target": "é", "strand": "+-"[n % 2], "q_start": at, "t_start": len(left) + 1, "total": 99, "before": len(left), "around": around, "query": query})
+    extend = search._extend(6, 20, 50.0, "t04")
+    alone = [r for row in rows for b in extend([search.pa.RecordBatch.from_pylist([row])]) for r in b.to_pylist()]
+    monkeypatch.setattr(search, "SEEDS", 7)
+    whole = [r for b in extend([search.pa.RecordBatch.from_pylist(rows).slice(1), search.pa.RecordBatch.from_pylist(rows[:1])]) for r in b.to_pylist()]
+    assert len(alone) == 60 and whole == alone[1:] + alone[:1]
+
+
 def structures(n, ok):
     """All sets of nested pairs over n bases, each as a list."""
 
@@ -204,6 +236,18 @@ def test_the_registered_profiles_are_whole(spark, tmp_path):
     assert any(r["u"][29] < 25.5 for r in rows)
 
 
+def test_the_registered_search_takes_the_contracts_queries(spark, tmp_path):
+    from duplexa.plans import workload
+
+    spark.createDataFrame([(n,) for n in (1, 2, 3, 4)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(n,) for n in (7, 100, 150, 300)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    queries, targets = workload.oligos(spark, str(tmp_path))
+    whole = {tuple(r) for r in search.search(queries, targets).collect()}
+    rows = [tuple(r) for r in workload.QUERIES["duplex_search"](spark, str(tmp_path)).collect()]
+    assert {r[0] for r in rows} == {"100", "300"} and {r[0] for r in whole} > {"100", "300"}
+    assert sorted(rows) == sorted(r for r in whole if r[0] in ("100", "300"))
+
+
 def test_short_records_are_folded_together(spark, monkeypatch):
     rng = np.random.default_rng(4)
     texts = ["".join(rng.choice(list("ACGU"), n)) for n in [30] * 20 + [12, 45, 1]]
