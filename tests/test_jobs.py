@@ -11,8 +11,10 @@ from pathlib import Path
 
 import pytest
 from against_sql import DATA, same
+from pyspark.sql import functions as F
 
-from duplexa.functions.sequences import BASES, LETTERS
+from duplexa.functions.sequences import BASES, LETTERS, spelt
+from duplexa.operators import search
 from duplexa.plans import workload
 from jobs import gene_risk, queries, seed_screen
 from duplexa.sources.files import new_folder
@@ -112,6 +114,33 @@ def test_seed_screen_takes_only_what_is_new(spark, growing, tmp_path):
     assert as_counter(run()) == found_by_hand(spark, texts) and len(batches()) == 3
 
 
+@pytest.mark.parametrize("sent", [10**6, 0])
+def test_seed_hits_shuffle_texts_and_not_matches(spark, monkeypatch, sent):
+    monkeypatch.setattr(search, "SENT_ROWS", sent)
+    texts = spark.createDataFrame([(1, "gattaca tag " * 9, "de"), (1, "acgt" * 7, "de"), (1, "acgt" * 7, ""), (2, "tgca", None), (None, "g" * 40, None)], "doc_id long, text string, lang string")
+    turned = lambda word: "A" + word.translate(str.maketrans(LETTERS, BASES))[::-1].translate(str.maketrans("ACGU", "UGCA")) + "GG"
+    sirnas = spark.createDataFrame([("a", turned("gtacgta")), ("a", turned("gtacgta")), ("b", turned("gattaca")), ("c", turned("ggggggg"))], "id string, sequence string")
+    for wobble in (False, True):
+        found = seed_screen.seed_hits(texts, sirnas, seed_screen.DEFAULTS | {"seed_wobble": wobble})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        if sent:
+            # The texts' shuffle, and that of the siRNAs' own k-mers.
+            assert plan.count("Exchange hashpartitioning") == 2 and "hashpartitioning(lang" in plan
+        records = texts.selectExpr("struct(doc_id, nullif(lang, '') AS lang) AS id", "text").select("id", spelt(F.col("text")).alias("sequence"))
+        want = Counter((r["sirna_id"], r["target"]["doc_id"], r["target"]["lang"]) for r in search.seeds(sirnas, records, 7, 2, 8, wobble).collect())
+        rows = found.collect()
+        assert want and {(r["sirna_id"], r["doc_id"], r["lang"]): r["n_sites"] for r in rows} == want and len(rows) == len(want)
+
+
+def test_one_batch_is_read_back_without_a_shuffle(spark, growing, tmp_path):
+    tables, add = growing
+    add()
+    run = lambda: seed_screen.run(spark, tables, str(tmp_path / "hits"), str(tmp_path / "checkpoint"))
+    assert "Exchange" not in run()._jdf.queryExecution().executedPlan().toString()
+    add()
+    assert "Exchange" in run()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_batch_that_failed_is_done_over(spark, growing, tmp_path, monkeypatch):
     tables, add = growing
     texts, out, checkpoint = add(), str(tmp_path / "hits"), str(tmp_path / "checkpoint")
