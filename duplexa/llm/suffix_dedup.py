@@ -420,8 +420,12 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     around = scratch.save(around.distinct(), "contexts")
     n = around.count()
     parts = max(1, -(-n // TASK_CONTEXTS))
-    hot = around.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TASK_CONTEXTS).select("key")
-    usual = around.join(hot, "key", "left_anti") if n > TASK_CONTEXTS else around
+    usual = around
+    if n > TASK_CONTEXTS:
+        hot = around.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TASK_CONTEXTS).select("key")
+        # At most one in TASK_CONTEXTS contexts: sent whole, so that contexts need not move to be told apart.
+        hot = F.broadcast(scratch.save(hot, "hot"))
+        usual = around.join(hot, "key", "left_anti")
     masks = usual.groupBy(F.pmod(F.xxhash64("key"), F.lit(parts))).applyInArrow(_compare(length), "row long, nth int, mask long")
     if n > TASK_CONTEXTS:
         masks = masks.union(_by_windows(around.join(hot, "key", "left_semi"), length))
@@ -434,7 +438,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
         _cut(length, with_text), "row long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     )
     cut = scratch.save(cut.dropDuplicates(["row"]), "cut")
-    scratch.drop("marks", "contexts", "masks", "edits")
+    scratch.drop("marks", "contexts", "masks", "edits", "hot")
     out = heads.join(cut, "row", "left").select(
         F.col("doc").alias(id_col),
         "n_bytes",

@@ -362,6 +362,21 @@ def test_very_frequent_anchors_lose_nothing(spark, monkeypatch, contexts):
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
 
 
+def test_contexts_do_not_move_to_part_very_frequent_anchors_from_others(spark, monkeypatch):
+    docs = [f"{i:03d}" + "the passage that very many documents share with each other, word by word" + f"{i % 7}" * 20 for i in range(120)]
+    plans, save = {}, suffix_dedup.Scratch.save
+    monkeypatch.setattr(suffix_dedup.Scratch, "save", lambda self, frame, name: plans.setdefault(name, frame._jdf.queryExecution().executedPlan().toString()) and save(self, frame, name))
+    monkeypatch.setattr(suffix_dedup, "TASK_CONTEXTS", 10)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = suffix_dedup.dedup_substrings(document_frame(spark, docs)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftAnti, BuildRight" in plans["masks"] and "LeftSemi, BuildRight" in plans["masks"] and "hashpartitioning(key" not in plans["masks"]
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
+
+
 def test_thousands_of_extents_around_one_anchor(spark):
     rng = random.Random(2)
     side = lambda: "".join(rng.choice("abcdefgh") for _ in range(45))
