@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ U64 = np.uint64
 GRAM = 16
 #: Window starts hashed at a time, texts gathered before anchors are sent, anchors of a task, contexts of a task.
 SEGMENT, GATHER, TASK_ANCHORS, TASK_CONTEXTS = 1 << 19, 8 << 20, 1_000_000, 100_000
+#: Bytes of short texts that are hashed together: calls are shared, and each array stays in the cache and below the size at which it would be mapped anew.
+TOGETHER = 12 << 10
 #: An anchor with more extents than this in one gathering is compared by windows wherever it is.
 FREQUENT = 48
 TABLE, OTHER = np.random.default_rng(77).integers(0, 2**63, (2, 256), dtype=U64) * U64(2) + U64(1)
@@ -52,32 +55,90 @@ def anchors(text: bytes, length: int = 50, hashed: bool = True):
     out = []
     for low in range(0, max(0, len(text) - length + 1), SEGMENT):
         part = np.frombuffer(text, np.uint8, min(SEGMENT + length - 1, len(text) - low), low)
-        h = TABLE[part]
-        step = 1
-        for odd in ODD:
-            h = h[:-step] * odd + h[step:]
-            step *= 2
-        h = mix(h)
-        # The place in the low bits makes the leftmost of equal grams the least.
-        least = _minima((h & ~U64((1 << 24) - 1)) | np.arange(len(h), dtype=U64), length - GRAM + 1)
-        place = (least & U64((1 << 24) - 1)).astype(np.int64)
-        first = np.concatenate([[0], np.nonzero(np.diff(place))[0] + 1])
-        last = np.concatenate([first[1:] - 1, [len(place) - 1]])
-        at = place[first]
-        extents = []
-        for table, powers, inverses in HASHES if hashed else ():
-            sums = np.concatenate([np.zeros(1, U64), np.cumsum(table[part] * powers[: len(part)])])
-            extent = (sums[last + length] - sums[first]) * inverses[first]
-            extents.append(mix(extent + (last - first).astype(U64) * ODD[0] + (at - first).astype(U64) * ODD[1]))
-        extents = [extents[0], extents[1] >> U64(32)] if hashed else [h[:0]] * 2
-        out.append((h[at] >> U64(16), *extents, at + low, first + low, last + low))
-    return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, U64)] * 3 + [np.empty(0, np.int64)] * 3
+        *hashes, at, first, last = _anchors_in(part, np.arange(len(part) - length + 1), length, hashed)
+        out.append((*hashes, at + low, first + low, last + low))
+    return [np.concatenate(x) for x in zip(*out)] if out else _none()
+
+
+def _none() -> list[np.ndarray]:
+    return [np.empty(0, U64)] * 3 + [np.empty(0, np.int64)] * 3
+
+
+def _anchors_in(part: np.ndarray, window: np.ndarray, length: int, hashed: bool):
+    """``anchors`` of the windows that begin at some places of a run of bytes; windows of different texts share none."""
+    h = TABLE[part]
+    step = 1
+    for odd in ODD:
+        h = h[:-step] * odd + h[step:]
+        step *= 2
+    h = mix(h)
+    # The place in the low bits makes the leftmost of equal grams the least.
+    least = _minima((h & ~U64((1 << 24) - 1)) | np.arange(len(h), dtype=U64), length - GRAM + 1)
+    place = (least & U64((1 << 24) - 1)).astype(np.int64)[window]
+    begin = np.concatenate([[0], np.nonzero(np.diff(place))[0] + 1])
+    first, last = window[begin], window[np.concatenate([begin[1:] - 1, [len(place) - 1]])]
+    at = place[begin]
+    extents = []
+    for table, powers, inverses in HASHES if hashed else ():
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(table[part] * powers[: len(part)])])
+        extent = (sums[last + length] - sums[first]) * inverses[first]
+        extents.append(mix(extent + (last - first).astype(U64) * ODD[0] + (at - first).astype(U64) * ODD[1]))
+    extents = [extents[0], extents[1] >> U64(32)] if hashed else [h[:0]] * 2
+    # Anchors have small hashes; mixed again, their keys are spread evenly, so that ranges of keys are buckets of one size.
+    return [mix(h[at]) >> U64(16), *extents, at, first, last]
+
+
+def _groups(column):
+    """A text column's rows in groups of at most TOGETHER bytes, or of one text: number of the first row, and texts as bytes."""
+    low, texts, size = 0, [], 0
+    for n, text in enumerate(column):
+        data = text.as_buffer().to_pybytes() if text.is_valid else b""
+        if texts and size + len(data) > TOGETHER:
+            yield low, texts
+            low, texts, size = n, [], 0
+        texts.append(data)
+        size += len(data)
+    if texts:
+        yield low, texts
+
+
+def _in_batches(batches, rows: int):
+    """Small batches joined to some of at least so many rows, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def anchors_of(texts: list[bytes], length: int = 50, hashed: bool = True):
+    """``anchors`` of each of a group's texts: (where each text begins in all bytes, how many anchors it has, anchors of all of them).
+
+    Places are those in the bytes of all texts behind each other. A text's anchors do not depend on its group.
+    """
+    starts = np.cumsum([0, *map(len, texts)])
+    if len(texts) == 1:
+        found = anchors(texts[0], length, hashed)
+        return starts, np.array([len(found[0])]), found
+    part = np.frombuffer(b"".join(texts), np.uint8)
+    own = np.repeat(np.arange(len(texts)), np.diff(starts))
+    window = np.nonzero(np.arange(length, len(part) + length) <= starts[own + 1])[0]
+    found = _anchors_in(part, window, length, hashed) if len(window) else _none()
+    return starts, np.bincount(own[found[4]], minlength=len(texts)), found
 
 
 #: Extents of one anchor are told apart by 96 bits: of 10 ** 9 of them two are taken for equal with a chance below 10 ** -11.
 PLANES = (("key", 6), ("extent", 8), ("extra", 4), ("doc", 8), ("row", 8), ("nth", 4))
 
 
+#: Bytes of a mark's row, anchor and kind.
+MARK = (8, 4, 1)
+
+
 def _planes(values, width: int) -> bytes:
     """Lowest bytes of numbers, all first bytes, then all second ones: what hardly varies compresses."""
     return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
@@ -90,15 +151,46 @@ def _numbers(data: bytes, width: int) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def _planes_of(named: bool):
-    """What is sent of an anchor; rows that go by their id need no name of their own."""
-    return [p for p in PLANES if named or p[0] != "row"]
+def _pack(columns, widths) -> bytes:
+    """Columns of numbers, compressed; the first is in order and goes as its steps."""
+    n = len(columns[0])
+    if not n:
+        return b""
+    steps = np.diff(columns[0].astype("<i8"), prepend=np.int64(0))
+    data = b"".join(_planes(x, w) for x, w in zip((steps, *columns[1:]), widths))
+    return n.to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, widths) -> list[np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    planes = pa.decompress(data[4:], n * sum(widths), codec="zstd", asbytes=True) if n else b""
+    out, at = [], 0
+    for w in widths:
+        out.append(_numbers(planes[at : at + n * w], w))
+        at += n * w
+    out[0] = np.cumsum(out[0])
+    return out
+
+
+def _widths_of(named: bool) -> list[int]:
+    """Bytes of what is sent of an anchor; rows that go by their id need no name of their own."""
+    return [w for name, w in PLANES if named or name != "row"]
+
+
+def _anchor_order(key, extent, extra, doc) -> np.ndarray:
+    """Order by key, extent and document; only anchors that come again need more than their key."""
+    order = np.argsort(key)
+    same = np.diff(key[order]) == 0
+    again = np.nonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))[0] if len(key) else order
+    some = order[again]
+    order[again] = some[np.lexsort((doc[some], extra[some], extent[some], key[some]))]
+    return order
 
 
 def _anchor_blocks(buckets: int, length: int, named: bool):
     def flush(held):
         key, extent, extra, doc, row, nth = (np.concatenate([h[i] for h in held]) for i in range(6))
-        order = np.lexsort((doc, extra, extent, key))
+        order = _anchor_order(key, extent, extra, doc)
         key, extent, extra, doc, row, nth = (x[order] for x in (key, extent, extra, doc, row, nth))
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1]) | (extra[1:] != extra[:-1])
@@ -115,30 +207,34 @@ def _anchor_blocks(buckets: int, length: int, named: bool):
         least, most = (np.nonzero(many & (doc == x[number]))[0] for x in (low, high))
         for some in (least, most):
             sent[some[np.unique(number[some], return_index=True)[1]]] = True
-        bucket = (key % U64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        # Ranges of the key's upper 32 bits.
+        bucket = ((key >> U64(16)) * U64(buckets) >> U64(32)).astype(np.int64)
+        ends = np.searchsorted(bucket, np.arange(buckets + 1))
+        parts = [key, extent, extra, doc, *([row] if named else []), nth]
         cols = {"bucket": [], "open": [], "done": [], "many": []}
         for b in range(buckets):
-            i = order[ends[b] : ends[b + 1]]
+            i = np.arange(ends[b], ends[b + 1])
             if len(i):
                 cols["bucket"].append(b)
-                parts = {"key": key, "extent": extent, "extra": extra, "doc": doc, "row": row, "nth": nth}
-                cols["open"].append(b"".join(_planes(parts[name][i[sent[i]]], w) for name, w in _planes_of(named)))
-                for name, which in (("done", here), ("many", many)):
-                    cols[name].append(b"".join(_planes(x[i[which[i]]], w) for x, w in ((row, 8), (nth, 4))))
+                which = i[sent[i]]
+                cols["open"].append(_pack([x[which] for x in parts], _widths_of(named)))
+                for name, taken in (("done", here), ("many", many)):
+                    which = i[taken[i]]
+                    which = which[np.lexsort((nth[which], row[which]))]
+                    cols[name].append(_pack([row[which], nth[which]], (8, 4)))
         return pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("open", pa.binary()), ("done", pa.binary()), ("many", pa.binary())]))
 
     def run(batches):
         claim()
         held, size = [], 0
         for batch in batches:
-            for row, doc, text in zip(batch.column("row"), batch.column("doc"), batch.column("text")):
-                data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                if len(data) >= length:
-                    key, extent, extra, *_ = anchors(data, length)
-                    held.append((key, extent, extra, np.full(len(key), doc.as_py(), np.int64), np.full(len(key), row.as_py(), np.int64), np.arange(len(key))))
-                    size += len(data)
+            row, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "doc"))
+            for low, texts in _groups(batch.column("text")):
+                _, count, (key, extent, extra, *_) = anchors_of(texts, length)
+                if len(key):
+                    nth = np.arange(len(key)) - np.repeat(np.cumsum(count) - count, count)
+                    held.append((key, extent, extra, *(np.repeat(x[low : low + len(texts)], count) for x in (doc, row)), nth))
+                    size += sum(map(len, texts))
                     if size >= GATHER:
                         yield flush(held)
                         held, size = [], 0
@@ -148,33 +244,20 @@ def _anchor_blocks(buckets: int, length: int, named: bool):
     return run
 
 
-def _open_parts(data: bytes, named: bool):
-    planes = _planes_of(named)
-    n, at, out = len(data) // sum(w for _, w in planes), 0, []
-    for _, w in planes:
-        out.append(_numbers(data[at : at + n * w], w))
-        at += n * w
-    return out
-
-
 def _mark(buckets: int, named: bool):
     """Marks of anchors, in blocks by row: settled ones and those whose windows must be compared."""
 
     def run(batches):
         claim()
-        opened, done, many = ([[np.empty(0, np.int64)] for _ in range(n)] for n in (len(_planes_of(named)), 2, 2))
+        widths = _widths_of(named)
+        opened, done, many = ([[np.empty(0, np.int64)] for _ in range(n)] for n in (len(widths), 2, 2))
         for batch in batches:
-            for x in batch.column("open"):
-                for into, part in zip(opened, _open_parts(x.as_py(), named)):
-                    into.append(part)
-            for name, into in (("done", done), ("many", many)):
-                for y in batch.column(name):
-                    y = y.as_py()
-                    n = len(y) // 12
-                    into[0].append(_numbers(y[: 8 * n], 8))
-                    into[1].append(_numbers(y[8 * n :], 4))
+            for name, into, w in (("open", opened, widths), ("done", done, (8, 4)), ("many", many, (8, 4))):
+                for x in batch.column(name):
+                    for parts, part in zip(into, _unpack(x.as_py(), w)):
+                        parts.append(part)
         key, extent, extra, doc, *row, nth = map(np.concatenate, opened)
-        order = np.lexsort((doc, extra, extent, key))
+        order = _anchor_order(key, extent, extra, doc)
         key, extent, extra, doc, nth = (x[order] for x in (key, extent, extra, doc, nth))
         row = row[0][order] if named else doc
         n = len(key)
@@ -195,14 +278,14 @@ def _mark(buckets: int, named: bool):
         kind = np.zeros(len(row_of), np.int64)
         kind[sum(map(len, done[0])) + np.count_nonzero(covered) :] = 1
         bucket = (mix(row_of.view(U64)) % U64(buckets)).astype(np.int64)
-        order = np.lexsort((row_of, bucket))
+        order = np.lexsort((nth_of, row_of, bucket))
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
         cols = {"bucket": [], "marks": []}
         for b in range(buckets):
             i = order[ends[b] : ends[b + 1]]
             if len(i):
                 cols["bucket"].append(b)
-                cols["marks"].append(b"".join(_planes(x[i], w) for x, w in ((row_of, 8), (nth_of, 4), (kind, 1))))
+                cols["marks"].append(_pack([row_of[i], nth_of[i], kind[i]], MARK))
         yield pa.RecordBatch.from_pydict(cols, pa.schema([("bucket", pa.int32()), ("marks", pa.binary())]))
 
     return run
@@ -213,9 +296,7 @@ def _gather(batches):
     parts = [[np.empty(0, np.int64)] for _ in range(3)]
     for batch in batches:
         for x in batch.column("marks"):
-            data = x.as_py()
-            n = len(data) // 13
-            for into, part in zip(parts, (_numbers(data[: 8 * n], 8), _numbers(data[8 * n : 12 * n], 4), _numbers(data[12 * n :], 1))):
+            for into, part in zip(parts, _unpack(x.as_py(), MARK)):
                 into.append(part)
     row_of, nth_of, kind = map(np.concatenate, parts)
     order = np.lexsort((kind, row_of))
@@ -232,25 +313,44 @@ def _gather(batches):
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["row", "done", "open"])
 
 
+def _slices(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """Stretches of bytes, from ``low`` to before ``high``, as one binary column."""
+    ends = np.cumsum(high - low)
+    places = np.repeat(low - ends + (high - low), high - low) + np.arange(ends[-1])
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(low), [None, pa.py_buffer(offsets), pa.py_buffer(data[places])])
+
+
 def _contexts(length: int):
     """The bytes around each open anchor of a text: key, doc, row, nth, least and most bytes before it, left and right."""
 
     def run(batches):
         claim()
         for batch in batches:
-            rows = []
-            for row, doc, text, parts in zip(*(batch.column(c) for c in ("row", "doc", "text", "open"))):
-                data = text.as_buffer().to_pybytes()
-                nth = np.unique(np.frombuffer(parts.as_py(), "<u4"))
-                key, _, _, at, first, last = anchors(data, length, hashed=False)
-                for i in nth.tolist():
-                    a, p, q = int(at[i]), int(first[i]), int(last[i])
-                    rows.append((int(key[i]), doc.as_py(), row.as_py(), i, a - q, a - p, data[p:a], data[a + GRAM : q + length]))
-            if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "doc", "row", "nth", "least", "most", "left", "right"])
+            row, doc, parts = (batch.column(c) for c in ("row", "doc", "open"))
+            for low, texts in _groups(batch.column("text")):
+                starts, count, (key, _, _, at, first, last) = anchors_of(texts, length, hashed=False)
+                asked = [np.unique(np.frombuffer(parts[low + n].as_py(), "<u4")).astype(np.int64) for n in range(len(texts))]
+                nth, size = np.concatenate(asked), [len(x) for x in asked]
+                if not len(nth):
+                    continue
+                of = low + np.repeat(np.arange(len(texts)), size)
+                i = nth + np.repeat(np.cumsum(count) - count, size)
+                a, p, q = at[i], first[i], last[i]
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key[i].astype(np.int64)),
+                        doc.take(pa.array(of)),
+                        row.take(pa.array(of)),
+                        *(pa.array(x.astype(np.int32)) for x in (nth, a - q, a - p)),
+                        _slices(data, p, a),
+                        _slices(data, a + GRAM, q + length),
+                    ],
+                    ["key", "doc", "row", "nth", "least", "most", "left", "right"],
+                )
 
-    return run
+    return lambda batches: _in_batches(run(batches), 8192)
 
 
 def covered_windows(key, doc, least, most, left: list[bytes], right: list[bytes], length: int = 50) -> np.ndarray:
@@ -331,25 +431,26 @@ def _compare(length: int):
 def _cut(length: int, with_text: bool):
     def run(batches):
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low, texts in _groups(batch.column("text")):
+                part = batch.slice(low, len(texts))
+                starts, count, (_, _, _, at, first, last) = anchors_of(texts, length, hashed=False)
+                before = np.cumsum(count) - count
+                whole = np.concatenate([np.unique(np.frombuffer(x.as_py() or b"", "<u4")).astype(np.int64) + n for x, n in zip(part.column("done"), before)])
+                # The numbers of anchors with masks, and of each mask the windows that it names.
+                listed = pc.fill_null(pc.list_value_length(part.column("nths")), 0).to_numpy(zero_copy_only=False)
+                some, masks = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("nths", "masks"))
+                of, ahead = np.nonzero(masks[:, None] >> np.arange(length - GRAM + 1) & 1)
+                single = at[some + np.repeat(before, listed)][of] - ahead
+                size = starts[-1] + 1
+                change = np.bincount(np.concatenate([first[whole], single]), minlength=size) - np.bincount(np.concatenate([last[whole], single]) + length, minlength=size)
+                gone = np.cumsum(change[:-1]) > 0
+                data = np.frombuffer(b"".join(texts), np.uint8)
                 removed, spans, digests, kept = [], [], [], []
-                for text, done, nths, masks in zip(*(part.column(c) for c in ("text", "done", "nths", "masks"))):
-                    data = text.as_buffer().to_pybytes()
-                    *_, at, first, last = anchors(data, length, hashed=False)
-                    change = np.zeros(len(data) + 1, np.int64)
-                    whole = np.unique(np.frombuffer(done.as_py() or b"", "<u4")).astype(np.int64)
-                    np.add.at(change, first[whole], 1)
-                    np.add.at(change, last[whole] + length, -1)
-                    for i, mask in zip(nths.as_py() or [], masks.as_py() or []):
-                        for n in range(length - GRAM + 1):
-                            if mask >> n & 1:
-                                change[at[i] - n] += 1
-                                change[at[i] - n + length] -= 1
-                    gone = np.cumsum(change[:-1]) > 0
-                    rest = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                    removed.append(int(np.count_nonzero(gone)))
-                    spans.append(int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)))
+                for i, j in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                    here = gone[i:j]
+                    rest = data[i:j][~here].tobytes()
+                    removed.append(int(np.count_nonzero(here)))
+                    spans.append(int(np.count_nonzero(np.diff(here.astype(np.int8), prepend=0) == 1)))
                     digests.append(hashlib.sha256(rest).hexdigest())
                     kept.append(rest.decode("utf-8", "ignore") if with_text else None)
                 yield pa.RecordBatch.from_arrays(
@@ -357,7 +458,7 @@ def _cut(length: int, with_text: bool):
                     ["row", "n_removed", "n_spans", "kept_sha256", "kept_text"],
                 )
 
-    return run
+    return lambda batches: _in_batches(run(batches), 256)
 
 
 def _passing(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -417,7 +518,8 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     around = _passing(docs, asked).join(asked, "row").mapInArrow(
         _contexts(length), "key long, doc long, row long, nth int, least int, most int, left binary, right binary"
     )
-    around = scratch.save(around.distinct(), "contexts")
+    # Only rows that repeat both id and text are met twice.
+    around = scratch.save(around.distinct() if named else around, "contexts")
     n = around.count()
     parts = max(1, -(-n // TASK_CONTEXTS))
     usual = around
@@ -437,7 +539,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     cut = _passing(docs, edits).join(edits, "row").mapInArrow(
         _cut(length, with_text), "row long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     )
-    cut = scratch.save(cut.dropDuplicates(["row"]), "cut")
+    cut = scratch.save(cut.dropDuplicates(["row"]) if named else cut, "cut")
     scratch.drop("marks", "contexts", "masks", "edits", "hot")
     out = heads.join(cut, "row", "left").select(
         F.col("doc").alias(id_col),

@@ -377,6 +377,39 @@ def test_contexts_do_not_move_to_part_very_frequent_anchors_from_others(spark, m
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
 
 
+def test_anchors_do_not_depend_on_the_texts_hashed_with_them():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcd é") for _ in range(rng.choice([0, 20, 49, 50, 51, 300, 3000]))).encode() for _ in range(80)] + [b"x" * 20_000, b""]
+    met = 0
+    for low, group in suffix_dedup._groups(pa.array(texts, pa.binary())):
+        starts, count, found = suffix_dedup.anchors_of(group)
+        ends = np.cumsum(count)
+        for n, text in enumerate(group):
+            own = [x[ends[n] - count[n] : ends[n]] for x in found]
+            own = [*own[:3], *(x - starts[n] for x in own[3:])]
+            assert text == texts[low + n] and all((a == b).all() and len(a) == len(b) for a, b in zip(own, suffix_dedup.anchors(text)))
+            met += 1
+    assert met == len(texts)
+
+
+def test_an_anchor_takes_at_most_24_bytes_of_the_shuffle():
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(97, 123, 2500, dtype=np.uint8).tobytes().decode() for _ in range(1200)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    blocks = list(suffix_dedup._anchor_blocks(64, 50, False)([pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], ["row", "doc", "text"])]))
+    n = sum(len(suffix_dedup.anchors(x.encode())[0]) for x in texts)
+    assert sum(b.nbytes for b in blocks) < 24 * n
+
+
+def test_contexts_and_cut_texts_move_once_where_no_id_repeats(spark, monkeypatch):
+    plans, save = {}, suffix_dedup.Scratch.save
+    monkeypatch.setattr(suffix_dedup.Scratch, "save", lambda self, frame, name: plans.setdefault(name, frame._jdf.queryExecution().executedPlan().toString()) and save(self, frame, name))
+    docs = [f"{i:03d}" + "a passage that a few documents share with each other, word by word" + f"{i % 7}" * 20 for i in range(20)]
+    rows = suffix_dedup.dedup_substrings(document_frame(spark, docs)).collect()
+    assert "Aggregate" not in plans["contexts"] and "Aggregate" not in plans["cut"]
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == brute_removal(docs)
+
+
 def test_thousands_of_extents_around_one_anchor(spark):
     rng = random.Random(2)
     side = lambda: "".join(rng.choice("abcdefgh") for _ in range(45))
