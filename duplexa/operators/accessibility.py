@@ -10,6 +10,14 @@ from duplexa.sources.profiles import BLOCK, blocks, places
 
 #: Of a place beyond its profile or without one, and of a place that a profile leaves out.
 OUT_OF_BOUNDS, ABSENT = 10.0, 25.5
+#: Profiles whose lengths are sent to all tasks, bytes of blocks that are, and bytes of blocks that a task may hold.
+SENT_PROFILES, SENT_BYTES, HELD = 10_000, 8 << 20, 256 << 20
+
+
+def profile_bounds(profiles: DataFrame) -> DataFrame:
+    """(chrom, strand, __size, __width): a profile's last place and longest stretch, from its small columns alone."""
+    size, width = ("high", F.col("width")) if "block" in profiles.columns else ("position", F.coalesce(F.size("u"), F.lit(0)))
+    return profiles.where(F.col(size).isNotNull()).groupBy("chrom", "strand").agg(F.max(size).alias("__size"), F.max(width).alias("__width"))
 
 
 def opening_energy(sites: DataFrame, profiles: DataFrame, mirror_minus_strand: bool = False) -> DataFrame:
@@ -19,12 +27,21 @@ def opening_energy(sites: DataFrame, profiles: DataFrame, mirror_minus_strand: b
     there is. A site that begins before place 1, ends beyond its profile or has none gets
     OUT_OF_BOUNDS, a place that its profile leaves out ABSENT.
 
-    Two left joins: on the profile's length for the bounds, a row a chromosome and strand
-    from the blocks' small columns, and on the block of BLOCK places in which the energy
-    lies, where an array index finds it. A genome of 3e9 bases is 6e6 rows of the join.
+    Two left joins: on the profile's length for the bounds, a row a chromosome and strand,
+    and on the block of BLOCK places in which the energy lies, where an array index finds
+    it. A genome of 3e9 bases is 6e6 rows of the join. Up to SENT_PROFILES rows of bounds
+    are read by an action, which also tells how much the blocks hold, and sent to all
+    tasks, as are SENT_BYTES of blocks. Beyond that, while a partition of blocks has at
+    most HELD bytes a task holds it and sites pass by unsorted, so that a block in which
+    very many sites lie takes no memory for them. What is larger yet, or has more bounds,
+    is sorted and merged, which may spill.
     """
     blocked = blocks(profiles)
-    bounds = blocked.groupBy("chrom", "strand").agg(F.max("high").alias("__size"), F.max("width").alias("__width"))
+    bounds = profile_bounds(profiles)
+    known, size = bounds.limit(SENT_PROFILES + 1).collect(), None
+    if len(known) <= SENT_PROFILES:
+        bounds = F.broadcast(sites.sparkSession.createDataFrame(known, bounds.schema))
+        size = sum(r["__size"] * r["__width"] * 4 for r in known)
     length = F.greatest(F.col("end") - F.col("start") + 1, F.lit(1))
     place = F.when(F.col("strand") == "+", F.col("end")).otherwise(F.col("start"))
     rows = sites.join(bounds, ["chrom", "strand"], "left")
@@ -32,6 +49,10 @@ def opening_energy(sites: DataFrame, profiles: DataFrame, mirror_minus_strand: b
         place = F.when(F.col("strand") == "+", F.col("end")).otherwise(F.col("__size") + 1 - F.col("start"))
     rows = rows.withColumn("__place", place).withColumn("__block", F.floor((F.col("__place") - 1) / BLOCK).cast("long"))
     parts = blocked.select("chrom", "strand", F.col("block").alias("__block"), *(F.col(c).alias(f"__{c}") for c in ("low", "gaps", "values")), F.col("width").alias("__own"))
+    if size is not None and size <= SENT_BYTES:
+        parts = F.broadcast(parts)
+    elif size is not None and size <= HELD * int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        parts = parts.hint("shuffle_hash")
     rows = rows.join(parts, ["chrom", "strand", "__block"], "left")
     # The row within the block, from 0; without gaps it is the distance from the first.
     listed = F.array_position("__gaps", F.col("__place").cast("int")) - 1

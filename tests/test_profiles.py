@@ -49,6 +49,23 @@ def test_lookups_equal_the_plain_rule(spark, many, mirror):
     assert {r["k"]: r["opening_energy"] for r in got.collect()} == {s[0]: looked_up(many, s, mirror) for s in sites}
 
 
+@pytest.mark.parametrize("sent, held, join", [(1 << 30, 0, "BroadcastHashJoin"), (0, 1 << 20, "ShuffledHashJoin"), (0, 0, "SortMergeJoin")])
+def test_sites_of_one_block_are_not_sorted_while_blocks_fit(spark, many, monkeypatch, sent, held, join):
+    monkeypatch.setattr(accessibility, "SENT_BYTES", sent)
+    monkeypatch.setattr(accessibility, "HELD", held)
+    sites = [(k, "c1", k % 90 + 1, k % 90 + 3, "+") for k in range(500)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = accessibility.opening_energy(spark.createDataFrame(sites, SITES), spark.createDataFrame(many, PLACES))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert {r["k"]: r["opening_energy"] for r in got.collect()} == {s[0]: looked_up(many, s) for s in sites}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [x for x in ("BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin") for _ in range(plan.count(x + " "))]
+    assert joins == sorted(["BroadcastHashJoin", join])
+
+
 def test_both_ends_of_a_site_are_tested(spark):
     profile = spark.createDataFrame([("c", s, p, [1.0]) for s in "+-" for p in range(1, 51)], PLACES)
     sites = [(1, "c", 0, 20, "+"), (2, "c", -5, 20, "+"), (3, "c", 40, 60, "-"), (4, "c", 1, 50, "+"), (5, "c", 1, 50, "-"), (6, "c", 45, 51, "+"), (7, "c", 0, 3, "-"), (8, "onTarget", 1, 3, "+")]
