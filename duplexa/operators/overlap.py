@@ -52,7 +52,8 @@ def bin_sites(sites: DataFrame, bin_width: int, levels: list[int]) -> DataFrame:
 
 def met(left: DataFrame, right: DataFrame) -> DataFrame:
     """Binned sites with the binned features they overlap; a pair is taken in one bin only, the later of its two first bins."""
-    joined = left.join(right, BIN_KEY)
+    # Bins first: a sort compares its first column by numbers, and few rows share a bin where very many share a chromosome.
+    joined = left.join(right, BIN_KEY[::-1])
     both = (F.col("start") < F.col("trans_end")) & (F.col("end") > F.col("trans_start")) & (F.col("__bin") == F.greatest("__p0", "__t0"))
     return joined.where(both).drop("__level", "__bin", "__p0", "__t0")
 
@@ -81,17 +82,22 @@ MERGE_WIDTH = 1 << 20
 SITE_KEY = ["sirna_id", "chrom", "start", "end", "strand", "energy", "transcript_id"]
 
 
-def one_per_transcript(pairs: DataFrame) -> DataFrame:
+def one_per_transcript(pairs: DataFrame, dealt: list[str] | None = None) -> DataFrame:
     """One row for each site and transcript: the pair of smallest feature start, end and gene.
 
     Exons of one transcript and repeated predictions collapse. An aggregation of the
     least struct, combined before the shuffle, where a row number would gather and sort.
+    With ``dealt``, some of the key's columns, rows are shuffled by those uncombined: they
+    are sorted once, and later aggregations by those columns and others need no shuffle.
     """
     key = [c for c in SITE_KEY if c in pairs.columns]
+    if dealt:
+        pairs = pairs.repartition(*dealt)
     rest = [c for c in pairs.columns if c not in key]
     first = [c for c in ("trans_start", "trans_end", "gene_id") if c in rest]
     best = F.min(F.struct(*first, *(c for c in rest if c not in first))).alias("__best")
-    return pairs.groupBy(*key).agg(best).select(*key, *(F.col(f"__best.{c}").alias(c) for c in rest))
+    # Aggregated in a sort, by starts first, which few rows share.
+    return pairs.groupBy(*sorted(key, key=lambda c: c != "start")).agg(best).select(*key, *(F.col(f"__best.{c}").alias(c) for c in rest))
 
 
 def transcript_join(sites: DataFrame, features: DataFrame) -> DataFrame:

@@ -56,9 +56,35 @@ def tag_on_targets(sites: DataFrame, on_targets: DataFrame | None) -> DataFrame:
     """is_on_target: the site's transcript or gene is its siRNA's target. One target a siRNA; the join adds no rows."""
     if on_targets is None:
         return sites.withColumn("is_on_target", F.lit(False))
-    one = on_targets.groupBy("sirna_id").agg(F.max("target_id").alias("__target"))
+    return _tagged(sites.join(_one_target(on_targets), "sirna_id", "left"))
+
+
+def _one_target(on_targets: DataFrame) -> DataFrame:
+    return on_targets.groupBy("sirna_id").agg(F.max("target_id").alias("__target"))
+
+
+def _tagged(sites: DataFrame) -> DataFrame:
     hit = (F.col("transcript_id") == F.col("__target")) | (F.col("gene_id") == F.col("__target"))
-    return sites.join(one, "sirna_id", "left").withColumn("is_on_target", F.coalesce(hit, F.lit(False))).drop("__target")
+    return sites.withColumn("is_on_target", F.coalesce(hit, F.lit(False))).drop("__target")
+
+
+#: siRNAs whose least energies and targets are sent to all tasks.
+SENT_SIRNAS = 200_000
+
+
+def few_sirnas(sites: DataFrame) -> bool:
+    """Whether the sites have at most ``SENT_SIRNAS`` siRNAs; an action over that column."""
+    return sites.select("sirna_id").distinct().limit(SENT_SIRNAS + 1).count() <= SENT_SIRNAS
+
+
+def with_known(sites: DataFrame, least: DataFrame, on_targets: DataFrame, sent: bool) -> DataFrame:
+    """Prepared sites with E_min and is_on_target, from ``least``, a row for each of their siRNAs.
+
+    Spark takes an aggregation to be as large as what it adds up, and would shuffle all
+    sites by siRNA for the join: ``sent``, after ``few_sirnas``, sends its rows instead.
+    """
+    known = least.join(_one_target(on_targets), "sirna_id", "left")
+    return _tagged(sites.join(F.broadcast(known) if sent else known, "sirna_id"))
 
 
 def partition_sums(sites: DataFrame, configs: list[Config], rt: float) -> DataFrame:

@@ -14,7 +14,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duplexa.functions.parameters import Config, sweep
+from duplexa.functions.parameters import Config, sweep, thermal_energy
 from duplexa.operators import overlap, scoring
 from duplexa.plans import workload
 from jobs.common import HERE, command_line, load_settings
@@ -35,22 +35,38 @@ def column(config: Config) -> str:
 def gene_risk(sites: DataFrame, features: DataFrame, on_targets: DataFrame, given: dict) -> DataFrame:
     """A row for each siRNA, chromosome and gene that it has sites in.
 
-    Sites and features meet in an equi-join on bins; partition functions and the genes'
-    chances are aggregations with partial sums before their shuffles. ``energy_rank``
-    counts a siRNA's genes by their strongest site: a window over genes, not over sites.
-    Chances are rounded, so that a rerun, which may add in another order, gives the same.
+    Sites and features meet in an equi-join on bins, once for each siRNA's least energy,
+    where no pair is shuffled, and once for the sums. Pairs are dealt by siRNA and
+    transcript, so they are made one a transcript and added up by transcript after one
+    shuffle; genes take those sums. A siRNA's partition function is the sum of its genes'
+    weights, and ``energy_rank`` counts its genes by their strongest site: windows over
+    genes, not over sites. Chances are rounded, so that a rerun, which may add in another
+    order, gives the same. Sites without a siRNA are left out.
     """
-    configs = sweep(given["alpha"], given["gamma"], given["theta"])
-    scored = scoring.score_by_sirna(overlap.intersect(sites, features), configs, on_targets, given["temperature"]).sites
-    genes = scored.groupBy("chrom", "sirna_id", "gene_id").agg(
-        F.count("*").alias("n_sites"),
-        F.countDistinct("transcript_id").alias("n_transcripts"),
-        F.min("energy").alias("least_energy"),
+    configs, rt = sweep(given["alpha"], given["gamma"], given["theta"]), thermal_energy(given["temperature"])
+    sites = sites.where(F.col("sirna_id").isNotNull())
+    pairs = overlap.overlap_join(sites, features)
+    least = pairs.groupBy("sirna_id").agg(scoring.least_energy(pairs))
+    met = scoring.prepare(overlap.one_per_transcript(pairs, ["sirna_id", "chrom", "transcript_id"]))
+    rows = scoring.with_known(met, least, on_targets, scoring.few_sirnas(sites))
+    gene, names = ["chrom", "sirna_id", "gene_id"], [column(c) for c in configs]
+    weights = [F.sum(scoring.weight(c, F.col("E_min"), rt)).alias(name) for c, name in zip(configs, names, strict=True)]
+    by_transcript = rows.groupBy(*gene, "transcript_id").agg(
+        F.count("*").alias("n_sites"), F.min("energy").alias("least_energy"), F.max("is_on_target").alias("is_on_target"), *weights
+    )
+    genes = by_transcript.groupBy(*gene).agg(
+        F.sum("n_sites").alias("n_sites"),
+        F.count("transcript_id").alias("n_transcripts"),
+        F.min("least_energy").alias("least_energy"),
         F.max("is_on_target").alias("is_on_target"),
-        *(F.round(F.sum(F.col(f"`P_off_target{c.suffix}`")), PLACES).alias(column(c)) for c in configs),
+        *(F.sum(name).alias(name) for name in names),
     )
-    order = Window.partitionBy("sirna_id").orderBy("least_energy", "chrom", "gene_id")
-    return genes.withColumn("energy_rank", F.row_number().over(order))
+    own = Window.partitionBy("sirna_id")
+    z = {name: F.sum(name).over(own) for name in names}
+    chances = [F.round(F.when(z[name] > 0, F.col(name) / z[name]).otherwise(F.lit(0.0)), PLACES).alias(name) for name in names]
+    order = own.orderBy("least_energy", "chrom", "gene_id")
+    ranked = F.row_number().over(order).alias("energy_rank")
+    return genes.select(*gene, "n_sites", "n_transcripts", "least_energy", "is_on_target", *chances, ranked)
 
 
 def run(spark: SparkSession, tables: str, output: str, settings: str = SETTINGS) -> DataFrame:

@@ -14,8 +14,9 @@ from against_sql import DATA, same
 from pyspark.sql import functions as F
 
 from duplexa.functions.sequences import BASES, LETTERS, spelt
-from duplexa.operators import search
+from duplexa.operators import scoring, search
 from duplexa.plans import workload
+from duplexa.plans.profiling import Profile
 from jobs import gene_risk, queries, seed_screen
 from duplexa.sources.files import new_folder
 from jobs.common import load_settings
@@ -54,6 +55,38 @@ def test_gene_risk_follows_its_settings(spark, tmp_path):
     assert total["sum(p)"].round(5).eq(1).all() and total["sum(p_t0_5)"].round(5).eq(1).all()
 
 
+def test_gene_risk_moves_met_pairs_once(spark):
+    sites = spark.range(4000).selectExpr("id % 3 AS sirna_id", "id DIV 100000 AS chrom", "id AS start", "id + 21 AS end", "'A' AS strand", "-(id % 40) * 0.5D AS energy")
+    features = spark.range(4).selectExpr("id DIV 100000 AS chrom", "id * 1000 AS start", "id * 1000 + 1000 AS end", "'A' AS strand", "id % 2 AS gene_id", "id AS transcript_id", "1D AS exp_value")
+    targets = spark.createDataFrame([(0, 1)], "sirna_id long, target_id long")
+    profile = Profile(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As with large tables, where Spark itself sends nothing.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with profile.step("risk"):
+            found = gene_risk.gene_risk(sites, features, targets, {"alpha": "0.8;1.0", "gamma": "0.9", "theta": "0.85", "temperature": 37.0}).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Sites near three edges meet two features. Sites move to their bins and pairs to their transcripts; the rest are sums.
+    assert len(found) == 6 and sum(r["n_sites"] for r in found) == 4000 + 3 * 20
+    assert 8000 <= profile.stages["risk"]["shuffled_rows"] < 9000
+
+
+def test_gene_risk_of_very_many_sirnas(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "SENT_SIRNAS", 0)
+    same(spark, queries.job1_gene_risk, queries.ORACLE_SQL["job1_gene_risk"], TABLES)
+
+
+def test_gene_risk_leaves_out_sites_without_a_sirna(spark):
+    sites = spark.createDataFrame([(1, 0, 10, 31, "A", -12.0), (None, 0, 10, 31, "A", -40.0)], "sirna_id long, chrom long, start long, `end` long, strand string, energy double")
+    features = spark.createDataFrame([(0, 0, 90, "A", 5, 7, 2.0), (0, 20, 60, "A", 5, 7, 9.0), (0, 20, 60, "A", 5, 8, 2.0)], "chrom long, start long, `end` long, strand string, gene_id long, transcript_id long, exp_value double")
+    targets = spark.createDataFrame([(1, 8), (2, 5)], "sirna_id long, target_id long")
+    given = {"alpha": "0.8", "gamma": "0.9", "theta": "", "temperature": 37.0}
+    (row,) = gene_risk.gene_risk(sites, features, targets, given).collect()
+    assert tuple(row) == (0, 1, 5, 2, 2, -12.0, True, 1.0, 1.0, 1)
+
+
 def found_by_hand(spark, texts, start=2, length=7):
     """Seed matches of texts by plain search, letter by letter."""
     bases = str.maketrans(LETTERS, BASES)
