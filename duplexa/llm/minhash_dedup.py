@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duplexa.llm.components import connected_components
+from duplexa.llm.components import connected_components, forest
 from duplexa.llm.id_filter import broadcast_filter, mix, passing
 from duplexa.llm.scratch import Scratch
 from duplexa.llm.worker_cache import claim
@@ -176,6 +176,19 @@ def _matched(percent: int, least: int):
     return run
 
 
+def _met(percent: int, least: int):
+    """Of whole lists, links that join what pairs with enough collisions would."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, size, rep = _keys(table), np.asarray(table.column("n")), np.asarray(table.column("rep"))
+        i, j, _ = collisions(keys, keys, least)
+        fits = (i < j) & _fit(size[i], size[j], percent)
+        a, b = forest(rep[i[fits]], rep[j[fits]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def _sets(shared, words: int):
     def run(batches):
         bits = np.frombuffer(shared.value, np.uint8)
@@ -303,8 +316,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     sets are one class. Every class is posted under its 32 coordinate-value pairs;
     frequencies put each class's pairs in one global order, rarest first, and only the
     prefix that two classes with enough equal coordinates must share is joined, so what
-    very many documents have in common posts nothing. Classes that meet are a family.
-    Within families collisions are counted from postings, the longest lists skipped
+    very many documents have in common posts nothing. Classes that meet are a family; one
+    of more rows than a block is parted again by its lists' collisions, a list longer than
+    a block left whole. Within families collisions are counted from postings, the longest lists skipped
     (``collisions``), before any set moves: a class without a partner above the match
     threshold is done. The others' pairs above it are confirmed on whole sets, pairs
     already joined skipped. A family of more rows or bytes than a block meets some hubs in
@@ -339,10 +353,23 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     first = F.greatest(F.lit(prefix - COORDINATES) + F.size("keys"), F.lit(0))
     lists = scratch.save(shared.select("rep", F.explode(F.slice("keys", 1, first)).alias("k")).select("rep", F.col("k.key").alias("key")), "lists")
     scratch.drop("posts")
-    hubs = lists.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("f")).where("f > 1").drop("f")
+    hubs = lists.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("f")).where("f > 1")
     met = lists.join(hubs, "key").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     families = connected_components(met, scratch, "met").withColumnsRenamed({"node": "rep", "component": "family"})
     families = scratch.save(families, "families")
+    sizes = families.groupBy("family").agg(F.count("*").alias("m"))
+    if sizes.where(F.col("m") > BLOCK).limit(1).count():
+        # Chains of classes that share a little grow faster than the table: only what a long list or enough collisions join stays together.
+        sized = scratch.save(families.join(sizes, "family"), "sized")
+        posted = sized.where(F.col("m") > BLOCK).select("rep").join(lists, "rep").join(hubs.withColumnRenamed("f", "length"), "key")
+        posted = scratch.save(posted, "posted")
+        n = posted.count()
+        lots = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-n // TOGETHER))))
+        short = posted.where(F.col("length") <= BLOCK).join(classes.select("rep", "n", "sig"), "rep").withColumn("family", F.col("key"))
+        met = short.groupBy(lots).applyInArrow(_met(percent, least), "a long, b long")
+        met = met.union(posted.where(F.col("length") > BLOCK).select("rep", "hub"))
+        parted = connected_components(met, scratch, "parted").withColumnsRenamed({"node": "rep", "component": "family"})
+        families = scratch.save(sized.where(F.col("m") <= BLOCK).select("rep", "family").union(parted.select("rep", "family")), "apart")
 
     # Families that fit in a block are compared many at a time, and by signatures first.
     sizes = families.groupBy("family").agg(F.count("*").alias("m"))

@@ -291,6 +291,20 @@ def test_groups_of_any_size_lose_no_link(spark, monkeypatch, limit):
     assert [r["component_id"] for r in rows] == brute_components([shingle_set(d, 3) for d in docs], 85)
 
 
+def test_a_chain_of_little_in_common_is_not_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 30)
+    moved, save = {}, minhash_dedup.Scratch.save
+    monkeypatch.setattr(minhash_dedup.Scratch, "save", lambda self, frame, name: moved.setdefault(name, save(self, frame, name)))
+    rnd = random.Random(3)
+    parts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(301)]
+    # Each text shares half its words with the next; two are near copies, and so are forty others of one text.
+    docs = [f"{a} {b}" for a, b in zip(parts, parts[1:])]
+    docs += [docs[7] + " more", *(f"{docs[20]} more{n}" for n in range(40))]
+    rows = sorted(minhash_dedup.near_duplicates(document_frame(spark, docs), words=3, percent=85).collect(), key=lambda r: r["doc_id"])
+    assert [r["component_id"] for r in rows] == brute_components([shingle_set(d, 3) for d in docs], 85)
+    assert moved["families"].count() > 300 and moved["group"].count() < 80
+
+
 def test_dense_confirmation_equals_sparse():
     rnd = np.random.default_rng(4)
     base = np.unique(rnd.integers(0, 2**62, 80, dtype=np.uint64))
