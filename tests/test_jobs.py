@@ -174,6 +174,26 @@ def test_one_batch_is_read_back_without_a_shuffle(spark, growing, tmp_path):
     assert "Exchange" in run()._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("sent", [10**6, 0])
+def test_sirnas_of_one_seed_are_kept_beside_the_texts(spark, growing, tmp_path, monkeypatch, sent):
+    tables, add = growing
+    oligos, real = workload.oligos, seed_screen.seed_hits
+    # Each sequence under ten ids.
+    many = lambda *given: (oligos(*given)[0].selectExpr("explode(sequence(0, 9)) AS n", "*").selectExpr("concat(id, '-', n) AS id", "sequence"), None)
+    refused = lambda *given: pytest.fail("pairs of siRNAs and texts are written")
+    for n in range(3):
+        texts = add()
+        with monkeypatch.context() as m:
+            m.setattr(workload, "oligos", many)
+            m.setattr(seed_screen, "SENT_SIRNAS", sent, raising=False)
+            # The last batch is kept by siRNA, beside those by seed; texts of all of them repeat ids.
+            m.setattr(search, "SHARED", 0 if n < 2 else 10**6)
+            m.setattr(seed_screen, "seed_hits", refused if n < 2 else real)
+            found = as_counter(seed_screen.run(spark, tables, str(tmp_path / "hits"), str(tmp_path / "checkpoint")))
+        assert found == Counter({(f"{s}-{i}", *rest): 1 for s, *rest in found_by_hand(spark, texts) for i in range(10)})
+    assert 20 * spark.read.parquet(f"{tmp_path}/hits/batch=0").count() < len(found)
+
+
 def test_a_batch_that_failed_is_done_over(spark, growing, tmp_path, monkeypatch):
     tables, add = growing
     texts, out, checkpoint = add(), str(tmp_path / "hits"), str(tmp_path / "checkpoint")
