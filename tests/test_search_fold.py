@@ -57,6 +57,18 @@ def test_tiles_lose_no_seed(spark, monkeypatch):
     assert parts == whole and len(whole) > 50
 
 
+def test_seeds_of_many_sirnas_come_kmer_by_kmer(spark, monkeypatch):
+    monkeypatch.setattr(search, "SENT_ROWS", 0)
+    monkeypatch.setattr(search, "SHARED", 0)
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("ACGU"), n))
+    sirnas = {f"s{n}": word(20) for n in range(60)}
+    found = search.seeds(records(spark, list(sirnas.items())), records(spark, [(f"t{n}", word(60)) for n in range(40)]), 3, wobble=False)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    kmers = [sirnas[r["sirna_id"]][r["q_start"] - 1 : r["q_start"] + 2] for r in found.collect()]
+    assert len(kmers) > 10_000 and sum(a != b for a, b in zip(kmers, kmers[1:])) == len(set(kmers)) - 1
+
+
 def least_duplex(query, target, length, matrix="t04"):
     """The least energy of all duplexes that hold ``length`` stacked pairs, by trying every next pair from every pair."""
     q, t = codes(query).tolist(), codes(target).tolist()
